@@ -16,11 +16,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions.text import (BURST_MESSAGE, CLICK_CAP_MESSAGE, PAIR_MESSAGE, SEQUENCE_MESSAGE,
                               window_seconds_text)
@@ -55,25 +52,20 @@ def match_sequence(df: DataFrame, keys: Sequence[str], predicates: Sequence[Colu
         raise ValueError("a sequence needs at least two predicates")
     order_cols, bucket = _order(order, bucket_seconds, bucket_rows)
     id_col = "user_id" if "user_id" in df.columns else None
-    x = df.withColumn("_ok", predicates[0]).withColumn("_first_ts", F.col("ts")) \
-          .withColumn("_first_seq", F.col("seq"))
-    x = x.withColumn("_first_user", F.col(id_col) if id_col else F.lit(None))
+    x = df.select("*", predicates[0].alias("_ok"), F.col("ts").alias("_first_ts"),
+                  F.col("seq").alias("_first_seq"),
+                  (F.col(id_col) if id_col else F.lit(None)).alias("_first_user"))
+    carried = ["_ok", "_first_ts", "_first_seq", "_first_user"]
     for p in predicates[1:]:
-        x = with_neighbors(x, keys, order_cols, bucket,
-                           lag=["_ok", "_first_ts", "_first_seq", "_first_user"])
-        x = (x.withColumn("_ok", p & F.coalesce(F.col("prev__ok"), F.lit(False)))
-             .withColumn("_first_ts", F.col("prev__first_ts"))
-             .withColumn("_first_seq", F.col("prev__first_seq"))
-             .withColumn("_first_user", F.col("prev__first_user"))
-             .drop("prev__ok", "prev__first_ts", "prev__first_seq", "prev__first_user"))
+        x = with_neighbors(x, keys, order_cols, bucket, lag=carried)
+        base = [c for c in x.columns if c not in carried and not c.startswith("prev_")]
+        x = x.select(*base, (p & F.coalesce(F.col("prev__ok"), F.lit(False))).alias("_ok"),
+                     *[F.col(f"prev_{c}").alias(c) for c in carried[1:]])
     span = epoch_micros("ts") - epoch_micros("_first_ts")
     bound = F.lit(int(round(within_s * MICROS_PER_SECOND)))
     hit = F.col("_ok") & ((span <= bound) if inclusive else (span < bound))
-    return (x.filter(hit)
-            .withColumnRenamed("_first_ts", "first_ts")
-            .withColumnRenamed("_first_seq", "first_seq")
-            .withColumnRenamed("_first_user", "first_user")
-            .drop("_ok"))
+    keep = [c for c in x.columns if c not in carried]
+    return x.filter(hit).select(*keep, *[F.col(c).alias(c[1:]) for c in carried[1:]])
 
 
 def fail_pairs(logins: DataFrame, within_s: float = 2, max_fails: int = 2, order: str = "event",
@@ -109,30 +101,35 @@ def fail_sequences(logins: DataFrame, within_s: float = 2, keyed: bool = True,
                     F.col("ts").alias("last_fail_ts"), F.lit(msg).alias("warning_msg"))
 
 
-_BURST_SCHEMA = T.StructType([
-    T.StructField("user_id", T.LongType()),
-    T.StructField("first_us", T.LongType()),
-    T.StructField("last_us", T.LongType()),
-    T.StructField("fail_count", T.LongType()),
-])
-
-
-def _burst_groups(within_us: int, min_fails: int):
-    def fold(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["_us", "seq"], kind="mergesort")
-        t = pdf["_us"].to_numpy(dtype=np.int64)
-        stop = np.searchsorted(t, t + within_us, side="right")
-        end_success = pdf["_end_success_us"].iloc[-1]
-        rows = []
-        i, n = 0, len(t)
-        while i < n:
-            j = int(stop[i])
-            cancelled = j >= n and not pd.isna(end_success) and end_success <= t[i] + within_us
-            if j - i >= min_fails and not cancelled:
-                rows.append((int(pdf["user_id"].iloc[0]), int(t[i]), int(t[j - 1]), j - i))
-            i = j
-        return pd.DataFrame(rows, columns=["user_id", "first_us", "last_us", "fail_count"])
-    return fold
+def _greedy_groups(rows: str, cancel_us: str, within_us: int, min_fails: int) -> Column:
+    """Greedy anchoring over one run's failures sorted by (us, seq), as a
+    JVM-side fold: a row later than anchor + within closes the group and
+    anchors the next one. The last group is dropped when the success that
+    ended the run came within ``within`` of its anchor."""
+    w = F.lit(within_us)
+    group_t = "array<struct<first_us:bigint,last_us:bigint,n:bigint>>"
+    init = F.struct(F.lit(None).cast("bigint").alias("t0"), F.lit(0).cast("bigint").alias("n"),
+                    F.lit(None).cast("bigint").alias("last"), F.array().cast(group_t).alias("out"))
+
+    def step(acc, x):
+        closes = acc["t0"].isNotNull() & (x["_us"] > acc["t0"] + w)
+        fresh = acc["t0"].isNull() | closes
+        done = F.struct(acc["t0"].alias("first_us"), acc["last"].alias("last_us"),
+                        acc["n"].alias("n"))
+        out = F.when(closes & (acc["n"] >= min_fails),
+                     F.concat(acc["out"], F.array(done))).otherwise(acc["out"])
+        return F.struct(F.when(fresh, x["_us"]).otherwise(acc["t0"]).alias("t0"),
+                        F.when(fresh, F.lit(1).cast("bigint")).otherwise(acc["n"] + 1).alias("n"),
+                        x["_us"].alias("last"), out.alias("out"))
+
+    def finish(acc):
+        cancelled = F.col(cancel_us).isNotNull() & (F.col(cancel_us) <= acc["t0"] + w)
+        last = F.struct(acc["t0"].alias("first_us"), acc["last"].alias("last_us"),
+                        acc["n"].alias("n"))
+        return F.when((acc["n"] >= min_fails) & ~cancelled,
+                      F.concat(acc["out"], F.array(last))).otherwise(acc["out"])
+
+    return F.aggregate(F.col(rows), init, step, finish)
 
 
 def fail_bursts(logins: DataFrame, within_s: float = 2, min_fails: int = 2,
@@ -148,8 +145,9 @@ def fail_bursts(logins: DataFrame, within_s: float = 2, min_fails: int = 2,
     history splits into *runs* - consecutive failures, each within
     ``within`` of the previous one. Runs are found with neighbour passes
     (bucketed, skew-safe); only the greedy anchoring inside one run is a
-    sequential fold (``applyInPandas`` per run, with a vectorised
-    ``searchsorted`` for each group's extent).
+    sequential fold, run JVM-side with ``aggregate`` over the run's rows.
+    A run is bounded by how long a key keeps failing without pause; that
+    array is the only per-group collection in the plan.
     """
     within_us = int(round(within_s * MICROS_PER_SECOND))
     bucket = time_bucket("ts", bucket_seconds)
@@ -166,8 +164,13 @@ def fail_bursts(logins: DataFrame, within_s: float = 2, min_fails: int = 2,
     runs = with_neighbors(fails, ["user_id"], ["ts", "seq"], bucket, ffill=["_start"])
     runs = runs.select("user_id", "seq", us.alias("_us"), F.col("ffill__start").alias("_run"),
                        "_end_success_us")
-    groups = runs.groupBy("user_id", "_run").applyInPandas(_burst_groups(within_us, min_fails),
-                                                            _BURST_SCHEMA)
+    groups = (runs.groupBy("user_id", "_run")
+              .agg(F.array_sort(F.collect_list(F.struct("_us", "seq"))).alias("_rows"),
+                   F.max("_end_success_us").alias("_cancel_us"))
+              .select("user_id", F.explode(_greedy_groups("_rows", "_cancel_us", within_us,
+                                                          min_fails)).alias("g"))
+              .select("user_id", F.col("g.first_us").alias("first_us"),
+                      F.col("g.last_us").alias("last_us"), F.col("g.n").alias("fail_count")))
     msg = F.format_string(BURST_MESSAGE.format(n="%d", s=window_seconds_text(within_s)),
                           F.col("fail_count"))
     return groups.select("user_id", F.timestamp_micros("first_us").alias("first_fail_ts"),

@@ -44,18 +44,17 @@ def with_neighbors(df: DataFrame, keys: Sequence[str], order: Sequence[str], buc
     keys, order = list(keys), list(order)
     part = keys + ["_bkt"]
     w = Window.partitionBy(*part).orderBy(*order)
-    x = df.withColumn("_bkt", bucket)
-    for c in lag:
-        x = x.withColumn(f"prev_{c}", F.lag(c).over(w))
-    for c in lead:
-        x = x.withColumn(f"next_{c}", F.lead(c).over(w))
-    for c in ffill:
-        x = x.withColumn(f"ffill_{c}", F.last(c, ignorenulls=True).over(w.rowsBetween(_UNB, 0)))
+    x = df.select("*", bucket.alias("_bkt"))
+    inner = [F.lag(c).over(w).alias(f"prev_{c}") for c in lag]
+    inner += [F.lead(c).over(w).alias(f"next_{c}") for c in lead]
+    inner += [F.last(c, ignorenulls=True).over(w.rowsBetween(_UNB, 0)).alias(f"ffill_{c}")
+              for c in ffill]
     for c in prior_max:
-        x = (x.withColumn(f"pmax_{c}", F.max(c).over(w.rowsBetween(_UNB, -1)))
-             .withColumn(f"_rmax_{c}", F.max(c).over(w.rowsBetween(_UNB, 0))))
-    x = (x.withColumn("_is_first", F.lag(F.lit(1)).over(w).isNull())
-         .withColumn("_is_last", F.lead(F.lit(1)).over(w).isNull()))
+        inner += [F.max(c).over(w.rowsBetween(_UNB, -1)).alias(f"pmax_{c}"),
+                  F.max(c).over(w.rowsBetween(_UNB, 0)).alias(f"_rmax_{c}")]
+    inner += [F.lag(F.lit(1)).over(w).isNull().alias("_is_first"),
+              F.lead(F.lit(1)).over(w).isNull().alias("_is_last")]
+    x = x.select("*", *inner)
 
     # Per (keys, bucket): the edge rows' values. Built from the two edge rows
     # of each bucket only; the input is already clustered by (keys, bucket).
@@ -85,17 +84,16 @@ def with_neighbors(df: DataFrame, keys: Sequence[str], order: Sequence[str], buc
 
     cond = [x[c].eqNullSafe(edges[f"_s_{c}"]) for c in part]
     y = x.join(edges, on=cond, how="inner")
+    fixed = {}
     for c in lag:
-        y = y.withColumn(f"prev_{c}", F.when(F.col("_is_first"), F.col(f"_prev_tail.{c}"))
-                         .otherwise(F.col(f"prev_{c}")))
+        fixed[f"prev_{c}"] = F.when(F.col("_is_first"), F.col(f"_prev_tail.{c}")).otherwise(
+            F.col(f"prev_{c}"))
     for c in lead:
-        y = y.withColumn(f"next_{c}", F.when(F.col("_is_last"), F.col(f"_next_head.{c}"))
-                         .otherwise(F.col(f"next_{c}")))
+        fixed[f"next_{c}"] = F.when(F.col("_is_last"), F.col(f"_next_head.{c}")).otherwise(
+            F.col(f"next_{c}"))
     for c in ffill:
-        y = y.withColumn(f"ffill_{c}", F.coalesce(F.col(f"ffill_{c}"), F.col(f"_pf_{c}")))
+        fixed[f"ffill_{c}"] = F.coalesce(F.col(f"ffill_{c}"), F.col(f"_pf_{c}"))
     for c in prior_max:
-        y = y.withColumn(f"pmax_{c}", F.greatest(F.col(f"pmax_{c}"), F.col(f"_pm_{c}")))
-    drop = ["_bkt", "_is_first", "_is_last", "_prev_tail", "_next_head"]
-    drop += [f"_s_{c}" for c in part] + [f"_pf_{c}" for c in ffill]
-    drop += [f"_pm_{c}" for c in prior_max] + [f"_rmax_{c}" for c in prior_max]
-    return y.drop(*[c for c in drop if c in y.columns])
+        fixed[f"pmax_{c}"] = F.greatest(F.col(f"pmax_{c}"), F.col(f"_pm_{c}"))
+    out = list(df.columns) + list(fixed)
+    return y.select(*[fixed[c].alias(c) if c in fixed else F.col(c) for c in out])
