@@ -56,7 +56,9 @@ def match_sequence(df: DataFrame, keys: Sequence[str], predicates: Sequence[Colu
                   F.col("seq").alias("_first_seq"),
                   (F.col(id_col) if id_col else F.lit(None)).alias("_first_user"))
     carried = ["_ok", "_first_ts", "_first_seq", "_first_user"]
-    for p in predicates[1:]:
+    for i, p in enumerate(predicates[1:]):
+        if i:  # later links read the previous link's output twice: materialise it
+            x = x.checkpoint(eager=True)
         x = with_neighbors(x, keys, order_cols, bucket, lag=carried)
         base = [c for c in x.columns if c not in carried and not c.startswith("prev_")]
         x = x.select(*base, (p & F.coalesce(F.col("prev__ok"), F.lit(False))).alias("_ok"),
@@ -159,8 +161,10 @@ def fail_bursts(logins: DataFrame, within_s: float = 2, min_fails: int = 2,
               | ((us - epoch_micros("prev_ts")) > within_us))
     end_success = F.when(F.col("next_state").isNotNull() & (F.col("next_state") != "fail"),
                          epoch_micros("next_ts"))
+    # Materialised (to the shared checkpoint folder): the second pass reads
+    # its input twice and must not recompute the first pass.
     fails = (fails.select("user_id", "ts", "seq", F.when(starts, F.col("seq")).alias("_start"),
-                          end_success.alias("_end_success_us")))
+                          end_success.alias("_end_success_us")).checkpoint(eager=True))
     runs = with_neighbors(fails, ["user_id"], ["ts", "seq"], bucket, ffill=["_start"])
     runs = runs.select("user_id", "seq", us.alias("_us"), F.col("ffill__start").alias("_run"),
                        "_end_success_us")

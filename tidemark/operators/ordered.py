@@ -6,9 +6,14 @@ a user to one task: a user holding a third of all rows stalls the job.
 is a coarse, non-decreasing function of the order (a time bucket, or an
 arrival-number bucket). Inside a bucket the window functions run as
 usual; the rows at bucket edges are completed from a per-bucket summary
-(one row per key and bucket) ordered by bucket. A hot key is thereby
-spread over all of its buckets; only the summary - bounded by the number
-of touched buckets, not rows - is ordered per key.
+(one row per key and bucket, aggregated map-side from the input) ordered
+by bucket. A hot key is thereby spread over all of its buckets; only the
+summary - bounded by the number of touched buckets, not rows - is ordered
+per key. The input is shuffled in full once (for the bucket windows); the
+summary is a second, pruned read of the input.
+
+Callers that chain passes should materialise the input of a later pass
+(``checkpoint``), as each pass reads its input twice.
 
 Outputs, per requested column ``c``:
 
@@ -49,41 +54,40 @@ def with_neighbors(df: DataFrame, keys: Sequence[str], order: Sequence[str], buc
     inner += [F.lead(c).over(w).alias(f"next_{c}") for c in lead]
     inner += [F.last(c, ignorenulls=True).over(w.rowsBetween(_UNB, 0)).alias(f"ffill_{c}")
               for c in ffill]
-    for c in prior_max:
-        inner += [F.max(c).over(w.rowsBetween(_UNB, -1)).alias(f"pmax_{c}"),
-                  F.max(c).over(w.rowsBetween(_UNB, 0)).alias(f"_rmax_{c}")]
-    inner += [F.lag(F.lit(1)).over(w).isNull().alias("_is_first"),
-              F.lead(F.lit(1)).over(w).isNull().alias("_is_last")]
-    x = x.select("*", *inner)
-
-    # Per (keys, bucket): the edge rows' values. Built from the two edge rows
-    # of each bucket only; the input is already clustered by (keys, bucket).
+    inner += [F.max(c).over(w.rowsBetween(_UNB, -1)).alias(f"pmax_{c}") for c in prior_max]
+    if lag:
+        inner.append(F.lag(F.lit(1)).over(w).isNull().alias("_is_first"))
+    if lead:
+        inner.append(F.lead(F.lit(1)).over(w).isNull().alias("_is_last"))
+    main = x.select("*", *inner)
+
+    # Per (keys, bucket) summary straight from the input: aggregates with
+    # map-side partial aggregation, so only about one row per (key, bucket)
+    # and task is shuffled, and the input is shuffled in full only once.
     ordkey = F.struct(*order)
-    tail_cols = list(lag) + [f"ffill_{c}" for c in ffill] + [f"_rmax_{c}" for c in prior_max]
     aggs = []
-    if tail_cols:
-        aggs.append(F.max_by(F.struct(*tail_cols), F.when(F.col("_is_last"), ordkey)).alias("_tail"))
+    if lag:
+        aggs.append(F.max_by(F.struct(*lag), ordkey).alias("_tail"))
     if lead:
-        aggs.append(F.min_by(F.struct(*lead), F.when(F.col("_is_first"), ordkey)).alias("_head"))
-    if not aggs:
-        return x.drop("_bkt", "_is_first", "_is_last")
-    summary = x.filter(F.col("_is_first") | F.col("_is_last")).groupBy(*part).agg(*aggs)
+        aggs.append(F.min_by(F.struct(*lead), ordkey).alias("_head"))
+    aggs += [F.max_by(F.col(c), F.when(F.col(c).isNotNull(), ordkey)).alias(f"_lnn_{c}")
+             for c in ffill]
+    aggs += [F.max(c).alias(f"_bmax_{c}") for c in prior_max]
+    summary = x.groupBy(*part).agg(*aggs)
 
     w2 = Window.partitionBy(*keys).orderBy("_bkt") if keys else Window.orderBy("_bkt")
+    before = w2.rowsBetween(_UNB, -1)
     sel = [F.col(c).alias(f"_s_{c}") for c in part]
     if lag:
         sel.append(F.lag("_tail").over(w2).alias("_prev_tail"))
     if lead:
         sel.append(F.lead("_head").over(w2).alias("_next_head"))
-    for c in ffill:
-        sel.append(F.last(F.col(f"_tail.ffill_{c}"), ignorenulls=True)
-                   .over(w2.rowsBetween(_UNB, -1)).alias(f"_pf_{c}"))
-    for c in prior_max:
-        sel.append(F.max(F.col(f"_tail._rmax_{c}")).over(w2.rowsBetween(_UNB, -1)).alias(f"_pm_{c}"))
+    sel += [F.last(f"_lnn_{c}", ignorenulls=True).over(before).alias(f"_pf_{c}") for c in ffill]
+    sel += [F.max(f"_bmax_{c}").over(before).alias(f"_pm_{c}") for c in prior_max]
     edges = summary.select(*sel).repartition(*[f"_s_{c}" for c in part])
 
-    cond = [x[c].eqNullSafe(edges[f"_s_{c}"]) for c in part]
-    y = x.join(edges, on=cond, how="inner")
+    cond = [main[c].eqNullSafe(edges[f"_s_{c}"]) for c in part]
+    y = main.join(edges, on=cond, how="inner")
     fixed = {}
     for c in lag:
         fixed[f"prev_{c}"] = F.when(F.col("_is_first"), F.col(f"_prev_tail.{c}")).otherwise(
