@@ -179,3 +179,52 @@ def test_late_router_stream(spark, scratch):
     routed = accepted.withColumn("is_late", F.lit(False))
     counts = late_ops.accepted_window_counts(routed, [], 600, 10, 60)
     assert counts.count() == 68
+
+
+def test_item_top_n_query_equals_batch(spark, scratch):
+    from tidemark.plans import jobs as bjobs
+    from tidemark.streaming import jobs as sjobs
+    stream, ev = _events_stream(spark, scratch)
+    beh = stream.select("user_id", tables.prop_k().alias("item_id"),
+                        F.when(F.col("event_type") == "sentinel", "view").otherwise(F.col("event_type"))
+                        .alias("behavior"), "ts")
+    out = os.path.join(scratch, "top")
+    q = sjobs.item_top_n_query(beh, out, 5, 3600, 300, pv_behavior="view", name="t_top",
+                               trigger={"availableNow": True})
+    q.awaitTermination()
+    got = sorted(tuple(r) for r in spark.read.parquet(out).drop("batch_id")
+                 .filter("window_end < 3000000000")
+                 .select("window_end", "rank", "item_id", "pv_count").collect())
+    exp = sorted(tuple(r) for r in bjobs.item_top_n(tables.behaviors(ev), 5, 3600, 300, pv_behavior="view")
+                 .select("window_end", "rank", "item_id", "pv_count").collect())
+    assert got == exp
+
+
+def test_page_view_top_n_refinement(spark, scratch):
+    from tidemark.plans import jobs as bjobs
+    from tidemark.sources.text import read_access_log
+    from tidemark.streaming import jobs as sjobs
+    with open(fixture("access_lateness.log")) as f:
+        text = f.read()
+    chunks = [[ln for ln in block.split("\n") if ln.strip()] for block in text.split("\n\n")]
+    src = os.path.join(scratch, "log")
+    _write_chunks(src, chunks)
+    log = parse_access_log(spark.readStream.option("maxFilesPerTrigger", 1).text(src))
+    store, top = os.path.join(scratch, "store"), os.path.join(scratch, "top")
+    q = sjobs.page_view_top_n_query(log, store, top, 3, 600, 10, 1, 60, name="t_pv",
+                                    trigger={"availableNow": True})
+    q.awaitTermination()
+    got = sorted((r.window_end, r.rank, r.url, r.pv_count) for r in spark.read.parquet(top).collect())
+    btop, blate = bjobs.page_view_top_n(read_access_log(spark, fixture("access_lateness.log")))
+    exp = sorted((r.window_end, r.rank, r.url, r.pv_count) for r in btop.collect())
+    assert got == exp and len(exp) == 68
+    assert blate.count() == 1
+
+
+def test_sliding_from_panes_equals_direct(spark):
+    ev = tables.marketing(tables.events(spark, SF_SMALL))
+    panes = (ev.groupBy("behavior", F.window("ts", "5 seconds").alias("p")).count()
+             .select("behavior", F.unix_seconds("p.start").alias("pane_start"), F.col("count").alias("n")))
+    a = windows.sliding_from_panes(panes, ["behavior"], "pane_start", "n", 3600, 300, "c")
+    b = windows.sliding_count(ev, "ts", ["behavior"], 3600, 300, "c")
+    assert sorted(tuple(r) for r in a.collect()) == sorted(tuple(r) for r in b.collect())

@@ -68,6 +68,18 @@ def sliding_count(df: DataFrame, ts: str, keys: Sequence[str], size_s: int, slid
     return _fan_out(panes, keys, k, slide_s, size_s, count_name)
 
 
+def sliding_from_panes(panes: DataFrame, keys: Sequence[str], pane_start: str, pane_count: str,
+                       size_s: int, slide_s: int, count_name: str = "count") -> DataFrame:
+    """Roll pre-counted panes (``pane_start`` epoch seconds, one pane per
+    slide) up into sliding windows, e.g. panes streamed to a table."""
+    k = _check(size_s, slide_s)
+    p = floor_div(F.col(pane_start).cast("long"), slide_s)
+    staged = (panes.select(*keys, p.alias("_p"), F.col(pane_count).alias("_n"))
+              .groupBy(*keys, "_p").agg(F.sum("_n").alias("_n"))
+              .withColumn("_f", F.col("_p") + 1))
+    return _fan_out(staged, keys, k, slide_s, size_s, count_name)
+
+
 def _fan_out(panes: DataFrame, keys: Sequence[str], k: int, slide_s: int, size_s: int,
              count_name: str) -> DataFrame:
     """panes(keys, _p, _f, _n) -> per-window sums of _n over ends _f.._p+k."""
