@@ -228,3 +228,16 @@ def test_sliding_from_panes_equals_direct(spark):
     a = windows.sliding_from_panes(panes, ["behavior"], "pane_start", "n", 3600, 300, "c")
     b = windows.sliding_count(ev, "ts", ["behavior"], 3600, 300, "c")
     assert sorted(tuple(r) for r in a.collect()) == sorted(tuple(r) for r in b.collect())
+
+
+def test_fail_sequences_stream_strict(spark, scratch):
+    base = 1_558_430_000
+    rows = [f"1,x,fail,{base}", f"1,x,fail,{base + 2}", f"2,x,fail,{base}", f"2,x,fail,{base + 1}"]
+    rows = [f"{r},{i}" for i, r in enumerate(rows)]
+    chunks = [rows[:2], rows[2:]] + [[f"0,0,success,{FAR},100"], [f"0,0,success,{FAR + 100},101"]]
+    stream = _login_stream(spark, scratch, chunks)
+    out = os.path.join(scratch, "seq")
+    _run(stateful.fail_sequences_stream(stream, 2), scratch, "seq", sinks.write_batch(out))
+    got = [(r.user_id, r.first_fail_us // 10**6 - base, r.last_fail_us // 10**6 - base, r.warning_msg)
+           for r in spark.read.parquet(out).collect()]
+    assert got == [(2, 0, 1, "fail 2 times in 2 seconds")]

@@ -24,7 +24,10 @@ from ..functions.text import (BURST_MESSAGE, CLICK_CAP_MESSAGE, PAIR_MESSAGE, SE
 from ..functions.time import MICROS_PER_SECOND, day_index, epoch_micros
 from .ordered import number_bucket, time_bucket, with_neighbors
 
-DEFAULT_BUCKET_SECONDS = 3600
+# Rows of one key are windowed per bucket of this many seconds: a key's
+# share of one task is its rate times the bucket; the per-key summary holds
+# one row per touched bucket. Pass a smaller bucket for very dense keys.
+DEFAULT_BUCKET_SECONDS = 60
 DEFAULT_BUCKET_ROWS = 1 << 20
 
 

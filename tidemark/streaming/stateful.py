@@ -24,7 +24,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
-from ..functions.text import BURST_MESSAGE, CLICK_CAP_MESSAGE, PAIR_MESSAGE, window_seconds_text
+from ..functions.text import (BURST_MESSAGE, CLICK_CAP_MESSAGE, PAIR_MESSAGE, SEQUENCE_MESSAGE,
+                              window_seconds_text)
 
 US_PER_MS = 1000
 US_PER_DAY = 86_400_000_000
@@ -88,13 +89,17 @@ class _OrderedBuffer(StatefulProcessor):
 
 
 class FailPairProcessor(_OrderedBuffer):
-    """Two consecutive failures of a key within ``within_s`` (inclusive)."""
+    """Two consecutive failures of a key within ``within_s`` (inclusive);
+    with ``strict=True`` the span must stay below the bound (the keyed
+    sequence pattern)."""
 
     columns = ["user_id", "first_fail_us", "last_fail_us", "fail_count", "warning_msg"]
 
-    def __init__(self, within_s: float = 2, max_fails: int = 2):
+    def __init__(self, within_s: float = 2, max_fails: int = 2, strict: bool = False):
         self.within_us = int(round(within_s * 1_000_000))
-        self.msg = PAIR_MESSAGE.format(max=max_fails, s=window_seconds_text(within_s))
+        self.strict = strict
+        self.msg = (SEQUENCE_MESSAGE.format(s=window_seconds_text(within_s)) if strict
+                    else PAIR_MESSAGE.format(max=max_fails, s=window_seconds_text(within_s)))
 
     def setup(self, handle) -> None:
         self.last = handle.getValueState("last", "us long, is_fail boolean")
@@ -103,8 +108,10 @@ class FailPairProcessor(_OrderedBuffer):
         prev = self.last.get() if self.last.exists() else None
         out = []
         for r in rows.itertuples():
-            if r.is_fail and prev is not None and prev[1] and r.us - prev[0] <= self.within_us:
-                out.append((int(key[0]), int(prev[0]), int(r.us), 2, self.msg))
+            if r.is_fail and prev is not None and prev[1]:
+                span = r.us - prev[0]
+                if span < self.within_us or (span == self.within_us and not self.strict):
+                    out.append((int(key[0]), int(prev[0]), int(r.us), 2, self.msg))
             prev = (int(r.us), bool(r.is_fail))
         self.last.update(prev)
         return out
@@ -167,6 +174,16 @@ def fail_pairs_stream(logins: DataFrame, within_s: float = 2, max_fails: int = 2
         FailPairProcessor(within_s, max_fails), WARNING_SCHEMA, "append", "EventTime")
 
 
+def fail_sequences_stream(logins: DataFrame, within_s: float = 2,
+                          delay: str = "3 seconds") -> DataFrame:
+    """Streaming D3, keyed by user (fail then fail, span < within). The
+    unkeyed form would put the whole stream in one task; use the batch
+    ``detect.fail_sequences(keyed=False)`` over stored rows instead."""
+    src = _prepare_logins(logins).withWatermark("ts", delay)
+    return src.groupBy("user_id").transformWithStateInPandas(
+        FailPairProcessor(within_s, strict=True), WARNING_SCHEMA, "append", "EventTime")
+
+
 def fail_bursts_stream(logins: DataFrame, within_s: float = 2, min_fails: int = 2,
                        delay: str = "3 seconds") -> DataFrame:
     """Streaming D1."""
