@@ -148,3 +148,11 @@ def test_bad_log_line_fails(spark):
     df = spark.createDataFrame([("1.1.1.1 - - 17/05/2015:22:05:52",)], "value string")
     with pytest.raises(Exception):
         parse_access_log(df).collect()
+
+
+def test_report_field_order(spark):
+    from tidemark.plans import jobs
+    df = spark.createDataFrame([(3600, 1, "/a", 7), (3600, 2, "/b", 3)],
+                               "window_end long, rank int, url string, pv_count long")
+    rep = jobs.page_view_top_n_report(df).first().report
+    assert rep == "window end: 1970-01-01 01:00:00\nTop1: 7 /a\nTop2: 3 /b\n" + "-" * 32

@@ -189,7 +189,7 @@ def test_item_top_n_query_equals_batch(spark, scratch):
                         F.when(F.col("event_type") == "sentinel", "view").otherwise(F.col("event_type"))
                         .alias("behavior"), "ts")
     out = os.path.join(scratch, "top")
-    q = sjobs.item_top_n_query(beh, out, 5, 3600, 300, pv_behavior="view", name="t_top",
+    q = sjobs.item_top_n_query(beh, out, 5, 3600, 300, pv_behavior="view", name=f"t_top_{os.path.basename(scratch)}",
                                trigger={"availableNow": True})
     q.awaitTermination()
     got = sorted(tuple(r) for r in spark.read.parquet(out).drop("batch_id")
@@ -211,7 +211,7 @@ def test_page_view_top_n_refinement(spark, scratch):
     _write_chunks(src, chunks)
     log = parse_access_log(spark.readStream.option("maxFilesPerTrigger", 1).text(src))
     store, top = os.path.join(scratch, "store"), os.path.join(scratch, "top")
-    q = sjobs.page_view_top_n_query(log, store, top, 3, 600, 10, 1, 60, name="t_pv",
+    q = sjobs.page_view_top_n_query(log, store, top, 3, 600, 10, 1, 60, name=f"t_pv_{os.path.basename(scratch)}",
                                     trigger={"availableNow": True})
     q.awaitTermination()
     got = sorted((r.window_end, r.rank, r.url, r.pv_count) for r in spark.read.parquet(top).collect())

@@ -31,18 +31,20 @@ DEFAULT_BUCKET_SECONDS = 60
 DEFAULT_BUCKET_ROWS = 1 << 20
 
 
-def _order(order: str, bucket_seconds: int, bucket_rows: int):
+def _order(order: str, bucket_seconds: int, bucket_rows: int,
+           arrival: Sequence[str] = ("seq",)):
     if order == "event":
         return ["ts", "seq"], time_bucket("ts", bucket_seconds)
     if order == "arrival":
-        return ["seq"], number_bucket("seq", bucket_rows)
+        return list(arrival), number_bucket(arrival[0], bucket_rows)
     raise ValueError("order must be 'event' or 'arrival'")
 
 
 def match_sequence(df: DataFrame, keys: Sequence[str], predicates: Sequence[Column],
                    within_s: float, inclusive: bool = False, order: str = "event",
                    bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
-                   bucket_rows: int = DEFAULT_BUCKET_ROWS) -> DataFrame:
+                   bucket_rows: int = DEFAULT_BUCKET_ROWS,
+                   arrival: Sequence[str] = ("seq",)) -> DataFrame:
     """Rows ending a strict-contiguity match of ``predicates`` (p0 on the
     row k-1 places back, ..., p_{k-1} on this row) whose span from the
     first row is below ``within_s`` (or equal, with ``inclusive``).
@@ -53,7 +55,7 @@ def match_sequence(df: DataFrame, keys: Sequence[str], predicates: Sequence[Colu
     """
     if len(predicates) < 2:
         raise ValueError("a sequence needs at least two predicates")
-    order_cols, bucket = _order(order, bucket_seconds, bucket_rows)
+    order_cols, bucket = _order(order, bucket_seconds, bucket_rows, arrival)
     id_col = "user_id" if "user_id" in df.columns else None
     x = df.select("*", predicates[0].alias("_ok"), F.col("ts").alias("_first_ts"),
                   F.col("seq").alias("_first_seq"),
@@ -75,16 +77,18 @@ def match_sequence(df: DataFrame, keys: Sequence[str], predicates: Sequence[Colu
 
 def fail_pairs(logins: DataFrame, within_s: float = 2, max_fails: int = 2, order: str = "event",
                keys: Sequence[str] = ("user_id",), bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
-               bucket_rows: int = DEFAULT_BUCKET_ROWS) -> DataFrame:
+               bucket_rows: int = DEFAULT_BUCKET_ROWS,
+               arrival: Sequence[str] = ("seq",)) -> DataFrame:
     """Two consecutive failures of a user with last - first <= within.
 
-    ``order='arrival'`` follows input order (``seq``), where a failure that
-    arrives after a later one yields a negative span and also warns.
+    ``order='arrival'`` follows input order (``arrival`` columns, default
+    ``seq``; the first must be numeric), where a failure that arrives
+    after a later one yields a negative span and also warns.
     Returns user_id, first_fail_ts, last_fail_ts, warning_msg.
     """
     is_fail = F.col("state") == "fail"
     m = match_sequence(logins, keys, [is_fail, is_fail], within_s, inclusive=True, order=order,
-                       bucket_seconds=bucket_seconds, bucket_rows=bucket_rows)
+                       bucket_seconds=bucket_seconds, bucket_rows=bucket_rows, arrival=arrival)
     msg = PAIR_MESSAGE.format(max=max_fails, s=window_seconds_text(within_s))
     return m.select("user_id", F.col("first_ts").alias("first_fail_ts"),
                     F.col("ts").alias("last_fail_ts"), F.lit(msg).alias("warning_msg"))

@@ -25,8 +25,10 @@ def top_n_report(top: DataFrame, key: str, count: str, window: str = "window_end
                  rule: str = "-" * 32, tz: str = "UTC") -> DataFrame:
     """One text block per window: header with the end time, one line per
     rank, a dashed rule. Groups hold at most n rows (input is a top-n)."""
+    # Positional specifiers: the template may place the fields in any order.
     text = F.format_string(
-        line.format(rank="%d", key_label=key_label, key="%s", count_label=count_label, count="%d"),
+        line.format(rank="%1$d", key_label=key_label, key="%2$s", count_label=count_label,
+                    count="%3$d"),
         F.col(rank_name), F.col(key).cast("string"), F.col(count))
     end_text = F.date_format(F.from_utc_timestamp(F.timestamp_seconds(F.col(window)), tz),
                              "yyyy-MM-dd HH:mm:ss")

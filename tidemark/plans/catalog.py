@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import is_page_url
 from ..functions.time import epoch_micros, format_java_timestamp, format_local, next_midnight
-from ..operators import detect, late, windows
+from ..operators import detect, late, topn, windows
 from ..sources import tables
 from ..sources.text import parse_access_log
 from . import jobs
@@ -126,6 +126,15 @@ def fail_pair(spark, sf_dir):
     return _warn_cols(jobs.login_fail_pairs(tables.logins(_ev(spark, sf_dir)), DETECT_WITHIN_S))
 
 
+def fail_pair_arrival(spark, sf_dir):
+    """Pairs in arrival order (jittered arrival, then event_id), as a
+    consumer that does not sort by event time sees them."""
+    lg = tables.logins(_ev(spark, sf_dir))
+    lg = lg.withColumn("arrival", F.col("seq") + (F.col("seq") * 37) % 101)
+    return _warn_cols(detect.fail_pairs(lg, DETECT_WITHIN_S, order="arrival",
+                                        arrival=["arrival", "seq"]))
+
+
 def fail_seq_keyed(spark, sf_dir):
     return _warn_cols(jobs.login_fail_pattern(tables.logins(_ev(spark, sf_dir)), DETECT_WITHIN_S,
                                               keyed=True))
@@ -176,7 +185,6 @@ def url_top3_late(spark, sf_dir):
     routed = late.route_late(pages, HOUR, SLIDE, LATE_BOUND_S, LATE_LATENESS_S,
                              arrival=["arrival", "event_id"])
     counts = late.accepted_window_counts(routed, ["url"], HOUR, SLIDE, LATE_LATENESS_S)
-    from ..operators import topn
     return (topn.top_n_per_window(counts, TOP_URLS, key="url", count="pv_count")
             .select("window_start", "window_end", F.col("rank").cast("long").alias("rank"), "url",
                     "pv_count"))
@@ -184,6 +192,10 @@ def url_top3_late(spark, sf_dir):
 
 # --- access-log text ---------------------------------------------------------------------------
 
+def url_top3_report(spark, sf_dir):
+    return jobs.page_view_top_n_report(url_top3_late(spark, sf_dir))
+
+
 def _log_lines(spark, sf_dir):
     """Access-log lines rendered from events (time written at +08:00)."""
     ev = _ev(spark, sf_dir)
@@ -220,12 +232,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "click_cap_warn": click_cap_warn,
     "cap_then_sliding": cap_then_sliding,
     "fail_pair": fail_pair,
+    "fail_pair_arrival": fail_pair_arrival,
     "fail_seq_keyed": fail_seq_keyed,
     "fail_seq_global": fail_seq_global,
     "fail_burst": fail_burst,
     "late_rows": late_rows,
     "late_accepted_counts": late_accepted_counts,
     "url_top3_late": url_top3_late,
+    "url_top3_report": url_top3_report,
     "log_parse": log_parse,
     "asset_filter": asset_filter,
 }

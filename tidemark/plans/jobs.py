@@ -83,6 +83,12 @@ def page_view_top_n(log: DataFrame, n: int = 3, size_s: int = 600, slide_s: int
     return top, routed.filter(F.col("is_late")).drop("is_late")
 
 
+def page_view_top_n_report(top: DataFrame, tz: str = "UTC") -> DataFrame:
+    """Text block per window: 'TopN: <count> <url>' lines."""
+    return topn.top_n_report(top, key="url", count="pv_count", header="window end: ",
+                             line="Top{rank}: {count} {key}", tz=tz)
+
+
 def login_fail_bursts(logins: DataFrame, within_s: float = 2, min_fails: int = 2) -> DataFrame:
     return detect.fail_bursts(logins, within_s, min_fails)
 

@@ -118,15 +118,16 @@ SELECT user_id, f AS first_fail_us, l AS last_fail_us, CAST(n AS BIGINT) AS fail
 FROM emits"""
 
 
-def _lag_pairs(partition: str, inclusive: bool, msg: str, user: str) -> str:
+def _lag_pairs(partition: str, inclusive: bool, msg: str, user: str,
+               order: str = "ts, event_id") -> str:
     op = "<=" if inclusive else "<"
     part = f"PARTITION BY {partition} " if partition else ""
     return f"""
 WITH l AS (
   SELECT user_id, us, is_fail,
-         lag(is_fail) OVER ({part}ORDER BY ts, event_id) AS p_fail,
-         lag(us) OVER ({part}ORDER BY ts, event_id) AS p_us,
-         lag(user_id) OVER ({part}ORDER BY ts, event_id) AS p_user
+         lag(is_fail) OVER ({part}ORDER BY {order}) AS p_fail,
+         lag(us) OVER ({part}ORDER BY {order}) AS p_us,
+         lag(user_id) OVER ({part}ORDER BY {order}) AS p_user
   FROM ({LOGINS}) s)
 SELECT {user} AS user_id, p_us AS first_fail_us, us AS last_fail_us, '{msg}' AS warning_msg
 FROM l WHERE is_fail AND p_fail AND us - p_us {op} {W_US}"""
@@ -139,6 +140,19 @@ def _log_fields() -> str:
             f"{URL} AS url FROM events")
 
 
+URL_TOP = f"""
+WITH p AS (SELECT event_id, ts, {URL} AS url FROM events),
+a AS (SELECT url, epoch_us(ts) AS us,
+             max(epoch_us(ts)) OVER (ORDER BY event_id + (event_id * 37) % 101, event_id
+                                     ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+               - {LATE_BOUND_S * US} AS wm
+      FROM p WHERE NOT regexp_matches(url, '\\.(css|js)$')),
+c AS ({_accepted("url", "SELECT * FROM a")})
+SELECT window_start, window_end,
+       row_number() OVER (PARTITION BY window_end ORDER BY pv_count DESC, url) AS rank, url, pv_count
+FROM c QUALIFY rank <= {TOP_URLS}"""
+
+
 SQL: dict[str, str] = {
     "pv_hourly": _tumbling("event_type = 'view'", "count(*)", "pv_count"),
     "uv_hourly_exact": _tumbling("event_type = 'view'", "count(DISTINCT user_id)", "uv_count"),
@@ -168,22 +182,21 @@ FROM ({CAPPED}) c WHERE click_no = {CAP_MAX + 2}""",
                                  "province", "event_count"),
     "fail_pair": _lag_pairs("user_id", True,
                             f"warning: fail times more than 2 in {DETECT_WITHIN_S} seconds", "user_id"),
+    "fail_pair_arrival": _lag_pairs("user_id", True,
+                                    f"warning: fail times more than 2 in {DETECT_WITHIN_S} seconds",
+                                    "user_id", order="event_id + (event_id * 37) % 101, event_id"),
     "fail_seq_keyed": _lag_pairs("user_id", False, f"fail 2 times in {DETECT_WITHIN_S} seconds", "user_id"),
     "fail_seq_global": _lag_pairs("", False, f"fail 2 times in {DETECT_WITHIN_S} seconds", "p_user"),
     "fail_burst": BURST,
     "late_rows": f"SELECT event_id, us AS ts_us, wm AS watermark_us FROM ({ARRIVALS}) a WHERE {LATE_COND}",
     "late_accepted_counts": _accepted("", ARRIVALS),
-    "url_top3_late": f"""
-WITH p AS (SELECT event_id, ts, {URL} AS url FROM events),
-a AS (SELECT url, epoch_us(ts) AS us,
-             max(epoch_us(ts)) OVER (ORDER BY event_id + (event_id * 37) % 101, event_id
-                                     ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
-               - {LATE_BOUND_S * US} AS wm
-      FROM p WHERE NOT regexp_matches(url, '\\.(css|js)$')),
-c AS ({_accepted("url", "SELECT * FROM a")})
-SELECT window_start, window_end,
-       row_number() OVER (PARTITION BY window_end ORDER BY pv_count DESC, url) AS rank, url, pv_count
-FROM c QUALIFY rank <= {TOP_URLS}""",
+    "url_top3_late": URL_TOP,
+    "url_top3_report": f"""
+SELECT window_end,
+       'window end: ' || strftime(make_timestamp(window_end * {US}), '%Y-%m-%d %H:%M:%S') || chr(10)
+       || string_agg(format('Top{{}}: {{}} {{}}', rank, pv_count, url), chr(10) ORDER BY rank)
+       || chr(10) || '{"-" * 32}' AS report
+FROM ({URL_TOP}) t GROUP BY window_end""",
     "log_parse": _log_fields(),
     "asset_filter": f"SELECT event_id, url FROM (SELECT event_id, {URL} AS url FROM events) u "
                     "WHERE NOT regexp_matches(url, '\\.(css|js)$')",
