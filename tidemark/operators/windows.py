@@ -2,11 +2,12 @@
 
 * Tumbling windows are a projection (``window(ts, size)``): no fan-out.
 * Sliding windows are computed with panes: rows are first counted per
-  slide-wide pane (map-side partial aggregation), and only the pane
-  counts are fanned out to the ``size/slide`` windows that contain them.
-  The fan-out is local: pane rows are co-located by (keys, block of
-  window ends), so one hot key is still spread over its time range and
-  the final sum needs no further exchange.
+  slide-wide pane (map-side partial aggregation); window counts are then
+  running sums over the panes (a difference array per block of window
+  ends), so the work is proportional to panes plus output windows, not to
+  rows times ``size/slide``. Pane rows are co-located by (keys, block of
+  window ends): one hot key is still spread over its time range and
+  nothing after that repartition needs another exchange.
 
 Window ends leave as BIGINT epoch seconds (``window_end``) and
 ``window_start``; a window is ``[start, end)`` aligned to the epoch, so a
@@ -17,7 +18,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.time import MICROS_PER_SECOND, col_, epoch_micros, epoch_seconds, floor_div
@@ -82,25 +83,35 @@ def sliding_from_panes(panes: DataFrame, keys: Sequence[str], pane_start: str, p
 
 def _fan_out(panes: DataFrame, keys: Sequence[str], k: int, slide_s: int, size_s: int,
              count_name: str) -> DataFrame:
-    """panes(keys, _p, _f, _n) -> per-window sums of _n over ends _f.._p+k."""
+    """panes(keys, _p, _f, _n) -> per-window sums of _n over ends _f.._p+k.
+
+    Window ends are grouped in blocks of k consecutive ends; a pane feeds at
+    most two blocks, so pane rows are co-located by (keys, block) with one
+    repartition and everything after it runs without another exchange.
+    Inside a block the count of end e is a running sum of a difference
+    array (+n where a pane's first end falls, -n after its last), so work
+    is one row per pane plus one row per non-empty window - never k rows
+    per pane - and a hot key is spread over its blocks.
+    """
     last = F.col("_p") + k
-    if k == 1:
-        ends = panes.select(*keys, F.col("_p").alias("_e"), "_n").withColumn("_e", F.col("_e") + 1)
-        out = ends.groupBy(*keys, "_e").agg(F.sum("_n").alias(count_name))
-    else:
-        # End indices e of one block b are [b*k, b*k + k - 1]; a pane feeds at
-        # most two blocks. Co-locate each block's panes, then expand locally.
-        blocks = F.array_distinct(F.array(floor_div(F.col("_f"), k), floor_div(last, k)))
-        staged = (panes.withColumn("_b", F.explode(blocks))
-                  .repartition(*keys, "_b"))
-        lo = F.greatest(F.col("_f"), F.col("_b") * k)
-        hi = F.least(last, F.col("_b") * k + (k - 1))
-        ends = (staged.filter(lo <= hi)
-                .withColumn("_e", F.explode(F.sequence(lo, hi))))
-        out = ends.groupBy(*keys, "_b", "_e").agg(F.sum("_n").alias(count_name))
-    return out.select((F.col("_e") * slide_s - size_s).alias("window_start"),
-                      (F.col("_e") * slide_s).alias("window_end"),
-                      *keys, F.col(count_name).cast("long").alias(count_name))
+    blocks = F.array_distinct(F.array(floor_div(F.col("_f"), k), floor_div(last, k)))
+    staged = panes.withColumn("_b", F.explode(blocks)).repartition(*keys, "_b")
+    lo = F.greatest(F.col("_f"), F.col("_b") * k)
+    hi = F.least(last, F.col("_b") * k + (k - 1))
+    steps = F.array(F.struct(lo.alias("pos"), F.col("_n").alias("d")),
+                    F.struct((hi + 1).alias("pos"), (-F.col("_n")).alias("d")))
+    deltas = (staged.filter(lo <= hi)
+              .select(*keys, "_b", F.explode(steps).alias("x"))
+              .groupBy(*keys, "_b", F.col("x.pos").alias("pos")).agg(F.sum("x.d").alias("d")))
+    w = Window.partitionBy(*keys, "_b").orderBy("pos")
+    runs = deltas.select(*keys, "pos", F.sum("d").over(w.rowsBetween(Window.unboundedPreceding, 0))
+                         .alias("_c"), F.lead("pos").over(w).alias("_next"))
+    # every +n is matched by a later -n inside the block: a positive run has a next step
+    ends = (runs.filter(F.col("_c") > 0)
+            .select(*keys, "_c", F.explode(F.sequence(F.col("pos"), F.col("_next") - 1)).alias("_e")))
+    return ends.select((F.col("_e") * slide_s - size_s).alias("window_start"),
+                       (F.col("_e") * slide_s).alias("window_end"),
+                       *keys, F.col("_c").cast("long").alias(count_name))
 
 
 def sliding_count_direct(df: DataFrame, ts: str, keys: Sequence[str], size_s: int, slide_s: int,

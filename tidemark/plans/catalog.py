@@ -90,6 +90,15 @@ def type_count_sliding(spark, sf_dir):
                                exclude="signup").withColumnRenamed("count", "event_count")
 
 
+FINE_SLIDE = 5               # 1 h / 5 s: 720 windows per row
+
+
+def type_count_fine(spark, sf_dir):
+    """Very fine sliding windows (1 h / 5 s) by event type over all rows."""
+    ev = _ev(spark, sf_dir)
+    return windows.sliding_count(ev, "ts", ["event_type"], HOUR, FINE_SLIDE, count_name="event_count")
+
+
 def _capped(spark, sf_dir):
     ev = _ev(spark, sf_dir)
     clicks = ev.select("user_id", F.col("event_type").alias("ad_id"),
@@ -228,6 +237,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "item_top5_sliding": item_top5_sliding,
     "item_top5_report": item_top5_report,
     "type_count_sliding": type_count_sliding,
+    "type_count_fine": type_count_fine,
     "click_cap_pass": click_cap_pass,
     "click_cap_warn": click_cap_warn,
     "cap_then_sliding": cap_then_sliding,

@@ -6,7 +6,7 @@ window functions, a recursive fold), not from the Spark plans.
 
 from __future__ import annotations
 
-from .catalog import (BURST_MIN_FAILS, CAP_MAX, DETECT_WITHIN_S, HOUR, LATE_BOUND_S,
+from .catalog import (BURST_MIN_FAILS, CAP_MAX, DETECT_WITHIN_S, FINE_SLIDE, HOUR, LATE_BOUND_S,
                       LATE_LATENESS_S, METHODS, SLIDE, TOP_ITEMS, TOP_URLS, URL_SUFFIXES)
 
 US = 1_000_000
@@ -36,12 +36,13 @@ FROM events WHERE {where}
 GROUP BY 1, 2"""
 
 
-def _sliding(source: str, keys: str, name: str) -> str:
+def _sliding(source: str, keys: str, name: str, slide: int = SLIDE) -> str:
     """``source`` yields (keys..., us); one output row per (window, keys)."""
     ksel = f"{keys}, " if keys else ""
+    slide_us, nwin = slide * US, HOUR // slide
     return f"""
-SELECT e * {SLIDE} - {HOUR} AS window_start, e * {SLIDE} AS window_end, {ksel}count(*) AS {name}
-FROM (SELECT {ksel}unnest(range(us // {SLIDE_US} + 1, us // {SLIDE_US} + {NWIN + 1})) AS e
+SELECT e * {slide} - {HOUR} AS window_start, e * {slide} AS window_end, {ksel}count(*) AS {name}
+FROM (SELECT {ksel}unnest(range(us // {slide_us} + 1, us // {slide_us} + {nwin + 1})) AS e
       FROM ({source}) s) x
 GROUP BY ALL"""
 
@@ -174,6 +175,8 @@ FROM ({ITEM_TOP}) t GROUP BY window_end""",
     "type_count_sliding": _sliding(
         f"SELECT {K} % 5 AS channel, event_type AS behavior, epoch_us(ts) AS us "
         "FROM events WHERE event_type <> 'signup'", "channel, behavior", "event_count"),
+    "type_count_fine": _sliding("SELECT event_type, epoch_us(ts) AS us FROM events", "event_type",
+                                "event_count", slide=FINE_SLIDE),
     "click_cap_pass": f"SELECT event_id, user_id, event_type FROM ({CAPPED}) c WHERE click_no <= {CAP_MAX + 1}",
     "click_cap_warn": f"""
 SELECT user_id, event_type, us AS ts_us, ' warning: flush click and more than {CAP_MAX}' AS msg
