@@ -241,3 +241,26 @@ def test_fail_sequences_stream_strict(spark, scratch):
     got = [(r.user_id, r.first_fail_us // 10**6 - base, r.last_fail_us // 10**6 - base, r.warning_msg)
            for r in spark.read.parquet(out).collect()]
     assert got == [(2, 0, 1, "fail 2 times in 2 seconds")]
+
+
+def test_fan_out_and_job_queries(spark, scratch):
+    from tidemark.streaming import jobs as sjobs
+    stream, ev = _events_stream(spark, scratch)
+    beh = stream.select("user_id", F.col("event_type").alias("behavior"), "ts")
+    tag = os.path.basename(scratch)
+    pv_out, uv_out = os.path.join(scratch, "pv"), os.path.join(scratch, "uv")
+    q1 = sjobs.page_view_count_query(beh.filter("behavior in ('view', 'sentinel')")
+                                     .withColumn("behavior", F.lit("pv")), pv_out,
+                                     name=f"t_pv_{tag}", trigger={"availableNow": True})
+    q1.awaitTermination()
+    q2 = sjobs.unique_visitor_query(beh, uv_out, pv_behavior="view", name=f"t_uv_{tag}",
+                                    trigger={"availableNow": True})
+    q2.awaitTermination()
+    pv = spark.read.parquet(pv_out).filter("window_end < 3000000000").agg(F.sum("pv_count")).first()[0]
+    assert pv == ev.filter("event_type = 'view'").count()
+    assert spark.read.parquet(uv_out).count() > 0
+
+    seen = []
+    fan = sinks.fan_out(lambda df, i: seen.append(("a", df.count())), lambda df, i: seen.append(("b", df.count())))
+    fan(ev, 0)
+    assert seen == [("a", ev.count()), ("b", ev.count())]

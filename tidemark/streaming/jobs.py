@@ -98,3 +98,50 @@ def channel_pane_query(events: DataFrame, pane_root: str, slide_s: int = 5,
     kept = events.filter(F.col("behavior") != exclude)
     panes = swin.pane_counts(kept, "ts", ["channel", "behavior"], slide_s, delay)
     return start(panes, sinks.write_batch(pane_root), name, "append", trigger)
+
+
+def page_view_count_query(behaviors: DataFrame, out_root: str, size_s: int = 3600,
+                          pv_behavior: str = "pv", delay: str = "0 seconds",
+                          name: str = "page_view_count", trigger: dict | None = None) -> StreamingQuery:
+    """Page views per tumbling window (append: one row per closed window)."""
+    views = behaviors.filter(F.col("behavior") == pv_behavior)
+    counts = swin.window_counts(views, "ts", [], size_s, None, delay, "pv_count")
+    return start(counts, sinks.write_batch(out_root), name, "append", trigger)
+
+
+def unique_visitor_query(behaviors: DataFrame, out_root: str, size_s: int = 3600,
+                         pv_behavior: str = "pv", delay: str = "0 seconds",
+                         name: str = "unique_visitors", trigger: dict | None = None) -> StreamingQuery:
+    """Exact visitors per tumbling window (chained aggregation, append)."""
+    views = behaviors.filter(F.col("behavior") == pv_behavior)
+    uv = swin.distinct_counts(views, "ts", "user_id", size_s, delay=delay)
+    return start(uv, sinks.write_batch(out_root), name, "append", trigger)
+
+
+def unique_visitor_bitmap_query(behaviors: DataFrame, store_root: str, size_s: int = 3600,
+                                pv_behavior: str = "pv", delay: str = "0 seconds",
+                                name: str = "unique_visitors_bitmap",
+                                trigger: dict | None = None) -> StreamingQuery:
+    """Hashed-bitmap visitors, refreshed on every micro-batch (update mode):
+    the chunks touched by a batch are upserted into ``store_root``, keyed by
+    (window_end, bucket); visitors so far = ``sum(bits)`` per window_end."""
+    views = behaviors.filter(F.col("behavior") == pv_behavior)
+    chunks = swin.bitmap_buckets(views, "ts", "user_id", size_s, delay)
+    return start(chunks, sinks.upsert_partitions(store_root, ["bucket"], "window_end"), name,
+                 "update", trigger)
+
+
+def login_warning_query(logins: DataFrame, out_root: str, kind: str = "pair", within_s: float = 2,
+                        threshold: int = 2, delay: str = "3 seconds", name: str | None = None,
+                        trigger: dict | None = None) -> StreamingQuery:
+    """Login-failure warnings on a stream: ``kind`` = 'pair', 'sequence'
+    (keyed) or 'burst'."""
+    if kind == "pair":
+        out = stateful.fail_pairs_stream(logins, within_s, threshold, delay)
+    elif kind == "sequence":
+        out = stateful.fail_sequences_stream(logins, within_s, delay)
+    elif kind == "burst":
+        out = stateful.fail_bursts_stream(logins, within_s, threshold, delay)
+    else:
+        raise ValueError(kind)
+    return start(out, sinks.write_batch(out_root), name or f"login_{kind}", "append", trigger)
