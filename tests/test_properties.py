@@ -92,3 +92,12 @@ def test_click_cap_conserves_rows(spark):
     groups = clicks.groupBy("user_id", "ad_id", F.to_date("ts")).count()
     assert n_pass == groups.count()                       # max 0: one pass per group
     assert n_warn == groups.filter("count >= 2").count()  # and one warning where a second exists
+
+
+def test_with_neighbors_null_keys(spark):
+    df = spark.createDataFrame([(None, 1, 10), (None, 2, 20), (5, 3, 30), (None, 90000, 40)],
+                               "user_id long, s long, v long").withColumn("ts", F.timestamp_seconds("s")) \
+        .withColumn("seq", F.col("s"))
+    got = with_neighbors(df, ["user_id"], ["ts", "seq"], time_bucket("ts", 60), lag=["v"])
+    rows = sorted((r.s, r.prev_v) for r in got.collect())
+    assert rows == [(1, None), (2, 10), (3, None), (90000, 20)]

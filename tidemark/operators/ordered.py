@@ -29,6 +29,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.time import MICROS_PER_SECOND, epoch_micros, floor_div
 
@@ -43,13 +44,33 @@ def number_bucket(col: str, bucket_rows: int) -> Column:
     return floor_div(F.col(col).cast("long"), bucket_rows)
 
 
+def _filler(dtype: T.DataType) -> Column:
+    if isinstance(dtype, T.StringType):
+        return F.lit("")
+    if isinstance(dtype, T.BooleanType):
+        return F.lit(False)
+    if isinstance(dtype, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+        return F.lit(0).cast("timestamp").cast(dtype)
+    if isinstance(dtype, T.NumericType):
+        return F.lit(0).cast(dtype)
+    raise TypeError(f"with_neighbors keys must be atomic, got {dtype.simpleString()}")
+
+
 def with_neighbors(df: DataFrame, keys: Sequence[str], order: Sequence[str], bucket: Column,
                    lag: Sequence[str] = (), lead: Sequence[str] = (), ffill: Sequence[str] = (),
                    prior_max: Sequence[str] = ()) -> DataFrame:
     keys, order = list(keys), list(order)
-    part = keys + ["_bkt"]
+    # Null-free key columns (is-null flag + filled value): the windows and
+    # the edge join then use the very same plain columns, so the join reuses
+    # the windows' partitioning instead of re-shuffling the input for a
+    # null-safe join.
+    kcols = []
+    for i, c in enumerate(keys):
+        kcols += [F.col(c).isNull().alias(f"_kn{i}"),
+                  F.coalesce(F.col(c), _filler(df.schema[c].dataType)).alias(f"_kv{i}")]
+    part = [f"_kn{i}" for i in range(len(keys))] + [f"_kv{i}" for i in range(len(keys))] + ["_bkt"]
     w = Window.partitionBy(*part).orderBy(*order)
-    x = df.select("*", bucket.alias("_bkt"))
+    x = df.select("*", *kcols, bucket.alias("_bkt"))
     inner = [F.lag(c).over(w).alias(f"prev_{c}") for c in lag]
     inner += [F.lead(c).over(w).alias(f"next_{c}") for c in lead]
     inner += [F.last(c, ignorenulls=True).over(w.rowsBetween(_UNB, 0)).alias(f"ffill_{c}")
@@ -75,7 +96,8 @@ def with_neighbors(df: DataFrame, keys: Sequence[str], order: Sequence[str], buc
     aggs += [F.max(c).alias(f"_bmax_{c}") for c in prior_max]
     summary = x.groupBy(*part).agg(*aggs)
 
-    w2 = Window.partitionBy(*keys).orderBy("_bkt") if keys else Window.orderBy("_bkt")
+    kpart = part[:-1]
+    w2 = Window.partitionBy(*kpart).orderBy("_bkt") if kpart else Window.orderBy("_bkt")
     before = w2.rowsBetween(_UNB, -1)
     sel = [F.col(c).alias(f"_s_{c}") for c in part]
     if lag:
@@ -86,7 +108,7 @@ def with_neighbors(df: DataFrame, keys: Sequence[str], order: Sequence[str], buc
     sel += [F.max(f"_bmax_{c}").over(before).alias(f"_pm_{c}") for c in prior_max]
     edges = summary.select(*sel).repartition(*[f"_s_{c}" for c in part])
 
-    cond = [main[c].eqNullSafe(edges[f"_s_{c}"]) for c in part]
+    cond = [main[c] == edges[f"_s_{c}"] for c in part]
     y = main.join(edges, on=cond, how="inner")
     fixed = {}
     for c in lag:
