@@ -156,3 +156,19 @@ def test_report_field_order(spark):
                                "window_end long, rank int, url string, pv_count long")
     rep = jobs.page_view_top_n_report(df).first().report
     assert rep == "window end: 1970-01-01 01:00:00\nTop1: 7 /a\nTop2: 3 /b\n" + "-" * 32
+
+
+@pytest.mark.parametrize("rows", [
+    [(1, "fail", 0), (1, "fail", 1), (1, "fail", 2), (1, "fail", 2.5)],
+    [(1, "fail", 0), (1, "fail", 1), (1, "success", 2)],
+    [(1, "fail", 0), (1, "fail", 1), (1, "success", 2.5)],
+    [(1, "fail", t * 0.7) for t in range(40)] + [(1, "success", 28.5), (2, "fail", 3), (2, "fail", 4)],
+    [(1, "fail", t * 0.6) for t in range(30)] + [(1, "fail", 40 + t) for t in range(9)],
+])
+def test_burst_long_run_path_equals_fold(spark, rows):
+    df = logins(spark, rows)
+    fold = detect.fail_bursts(df, 2, 2)
+    doubling = detect.fail_bursts(df, 2, 2, long_run_rows=1)
+    cols = ["user_id", "first_fail_ts", "last_fail_ts", "fail_count"]
+    assert sorted(tuple(r) for r in fold.select(*cols).collect()) == \
+        sorted(tuple(r) for r in doubling.select(*cols).collect())

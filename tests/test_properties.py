@@ -101,3 +101,14 @@ def test_with_neighbors_null_keys(spark):
     got = with_neighbors(df, ["user_id"], ["ts", "seq"], time_bucket("ts", 60), lag=["v"])
     rows = sorted((r.s, r.prev_v) for r in got.collect())
     assert rows == [(1, None), (2, 10), (3, None), (90000, 20)]
+
+
+def test_with_neighbors_bfill_and_count(spark):
+    df = _random_history(spark)
+    got = with_neighbors(df, ["user_id"], ["ts", "seq"], time_bucket("ts", 600), bfill=["v"],
+                         prior_count="rank")
+    w = Window.partitionBy("user_id").orderBy("ts", "seq")
+    exp = df.select("user_id", "seq",
+                    F.first("v", True).over(w.rowsBetween(0, Window.unboundedFollowing)).alias("bfill_v"),
+                    (F.row_number().over(w) - 1).cast("long").alias("rank"))
+    assert _rows(got.select("user_id", "seq", "bfill_v", "rank")) == _rows(exp)

@@ -21,6 +21,8 @@ Outputs, per requested column ``c``:
 * ``next_c``  - value on the next row of the same key (lead)
 * ``ffill_c`` - last non-null value at or before this row
 * ``pmax_c``  - maximum over all earlier rows of the same key
+* ``bfill_c`` - first non-null value at or after this row
+* ``prior_count`` (name given) - number of earlier rows of the same key
 """
 
 from __future__ import annotations
@@ -34,6 +36,7 @@ from pyspark.sql import types as T
 from ..functions.time import MICROS_PER_SECOND, epoch_micros, floor_div
 
 _UNB = Window.unboundedPreceding
+_UNF = Window.unboundedFollowing
 
 
 def time_bucket(ts: str, bucket_seconds: int) -> Column:
@@ -58,7 +61,8 @@ def _filler(dtype: T.DataType) -> Column:
 
 def with_neighbors(df: DataFrame, keys: Sequence[str], order: Sequence[str], bucket: Column,
                    lag: Sequence[str] = (), lead: Sequence[str] = (), ffill: Sequence[str] = (),
-                   prior_max: Sequence[str] = ()) -> DataFrame:
+                   prior_max: Sequence[str] = (), bfill: Sequence[str] = (),
+                   prior_count: str | None = None) -> DataFrame:
     keys, order = list(keys), list(order)
     # Null-free key columns (is-null flag + filled value): the windows and
     # the edge join then use the very same plain columns, so the join reuses
@@ -76,6 +80,10 @@ def with_neighbors(df: DataFrame, keys: Sequence[str], order: Sequence[str], buc
     inner += [F.last(c, ignorenulls=True).over(w.rowsBetween(_UNB, 0)).alias(f"ffill_{c}")
               for c in ffill]
     inner += [F.max(c).over(w.rowsBetween(_UNB, -1)).alias(f"pmax_{c}") for c in prior_max]
+    inner += [F.first(c, ignorenulls=True).over(w.rowsBetween(0, _UNF)).alias(f"bfill_{c}")
+              for c in bfill]
+    if prior_count:
+        inner.append((F.row_number().over(w) - 1).cast("long").alias(prior_count))
     if lag:
         inner.append(F.lag(F.lit(1)).over(w).isNull().alias("_is_first"))
     if lead:
@@ -94,6 +102,10 @@ def with_neighbors(df: DataFrame, keys: Sequence[str], order: Sequence[str], buc
     aggs += [F.max_by(F.col(c), F.when(F.col(c).isNotNull(), ordkey)).alias(f"_lnn_{c}")
              for c in ffill]
     aggs += [F.max(c).alias(f"_bmax_{c}") for c in prior_max]
+    aggs += [F.min_by(F.col(c), F.when(F.col(c).isNotNull(), ordkey)).alias(f"_fnn_{c}")
+             for c in bfill]
+    if prior_count:
+        aggs.append(F.count(F.lit(1)).alias("_cnt"))
     summary = x.groupBy(*part).agg(*aggs)
 
     kpart = part[:-1]
@@ -106,6 +118,10 @@ def with_neighbors(df: DataFrame, keys: Sequence[str], order: Sequence[str], buc
         sel.append(F.lead("_head").over(w2).alias("_next_head"))
     sel += [F.last(f"_lnn_{c}", ignorenulls=True).over(before).alias(f"_pf_{c}") for c in ffill]
     sel += [F.max(f"_bmax_{c}").over(before).alias(f"_pm_{c}") for c in prior_max]
+    sel += [F.first(f"_fnn_{c}", ignorenulls=True).over(w2.rowsBetween(1, _UNF)).alias(f"_pb_{c}")
+            for c in bfill]
+    if prior_count:
+        sel.append(F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_pc"))
     edges = summary.select(*sel).repartition(*[f"_s_{c}" for c in part])
 
     cond = [main[c] == edges[f"_s_{c}"] for c in part]
@@ -121,5 +137,9 @@ def with_neighbors(df: DataFrame, keys: Sequence[str], order: Sequence[str], buc
         fixed[f"ffill_{c}"] = F.coalesce(F.col(f"ffill_{c}"), F.col(f"_pf_{c}"))
     for c in prior_max:
         fixed[f"pmax_{c}"] = F.greatest(F.col(f"pmax_{c}"), F.col(f"_pm_{c}"))
+    for c in bfill:
+        fixed[f"bfill_{c}"] = F.coalesce(F.col(f"bfill_{c}"), F.col(f"_pb_{c}"))
+    if prior_count:
+        fixed[prior_count] = (F.col(prior_count) + F.col("_pc")).cast("long")
     out = list(df.columns) + list(fixed)
     return y.select(*[fixed[c].alias(c) if c in fixed else F.col(c) for c in out])
