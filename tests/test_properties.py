@@ -112,3 +112,28 @@ def test_with_neighbors_bfill_and_count(spark):
                     F.first("v", True).over(w.rowsBetween(0, Window.unboundedFollowing)).alias("bfill_v"),
                     (F.row_number().over(w) - 1).cast("long").alias("rank"))
     assert _rows(got.select("user_id", "seq", "bfill_v", "rank")) == _rows(exp)
+
+
+def test_hot_key_is_spread(spark):
+    """One user with 40% of the rows is spread over many partitions (a
+    per-user window would hold all of them in one task)."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        df = _random_history(spark, n=6000)
+        got = with_neighbors(df, ["user_id"], ["ts", "seq"], time_bucket("ts", 60), lag=["v"])
+        hot = got.filter("user_id = 0").groupBy(F.spark_partition_id().alias("p")).count().collect()
+        total = sum(r["count"] for r in hot)
+        assert len(hot) >= 6 and max(r["count"] for r in hot) < 0.3 * total
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
+def test_sliding_hot_key_is_spread(spark):
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        df = _random_history(spark, n=6000)
+        out = windows.sliding_count(df, "ts", ["user_id"], 3600, 300, "n").filter("user_id = 0")
+        parts = out.groupBy(F.spark_partition_id().alias("p")).count().collect()
+        assert len(parts) >= 4
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
