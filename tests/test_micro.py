@@ -172,3 +172,26 @@ def test_burst_long_run_path_equals_fold(spark, rows):
     cols = ["user_id", "first_fail_ts", "last_fail_ts", "fail_count"]
     assert sorted(tuple(r) for r in fold.select(*cols).collect()) == \
         sorted(tuple(r) for r in doubling.select(*cols).collect())
+
+
+def test_partial_trim(spark, scratch):
+    p = f"{scratch}/ub.csv"
+    with open(p, "w") as f:
+        f.write(" 1, 2 ,3, pv ,1511658000\n")
+    df = read_delimited(spark, p, schemas.USER_BEHAVIOR,
+                        trim=["user_id", "item_id", "category_id", "ts_s"]).first()
+    assert (df.user_id, df.item_id, df.category_id, df.behavior) == (1, 2, 3, " pv ")
+    with open(p, "w") as f:
+        f.write("x,2,3,pv,1511658000\n")
+    with pytest.raises(Exception):
+        read_delimited(spark, p, schemas.USER_BEHAVIOR, trim=["user_id", "ts_s"]).collect()
+
+
+def test_parse_delimited_lines(spark):
+    from tidemark.sources.text import parse_delimited
+    lines = spark.createDataFrame([("543462,1715,beijing,beijing,1511658000",)], "value string")
+    r = parse_delimited(lines, schemas.AD_CLICK).first()
+    assert (r.user_id, r.ad_id, r.province, int(r.ts.timestamp())) == (543462, 1715, "beijing", 1511658000)
+    bad = spark.createDataFrame([("543462,1715,beijing",)], "value string")
+    with pytest.raises(Exception):
+        parse_delimited(bad, schemas.AD_CLICK).collect()

@@ -6,6 +6,8 @@ in ``FAILFAST`` mode and a log line with too few fields raises.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -14,21 +16,59 @@ from ..functions.time import millis_to_ts, seconds_to_ts
 
 
 def read_delimited(spark: SparkSession, path: str, schema: T.StructType, sep: str = ",",
-                   trim: bool = True, time_col: str | None = "ts_s", time_unit: str = "s",
-                   with_seq: bool = True) -> DataFrame:
+                   trim: bool | list[str] = True, time_col: str | None = "ts_s",
+                   time_unit: str = "s", with_seq: bool = True) -> DataFrame:
     """Headerless delimited text -> typed records (+ ``ts`` instant).
 
-    ``trim`` strips blanks around fields (the numeric fields of the
-    behaviour log carry them). ``seq`` is the line order of the input
-    (increasing across the partitions of an ordered file list), used as
-    the arrival order and the tie-breaker of equal event times.
+    ``trim`` strips blanks around all fields (``True``), none, or only the
+    named ones (e.g. the numbers of the behaviour log, keeping blanks in
+    its text field): those are read as text, trimmed and cast, and a
+    value that does not convert fails the job. ``seq`` is the line order of
+    the input (increasing across the partitions of an ordered file list),
+    used as the arrival order and the tie-breaker of equal event times.
     """
-    df = (spark.read.schema(schema).option("sep", sep).option("mode", "FAILFAST")
-          .option("ignoreLeadingWhiteSpace", trim).option("ignoreTrailingWhiteSpace", trim)
-          .csv(path))
+    if isinstance(trim, (list, tuple)):
+        text_schema = T.StructType([T.StructField(f.name, T.StringType()) if f.name in trim else f
+                                    for f in schema.fields])
+        raw = (spark.read.schema(text_schema).option("sep", sep).option("mode", "FAILFAST")
+               .csv(path))
+        df = raw.select(*[_strict_cast(F.trim(F.col(f.name)), f) if f.name in trim else F.col(f.name)
+                          for f in schema.fields])
+    else:
+        df = (spark.read.schema(schema).option("sep", sep).option("mode", "FAILFAST")
+              .option("ignoreLeadingWhiteSpace", trim).option("ignoreTrailingWhiteSpace", trim)
+              .csv(path))
     return _typed(df, time_col, time_unit, with_seq)
 
 
+def _strict_cast(c, field: T.StructField):
+    """Cast that raises on bad text whatever the ANSI setting."""
+    if isinstance(field.dataType, T.StringType):
+        return c.alias(field.name)
+    cast = c.try_cast(field.dataType)
+    return F.when(c.isNotNull() & cast.isNull(),
+                  F.raise_error(F.concat(F.lit(f"bad value for {field.name}: "), c))) \
+        .otherwise(cast).cast(field.dataType).alias(field.name)
+
+
+def parse_delimited(lines: DataFrame, schema: T.StructType, sep: str = ",",
+                    trim: bool | list[str] = True, value: str = "value",
+                    time_col: str | None = "ts_s", time_unit: str = "s") -> DataFrame:
+    """Delimited text lines (e.g. message values from ``read_kafka_stream`` or
+    ``read_socket_stream``) -> typed records. Too few fields or a value
+    that does not convert fails the job."""
+    trimmed = [f.name for f in schema.fields] if trim is True else list(trim or [])
+    parts = F.split(F.col(value), re.escape(sep))
+    checked = F.when(F.size(parts) < len(schema.fields),
+                     F.raise_error(F.concat(F.lit("malformed line: "), F.col(value)))).otherwise(parts)
+    cols = []
+    for i, f in enumerate(schema.fields):
+        raw = checked[i]
+        raw = F.trim(raw) if f.name in trimmed else raw
+        cols.append(_strict_cast(raw, f))
+    return _typed(lines.select(*cols), time_col, time_unit, with_seq=False)
+
+
 def read_delimited_stream(spark: SparkSession, path: str, schema: T.StructType, sep: str = ",",
                           trim: bool = True, time_col: str | None = "ts_s", time_unit: str = "s",
                           max_files_per_trigger: int | None = None) -> DataFrame:
