@@ -183,13 +183,20 @@ def fail_bursts(logins: DataFrame, within_s: float = 2, min_fails: int = 2,
                           end_success.alias("_end_success_us")).checkpoint(eager=True))
     runs = with_neighbors(fails, ["user_id"], ["ts", "seq"], bucket, ffill=["_start"])
     runs = runs.select("user_id", "seq", "ts", us.alias("_us"), F.col("ffill__start").alias("_run"),
-                       "_end_success_us").checkpoint(eager=True)
-
-    sizes = runs.groupBy("user_id", "_run").agg(F.count(F.lit(1)).alias("_len"))
-    long_keys = sizes.filter(F.col("_len") > long_run_rows)
-    longest = long_keys.agg(F.max("_len")).first()[0]
-    short = runs if longest is None else runs.join(long_keys.select("user_id", "_run"),
-                                                    ["user_id", "_run"], "left_anti")
+                       "_end_success_us")
+
+    # A user's failure count bounds each of its runs: when no user has more
+    # than long_run_rows failures (one small aggregate), every run is short.
+    most = fails.groupBy("user_id").count().agg(F.max("count")).first()[0]
+    longest = None
+    short = runs
+    if most is not None and most > long_run_rows:
+        runs = runs.checkpoint(eager=True)
+        sizes = runs.groupBy("user_id", "_run").agg(F.count(F.lit(1)).alias("_len"))
+        long_keys = sizes.filter(F.col("_len") > long_run_rows)
+        longest = long_keys.agg(F.max("_len")).first()[0]
+        if longest is not None:
+            short = runs.join(long_keys.select("user_id", "_run"), ["user_id", "_run"], "left_anti")
     groups = (short.groupBy("user_id", "_run")
               .agg(F.array_sort(F.collect_list(F.struct("_us", "seq"))).alias("_rows"),
                    F.max("_end_success_us").alias("_cancel_us"))
