@@ -85,12 +85,14 @@ def with_neighbors(df: DataFrame, keys: Sequence[str], order: Sequence[str], buc
                    lag: Sequence[str] = (), lead: Sequence[str] = (), ffill: Sequence[str] = (),
                    prior_max: Sequence[str] = (), bfill: Sequence[str] = (),
                    prior_count: str | None = None,
-                   max_key_rows: int | None = HOT_KEY_ROWS) -> DataFrame:
+                   max_key_rows: int | str | None = "auto") -> DataFrame:
     """Dispatch: keys estimated to be hot (see ``hot_keys``) take the
     bucketed path, all other keys one plain window per key.
-    ``max_key_rows=None`` buckets every key; no keys (one global order)
-    always buckets."""
+    ``max_key_rows="auto"`` uses ``HOT_KEY_ROWS`` (read at call time),
+    ``None`` buckets every key; no keys (one global order) always buckets."""
     keys = list(keys)
+    if max_key_rows == "auto":
+        max_key_rows = HOT_KEY_ROWS
     spec = dict(lag=lag, lead=lead, ffill=ffill, prior_max=prior_max, bfill=bfill,
                 prior_count=prior_count)
     if not keys or max_key_rows is None:
