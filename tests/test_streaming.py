@@ -264,3 +264,20 @@ def test_fan_out_and_job_queries(spark, scratch):
     fan = sinks.fan_out(lambda df, i: seen.append(("a", df.count())), lambda df, i: seen.append(("b", df.count())))
     fan(ev, 0)
     assert seen == [("a", ev.count()), ("b", ev.count())]
+
+
+def test_page_view_queries_pair(spark, scratch):
+    from tidemark.streaming import jobs as sjobs
+    with open(fixture("access_lateness.log")) as f:
+        text = f.read()
+    chunks = [[ln for ln in block.split("\n") if ln.strip()] for block in text.split("\n\n")]
+    src = os.path.join(scratch, "log")
+    _write_chunks(src, chunks)
+    log = parse_access_log(spark.readStream.option("maxFilesPerTrigger", 1).text(src))
+    roots = [os.path.join(scratch, d) for d in ("store", "top", "acc", "late")]
+    qs = sjobs.page_view_top_n_queries(log, *roots, name=f"t_pvq_{os.path.basename(scratch)}",
+                                       trigger={"availableNow": True})
+    for q in qs:
+        q.awaitTermination()
+    assert spark.read.parquet(roots[1]).count() == 68
+    assert [int(r.ts.timestamp()) for r in spark.read.parquet(roots[3]).collect()] == [1431870949]

@@ -145,3 +145,21 @@ def login_warning_query(logins: DataFrame, out_root: str, kind: str = "pair", wi
     else:
         raise ValueError(kind)
     return start(out, sinks.write_batch(out_root), name or f"login_{kind}", "append", trigger)
+
+
+def page_view_top_n_queries(log: DataFrame, store_root: str, top_root: str, accepted_root: str,
+                            late_root: str, n: int = 3, size_s: int = 600, slide_s: int = 10,
+                            bound_s: int = 1, lateness_s: int = 60, name: str = "page_views",
+                            trigger: dict | None = None) -> list[StreamingQuery]:
+    """The full page-view job on one log stream: refined top-n per window
+    (update mode, upsert + re-rank) and, as a second query on the same
+    source, the late side output and accepted rows (``route_late_batches``)."""
+    from .late import route_late_batches
+    top = page_view_top_n_query(log, store_root, top_root, n, size_s, slide_s, bound_s,
+                                lateness_s, name=f"{name}_top", trigger=trigger)
+    pages = log.filter(is_page_url("url"))
+    router = route_late_batches(checkpoint_path(log.sparkSession, f"streams/{name}_late_state"),
+                                size_s, slide_s, bound_s, lateness_s,
+                                sinks.write_batch(accepted_root), sinks.write_batch(late_root))
+    side = start(pages, router, f"{name}_late", "append", trigger)
+    return [top, side]
