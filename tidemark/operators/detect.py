@@ -8,8 +8,9 @@
 * ``fail_bursts``    - failure groups anchored at their first failure.
 * ``click_cap``      - per-day click cap with a single warning.
 
-Consecutive rows are found with ``with_neighbors`` (keyed by user and a
-time bucket), so no key is ever forced into one task.
+Consecutive rows are found with ``with_neighbors``: a plain per-user
+window for ordinary users, (user, time bucket) partitions for users a
+sample shows to be heavy - so no key is ever forced into one task.
 """
 
 from __future__ import annotations
@@ -24,9 +25,9 @@ from ..functions.text import (BURST_MESSAGE, CLICK_CAP_MESSAGE, PAIR_MESSAGE, SE
 from ..functions.time import MICROS_PER_SECOND, day_index, epoch_micros
 from .ordered import number_bucket, time_bucket, with_neighbors
 
-# Rows of one key are windowed per bucket of this many seconds: a key's
-# share of one task is its rate times the bucket; the per-key summary holds
-# one row per touched bucket. Pass a smaller bucket for very dense keys.
+# A heavy key is windowed per bucket of this many seconds: its share of one
+# task is its rate times the bucket; its summary holds one row per touched
+# bucket. Pass a smaller bucket for very dense keys.
 DEFAULT_BUCKET_SECONDS = 60
 DEFAULT_BUCKET_ROWS = 1 << 20
 

@@ -4,9 +4,10 @@ A plain ``lag(x) over (partition by user order by ts)`` sends every row of
 a user to one task: a user holding a third of all rows stalls the job.
 ``with_neighbors`` finds such heavy keys from a row sample (a short,
 bounded list) and only those take the split path; every other key keeps
-the single-shuffle plain window. The split path partitions by (keys,
-bucket), where ``bucket``
-is a coarse, non-decreasing function of the order (a time bucket, or an
+the single-shuffle plain window.
+
+The split path partitions by (keys, bucket), where ``bucket`` is a
+coarse, non-decreasing function of the order (a time bucket, or an
 arrival-number bucket). Inside a bucket the window functions run as
 usual; the rows at bucket edges are completed from a per-bucket summary
 (one row per key and bucket, aggregated map-side from the input) ordered
