@@ -155,7 +155,7 @@ def test_report_field_order(spark):
     df = spark.createDataFrame([(3600, 1, "/a", 7), (3600, 2, "/b", 3)],
                                "window_end long, rank int, url string, pv_count long")
     rep = jobs.page_view_top_n_report(df).first().report
-    assert rep == "window end: 1970-01-01 01:00:00\nTop1: 7 /a\nTop2: 3 /b\n" + "-" * 32
+    assert rep == "window end: 1970-01-01 01:00:00.0\nTop1: 7 /a\nTop2: 3 /b\n" + "-" * 32
 
 
 @pytest.mark.parametrize("rows", [
@@ -195,3 +195,10 @@ def test_parse_delimited_lines(spark):
     bad = spark.createDataFrame([("543462,1715,beijing",)], "value string")
     with pytest.raises(Exception):
         parse_delimited(bad, schemas.AD_CLICK).collect()
+
+
+def test_scale_settings():
+    from tidemark.session import scale_settings
+    s = scale_settings(100 * 10**12, executor_cores_total=8000)
+    assert int(s["spark.sql.shuffle.partitions"]) == -(-100 * 10**12 // (256 << 20))
+    assert int(scale_settings(10**6)["spark.sql.shuffle.partitions"]) == 200

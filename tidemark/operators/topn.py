@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.time import format_java_timestamp
+
 
 def top_n_per_window(counts: DataFrame, n: int, key: str, count: str,
                      window: str = "window_end", rank_name: str = "rank") -> DataFrame:
@@ -23,15 +25,15 @@ def top_n_report(top: DataFrame, key: str, count: str, window: str = "window_end
                  line: str = "Top{rank}: {key_label}={key}, {count_label}={count}",
                  key_label: str = "item_id", count_label: str = "pv",
                  rule: str = "-" * 32, tz: str = "UTC") -> DataFrame:
-    """One text block per window: header with the end time, one line per
-    rank, a dashed rule. Groups hold at most n rows (input is a top-n)."""
+    """One text block per window: header with the end time (in
+    ``Timestamp.toString`` form), one line per rank, a dashed rule. Groups
+    hold at most n rows (input is a top-n)."""
     # Positional specifiers: the template may place the fields in any order.
     text = F.format_string(
         line.format(rank="%1$d", key_label=key_label, key="%2$s", count_label=count_label,
                     count="%3$d"),
         F.col(rank_name), F.col(key).cast("string"), F.col(count))
-    end_text = F.date_format(F.from_utc_timestamp(F.timestamp_seconds(F.col(window)), tz),
-                             "yyyy-MM-dd HH:mm:ss")
+    end_text = format_java_timestamp(F.timestamp_seconds(F.col(window)), tz)
     lines = F.array_sort(F.collect_list(F.struct(F.col(rank_name).alias("r"), text.alias("t"))))
     return (top.groupBy(window)
             .agg(lines.alias("_lines"))

@@ -168,7 +168,7 @@ FROM ({_tumbling("event_type = 'view'", "count(*)", "pv_count")}) t""",
     "item_top5_sliding": ITEM_TOP,
     "item_top5_report": f"""
 SELECT window_end,
-       'window end: ' || strftime(make_timestamp(window_end * {US}), '%Y-%m-%d %H:%M:%S') || chr(10)
+       'window end: ' || strftime(make_timestamp(window_end * {US}), '%Y-%m-%d %H:%M:%S') || '.0' || chr(10)
        || string_agg(format('Top{{}}: item_id={{}}, pv={{}}', rank, item_id, pv_count), chr(10) ORDER BY rank)
        || chr(10) || '{"-" * 32}' AS report
 FROM ({ITEM_TOP}) t GROUP BY window_end""",
@@ -196,7 +196,7 @@ FROM ({CAPPED}) c WHERE click_no = {CAP_MAX + 2}""",
     "url_top3_late": URL_TOP,
     "url_top3_report": f"""
 SELECT window_end,
-       'window end: ' || strftime(make_timestamp(window_end * {US}), '%Y-%m-%d %H:%M:%S') || chr(10)
+       'window end: ' || strftime(make_timestamp(window_end * {US}), '%Y-%m-%d %H:%M:%S') || '.0' || chr(10)
        || string_agg(format('Top{{}}: {{}} {{}}', rank, pv_count, url), chr(10) ORDER BY rank)
        || chr(10) || '{"-" * 32}' AS report
 FROM ({URL_TOP}) t GROUP BY window_end""",

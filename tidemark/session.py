@@ -40,6 +40,28 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
     return spark
 
 
+def scale_settings(input_bytes: int, partition_bytes: int = 256 << 20,
+                   executor_cores_total: int | None = None) -> dict[str, str]:
+    """Settings sized for a job reading ``input_bytes`` (apply them to the
+    cluster's session or submit configuration).
+
+    Shuffle partitions start high enough that one shuffle partition holds
+    about ``partition_bytes`` of input-sized data (AQE coalesces small ones
+    at run time and splits skewed join partitions); scans split at the same
+    size. With ``executor_cores_total`` the count is at least 3 waves.
+    """
+    n = max(200, -(-input_bytes // partition_bytes))
+    if executor_cores_total:
+        n = max(n, 3 * executor_cores_total)
+    return {
+        "spark.sql.shuffle.partitions": str(n),
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes // 2),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * partition_bytes),
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": str(8 << 20),
+    }
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
