@@ -281,3 +281,38 @@ def test_page_view_queries_pair(spark, scratch):
         q.awaitTermination()
     assert spark.read.parquet(roots[1]).count() == 68
     assert [int(r.ts.timestamp()) for r in spark.read.parquet(roots[3]).collect()] == [1431870949]
+
+
+def test_channel_pane_store_rollup(spark, scratch):
+    from tidemark.streaming import jobs as sjobs
+    stream, ev = _events_stream(spark, scratch)
+    mk = stream.select(F.col("event_type").alias("behavior"),
+                       (tables.prop_k() % 5).alias("channel"), "ts")
+    store = os.path.join(scratch, "panes")
+    q = sjobs.channel_pane_query(mk, store, slide_s=5, exclude="signup",
+                                 name=f"t_cp_{os.path.basename(scratch)}", trigger={"availableNow": True})
+    q.awaitTermination()
+    panes = spark.read.parquet(store).drop("batch_id").filter("behavior <> 'sentinel'")
+    got = windows.sliding_from_panes(panes, ["channel", "behavior"], "pane_start", "pane_count", 3600, 5, "n")
+    exp = windows.sliding_count(tables.marketing(ev).filter("behavior <> 'signup'"), "ts",
+                                ["channel", "behavior"], 3600, 5, "n")
+    assert got.count() == exp.count()
+    assert got.exceptAll(exp).count() == 0
+
+
+def test_ad_click_job_gold(spark, scratch):
+    from tidemark.streaming import jobs as sjobs
+    with open(fixture("ad_clicks.csv")) as f:
+        lines = [ln.strip() for ln in f if ln.strip()]
+    rows = [f"{ln},{i}" for i, ln in enumerate(lines)]
+    src = os.path.join(scratch, "clicks")
+    _write_chunks(src, [rows[i:i + 50] for i in range(0, len(rows), 50)])
+    df = (spark.readStream.schema("user_id long, ad_id long, province string, city string, ts_s long, seq long")
+          .option("maxFilesPerTrigger", 1).csv(src).withColumn("ts", F.timestamp_seconds("ts_s")))
+    passed, warned = os.path.join(scratch, "pass"), os.path.join(scratch, "warn")
+    q = sjobs.ad_click_query(df, passed, warned, 100, name=f"t_ad_{os.path.basename(scratch)}",
+                             trigger={"availableNow": True})
+    q.awaitTermination()
+    ok = spark.read.parquet(passed).withColumn("ts", F.timestamp_micros("us"))
+    assert windows.sliding_count(ok, "ts", ["province"], 3600, 5).count() == 5988
+    assert spark.read.parquet(warned).count() == 1
