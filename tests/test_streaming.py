@@ -37,9 +37,12 @@ def _run(df, scratch, name, fn, mode="append"):
 def _login_stream(spark, scratch, chunks):
     src = os.path.join(scratch, "logins")
     _write_chunks(src, chunks)
-    df = (spark.readStream.schema("user_id long, ip string, state string, ts_s long, seq long")
-          .option("maxFilesPerTrigger", 1).csv(src))
-    return df.withColumn("ts", F.timestamp_seconds("ts_s"))
+    from pyspark.sql import types as T
+
+    from tidemark import schemas
+    from tidemark.sources.text import read_delimited_stream
+    schema = T.StructType(schemas.LOGIN_EVENT.fields + [T.StructField("seq", T.LongType())])
+    return read_delimited_stream(spark, src, schema, trim=False, max_files_per_trigger=1)
 
 
 def _login_chunks(size=10):
