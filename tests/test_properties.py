@@ -18,7 +18,8 @@ def _rows(df):
     return sorted(tuple(r) for r in df.collect())
 
 
-@pytest.mark.parametrize("size,slide", [(3600, 300), (3600, 3600), (600, 10)])
+@pytest.mark.parametrize("size,slide", [(3600, 300), (3600, 3600), (600, 10), (600, 180),
+                                        (3600, 420), (100, 30)])
 def test_pane_equals_direct_window(spark, size, slide):
     ev = tables.marketing(tables.events(spark, SF_SMALL))
     a = windows.sliding_count(ev, "ts", ["behavior"], size, slide, "n")
@@ -153,3 +154,17 @@ def test_with_neighbors_two_keys_split(spark):
     w = Window.partitionBy("user_id", "g").orderBy("ts", "seq")
     exp = df.select("seq", F.lag("v").over(w).alias("prev_v"))
     assert _rows(got.select("seq", "prev_v")) == _rows(exp)
+
+
+def test_sliding_with_gaps_brute_force(spark):
+    """slide > size (windows with gaps between them), against brute force."""
+    secs = [0, 5, 299, 300, 301, 599, 600, 650, 1234, 1799, 1800]
+    df = spark.createDataFrame([(s,) for s in secs], "s long").select(F.timestamp_seconds("s").alias("ts"))
+    got = sorted((r.window_start, r.window_end, r.n)
+                 for r in windows.sliding_count(df, "ts", [], 300, 600, "n").collect())
+    exp = {}
+    for s in secs:
+        for j in range(-5, 10):
+            if j * 600 <= s < j * 600 + 300:
+                exp[(j * 600, j * 600 + 300)] = exp.get((j * 600, j * 600 + 300), 0) + 1
+    assert got == sorted((a, b, n) for (a, b), n in exp.items())

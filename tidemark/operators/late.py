@@ -16,7 +16,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.time import MICROS_PER_SECOND, epoch_micros, floor_div
@@ -44,9 +44,14 @@ def accepted_window_counts(routed: DataFrame, keys: Sequence[str], size_s: int,
                            lateness_s: float, count_name: str = "pv_count") -> DataFrame:
     """Final per-window counts of accepted rows; a row joins only the
     windows that were still open when it arrived."""
-    slide_us = slide_s * MICROS_PER_SECOND
-    threshold = F.col("watermark_us") - int(lateness_s * MICROS_PER_SECOND) + FIRE_DELAY_US
-    first_open = floor_div(threshold, slide_us) + 1
     acc = routed.filter(~F.col("is_late"))
     return sliding_count(acc, "ts", keys, size_s, slide_s, count_name=count_name,
-                         first_end_index=first_open)
+                         first_window_index=first_open_window(size_s, slide_s, lateness_s))
+
+
+def first_open_window(size_s: int, slide_s: int, lateness_s: float) -> Column:
+    """Index j of the first window [j*slide, j*slide + size) still open at
+    ``watermark_us``: its end - 1 ms + lateness > watermark (null: all)."""
+    slide_us = slide_s * MICROS_PER_SECOND
+    threshold = F.col("watermark_us") - int(lateness_s * MICROS_PER_SECOND) + FIRE_DELAY_US
+    return floor_div(threshold - size_s * MICROS_PER_SECOND, slide_us) + 1

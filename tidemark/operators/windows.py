@@ -2,7 +2,7 @@
 
 * Tumbling windows are a projection (``window(ts, size)``): no fan-out.
 * Sliding windows are computed with panes: rows are first counted per
-  slide-wide pane (map-side partial aggregation); window counts are then
+  pane, gcd(size, slide) wide (map-side partial aggregation); window counts are then
   running sums over the panes (a difference array per block of window
   ends), so the work is proportional to panes plus output windows, not to
   rows times ``size/slide``. Pane rows are co-located by (keys, block of
@@ -17,6 +17,7 @@ row exactly on an end belongs to the next window.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from math import gcd
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -24,17 +25,24 @@ from pyspark.sql import functions as F
 from ..functions.time import MICROS_PER_SECOND, col_, epoch_micros, epoch_seconds, floor_div
 
 
-def _check(size_s: int, slide_s: int) -> int:
+def _grid(size_s: int, slide_s: int) -> tuple[int, int]:
+    """(pane width, block length): panes are gcd(size, slide) wide, so every
+    window bound is a pane bound; a pane lies in at most ceil(size/slide)
+    windows, which is also the number of window ends per block."""
     if size_s <= 0 or slide_s <= 0:
         raise ValueError("window size and slide must be positive")
-    if size_s % slide_s:
-        raise ValueError(f"pane rewrite needs size % slide == 0 (size={size_s}, slide={slide_s})")
-    return size_s // slide_s
+    return gcd(size_s, slide_s), -(-size_s // slide_s)
 
 
-def pane_index(ts, slide_s: int) -> Column:
-    """Index of the slide-wide pane holding ``ts`` (pane p = [p*slide, (p+1)*slide))."""
-    return floor_div(epoch_micros(ts), slide_s * MICROS_PER_SECOND)
+def pane_index(ts, width_s: int) -> Column:
+    """Index of the pane holding ``ts`` (pane p = [p*width, (p+1)*width))."""
+    return floor_div(epoch_micros(ts), width_s * MICROS_PER_SECOND)
+
+
+def _window_range(start_s: Column, size_s: int, slide_s: int) -> tuple[Column, Column]:
+    """Indices j (window = [j*slide, j*slide + size)) of the first and last
+    window holding a pane that starts at ``start_s``."""
+    return floor_div(start_s - size_s, slide_s) + 1, floor_div(start_s, slide_s)
 
 
 def tumbling_count(df: DataFrame, ts: str, keys: Sequence[str], size_s: int,
@@ -48,52 +56,53 @@ def tumbling_count(df: DataFrame, ts: str, keys: Sequence[str], size_s: int,
 
 
 def sliding_count(df: DataFrame, ts: str, keys: Sequence[str], size_s: int, slide_s: int,
-                  count_name: str = "count", first_end_index: Column | None = None) -> DataFrame:
+                  count_name: str = "count", first_window_index: Column | None = None) -> DataFrame:
     """Count rows per (sliding window, keys) with the pane rewrite.
 
-    ``first_end_index`` optionally gives, per row, the index (end / slide)
-    of the first window the row may still be counted in; windows before it
-    are skipped (used for rows accepted after some windows closed).
+    ``first_window_index`` optionally gives, per row, the index j (window
+    start / slide) of the first window the row may still be counted in;
+    windows before it are skipped (rows accepted after some windows closed).
     Returns ``window_start, window_end, *keys, count`` for every window
     holding at least one counted row.
     """
-    k = _check(size_s, slide_s)
-    pane = pane_index(ts, slide_s)
-    first = pane + 1
-    if first_end_index is not None:
-        first = F.greatest(first, first_end_index)
+    width, k = _grid(size_s, slide_s)
+    start = pane_index(ts, width) * width
+    first, last = _window_range(start, size_s, slide_s)
+    if first_window_index is not None:
+        first = F.greatest(first, first_window_index)
     # Partial aggregation to one row per (keys, pane, first counted end).
-    panes = (df.select(*keys, pane.alias("_p"), first.alias("_f"))
-             .filter(F.col("_f") <= F.col("_p") + k)
-             .groupBy(*keys, "_p", "_f").agg(F.count(F.lit(1)).alias("_n")))
+    panes = (df.select(*keys, first.alias("_f"), last.alias("_l"))
+             .filter(F.col("_f") <= F.col("_l"))
+             .groupBy(*keys, "_f", "_l").agg(F.count(F.lit(1)).alias("_n")))
     return _fan_out(panes, keys, k, slide_s, size_s, count_name)
 
 
 def sliding_from_panes(panes: DataFrame, keys: Sequence[str], pane_start: str, pane_count: str,
                        size_s: int, slide_s: int, count_name: str = "count") -> DataFrame:
-    """Roll pre-counted panes (``pane_start`` epoch seconds, one pane per
-    slide) up into sliding windows, e.g. panes streamed to a table."""
-    k = _check(size_s, slide_s)
-    p = floor_div(F.col(pane_start).cast("long"), slide_s)
-    staged = (panes.select(*keys, p.alias("_p"), F.col(pane_count).alias("_n"))
-              .groupBy(*keys, "_p").agg(F.sum("_n").alias("_n"))
-              .withColumn("_f", F.col("_p") + 1))
+    """Roll pre-counted panes (``pane_start`` epoch seconds; pane width must
+    divide gcd(size, slide)) up into sliding windows, e.g. panes streamed
+    to a table."""
+    _, k = _grid(size_s, slide_s)
+    first, last = _window_range(F.col(pane_start).cast("long"), size_s, slide_s)
+    staged = (panes.select(*keys, first.alias("_f"), last.alias("_l"), F.col(pane_count).alias("_n"))
+              .groupBy(*keys, "_f", "_l").agg(F.sum("_n").alias("_n")))
     return _fan_out(staged, keys, k, slide_s, size_s, count_name)
 
 
 def _fan_out(panes: DataFrame, keys: Sequence[str], k: int, slide_s: int, size_s: int,
              count_name: str) -> DataFrame:
-    """panes(keys, _p, _f, _n) -> per-window sums of _n over ends _f.._p+k.
+    """panes(keys, _f, _l, _n) -> per-window sums of _n over window indices
+    _f.._l (at most k of them; window j = [j*slide, j*slide + size)).
 
-    Window ends are grouped in blocks of k consecutive ends; a pane feeds at
+    Windows are grouped in blocks of k consecutive indices; a pane feeds at
     most two blocks, so pane rows are co-located by (keys, block) with one
     repartition and everything after it runs without another exchange.
-    Inside a block the count of end e is a running sum of a difference
-    array (+n where a pane's first end falls, -n after its last), so work
+    Inside a block the count of window j is a running sum of a difference
+    array (+n at a pane's first window, -n after its last), so work
     is one row per pane plus one row per non-empty window - never k rows
     per pane - and a hot key is spread over its blocks.
     """
-    last = F.col("_p") + k
+    last = F.col("_l")
     blocks = F.array_distinct(F.array(floor_div(F.col("_f"), k), floor_div(last, k)))
     staged = panes.withColumn("_b", F.explode(blocks)).repartition(*keys, "_b")
     lo = F.greatest(F.col("_f"), F.col("_b") * k)
@@ -109,8 +118,8 @@ def _fan_out(panes: DataFrame, keys: Sequence[str], k: int, slide_s: int, size_s
     # every +n is matched by a later -n inside the block: a positive run has a next step
     ends = (runs.filter(F.col("_c") > 0)
             .select(*keys, "_c", F.explode(F.sequence(F.col("pos"), F.col("_next") - 1)).alias("_e")))
-    return ends.select((F.col("_e") * slide_s - size_s).alias("window_start"),
-                       (F.col("_e") * slide_s).alias("window_end"),
+    return ends.select((F.col("_e") * slide_s).alias("window_start"),
+                       (F.col("_e") * slide_s + size_s).alias("window_end"),
                        *keys, F.col("_c").cast("long").alias(count_name))
 
 
@@ -128,4 +137,5 @@ def sliding_count_direct(df: DataFrame, ts: str, keys: Sequence[str], size_s: in
 
 def last_window_end_micros(ts, size_s: int, slide_s: int) -> Column:
     """End (epoch micros) of the last sliding window containing ``ts``."""
-    return (pane_index(ts, slide_s) * slide_s + size_s) * MICROS_PER_SECOND
+    slide_us = slide_s * MICROS_PER_SECOND
+    return floor_div(epoch_micros(ts), slide_us) * slide_us + size_s * MICROS_PER_SECOND

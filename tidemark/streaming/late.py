@@ -6,8 +6,9 @@ of the batches before it: ``max(ts of completed batches) - bound``. The
 running maximum is stored per ``batch_id`` under the stream's folder, so
 a replayed batch sees the same watermark again. Accepted rows (with the
 index of the first window still open for them) and late rows go to two
-writers; ``operators.late.accepted_window_counts``-style roll-ups read
-the accepted output.
+writers (accepted rows carry ``first_open_start``, the start of the first
+window still open for them); ``operators.late.accepted_window_counts``
+rolls the accepted output up.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.time import MICROS_PER_SECOND, floor_div
-from ..operators.late import FIRE_DELAY_US
+from ..operators.late import FIRE_DELAY_US, first_open_window
 from ..operators.windows import last_window_end_micros
 from .sinks import path_exists
 
@@ -44,9 +45,9 @@ def route_late_batches(state_dir: str, size_s: int, slide_s: int, bound_s: float
         is_late = (last_window_end_micros("ts", size_s, slide_s) - FIRE_DELAY_US + lateness_us) <= wm_col
         x = x.withColumn("is_late", F.coalesce(is_late, F.lit(False))).persist()
         try:
-            first_open = floor_div(F.col("watermark_us") - lateness_us + FIRE_DELAY_US, slide_us) + 1
+            first_open = first_open_window(size_s, slide_s, lateness_s) * slide_s
             accepted(x.filter(~F.col("is_late")).drop("is_late")
-                     .withColumn("first_open_end", first_open), batch_id)
+                     .withColumn("first_open_start", first_open), batch_id)
             late(x.filter(F.col("is_late")).drop("is_late"), batch_id)
             cur = x.agg(F.max(F.unix_micros("ts")).alias("m")).first()["m"]
             seen = [v for v in (prev, cur) if v is not None]

@@ -1,7 +1,7 @@
 """Windowed aggregations on streams.
 
 * Counts per window use chained aggregations in append mode: rows are
-  counted per slide-wide pane first, then panes are rolled up into their
+  counted per pane (gcd(size, slide) wide) first, then panes are rolled up into their
   ``size/slide`` windows (``window(window_time(pane), size, slide)``), so
   the per-row fan-out happens on pane counts, not on rows.
 * Exact distinct counts are the chain (window, key, value) -> (window,
@@ -15,6 +15,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from math import gcd
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -39,7 +40,8 @@ def window_counts(stream: DataFrame, ts: str, keys: Sequence[str], size_s: int,
         agg = src.groupBy(F.window(ts, f"{size_s} seconds"), *keys).agg(
             F.count(F.lit(1)).alias(count_name))
     else:
-        panes = src.groupBy(F.window(ts, f"{slide_s} seconds").alias("pane"), *keys).agg(
+        width = gcd(size_s, slide_s)  # every window bound is a pane bound
+        panes = src.groupBy(F.window(ts, f"{width} seconds").alias("pane"), *keys).agg(
             F.count(F.lit(1)).alias("_n"))
         agg = panes.groupBy(
             F.window(F.window_time("pane"), f"{size_s} seconds", f"{slide_s} seconds"), *keys
