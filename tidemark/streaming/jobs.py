@@ -52,8 +52,8 @@ def rerank_upsert(store_root: str, top_root: str, n: int, key: str,
         batch = batch.persist()
         try:
             upsert_counts(batch, batch_id)
-            touched = batch.select("window_end").distinct()
-            stored = spark.read.parquet(store_root).join(touched, "window_end", "left_semi")
+            touched = sinks.touched_values(batch, "window_end")
+            stored = spark.read.parquet(store_root).filter(F.col("window_end").isin(touched))
             top = top_n_per_window(stored, n, key=key, count=count)
             spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
             top.write.mode("overwrite").partitionBy("window_end").parquet(top_root)

@@ -59,6 +59,13 @@ def fan_out(*writers: Callable[[DataFrame, int], None]) -> Callable[[DataFrame,
     return run
 
 
+def touched_values(df: DataFrame, col: str) -> list:
+    """Distinct values of a partition column in one micro-batch (e.g. the
+    windows it touched) - a short list that lets the read of stored
+    partitions be pruned statically."""
+    return [r[0] for r in df.select(col).distinct().collect()]
+
+
 def upsert_partitions(root: str, keys: Sequence[str], partition_col: str,
                       ) -> Callable[[DataFrame, int], None]:
     """Keyed upsert into a parquet table partitioned by ``partition_col``
@@ -73,9 +80,9 @@ def upsert_partitions(root: str, keys: Sequence[str], partition_col: str,
         spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
         new = df.persist()
         try:
-            touched = new.select(partition_col).distinct()
+            touched = touched_values(new, partition_col)
             if path_exists(spark, root):
-                old = spark.read.parquet(root).join(touched, partition_col, "left_semi")
+                old = spark.read.parquet(root).filter(F.col(partition_col).isin(touched))
                 kept = old.join(new.select(*keys, partition_col), keys + [partition_col], "left_anti")
                 merged = kept.unionByName(new).checkpoint(eager=True)
             else:
