@@ -47,6 +47,7 @@ class _OrderedBuffer(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.pending = handle.getListState("pending", _ROW_STATE)
+        self.pending_min = handle.getValueState("pending_min", "us long")
         self.setup(handle)
 
     def setup(self, handle) -> None:  # state of the detector
@@ -59,24 +60,42 @@ class _OrderedBuffer(StatefulProcessor):
         return []
 
     def _drain(self, key, new: pd.DataFrame | None, wm_ms: int) -> Iterator[pd.DataFrame]:
+        wm_us = wm_ms * US_PER_MS
+        nothing_ready = wm_ms <= 0 or (new is not None and len(new) and new["us"].min() >= wm_us
+                                        and self._pending_min() >= wm_us)
+        if nothing_ready and new is not None and len(new):
+            # nothing is behind the watermark yet: append, do not rewrite
+            self.pending.appendList([(int(r.us), int(r.seq), bool(r.is_fail)) for r in new.itertuples()])
+            low = int(min(new["us"].min(), self._pending_min()))
+            self.pending_min.update((low,))
+            self.handle.registerTimer(low // US_PER_MS + 1)
+            out = self.on_watermark(key, wm_us) if wm_ms > 0 else []
+            if out:
+                yield pd.DataFrame(out, columns=self.columns)
+            return
         old = pd.DataFrame(list(self.pending.get()), columns=["us", "seq", "is_fail"]) \
             if self.pending.exists() else None
         parts = [p for p in (old, new) if p is not None and len(p)]
         buf = pd.concat(parts, ignore_index=True) if parts else \
             pd.DataFrame({"us": [], "seq": [], "is_fail": []})
-        wm_us = wm_ms * US_PER_MS
         ready_mask = buf["us"] < wm_us if wm_ms > 0 else pd.Series(False, index=buf.index)
         ready = buf[ready_mask].sort_values(["us", "seq"], kind="mergesort")
         rest = buf[~ready_mask]
         out = self.step(key, ready, wm_us) if len(ready) else []
         out += self.on_watermark(key, wm_us) if wm_ms > 0 else []
         self.pending.clear()
+        self.pending_min.clear()
         if len(rest):
             self.pending.put([(int(r.us), int(r.seq), bool(r.is_fail)) for r in rest.itertuples()])
-            self.handle.registerTimer(int(rest["us"].min()) // US_PER_MS + 1)
+            low = int(rest["us"].min())
+            self.pending_min.update((low,))
+            self.handle.registerTimer(low // US_PER_MS + 1)
         if out:
             yield pd.DataFrame(out, columns=self.columns)
 
+    def _pending_min(self) -> float:
+        return self.pending_min.get()[0] if self.pending_min.exists() else float("inf")
+
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         new = pd.concat(list(rows), ignore_index=True)[["us", "seq", "is_fail"]]
         yield from self._drain(key, new, timerValues.getCurrentWatermarkInMs())
