@@ -189,11 +189,11 @@ def _url():
 
 
 def url_top3_late(spark, sf_dir):
-    log = _arrivals(spark, sf_dir).select("event_id", "arrival", "ts", _url().alias("url"))
-    pages = log.filter(is_page_url("url"))
-    routed = late.route_late(pages, HOUR, SLIDE, LATE_BOUND_S, LATE_LATENESS_S,
-                             arrival=["arrival", "event_id"])
-    counts = late.accepted_window_counts(routed, ["url"], HOUR, SLIDE, LATE_LATENESS_S)
+    # The watermark advances on every request; static assets are dropped
+    # after it, before the windows.
+    routed = _routed(spark, sf_dir).select("ts", "watermark_us", "is_late", _url().alias("url"))
+    pages = routed.filter(is_page_url("url"))
+    counts = late.accepted_window_counts(pages, ["url"], HOUR, SLIDE, LATE_LATENESS_S)
     return (topn.top_n_per_window(counts, TOP_URLS, key="url", count="pv_count")
             .select("window_start", "window_end", F.col("rank").cast("long").alias("rank"), "url",
                     "pv_count"))

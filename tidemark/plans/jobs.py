@@ -73,10 +73,11 @@ def page_view_top_n(log: DataFrame, n: int = 3, size_s: int = 600, slide_s: int
                     extensions: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
     """Top-n URLs per sliding window, with a watermark bound, allowed
     lateness and a side output of late rows. ``log`` needs ``url``, ``ts``
-    and an arrival number ``arrival``.
+    and an arrival number ``arrival``. The watermark advances on every log
+    line; static-asset requests are dropped after it, before the windows.
     -> (window_start, window_end, rank, url, pv_count), late rows"""
-    pages = log.filter(is_page_url("url", extensions))
-    routed = late.route_late(pages, size_s, slide_s, bound_s, lateness_s)
+    routed = late.route_late(log, size_s, slide_s, bound_s, lateness_s)
+    routed = routed.filter(is_page_url("url", extensions))
     counts = late.accepted_window_counts(routed, ["url"], size_s, slide_s, lateness_s)
     top = topn.top_n_per_window(counts, n, key="url", count="pv_count") \
         .select("window_start", "window_end", "rank", "url", "pv_count")

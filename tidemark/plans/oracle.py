@@ -142,13 +142,13 @@ def _log_fields() -> str:
 
 
 URL_TOP = f"""
-WITH p AS (SELECT event_id, ts, {URL} AS url FROM events),
-a AS (SELECT url, epoch_us(ts) AS us,
-             max(epoch_us(ts)) OVER (ORDER BY event_id + (event_id * 37) % 101, event_id
-                                     ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
-               - {LATE_BOUND_S * US} AS wm
-      FROM p WHERE NOT regexp_matches(url, '\\.(css|js)$')),
-c AS ({_accepted("url", "SELECT * FROM a")})
+WITH a AS (SELECT {URL} AS url, epoch_us(ts) AS us,
+                  max(epoch_us(ts)) OVER (ORDER BY event_id + (event_id * 37) % 101, event_id
+                                          ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+                    - {LATE_BOUND_S * US} AS wm
+           FROM events),
+p AS (SELECT * FROM a WHERE NOT regexp_matches(url, '\\.(css|js)$')),
+c AS ({_accepted("url", "SELECT * FROM p")})
 SELECT window_start, window_end,
        row_number() OVER (PARTITION BY window_end ORDER BY pv_count DESC, url) AS rank, url, pv_count
 FROM c QUALIFY rank <= {TOP_URLS}"""

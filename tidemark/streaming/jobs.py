@@ -70,8 +70,8 @@ def page_view_top_n_query(log: DataFrame, store_root: str, top_root: str, n: int
     counts kept ``bound + lateness`` behind the newest event (early
     results, then one refinement per late row), upserted and re-ranked.
     Route the late side output with ``streaming.late.route_late_batches``."""
-    pages = log.filter(is_page_url("url"))
-    src = pages.withWatermark("ts", f"{bound_s + lateness_s} seconds")
+    # the watermark advances on every line; static assets are dropped after it
+    src = log.withWatermark("ts", f"{bound_s + lateness_s} seconds").filter(is_page_url("url"))
     counts = (src.groupBy(F.window("ts", f"{size_s} seconds", f"{slide_s} seconds"), "url")
               .agg(F.count(F.lit(1)).alias("pv_count"))
               .select(F.unix_seconds("window.start").alias("window_start"),
@@ -157,9 +157,9 @@ def page_view_top_n_queries(log: DataFrame, store_root: str, top_root: str, acce
     from .late import route_late_batches
     top = page_view_top_n_query(log, store_root, top_root, n, size_s, slide_s, bound_s,
                                 lateness_s, name=f"{name}_top", trigger=trigger)
-    pages = log.filter(is_page_url("url"))
     router = route_late_batches(checkpoint_path(log.sparkSession, f"streams/{name}_late_state"),
                                 size_s, slide_s, bound_s, lateness_s,
-                                sinks.write_batch(accepted_root), sinks.write_batch(late_root))
-    side = start(pages, router, f"{name}_late", "append", trigger)
+                                sinks.write_batch(accepted_root), sinks.write_batch(late_root),
+                                keep=is_page_url("url"))
+    side = start(log, router, f"{name}_late", "append", trigger)
     return [top, side]

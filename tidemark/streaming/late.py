@@ -16,7 +16,7 @@ from __future__ import annotations
 import os
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.time import MICROS_PER_SECOND, floor_div
@@ -27,7 +27,11 @@ from .sinks import path_exists
 
 def route_late_batches(state_dir: str, size_s: int, slide_s: int, bound_s: float,
                        lateness_s: float, accepted: Callable[[DataFrame, int], None],
-                       late: Callable[[DataFrame, int], None]) -> Callable[[DataFrame, int], None]:
+                       late: Callable[[DataFrame, int], None],
+                       keep: Column | None = None) -> Callable[[DataFrame, int], None]:
+    """``keep`` filters the rows written to both outputs; every row of the
+    batch still advances the watermark (as a filter placed after the
+    watermark would)."""
     lateness_us = int(lateness_s * MICROS_PER_SECOND)
     slide_us = slide_s * MICROS_PER_SECOND
 
@@ -46,9 +50,10 @@ def route_late_batches(state_dir: str, size_s: int, slide_s: int, bound_s: float
         x = x.withColumn("is_late", F.coalesce(is_late, F.lit(False))).persist()
         try:
             first_open = first_open_window(size_s, slide_s, lateness_s) * slide_s
-            accepted(x.filter(~F.col("is_late")).drop("is_late")
+            kept = x if keep is None else x.filter(keep)
+            accepted(kept.filter(~F.col("is_late")).drop("is_late")
                      .withColumn("first_open_start", first_open), batch_id)
-            late(x.filter(F.col("is_late")).drop("is_late"), batch_id)
+            late(kept.filter(F.col("is_late")).drop("is_late"), batch_id)
             cur = x.agg(F.max(F.unix_micros("ts")).alias("m")).first()["m"]
             seen = [v for v in (prev, cur) if v is not None]
             total = max(seen) if seen else None
