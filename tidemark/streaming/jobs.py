@@ -21,6 +21,12 @@ from . import sinks, stateful
 from . import windows as swin
 
 
+def _views(behaviors: DataFrame, pv_behavior: str, delay: str) -> DataFrame:
+    """Page views of a stream whose watermark is set on all rows first (every
+    behaviour advances event time, as in the reference)."""
+    return behaviors.withWatermark("ts", delay).filter(F.col("behavior") == pv_behavior)
+
+
 def start(df: DataFrame, write: Callable[[DataFrame, int], None], name: str,
           mode: str = "append", trigger: dict | None = None) -> StreamingQuery:
     spark = df.sparkSession
@@ -34,8 +40,8 @@ def item_top_n_query(behaviors: DataFrame, out_root: str, n: int = 5, size_s: in
                      slide_s: int = 300, pv_behavior: str = "pv", delay: str = "0 seconds",
                      name: str = "item_top_n", trigger: dict | None = None) -> StreamingQuery:
     """Top-n items per sliding window: append-mode counts, ranked per batch."""
-    views = behaviors.filter(F.col("behavior") == pv_behavior)
-    counts = swin.window_counts(views, "ts", ["item_id"], size_s, slide_s, delay, "pv_count")
+    views = _views(behaviors, pv_behavior, delay)
+    counts = swin.window_counts(views, "ts", ["item_id"], size_s, slide_s, None, "pv_count")
     return start(counts, swin.top_n_batches(n, "item_id", "pv_count", sinks.write_batch(out_root)),
                  name, "append", trigger)
 
@@ -95,8 +101,8 @@ def channel_pane_query(events: DataFrame, pane_root: str, slide_s: int = 5,
                        name: str = "channel_panes", trigger: dict | None = None) -> StreamingQuery:
     """Very fine sliding windows (1 h / 5 s) on a stream: stream pane counts
     to a table; roll them up with ``operators.windows.sliding_from_panes``."""
-    kept = events.filter(F.col("behavior") != exclude)
-    panes = swin.pane_counts(kept, "ts", ["channel", "behavior"], slide_s, delay)
+    kept = events.withWatermark("ts", delay).filter(F.col("behavior") != exclude)
+    panes = swin.pane_counts(kept, "ts", ["channel", "behavior"], slide_s, None)
     return start(panes, sinks.write_batch(pane_root), name, "append", trigger)
 
 
@@ -104,8 +110,8 @@ def page_view_count_query(behaviors: DataFrame, out_root: str, size_s: int = 360
                           pv_behavior: str = "pv", delay: str = "0 seconds",
                           name: str = "page_view_count", trigger: dict | None = None) -> StreamingQuery:
     """Page views per tumbling window (append: one row per closed window)."""
-    views = behaviors.filter(F.col("behavior") == pv_behavior)
-    counts = swin.window_counts(views, "ts", [], size_s, None, delay, "pv_count")
+    views = _views(behaviors, pv_behavior, delay)
+    counts = swin.window_counts(views, "ts", [], size_s, None, None, "pv_count")
     return start(counts, sinks.write_batch(out_root), name, "append", trigger)
 
 
@@ -113,8 +119,8 @@ def unique_visitor_query(behaviors: DataFrame, out_root: str, size_s: int = 3600
                          pv_behavior: str = "pv", delay: str = "0 seconds",
                          name: str = "unique_visitors", trigger: dict | None = None) -> StreamingQuery:
     """Exact visitors per tumbling window (chained aggregation, append)."""
-    views = behaviors.filter(F.col("behavior") == pv_behavior)
-    uv = swin.distinct_counts(views, "ts", "user_id", size_s, delay=delay)
+    views = _views(behaviors, pv_behavior, delay)
+    uv = swin.distinct_counts(views, "ts", "user_id", size_s, delay=None)
     return start(uv, sinks.write_batch(out_root), name, "append", trigger)
 
 
@@ -125,8 +131,8 @@ def unique_visitor_bitmap_query(behaviors: DataFrame, store_root: str, size_s: i
     """Hashed-bitmap visitors, refreshed on every micro-batch (update mode):
     the chunks touched by a batch are upserted into ``store_root``, keyed by
     (window_end, bucket); visitors so far = ``sum(bits)`` per window_end."""
-    views = behaviors.filter(F.col("behavior") == pv_behavior)
-    chunks = swin.bitmap_buckets(views, "ts", "user_id", size_s, delay)
+    views = _views(behaviors, pv_behavior, delay)
+    chunks = swin.bitmap_buckets(views, "ts", "user_id", size_s, None)
     return start(chunks, sinks.upsert_partitions(store_root, ["bucket"], "window_end"), name,
                  "update", trigger)
 

@@ -29,13 +29,19 @@ def _bounds(w: str = "window"):
             F.unix_seconds(F.col(f"{w}.end")).alias("window_end")]
 
 
+def _watermarked(stream: DataFrame, ts: str, delay: str | None) -> DataFrame:
+    """``delay=None``: the stream already carries its watermark (set before
+    a filter, so filtered-out rows still advance event time)."""
+    return stream if delay is None else stream.withWatermark(ts, delay)
+
+
 def window_counts(stream: DataFrame, ts: str, keys: Sequence[str], size_s: int,
-                  slide_s: int | None = None, delay: str = "0 seconds",
+                  slide_s: int | None = None, delay: str | None = "0 seconds",
                   count_name: str = "count") -> DataFrame:
     """Append-mode counts per (window, keys); ``slide_s=None`` = tumbling.
     Windows are emitted once, when the watermark (max ts - delay) passes
     their end."""
-    src = stream.withWatermark(ts, delay)
+    src = _watermarked(stream, ts, delay)
     if not slide_s or slide_s == size_s:
         agg = src.groupBy(F.window(ts, f"{size_s} seconds"), *keys).agg(
             F.count(F.lit(1)).alias(count_name))
@@ -50,20 +56,20 @@ def window_counts(stream: DataFrame, ts: str, keys: Sequence[str], size_s: int,
 
 
 def pane_counts(stream: DataFrame, ts: str, keys: Sequence[str], slide_s: int,
-                delay: str = "0 seconds") -> DataFrame:
+                delay: str | None = "0 seconds") -> DataFrame:
     """Append-mode counts per slide-wide pane; for very fine slides write
     these to a table and roll them up with ``operators.windows`` in batch."""
-    src = stream.withWatermark(ts, delay)
+    src = _watermarked(stream, ts, delay)
     return (src.groupBy(F.window(ts, f"{slide_s} seconds").alias("pane"), *keys)
             .agg(F.count(F.lit(1)).alias("pane_count"))
             .select(F.unix_seconds(F.col("pane.start")).alias("pane_start"), *keys, "pane_count"))
 
 
 def distinct_counts(stream: DataFrame, ts: str, value: str, size_s: int,
-                    keys: Sequence[str] = (), delay: str = "0 seconds",
+                    keys: Sequence[str] = (), delay: str | None = "0 seconds",
                     name: str = "uv_count") -> DataFrame:
     """Exact distinct ``value`` per tumbling window (append mode)."""
-    src = stream.withWatermark(ts, delay)
+    src = _watermarked(stream, ts, delay)
     first = src.groupBy(F.window(ts, f"{size_s} seconds"), *keys, value).agg(
         F.count(F.lit(1)).alias("_n"))
     return (first.groupBy("window", *keys).agg(F.count(F.lit(1)).alias(name))
@@ -71,7 +77,7 @@ def distinct_counts(stream: DataFrame, ts: str, value: str, size_s: int,
 
 
 def bitmap_buckets(stream: DataFrame, ts: str, value: str, size_s: int,
-                   delay: str = "0 seconds", seed: int = BITMAP_HASH_SEED,
+                   delay: str | None = "0 seconds", seed: int = BITMAP_HASH_SEED,
                    bits: int = BITMAP_BITS) -> DataFrame:
     """Per (window, bitmap bucket): the set-bit count of the hashed-bitmap
     chunk. Run in ``update`` mode, each micro-batch re-emits only the
@@ -79,7 +85,7 @@ def bitmap_buckets(stream: DataFrame, ts: str, value: str, size_s: int,
     ``sinks.upsert_partitions`` and sum ``bits`` per window to read the
     visitors so far."""
     off = poly_hash(value, seed, bits)
-    src = stream.withWatermark(ts, delay).select(ts, off.alias("_o"))
+    src = _watermarked(stream, ts, delay).select(ts, off.alias("_o"))
     return (src.groupBy(F.window(ts, f"{size_s} seconds"), F.bitmap_bucket_number("_o").alias("bucket"))
             .agg(F.bitmap_count(F.bitmap_construct_agg(F.bitmap_bit_position("_o"))).alias("bits"))
             .select(*_bounds(), "bucket", "bits"))
