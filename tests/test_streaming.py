@@ -319,3 +319,27 @@ def test_ad_click_job_gold(spark, scratch):
     ok = spark.read.parquet(passed).withColumn("ts", F.timestamp_micros("us"))
     assert windows.sliding_count(ok, "ts", ["province"], 3600, 5).count() == 5988
     assert spark.read.parquet(warned).count() == 1
+
+
+def test_bitmap_and_login_job_queries(spark, scratch):
+    from tidemark.streaming import jobs as sjobs
+    tag = os.path.basename(scratch)
+    stream, ev = _events_stream(spark, scratch)
+    beh = stream.select("user_id", F.col("event_type").alias("behavior"), "ts")
+    store = os.path.join(scratch, "uvstore")
+    q = sjobs.unique_visitor_bitmap_query(beh, store, pv_behavior="view", name=f"t_bm_{tag}",
+                                          trigger={"availableNow": True})
+    q.awaitTermination()
+    got = sorted((r.window_end, r.uv) for r in spark.read.parquet(store).groupBy("window_end")
+                 .agg(F.sum("bits").alias("uv")).collect())
+    exp = sorted((r.window_end, r.uv_count) for r in
+                 aggregates.distinct_count(ev.filter("event_type = 'view'"), "ts", "user_id", 3600).collect())
+    assert got == exp
+
+    logins = _login_stream(spark, scratch, _login_chunks())
+    out = os.path.join(scratch, "warn")
+    q2 = sjobs.login_warning_query(logins, out, kind="pair", within_s=2, name=f"t_lw_{tag}",
+                                   trigger={"availableNow": True})
+    q2.awaitTermination()
+    assert [(r.user_id, r.first_fail_us // 10**6) for r in spark.read.parquet(out).collect()] == \
+        [(1035, 1558430842)]
