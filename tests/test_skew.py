@@ -39,3 +39,12 @@ def test_bursts_exact_under_skew(spark, monkeypatch):
     monkeypatch.setattr(ordered, "HOT_KEY_ROWS", 1000)
     split = sorted(tuple(r) for r in detect.fail_bursts(lg, 1200, long_run_rows=8).collect())
     assert base == split and any(r[0] == 7 for r in base)
+
+
+def test_detectors_all_paths_agree(spark):
+    lg = _skewed_logins(spark)
+    for fn in (lambda m: detect.fail_pairs(lg, 6 * 3600, max_key_rows=m),
+               lambda m: detect.fail_sequences(lg, 6 * 3600, max_key_rows=m),
+               lambda m: detect.fail_bursts(lg, 1200, max_key_rows=m)):
+        plain, split, bucketed = (sorted(tuple(r) for r in fn(m).collect()) for m in ("auto", 1000, None))
+        assert plain == split == bucketed
