@@ -29,6 +29,7 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
     builder = (SparkSession.builder.master(master).appName(app_name)
                .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
                .config("spark.ui.enabled", "false")
+               .config("spark.ui.showConsoleProgress", "false")
                .config("spark.driver.memory", "16g")
                .config("spark.sql.streaming.stateStore.providerClass",
                        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"))
