@@ -3,10 +3,10 @@
 * Tumbling windows are a projection (``window(ts, size)``): no fan-out.
 * Sliding windows are computed with panes: rows are first counted per
   pane, gcd(size, slide) wide (map-side partial aggregation); window counts are then
-  running sums over the panes (a difference array per block of window
-  ends), so the work is proportional to panes plus output windows, not to
+  running sums over the panes (a difference array per block of
+  consecutive windows), so the work is proportional to panes plus output windows, not to
   rows times ``size/slide``. Pane rows are co-located by (keys, block of
-  window ends): one hot key is still spread over its time range and
+  windows): one hot key is still spread over its time range and
   nothing after that repartition needs another exchange.
 
 Window ends leave as BIGINT epoch seconds (``window_end``) and
@@ -28,7 +28,7 @@ from ..functions.time import MICROS_PER_SECOND, col_, epoch_micros, epoch_second
 def _grid(size_s: int, slide_s: int) -> tuple[int, int]:
     """(pane width, block length): panes are gcd(size, slide) wide, so every
     window bound is a pane bound; a pane lies in at most ceil(size/slide)
-    windows, which is also the number of window ends per block."""
+    windows, which is also the number of windows per block."""
     if size_s <= 0 or slide_s <= 0:
         raise ValueError("window size and slide must be positive")
     return gcd(size_s, slide_s), -(-size_s // slide_s)
