@@ -67,15 +67,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     A cluster names this folder (a shared file system path); we only read
-    it. Where it is unset - local runs and tests - a fresh scratch folder
-    is created and registered.
+    it. Where it is unset, a local session (and only that) gets a fresh
+    scratch folder; any other master raises, as executors could not see it.
     """
     sc = spark.sparkContext
-    current = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
+    current = sc.getConf().get("spark.checkpoint.dir", None)
     if not current:
         jdir = sc._jsc.sc().getCheckpointDir()
         current = jdir.get() if jdir.isDefined() else None
     if not current:
+        if not (sc.master == "local" or sc.master.startswith("local[")):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         current = tempfile.mkdtemp(prefix="tidemark-ckpt-")
     if not sc._jsc.sc().getCheckpointDir().isDefined():
         sc.setCheckpointDir(current)
