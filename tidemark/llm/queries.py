@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm.common import read_table
 from tidemark.llm.jaccard import near_duplicates
+from tidemark.llm.suffixes import remove_repeats
 
 
 def op8_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -13,5 +14,10 @@ def op8_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(spark, read_table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
 
 
-QUERIES = {f.__name__: f for f in (op8_jaccard,)}
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of `documents` in 50-byte strings that a document of smaller id also holds, removed."""
+    return remove_repeats(spark, read_table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op8_jaccard, op10_suffix_dedup)}
 SQL: dict[str, str] = {}
