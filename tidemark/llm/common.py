@@ -63,6 +63,15 @@ def slices(batches, column: str, max_bytes: int = SLICE_BYTES, max_rows: int = 5
             at = to
 
 
+def blocks(offsets: np.ndarray, max_bytes: int = 1 << 17):
+    """(first, end) of runs of documents of about ``max_bytes``: arrays of that size stay in the CPU's cache."""
+    at, n = 0, len(offsets) - 1
+    while at < n:
+        to = min(max(int(np.searchsorted(offsets, offsets[at] + max_bytes, "right")) - 1, at + 1), n)
+        yield at, to
+        at = to
+
+
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _SPACE = np.zeros(256, bool)

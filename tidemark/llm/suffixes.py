@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import U64, mix, pack, partitions, powers, ranges, slices, staged, unpack, utf8
+from tidemark.llm.common import U64, blocks, mix, pack, partitions, powers, ranges, slices, staged, unpack, utf8
 from tidemark.llm.sharing import ROW, batch_of, part_of, shared_tokens
 
 LENGTH = 50
@@ -47,39 +47,56 @@ _B = U64(0x9FB21C651E98DF25)
 
 
 def anchors(data: np.ndarray, offsets: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, ...]:
-    """(document, anchor place, anchor hash, first start, last start) of every run of
-    ``length``-byte strings of one document with the same anchor."""
+    """(document, anchor, first start, last start) of every run of ``length``-byte strings of
+    one document with the same anchor."""
+    found = []
+    for a, b in blocks(offsets):
+        base = offsets[a]
+        doc, value, first, last = _anchors(data[base:offsets[b]], offsets[a:b + 1] - base, length)
+        found.append((doc + a, value, first + base, last + base))
+    return tuple(np.concatenate(x) for x in zip(*found)) if found else _NONE
+
+
+_NONE = (np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64))
+
+
+def _anchors(data, offsets, length):
     width = length - ANCHOR + 1
     n = len(data) - ANCHOR + 1
     sizes = np.diff(offsets)
-    starts = np.maximum(sizes - length + 1, 0)
-    if n < width or not starts.any():
-        return (np.zeros(0, np.int64),) * 2 + (np.zeros(0, np.uint64),) + (np.zeros(0, np.int64),) * 2
+    if n < width or sizes.max() < length:
+        return _NONE
     step = powers(_B, ANCHOR)
-    double, span = data.astype(np.uint64) + U64(1), 1  # hashes of all strings of 1, 2, 4, ... bytes
+    double, span = data.astype(np.uint64), 1  # hashes of all strings of 1, 2, 4, ... bytes
+    double += U64(1)
     hashes, done = None, 0
     while span <= ANCHOR:
         if ANCHOR & span:
-            hashes = double if hashes is None else hashes[:len(double) - done] * step[span] + double[done:][:len(hashes)]
+            if hashes is None:
+                hashes = double
+            else:
+                hashes = hashes[:len(double) - done] * step[span]
+                hashes += double[done:][:len(hashes)]
             done += span
         if 2 * span <= ANCHOR:
-            double = double[:-span] * step[span] + double[span:]
+            nxt = double[:-span] * step[span]
+            nxt += double[span:]
+            double = nxt
         span *= 2
-    hashes = mix(hashes[:n])
-    # Smallest of each window, by doubling; the leftmost of equals is found from its value.
-    low, span = hashes, 1
+    low = hashes[:n] * U64(0xBF58476D1CE4E5B9)
+    low ^= low >> U64(32)
+    low *= U64(0x94D049BB133111EB)
+    span = 1  # smallest hash of each window, by doubling
     while 2 * span <= width:
         low = np.minimum(low[:len(low) - span], low[span:])
         span *= 2
     low = np.minimum(low[:n - width + 1], low[width - span:][:n - width + 1])
-    at = ranges(offsets[:-1], starts)  # every start, in order
-    doc = np.repeat(np.arange(len(sizes)), starts)
-    least = low[at]
-    new = np.ones(len(at), bool)
-    new[1:] = (least[1:] != least[:-1]) | (doc[1:] != doc[:-1])
-    first = np.flatnonzero(new)
-    last = np.append(first[1:], len(at)) - 1
-    return doc[first], at[first], least[first], at[first], at[last]
+    ends = offsets[1:][sizes >= length] - length + 1
+    cuts = np.unique(np.concatenate([np.flatnonzero(low[1:] != low[:-1]) + 1, offsets[:-1], ends]))
+    doc = np.searchsorted(offsets, cuts, "right") - 1
+    valid = np.flatnonzero(cuts < offsets[np.minimum(doc + 1, len(sizes))] - length + 1)
+    first = cuts[valid]
+    return doc[valid], low[first], first, cuts[valid + 1] - 1
 
 
 def _extract(length: int):
@@ -87,7 +104,7 @@ def _extract(length: int):
         data, offsets = utf8(batch.column(1))
         ids = batch.column(0).to_pylist()
         sha = [hashlib.sha256(data[a:b]).hexdigest() for a, b in zip(offsets[:-1], offsets[1:])]
-        doc, _, value, _, _ = anchors(data, offsets, length)
+        doc, value, _, _ = anchors(data, offsets, length)
         best: dict[str, int] = {}
         for i, (x, s) in enumerate(zip(ids, sha)):
             if x is not None and (s not in best or x < ids[best[s]]):
@@ -130,7 +147,7 @@ def _pieces(parts: int, length: int):
             batch = batch.take(pa.array(np.argsort(ids, kind="stable")))
             ids = np.sort(ids, kind="stable")
             data, offsets = utf8(batch.column(batch.schema.get_field_index("text")))
-            doc, _, value, first, last = anchors(data, offsets, length)
+            doc, value, first, last = anchors(data, offsets, length)
             cuts = np.searchsorted(doc, np.arange(len(ids) + 1))
             shared = np.zeros(len(doc), bool)
             for i, blob in enumerate(batch.column(batch.schema.get_field_index("anchors")).to_pylist()):
