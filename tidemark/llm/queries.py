@@ -6,9 +6,22 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm.common import read_table
 from tidemark.llm.jaccard import near_duplicates
+from tidemark.llm.packing import pack_documents
 from tidemark.llm.suffixes import remove_repeats
 
 
+def tokenizer_path() -> str:
+    """The public vocabulary file that the registered packing query uses."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All `documents` packed best-fit decreasing into sequences of at most 2,048 tokens."""
+    return pack_documents(spark, read_table(spark, sf_dir, "documents"), tokenizer_path())
+
+
 def op8_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of `documents` (5-word shingles, Jaccard >= 0.75)."""
     return near_duplicates(spark, read_table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
@@ -19,5 +32,5 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(spark, read_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op8_jaccard, op10_suffix_dedup)}
+QUERIES = {f.__name__: f for f in (op1_packing, op8_jaccard, op10_suffix_dedup)}
 SQL: dict[str, str] = {}
