@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidemark.llm.common import read_table
 from tidemark.llm.jaccard import near_duplicates
 from tidemark.llm.packing import pack_documents
+from tidemark.llm import langid, mixing, reputation, toxicity
 from tidemark.llm.suffixes import remove_repeats
 
 
@@ -22,6 +24,44 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(spark, read_table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every whole text of `documents`, learnt from rows outside the held-out fold."""
+    docs = read_table(spark, sf_dir, "documents")
+    held = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2, F.lit(False))
+    model = langid.learn(spark, docs.where(~held))
+    return langid.identify(docs, model).select("doc_id", held.alias("held_out"), "lang_pred", "score")
+
+
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every whole text of `documents`, learnt from labelled rows outside the held-out fold."""
+    docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
+    model = toxicity.learn(spark, docs, labels.where(~toxicity.held_out()))
+    scored = toxicity.score(docs.select("doc_id", "text"), model)
+    return scored.select("doc_id", toxicity.held_out().alias("held_out"), F.col(toxicity.SCORE).alias("score"), (F.col(toxicity.SCORE) >= 0.5).cast("int").alias("predicted"))
+
+
+def op6_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict on every url of `pages`. A page's outcome is the label of the document that its path
+    names by number: good if labelled of quality and not toxic."""
+    pages, labels = read_table(spark, sf_dir, "pages"), read_table(spark, sf_dir, "labels")
+    marks = labels.groupBy("doc_id").agg(F.min(F.when((F.col("quality") == 1) & (F.col("toxic") == 0), 1).when(F.col("quality").isNotNull() & F.col("toxic").isNotNull(), 0)).alias("good"))
+    numbered = pages.select("page_id", "url", F.regexp_extract(reputation.path_of(F.col("url")), r"/([0-9]{1,18})(?:[^0-9]|$)", 1).alias("named"))
+    numbered = numbered.withColumn("doc_id", F.when(F.col("named") != "", F.col("named").cast("long")))
+    judged = reputation.judge(numbered.join(marks, "doc_id", "left").select("page_id", "url", "good"))
+    return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
+#: Targets of the mixing query and stage: the hot source is held at a quarter, languages other than English are raised.
+TARGETS = {"source": {"src0": 0.25}, "lang": {"en": 0.5, "de": 0.17, "fr": 0.17, "es": 0.16}, "topic": {"prose": 0.7}}
+FRACTION = 0.6
+
+
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """`documents` sampled to TARGETS by source, language and topic."""
+    mixed = mixing.mix(spark, read_table(spark, sf_dir, "documents"), TARGETS, FRACTION)
+    return mixed.select("doc_id", "source", "lang", F.col("__topic").alias("topic"), F.col("__tokens").cast("long").alias("tokens"), F.col("__rate").alias("rate"))
+
+
 def op8_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of `documents` (5-word shingles, Jaccard >= 0.75)."""
     return near_duplicates(spark, read_table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
@@ -32,5 +72,27 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(spark, read_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_packing, op8_jaccard, op10_suffix_dedup)}
-SQL: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (op1_packing, op2_language, op4_toxicity, op6_urls, op7_mixing, op8_jaccard, op10_suffix_dedup)}
+_PAGES = """SELECT page_id, translate(regexp_extract(coalesce(url, ''), '://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    regexp_extract(coalesce(url, ''), '://[^/?#]*([^?#]*)', 1) AS path FROM pages"""
+
+#: DuckDB SQL of the queries that SQL can express.
+SQL: dict[str, str] = {
+    "op6_urls": f"""
+WITH p AS ({_PAGES}),
+marks AS (SELECT doc_id, min(CASE WHEN quality = 1 AND toxic = 0 THEN 1.0 WHEN quality IS NOT NULL AND toxic IS NOT NULL THEN 0.0 END) AS good FROM labels GROUP BY doc_id),
+o AS (SELECT p.*, marks.good FROM p LEFT JOIN marks ON marks.doc_id = try_cast(regexp_extract(path, '/([0-9]{{1,18}})([^0-9]|$)', 1) AS BIGINT)),
+h AS (SELECT host, list_aggregate(list_slice(string_split(host, '.'), -2, -1), 'string_agg', '.') AS domain, string_split(host, '.')[-1] AS suffix,
+        count(good) AS n, coalesce(sum(good), 0.0) AS k FROM o GROUP BY host),
+t AS (SELECT (sum(k) + 1) / (sum(n) + 2) AS base FROM h),
+s AS (SELECT suffix, (sum(k) + 10.0 * any_value(base)) / (sum(n) + 10.0) AS rate1 FROM h, t GROUP BY suffix),
+d AS (SELECT h.domain, h.suffix, (sum(k) + 10.0 * any_value(rate1)) / (sum(n) + 10.0) AS rate2 FROM h JOIN s USING (suffix) GROUP BY h.domain, h.suffix),
+r AS (SELECT host, n, (k + 10.0 * rate2) / (n + 10.0) AS rate, base FROM h JOIN d USING (domain, suffix), t),
+v AS (SELECT host, n > 0 AND rate + 1.645 * sqrt(rate * (1 - rate) / (n + 11.0)) < 0.5 * base AS bad FROM r),
+rules(verdict, rule) AS (VALUES ('allow', 'org/'), ('block', 'example.org/es/'), ('block', 'example.org/en/1'), ('allow', 'com/fr/'), ('block', 'com/de/')),
+f AS (SELECT DISTINCT host, path, arg_max(struct_pack(rule := rule, verdict := verdict), length(rule)) OVER (PARTITION BY host, path) AS best
+        FROM (SELECT DISTINCT host, path FROM p) x, rules
+        WHERE (host = string_split(rule, '/')[1] OR ends_with(host, '.' || string_split(rule, '/')[1])) AND starts_with(path, substr(rule, strpos(rule, '/'))))
+SELECT p.page_id, p.host, p.path, best.rule AS rule, coalesce(best.verdict, CASE WHEN bad THEN 'block' ELSE 'allow' END) AS verdict
+FROM p JOIN v USING (host) LEFT JOIN f ON f.host = p.host AND f.path = p.path""",
+}

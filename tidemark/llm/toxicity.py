@@ -4,20 +4,20 @@ Learning (labelled rows only, bounded samples): a word, or a stem (a word beginn
 share), enters the lexicon if documents labelled toxic hold it far more often than others. The
 lexicon is a trie; a Levenshtein automaton (``edits_for`` errors) runs along it, and the pair is
 made one deterministic table: a word goes through it character by character and ends with the
-closest entry, or dies after a few characters as nearly all words do. How likely a toxic label is
-after a hit, by entry and by number of errors, is counted on the same sample, so that a misspelling
-that also is an ordinary word weighs nothing.
+closest entry, or dies after a few characters as nearly all words do. How much a hit weighs, by
+entry and by number of errors, is the log ratio of its counts in the two samples, so a misspelling
+that also is an ordinary word weighs nothing. A logistic curve turns summed weights into a score.
 
-Scoring: the hits of a whole text are weighed by their context. A hit within quotation marks or
-after a reporting word is quotation and weighs ``QUOTED`` of its own; one next to an address
-(second person) weighs as two. The score is the noisy-or of the distinct hits over a base rate.
+Scoring: the distinct hit words of a whole text are weighed by their context. A hit within quotation
+marks or after a reporting word is quotation and weighs ``QUOTED`` of its own; one next to an
+address (second person) weighs ``ADDRESSED`` times.
 
 All words of a slice of documents step through the table together in numpy; texts are scored whole.
 The model is a few hundred entries and a table of a few thousand states: its size does not depend on
 the corpus. Lexicon counts run in Spark on the sample; the driver sees only the entries.
 
-Defined cases: null and empty texts score the base. No labelled rows, or none of a class: an empty
-lexicon, every score is the base. Repeated labels of a document: the highest counts. Null labels or
+Defined cases: null and empty texts score as texts without a hit. No labelled rows, or none of a
+class: an empty lexicon, every score is BASE. Repeated labels of a document: the highest counts. Null labels or
 ids teach nothing. Extra columns pass through untouched.
 """
 
@@ -37,12 +37,14 @@ from tidemark.llm.common import slices, staged
 #: Labelled documents that teach, of each class, first by hash of their id.
 SAMPLE_TOXIC, SAMPLE_CLEAN = 2000, 4000
 #: An entry is in at least this share of the toxic sample (and LEAST documents) and is toxic this surely.
-SHARE, LEAST, SURE = 0.04, 5, 0.98
-STEM_LENGTHS = (4, 5, 6)
+SHARE, LEAST, SURE = 0.03, 5, 0.9
+STEM_LENGTHS = (4, 5, 6, 7, 8)
 STEM_WORDS = 4
 MAX_ENTRIES = 300
 BASE = 0.01
-QUOTED = 0.3
+QUOTED, ADDRESSED = 0.3, 1.5
+#: A misspelling that the samples never met weighs this share of the entry itself, by errors; and the most that any weighs.
+UNSEEN, MOST = (1.0, 0.8, 0.5), 8.0
 WINDOW = 60
 # Words and marks of quotation and address.
 REPORTING = frozenset("said says called quote quoted quotes word term phrase insult wrote reported".split())
@@ -188,26 +190,43 @@ def context(text: str, a: int, b: int) -> tuple[bool, bool]:
 class Model:
     entries: list[tuple[str, bool]]
     automaton: Automaton | None
-    weight: dict[int, float]  # by code: probability of a toxic label after such a hit
+    weight: dict[int, float]  # of a distinct hit word, by code
+    curve: tuple[float, float] = (0.0, float(np.log(BASE / (1 - BASE))))
 
-    def scores(self, texts: list[str]) -> np.ndarray:
-        clean = np.full(len(texts), 1 - BASE)
+    def evidence(self, texts: list[str]) -> np.ndarray:
+        total = np.zeros(len(texts))
         if self.automaton is None:
-            return 1 - clean
-        seen: dict[tuple[int, int], float] = {}
+            return total
+        seen: dict[tuple[int, str], float] = {}
         for i, a, b, code in zip(*(x.tolist() for x in hits_of(texts, self.automaton))):
-            p = self.weight.get(code, 0.0)
-            if p < 1e-3:
-                continue
-            had = seen.get((i, code), 0.0)
-            if had >= 1 - (1 - p) ** 2:
+            w = self.weight[code]
+            key = (i, texts[i][a:b].lower())
+            if w <= 0 or seen.get(key, 0) >= w * ADDRESSED:
                 continue
             quoted, addressed = context(texts[i], a, b)
-            p = p * QUOTED if quoted else 1 - (1 - p) ** 2 if addressed else p
-            seen[i, code] = max(had, p)
-        for (i, _), p in seen.items():
-            clean[i] *= 1 - p
-        return 1 - clean
+            seen[key] = max(seen.get(key, 0), w * QUOTED if quoted else w * ADDRESSED if addressed else w)
+        for (i, _), w in sorted(seen.items()):
+            total[i] += w
+        return total
+
+    def scores(self, texts: list[str]) -> np.ndarray:
+        a, b = self.curve
+        return 1 / (1 + np.exp(-np.clip(a * self.evidence(texts) + b, -30, 30)))
+
+
+def fit_curve(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float, float]:
+    """Logistic regression on one feature by Newton's method, lightly regularised; slope not below 0."""
+    a, b = 0.1, 0.0
+    for _ in range(50):
+        p = 1 / (1 + np.exp(-np.clip(a * x + b, -30, 30)))
+        r, g = weight * (p - y), weight * p * (1 - p)
+        grad = np.array([(r * x).sum() + 1e-2 * a, r.sum() + 1e-2 * b])
+        hess = np.array([[(g * x * x).sum() + 1e-2, (g * x).sum()], [(g * x).sum(), g.sum() + 1e-2]])
+        step = np.linalg.solve(hess, grad)
+        a, b = a - np.clip(step[0], -1, 1), b - np.clip(step[1], -1, 1)
+        if np.abs(step).max() < 1e-9:
+            break
+    return max(float(a), 0.0), float(b)
 
 
 # -- learning -------------------------------------------------------------------
@@ -232,6 +251,7 @@ def learn(spark: SparkSession, docs: DataFrame, labels: DataFrame) -> Model:
     chosen = ids[0].unionByName(ids[1])  # at most SAMPLE_TOXIC + SAMPLE_CLEAN rows of two numbers
     sample = docs.where("text is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(chosen), "doc_id")
     sample = staged(spark, sample.select("text", "toxic").dropDuplicates(["text"]), "toxic-sample")
+    of_all = {r["toxic"]: r["count"] for r in marks.groupBy("toxic").count().collect()}
     n = {r["toxic"]: r["n"] for r in sample.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     n_toxic, n_clean = n.get(1, 0), n.get(0, 0)
     if not n_toxic or not n_clean:
@@ -250,25 +270,32 @@ def learn(spark: SparkSession, docs: DataFrame, labels: DataFrame) -> Model:
 
     def count(batches):
         for batch in slices(batches, "text"):
-            seen: Counter = Counter()
-            text, _, _, code = hits_of(batch.column(0).to_pylist(), automaton)
+            texts = batch.column(0).to_pylist()
+            text, start, end, code = hits_of(texts, automaton)
             toxic = batch.column(1).to_numpy()
-            for i, c in set(zip(text.tolist(), code.tolist())):
-                seen[c, int(toxic[i])] += 1
+            seen = Counter((c, int(toxic[i])) for i, c, _ in {(i, c, texts[i][a:b].lower()) for i, a, b, c in zip(*(x.tolist() for x in (text, start, end, code)))})
             yield pa.RecordBatch.from_arrays([pa.array([k[j] for k in seen], pa.int64()) for j in (0, 1)] + [pa.array(list(seen.values()), pa.int64())], names=["code", "toxic", "n"])
 
     met = sample.mapInArrow(count, "code long, toxic long, n long").groupBy("code", "toxic").agg(F.sum("n").alias("n")).collect()
-    t = Counter({r["code"]: r["n"] / n_toxic for r in met if r["toxic"]})
-    c = Counter({r["code"]: r["n"] / n_clean for r in met if not r["toxic"]})
-    unit = 1 / n_toxic + 1 / n_clean
+    t, c = ({r["code"]: r["n"] for r in met if r["toxic"] == k} for k in (1, 0))
     weight = {}
-    for e in range(3):  # entries lean on all hits with as many errors
-        every = [e * 1000 + i for i in range(len(entries))]
-        tt, cc = sum(t[x] for x in every), sum(c[x] for x in every)
-        prior = (tt + unit / 2) / (tt + cc + unit) if e else 0.95
-        for x in every:
-            weight[x] = (t[x] + unit * prior) / (t[x] + c[x] + unit)
-    return Model(entries, automaton, weight)
+    for code in (e * 1000 + i for e in range(3) for i in range(len(entries))):
+        if code in t or code in c:
+            weight[code] = min(float(np.log((t.get(code, 0) + 0.5) / (n_toxic + 1) * (n_clean + 1) / (c.get(code, 0) + 0.5))), MOST)
+        else:
+            weight[code] = UNSEEN[code // 1000] * weight.get(code % 1000, 0.0)
+    model = Model(entries, automaton, weight)
+
+    def weigh(batches):
+        for batch in slices(batches, "text"):
+            yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(model.evidence(batch.column(0).to_pylist()))], names=["toxic", "x"])
+
+    # Equal sums are one row, so what is collected is no larger than the sample and mostly far smaller.
+    found = sample.mapInArrow(weigh, "toxic int, x double").groupBy("toxic", F.round("x", 3).alias("x")).count().collect()
+    y, x, k = (np.array([float(r[j]) for r in found]) for j in range(3))
+    share = {k: of_all.get(k, 1) / max(n[k], 1) for k in (0, 1)}  # the sample holds the classes in other shares than the labels
+    model.curve = fit_curve(x, y, k * np.where(y == 1, share[1], share[0]))
+    return model
 
 
 def score(docs: DataFrame, model: Model, column: str = SCORE) -> DataFrame:
