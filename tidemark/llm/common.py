@@ -32,9 +32,11 @@ def partitions(spark: SparkSession) -> int:
 
 def staged(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once into the shared checkpoint folder and read it back: lineage ends at
-    files every executor can read, and later consumers do not repeat the work."""
+    files every executor can read, and later consumers do not repeat the work. The collection that
+    follows lets Spark's cleaner drop the shuffle files of what has been written."""
     path = os.path.join(ensure_checkpoint_dir(spark), f"{name}-{uuid.uuid4().hex}")
     df.write.parquet(path)
+    spark.sparkContext._jvm.System.gc()
     return spark.read.schema(df.schema).parquet(path)
 
 
