@@ -21,6 +21,9 @@ U64 = np.uint64
 SLICE_BYTES = 2 << 20
 
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -32,11 +35,15 @@ def partitions(spark: SparkSession) -> int:
 
 def staged(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once into the shared checkpoint folder and read it back: lineage ends at
-    files every executor can read, and later consumers do not repeat the work. The collection that
-    follows lets Spark's cleaner drop the shuffle files of what has been written."""
+    files every executor can read, and later consumers do not repeat the work. Shuffle files of
+    what has been written are dropped at once."""
     path = os.path.join(ensure_checkpoint_dir(spark), f"{name}-{uuid.uuid4().hex}")
-    df.write.parquet(path)
-    spark.sparkContext._jvm.System.gc()
+    before = spark.conf.get(_CLEANUP)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -7,10 +7,10 @@ gives each document its class, its component and the smallest doc_id reachable b
 1. Exchange (``sharing``): which shingles of a document occur elsewhere. The shingles that two
    documents have in common are among these, so a document with fewer shared shingles than
    ``threshold`` of its set has no partner and is settled. Nothing is approximated by this.
-2. Groups: what remains is sorted by min-hash and cut into blocks of at most ``BLOCK`` classes;
-   inside a block, classes that verify against a block leader form a group. Leaders go through
-   two more rounds with other min-hashes. A family of a million near copies thus shrinks to one
-   group set in three rounds of bounded blocks, without its pairs.
+2. Groups: what remains is sorted by min-hash and cut into blocks of at most ``BLOCK`` classes, whose
+   links a product of the block's token matrix gives; three rounds with different min-hashes. A
+   family of a million near copies mostly becomes one component here, in blocks, without its pairs.
+   A component, cut into parts of about ``BLOCK`` classes, is a group set of the matrix.
 3. Matrix: each group stores the union of its members' shingles. A class only queries groups of
    *other* components that share one of its prefix shingles (rarest first; a linked pair must
    share one). The group is opened only if ``|query n union| >= threshold * |query|`` and some
@@ -125,20 +125,41 @@ def overlap_of(a: np.ndarray, b: np.ndarray) -> int:
     return int((b[at] == a).sum())
 
 
+def overlaps(sets: list[np.ndarray], columns: int = 4096) -> np.ndarray:
+    """Sizes of all intersections of a bounded block of sets, by products of their token matrix."""
+    token, owner = np.concatenate(sets), np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+    order = np.argsort(token)
+    token, owner = token[order], owner[order]
+    new = np.append(True, token[1:] != token[:-1])
+    column = np.cumsum(new) - 1
+    common = np.bincount(column) > 1  # a token of one set meets nobody
+    kept = common[column]
+    column, owner = (np.cumsum(common) - 1)[column[kept]], owner[kept]
+    out = np.zeros((len(sets), len(sets)), np.int64)
+    for first in range(0, int(common.sum()), columns):
+        part = (column >= first) & (column < first + columns)
+        matrix = np.zeros((len(sets), columns), np.float32)
+        matrix[owner[part], column[part] - first] = 1
+        out += (matrix @ matrix.T).astype(np.int64)
+    return out
+
+
 def _group(sign: str, percent: int):
-    """Blocks of neighbouring rows with the same min-hash -> (class, leader)."""
+    """Blocks of neighbouring rows with the same min-hash -> (class, leader): the smallest class
+    that links inside the block reach."""
     def close(rows):
-        leaders, out = [], []
-        for name, n, blob in rows:
-            own = _tokens(blob)
-            for leader, m, other in leaders:
-                if 100 * min(n, m) >= percent * max(n, m) and linked(overlap_of(own, other), n, m, percent):
-                    out.append((name, leader))
+        names, n = np.array([r[0] for r in rows]), np.array([r[1] for r in rows])
+        leader = names.copy()
+        if len(rows) > 1:
+            both = overlaps([np.frombuffer(r[2], np.uint64) for r in rows])
+            link = linked(both, n[:, None], n[None, :], percent)
+            while True:  # smallest name along links, at most a block's length of rounds
+                low = np.where(link, leader[None, :], np.iinfo(np.int64).max).min(1)
+                low = np.minimum(low, leader)
+                if (low == leader).all():
                     break
-            else:
-                leaders.append((name, n, own))
-                out.append((name, name))
-        return pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], pa.int64()) for i in (0, 1)], names=["class", "leader"])
+                leader = low
+        return pa.RecordBatch.from_arrays([pa.array(names), pa.array(leader)], names=["class", "leader"])
 
     def run(batches):
         current, rows = None, []
@@ -204,16 +225,15 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, shingle_words: int = S
     every = staged(spark, shared_tokens(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), _extract(shingle_words), _finish(percent), _DOCS, parts), "jaccard-docs")
     classes = staged(spark, every.where("tokens is not null").select("class", F.col("n_shingles").alias("n"), "sign0", "sign1", "sign2", "tokens")
                      .dropDuplicates(["class"]), "jaccard-classes")
-    label = classes.select("class", F.col("class").alias("comp"))
-    rows = classes
+    led = None
     for r in range(ROUNDS):
-        sign = f"sign{r}"
-        led = (rows.select("class", "n", sign, "tokens").repartitionByRange(parts, sign, "n", "class").sortWithinPartitions(sign, "n", "class")
+        sign, then = f"sign{r}", f"sign{(r + 1) % ROUNDS}"
+        one = (classes.select("class", "n", sign, then, "tokens").repartitionByRange(parts, sign, then, "class").sortWithinPartitions(sign, then, "class")
                .mapInArrow(_group(sign, percent), "class long, leader long"))
-        led = staged(spark, led, "jaccard-groups")
-        label = label.join(led.select(F.col("class").alias("comp"), "leader"), "comp", "left").select("class", F.coalesce("leader", "comp").alias("comp"))
-        if r < ROUNDS - 1:
-            rows = rows.join(led.where("class = leader").select("class"), "class", "left_semi")
+        one = staged(spark, one.where("class <> leader"), "jaccard-groups")
+        led = one if led is None else led.unionByName(one)
+    roots = connected_components(spark, led.select(F.col("class").alias("a"), F.col("leader").alias("b")))
+    label = classes.select("class").join(roots.withColumnRenamed("node", "class"), "class", "left").select("class", F.coalesce("root", "class").alias("comp"))
     label = staged(spark, label, "jaccard-labels")
 
     sizes = label.groupBy("comp").agg(F.count("*").alias("size"))
