@@ -13,7 +13,7 @@ gives each document its class, its component and the smallest doc_id reachable b
    A component, cut into parts of about ``BLOCK`` classes, is a group set of the matrix.
 3. Matrix: each group stores the union of its members' shingles. A class only queries groups of
    *other* components that share one of its prefix shingles (rarest first; a linked pair must
-   share one). The group is opened only if ``|query n union| >= threshold * |query|`` and some
+   share one, with enough of both left behind it). The group is opened only if ``|query n union| >= threshold * |query|`` and some
    member's size fits; opened, the members are verified exactly.
 4. Components over the links found.
 
@@ -176,16 +176,18 @@ def _group(sign: str, percent: int):
 
 
 def _prefix(percent: int):
-    """Rows (token, class, comp) of the shingles of which a linked pair must share one."""
+    """Rows (token, rest, ...) of the shingles of which a linked pair must share one; ``rest``
+    counts the shingles from this one to the end of the order."""
     def run(batches):
         for batch in batches:
             names, comps, ns, blobs = (batch.column(batch.schema.get_field_index(c)).to_pylist() for c in ("class", "comp", "n", "tokens"))
             for name, comp, n, blob in zip(names, comps, ns, blobs):
                 own = np.frombuffer(blob, np.int64)
                 size = n - least_overlap(n, percent) + 1 - (n - len(own))  # unshared shingles come first and find nobody
-                own = own[:max(size, 0)]
-                if len(own):
-                    yield pa.RecordBatch.from_arrays([pa.array(own), pa.array(np.full(len(own), name)), pa.array(np.full(len(own), comp))], names=["token", "class", "comp"])
+                rest = len(own) - np.arange(max(min(size, len(own)), 0))
+                if len(rest):
+                    yield pa.RecordBatch.from_arrays([pa.array(own[:len(rest)]), pa.array(rest), *(pa.array(np.full(len(rest), x)) for x in (name, comp, n))],
+                                                     names=["token", "rest", "class", "comp", "n"])
     return run
 
 
@@ -239,13 +241,16 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, shingle_words: int = S
     sizes = label.groupBy("comp").agg(F.count("*").alias("size"))
     known = classes.join(label, "class").join(sizes, "comp").withColumn("block", F.pmod(F.xxhash64("class"), F.ceil(F.col("size") / BLOCK)).cast("long"))
     known = staged(spark, known.select("class", "n", "tokens", "comp", "size", "block"), "jaccard-known")
-    prefix = known.select("class", "comp", "n", "tokens").mapInArrow(_prefix(percent), "token long, class long, comp long")
+    prefix = known.select("class", "comp", "n", "tokens").mapInArrow(_prefix(percent), "token long, rest long, class long, comp long, n long")
     place = known.select("class", "size", "block")
     met = prefix.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("token")
     met = staged(spark, prefix.join(met, "token").join(place, "class"), "jaccard-prefix")
-    group = met.select("token", F.col("comp").alias("g_comp"), F.col("block").alias("g_block"), F.col("size").alias("g_size")).distinct()
-    asked = (met.select("token", "class", "comp", "size").join(group, "token")
-             .where("struct(size, comp) < struct(g_size, g_comp)").select("class", "g_comp", "g_block").distinct())
+    group = (met.groupBy("token", F.col("comp").alias("g_comp"), F.col("block").alias("g_block"))
+             .agg(F.first("size").alias("g_size"), F.max("rest").alias("g_rest"), F.min("n").alias("g_least"), F.max("n").alias("g_most")))
+    # At the first shingle that a pair shares, no more than what is left on either side can be common.
+    fits = (F.least("rest", "g_rest") * (100 + percent) >= percent * (F.col("n") + F.col("g_least"))) & (100 * F.col("g_most") >= percent * F.col("n")) & (100 * F.col("n") >= percent * F.col("g_least"))
+    asked = (met.select("token", "rest", "class", "comp", "size", "n").join(group, "token")
+             .where("struct(size, comp) < struct(g_size, g_comp)").where(fits).select("class", "g_comp", "g_block").distinct())
     wanted = asked.select(F.col("g_comp").alias("comp"), F.col("g_block").alias("block")).distinct()
     matrix = (known.select("comp", "block", "class", "n", "tokens").join(wanted, ["comp", "block"], "left_semi")
               .groupBy("comp", "block").applyInArrow(_matrix_row, "comp long, block long, token_union binary, members binary"))
