@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import read_table
 from tidemark.llm.jaccard import near_duplicates
 from tidemark.llm.packing import pack_documents
-from tidemark.llm import langid, mixing, reputation, toxicity
+from tidemark.llm import divergence, langid, mixing, reputation, toxicity
 from tidemark.llm.suffixes import remove_repeats
 
 
@@ -67,12 +67,17 @@ def op8_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(spark, read_table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
 
 
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality verdict on every document of `documents` by base rules and distribution divergence."""
+    return divergence.judge(spark, read_table(spark, sf_dir, "documents"))
+
+
 def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes of `documents` in 50-byte strings that a document of smaller id also holds, removed."""
     return remove_repeats(spark, read_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_packing, op2_language, op4_toxicity, op6_urls, op7_mixing, op8_jaccard, op10_suffix_dedup)}
+QUERIES = {f.__name__: f for f in (op1_packing, op2_language, op4_toxicity, op6_urls, op7_mixing, op8_jaccard, op9_quality, op10_suffix_dedup)}
 _PAGES = """SELECT page_id, translate(regexp_extract(coalesce(url, ''), '://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
     regexp_extract(coalesce(url, ''), '://[^/?#]*([^?#]*)', 1) AS path FROM pages"""
 
