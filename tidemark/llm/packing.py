@@ -23,6 +23,7 @@ table: empty result. Other columns are not read.
 
 from __future__ import annotations
 
+import unicodedata
 import zlib
 
 import numpy as np
@@ -35,7 +36,7 @@ from tidemark.llm.common import mix, slices
 SIZE = 2048
 END_ID = 1
 PACKER_ROWS = 4096
-WORD_CACHE = 400_000
+WORD_CACHE = 1_000_000
 PIECE = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, packer long"
 
 _LOADED: dict[str, "WordTokens"] = {}
@@ -55,6 +56,21 @@ class WordTokens:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(x.ids, "<u4").tobytes() for x in found]
 
+    def _word_ids(self, words: list[str]) -> list[bytes]:
+        """Ids of each word. Words of letters are one token run each, so many go into one call."""
+        out: dict[str, bytes] = {}
+        plain = [w for w in words if w.isalpha() and (w.isascii() or unicodedata.is_normalized("NFC", w))]
+        for at in range(0, len(plain), 256):
+            some = plain[at:at + 256]
+            found = self.tokenizer.encode(" ".join(some), add_special_tokens=False)
+            runs = np.array(found.word_ids, np.int64)
+            if len(runs) and runs[-1] + 1 == len(some):
+                ids, cuts = np.array(found.ids, "<u4").tobytes(), (4 * np.searchsorted(runs, np.arange(len(some) + 1))).tolist()
+                out.update((w, ids[a:b]) for w, a, b in zip(some, cuts, cuts[1:]))
+        rest = [w for w in words if w not in out]
+        out.update(zip(rest, self._ids(rest)))
+        return [out[w] for w in words]
+
     def _learn(self, words: set[bytes]) -> None:
         known = self.known
         if len(known) + len(words) > WORD_CACHE:
@@ -65,7 +81,7 @@ class WordTokens:
             if core and core != w and core[-1:].isalpha():
                 split[w] = (core, w[len(core):])
         need = list({x for p in split.values() for x in p if x not in known} | {w for w in words if w not in split})
-        for w, ids in zip(need, self._ids([w.decode() for w in need])):
+        for w, ids in zip(need, self._word_ids([w.decode() for w in need])):
             known[w] = ids
         for w, (core, rest) in split.items():
             known[w] = known[core] + known[rest]

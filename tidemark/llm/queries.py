@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import read_table
 from tidemark.llm.jaccard import near_duplicates
 from tidemark.llm.packing import pack_documents
-from tidemark.llm import divergence, langid, mixing, reputation, toxicity
+from tidemark.llm import divergence, langid, licences, mixing, reputation, toxicity
 from tidemark.llm.suffixes import remove_repeats
 
 
@@ -40,6 +40,11 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", toxicity.held_out().alias("held_out"), F.col(toxicity.SCORE).alias("score"), (F.col(toxicity.SCORE) >= 0.5).cast("int").alias("predicted"))
 
 
+def op5_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines and sentences of `documents` that match a licence notice."""
+    return licences.scan(read_table(spark, sf_dir, "documents"))
+
+
 def op6_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Verdict on every url of `pages`. A page's outcome is the label of the document that its path
     names by number: good if labelled of quality and not toxic."""
@@ -77,12 +82,13 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(spark, read_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_packing, op2_language, op4_toxicity, op6_urls, op7_mixing, op8_jaccard, op9_quality, op10_suffix_dedup)}
+QUERIES = {f.__name__: f for f in (op1_packing, op2_language, op4_toxicity, op5_licences, op6_urls, op7_mixing, op8_jaccard, op9_quality, op10_suffix_dedup)}
 _PAGES = """SELECT page_id, translate(regexp_extract(coalesce(url, ''), '://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
     regexp_extract(coalesce(url, ''), '://[^/?#]*([^?#]*)', 1) AS path FROM pages"""
 
 #: DuckDB SQL of the queries that SQL can express.
 SQL: dict[str, str] = {
+    "op5_licences": licences.scan_sql(),
     "op6_urls": f"""
 WITH p AS ({_PAGES}),
 marks AS (SELECT doc_id, min(CASE WHEN quality = 1 AND toxic = 0 THEN 1.0 WHEN quality IS NOT NULL AND toxic IS NOT NULL THEN 0.0 END) AS good FROM labels GROUP BY doc_id),
