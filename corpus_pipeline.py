@@ -1,10 +1,84 @@
-"""Corpus pipeline: documents -> clean, unique, mixed and packed training sequences."""
+"""Corpus pipeline: documents -> clean, unique, mixed and packed training sequences.
+
+Five stages, each a whole pass over what its predecessor kept:
+
+1. ``toxicity``: documents scored 0.5 or more go. Labels teach as in op4 (the held-out fold does not).
+2. ``near_duplicates``: of each component of the 5-word-shingle Jaccard join (0.75 or more) the document of
+   smallest id stays; documents without shingles are all kept.
+3. ``repeats``: bytes of 50-byte strings that a document of smaller id also holds are cut out (a
+   character that a cut goes through is dropped); n_chars is counted anew; a document that loses all
+   of its text goes.
+4. ``mixing``: documents are sampled to the target weights by source, language and topic.
+5. ``packing``: one row a piece of the packed sequences.
+
+All but the last return the columns of their input, extra ones included. A null doc_id is never
+removed as a duplicate. Null or empty texts are clean, unique and kept by the rate of their cell. An
+empty table gives empty results.
+"""
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from tidemark.llm import mixing, toxicity
+from tidemark.llm.common import read_table, staged
+from tidemark.llm.jaccard import near_duplicates
+from tidemark.llm.packing import pack_documents
+from tidemark.llm.queries import FRACTION, TARGETS, tokenizer_path
+from tidemark.llm.suffixes import LENGTH, repeated_spans
+
+#: SQL cannot express the stages; tests hold them against brute-force versions.
 ORACLE_SQL = None
-STAGES: list = []
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    labels = read_table(spark, sf_dir, "labels")
+    model = toxicity.learn(spark, docs.select("doc_id", "text"), labels.where(~toxicity.held_out()))
+    return toxicity.score(docs, model).where(F.col(toxicity.SCORE) < 0.5).drop(toxicity.SCORE)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    found = near_duplicates(spark, docs.select("doc_id", "text"))
+    stay = found.where("doc_id = component_id").select(F.col("doc_id").alias("__stay")).distinct()
+    kept = docs.join(stay, F.col("doc_id") == F.col("__stay")).drop("__stay")
+    # Rows that repeat an id are one document of its group: the smallest text stays.
+    first = Window.partitionBy("doc_id").orderBy(F.col("text").asc_nulls_last())
+    kept = kept.withColumn("__rank", F.row_number().over(first)).where("__rank = 1").drop("__rank")
+    return kept.unionByName(docs.where("doc_id is null"))
+
+
+def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    marks, cuts = repeated_spans(spark, docs.select("doc_id", "text"))
+    cuts = cuts.select(F.col("sha").alias("__sha"), F.col("cut_text").alias("__cut"))
+    # After the stage before, a text occurs once; a later exact copy (of an empty class, say) loses all.
+    copies = marks.where((F.col("doc_id") > F.col("first_id")) & (F.col("n_bytes") >= LENGTH)).select(F.col("doc_id").alias("__copy"), F.col("sha").alias("__copy_sha")).distinct()
+    sha = F.sha2(F.coalesce("text", F.lit("")), 256)
+    both = docs.withColumn("__key", F.when(F.col("doc_id").isNotNull(), sha)).join(cuts, F.col("__key") == F.col("__sha"), "left")
+    both = both.join(copies, (F.col("doc_id") == F.col("__copy")) & (F.col("__key") == F.col("__copy_sha")), "left")
+    left = F.when(F.col("__copy").isNotNull(), F.lit("")).otherwise(F.coalesce("__cut", "text"))
+    both = both.withColumn("__left", left).where((F.coalesce(F.col("text"), F.lit("")) == "") | (F.col("__left") != ""))
+    changed = F.col("__cut").isNotNull()
+    columns = [F.col("__left").alias("text") if c == "text"
+               else F.when(changed, F.length("__left").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")).alias("n_chars") if c == "n_chars"
+               else F.col(f"`{c}`") for c in docs.columns]
+    return both.select(*columns)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return mixing.mix(spark, docs, TARGETS, FRACTION).select(*docs.columns)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return pack_documents(spark, docs, tokenizer_path())
+
+
+STAGES = [("toxicity", drop_toxic), ("near_duplicates", drop_near_duplicates), ("repeats", cut_repeats), ("mixing", mix_sources), ("packing", pack)]
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over `documents`, each written to the shared folder and read again by the next."""
+    docs = read_table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = staged(spark, stage(spark, docs, sf_dir), f"pipeline-{name}")
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import read_table
 from tidemark.llm.jaccard import near_duplicates
 from tidemark.llm.packing import pack_documents
-from tidemark.llm import divergence, langid, licences, mixing, reputation, toxicity
+from tidemark.llm import divergence, langid, licences, mixing, neighbours, reputation, toxicity
 from tidemark.llm.suffixes import remove_repeats
 
 
@@ -32,6 +32,11 @@ def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(docs, model).select("doc_id", held.alias("held_out"), "lang_pred", "score")
 
 
+def op3_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest of every row of `embeddings` whose vec_id is divisible by 20, by inner product."""
+    return neighbours.nearest(spark, read_table(spark, sf_dir, "embeddings"))
+
+
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every whole text of `documents`, learnt from labelled rows outside the held-out fold."""
     docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
@@ -82,7 +87,7 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(spark, read_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_packing, op2_language, op4_toxicity, op5_licences, op6_urls, op7_mixing, op8_jaccard, op9_quality, op10_suffix_dedup)}
+QUERIES = {f.__name__: f for f in (op1_packing, op2_language, op3_neighbours, op4_toxicity, op5_licences, op6_urls, op7_mixing, op8_jaccard, op9_quality, op10_suffix_dedup)}
 _PAGES = """SELECT page_id, translate(regexp_extract(coalesce(url, ''), '://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
     regexp_extract(coalesce(url, ''), '://[^/?#]*([^?#]*)', 1) AS path FROM pages"""
 
