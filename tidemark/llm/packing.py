@@ -72,10 +72,7 @@ class WordTokens:
         return [out[w] for w in words]
 
     def _learn(self, words: set[bytes]) -> None:
-        known = self.known
-        if len(known) + len(words) > WORD_CACHE:
-            known.clear()
-        split = {}
+        known, split = self.known, {}
         for w in words:  # a letter before closing punctuation ends a token: both sides are learnt alone
             core = w.rstrip(b".,;:!?")
             if core and core != w and core[-1:].isalpha():
@@ -96,11 +93,11 @@ class WordTokens:
                 rows.append(data.lower().split())
         known = self.known
         new = {w for words in rows if words for w in words if w not in known}
+        if len(known) + len(new) > WORD_CACHE:  # start anew, with the words of this batch
+            known.clear()
+            new = {w for words in rows if words for w in words}
         if new:
-            size = len(known)
             self._learn(new)
-            if len(known) < size:  # started anew: learn what the cache held of this batch
-                self._learn({w for words in rows if words for w in words if w not in known})
         for text, words in zip(texts, rows):
             if words is None:
                 out.append(self._ids([text])[0])
