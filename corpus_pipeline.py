@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm import mixing, toxicity
-from tidemark.llm.common import read_table, staged
+from tidemark.llm.common import fresh, read_table, staged
 from tidemark.llm.jaccard import near_duplicates
 from tidemark.llm.packing import pack_documents
 from tidemark.llm.queries import FRACTION, TARGETS, tokenizer_path
@@ -35,38 +35,40 @@ ORACLE_SQL = None
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     labels = read_table(spark, sf_dir, "labels")
     model = toxicity.learn(spark, docs.select("doc_id", "text"), labels.where(~toxicity.held_out()))
-    return toxicity.score(docs, model).where(F.col(toxicity.SCORE) < 0.5).drop(toxicity.SCORE)
+    score, = fresh(docs.columns, toxicity.SCORE)
+    return toxicity.score(docs, model, score).where(F.col(score) < 0.5).drop(score)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    stay, rank = fresh(docs.columns, "__stay", "__rank")
     found = near_duplicates(spark, docs.select("doc_id", "text"))
-    stay = found.where("doc_id = component_id").select(F.col("doc_id").alias("__stay")).distinct()
-    kept = docs.join(stay, F.col("doc_id") == F.col("__stay")).drop("__stay")
+    ids = found.where("doc_id = component_id").select(F.col("doc_id").alias(stay)).distinct()
+    kept = docs.join(ids, F.col("doc_id") == F.col(stay)).drop(stay)
     # Rows that repeat an id are one document of its group: the smallest text stays.
     first = Window.partitionBy("doc_id").orderBy(F.col("text").asc_nulls_last())
-    kept = kept.withColumn("__rank", F.row_number().over(first)).where("__rank = 1").drop("__rank")
+    kept = kept.withColumn(rank, F.row_number().over(first)).where(F.col(rank) == 1).drop(rank)
     return kept.unionByName(docs.where("doc_id is null"))
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    key, sha, cut, copy, copy_sha, left = fresh(docs.columns, "__key", "__sha", "__cut", "__copy", "__copy_sha", "__left")
     marks, cuts = repeated_spans(spark, docs.select("doc_id", "text"))
-    cuts = cuts.select(F.col("sha").alias("__sha"), F.col("cut_text").alias("__cut"))
-    # After the stage before, a text occurs once; a later exact copy (of an empty class, say) loses all.
-    copies = marks.where((F.col("doc_id") > F.col("first_id")) & (F.col("n_bytes") >= LENGTH)).select(F.col("doc_id").alias("__copy"), F.col("sha").alias("__copy_sha")).distinct()
-    sha = F.sha2(F.coalesce("text", F.lit("")), 256)
-    both = docs.withColumn("__key", F.when(F.col("doc_id").isNotNull(), sha)).join(cuts, F.col("__key") == F.col("__sha"), "left")
-    both = both.join(copies, (F.col("doc_id") == F.col("__copy")) & (F.col("__key") == F.col("__copy_sha")), "left")
-    left = F.when(F.col("__copy").isNotNull(), F.lit("")).otherwise(F.coalesce("__cut", "text"))
-    both = both.withColumn("__left", left).where((F.coalesce(F.col("text"), F.lit("")) == "") | (F.col("__left") != ""))
-    changed = F.col("__cut").isNotNull()
-    columns = [F.col("__left").alias("text") if c == "text"
-               else F.when(changed, F.length("__left").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")).alias("n_chars") if c == "n_chars"
-               else F.col(f"`{c}`") for c in docs.columns]
-    return both.select(*columns)
+    cuts = cuts.select(F.col("sha").alias(sha), F.col("cut_text").alias(cut))
+    # The stage before leaves few exact copies (texts of white space alone, null ids): a later one loses all.
+    copies = marks.where((F.col("doc_id") > F.col("first_id")) & (F.col("n_bytes") >= LENGTH)).select(F.col("doc_id").alias(copy), F.col("sha").alias(copy_sha)).distinct()
+    whole = F.coalesce("text", F.lit(""))
+    both = docs.withColumn(key, F.when(F.col("doc_id").isNotNull(), F.sha2(whole, 256))).join(cuts, F.col(key) == F.col(sha), "left")
+    both = both.join(copies, (F.col("doc_id") == F.col(copy)) & (F.col(key) == F.col(copy_sha)), "left")
+    both = both.withColumn(left, F.when(F.col(copy).isNotNull(), F.lit("")).otherwise(F.coalesce(F.col(cut), F.col("text"))))
+    both = both.where((whole == "") | (F.col(left) != ""))
+    count = F.when(F.col(cut).isNotNull(), F.length(left).cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
+    change = {"text": F.col(left).alias("text"), "n_chars": count.alias("n_chars")}
+    return both.select(*(change.get(c, F.col(f"`{c}`")) for c in docs.columns))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return mixing.mix(spark, docs, TARGETS, FRACTION).select(*docs.columns)
+    mixed, = fresh(docs.columns, "__mix")
+    return mixing.mix(spark, docs, TARGETS, FRACTION, column=mixed).drop(mixed)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

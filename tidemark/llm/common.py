@@ -47,6 +47,16 @@ def staged(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def fresh(taken: list[str], *names: str) -> list[str]:
+    """The names, each with underscores added until it clashes with none of ``taken``."""
+    low, out = {c.lower() for c in taken}, []
+    for name in names:
+        while name.lower() in low:
+            name += "_"
+        out.append(name)
+    return out
+
+
 # -- documents as bytes ------------------------------------------------------
 
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:

@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import staged
+from tidemark.llm.common import fresh, staged
 
 KEYS = ("source", "lang", "topic")
 SWEEPS = 25
@@ -54,9 +54,8 @@ def target_table(cells: DataFrame, key: str, wanted: dict[str, float]) -> DataFr
         named = F.when(F.col(key) == name, F.lit(float(share))).otherwise(named)
     sums = cells.groupBy(key).agg(F.sum("held").alias("held")).where("held > 0").withColumn("named", named)
     every = Window.partitionBy()  # of the categories of one key
-    sums = sums.withColumns({"free": F.sum(F.when(F.col("named").isNull(), F.col("held"))).over(every), "used": F.sum("named").over(every)})
-    rest = F.greatest(F.lit(0.0), 1 - F.coalesce("used", F.lit(0.0)))
-    goal = F.coalesce(F.col("named"), F.col("held") / F.col("free") * rest)
+    sums = sums.withColumn("free", F.sum(F.when(F.col("named").isNull(), F.col("held"))).over(every))
+    goal = F.coalesce(F.col("named"), F.col("held") / F.col("free") * max(0.0, 1.0 - sum(wanted.values())))
     sums = sums.withColumn("goal", goal)
     return sums.select(key, (F.col("goal") / F.sum("goal").over(every)).alias(f"goal_{key}"))
 
@@ -101,12 +100,16 @@ def draw(doc_id: Column, text: Column, seed: int = SEED) -> Column:
     return F.pmod(key, F.lit(1 << 52)) / float(1 << 52)
 
 
-def mix(spark: SparkSession, docs: DataFrame, targets: dict[str, dict[str, float]], fraction: float | None = None, seed: int = SEED) -> DataFrame:
-    """``docs`` (with doc_id, text, source, lang) -> the rows sampled, all columns, and
-    ``__topic``, ``__tokens``, ``__rate``."""
-    keyed = docs.select(*docs.columns, F.coalesce("source", F.lit("")).alias("__source"), F.coalesce("lang", F.lit("")).alias("__lang"),
-                        topic_of(F.col("text")).alias("__topic"), tokens_of(F.col("text")).alias("__tokens"))
-    rates = sampling_rates(spark, keyed.select(F.col("__source").alias("source"), F.col("__lang").alias("lang"), F.col("__topic").alias("topic"), F.col("__tokens").alias("tokens")), targets, fraction)
-    rates = rates.select(*(F.col(k).alias(f"__{k}") for k in KEYS), F.col("rate").alias("__rate"))
-    met = keyed.join(rates, ["__source", "__lang", "__topic"], "left").withColumn("__rate", F.coalesce("__rate", F.lit(1.0)))
-    return met.where(draw(F.col("doc_id"), F.col("text"), seed) < F.col("__rate")).select(*docs.columns, "__topic", "__tokens", "__rate")
+def mix(spark: SparkSession, docs: DataFrame, targets: dict[str, dict[str, float]], fraction: float | None = None, seed: int = SEED, column: str = "__mix") -> DataFrame:
+    """``docs`` (with doc_id, text, source, lang) -> the rows sampled, all columns, and ``column``, a
+    struct of the document's topic, tokens and rate."""
+    names = ("source", "lang", "topic", "rate")
+    own, *cell = fresh([*docs.columns, column], "__cell", *(f"__cell_{k}" for k in names))
+    keyed = docs.withColumn(own, F.struct(F.coalesce("source", F.lit("")).alias("source"), F.coalesce("lang", F.lit("")).alias("lang"),
+                                          topic_of(F.col("text")).alias("topic"), tokens_of(F.col("text")).alias("tokens")))
+    rates = sampling_rates(spark, keyed.select(f"{own}.*"), targets, fraction).select(*(F.col(k).alias(c) for k, c in zip(names, cell)))
+    same = [F.col(f"{own}.{k}") == F.col(c) for k, c in zip(KEYS, cell)]
+    rate = F.coalesce(F.col(cell[3]), F.lit(1.0))
+    met = keyed.join(rates, same[0] & same[1] & same[2], "left")
+    met = met.where(draw(F.col("doc_id"), F.col("text"), seed) < rate)
+    return met.select(*(F.col(f"`{c}`") for c in docs.columns), F.struct(f"{own}.topic", f"{own}.tokens", rate.alias("rate")).alias(column))

@@ -69,7 +69,7 @@ FRACTION = 0.6
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """`documents` sampled to TARGETS by source, language and topic."""
     mixed = mixing.mix(spark, read_table(spark, sf_dir, "documents"), TARGETS, FRACTION)
-    return mixed.select("doc_id", "source", "lang", F.col("__topic").alias("topic"), F.col("__tokens").cast("long").alias("tokens"), F.col("__rate").alias("rate"))
+    return mixed.select("doc_id", "source", "lang", "__mix.topic", F.col("__mix.tokens").cast("long").alias("tokens"), "__mix.rate")
 
 
 def op8_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
