@@ -1,5 +1,7 @@
 """Hand-written micro-fixtures for edge cases."""
 
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -202,3 +204,30 @@ def test_scale_settings():
     s = scale_settings(100 * 10**12, executor_cores_total=8000)
     assert int(s["spark.sql.shuffle.partitions"]) == -(-100 * 10**12 // (256 << 20))
     assert int(scale_settings(10**6)["spark.sql.shuffle.partitions"]) == 200
+
+
+def test_line_order_over_files_and_splits(spark, scratch):
+    """A small first file and a large second one, read in many splits: positions follow the lines."""
+    from tidemark.schemas import LOGIN_EVENT
+    with open(os.path.join(scratch, "part-0.csv"), "w") as f:
+        f.writelines(f"{i},1.1.1.1,fail,{i}\n" for i in range(3))
+    with open(os.path.join(scratch, "part-1.csv"), "w") as f:
+        f.writelines(f"{i},1.1.1.1,fail,{i}\n" for i in range(3, 5000))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16k")
+    try:
+        df = read_delimited(spark, scratch, LOGIN_EVENT)
+        rows = df.select("user_id", "seq").orderBy("seq").collect()
+        assert [r["user_id"] for r in rows] == list(range(5000)) and len({r["seq"] for r in rows}) == 5000
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_bad_line_fails_whatever_columns_are_read(spark, scratch):
+    from tidemark.schemas import LOGIN_EVENT
+    with open(os.path.join(scratch, "a.csv"), "w") as f:
+        f.write("1,1.1.1.1,fail,5\nx,1.1.1.1,fail,y\n")
+    df = read_delimited(spark, scratch, LOGIN_EVENT, with_seq=False)
+    for read in (lambda: df.count(), lambda: df.groupBy("state").count().collect()):
+        with pytest.raises(Exception):
+            read()

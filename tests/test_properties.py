@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from conftest import SF_SMALL, fixture
 from tidemark import schemas
 from tidemark.operators import aggregates, detect, windows
-from tidemark.operators.ordered import hot_keys, number_bucket, time_bucket, with_neighbors
+from tidemark.operators.ordered import number_bucket, time_bucket, with_neighbors
 from tidemark.sources import tables
 from tidemark.sources.text import read_delimited
 
@@ -54,15 +54,11 @@ def _random_history(spark, n=3000, seed=7):
     return df.withColumn("ts", F.timestamp_seconds("s"))
 
 
-@pytest.mark.parametrize("bucket_seconds,max_key_rows", [(60, None), (3600, None), (86400, None),
-                                                         (600, 1000), (600, 1 << 21)])
-def test_with_neighbors_equals_plain_windows(spark, bucket_seconds, max_key_rows):
-    """None: every key bucketed; 1000: the hot user bucketed, others plain;
-    default: all plain."""
+@pytest.mark.parametrize("bucket_seconds", [60, 600, 3600, 86400])
+def test_with_neighbors_equals_plain_windows(spark, bucket_seconds):
     df = _random_history(spark)
     got = with_neighbors(df, ["user_id"], ["ts", "seq"], time_bucket("ts", bucket_seconds),
-                         lag=["v", "seq"], lead=["v", "seq"], ffill=["v"], prior_max=["s"],
-                         max_key_rows=max_key_rows)
+                         lag=["v", "seq"], lead=["v", "seq"], ffill=["v"], prior_max=["s"])
     w = Window.partitionBy("user_id").orderBy("ts", "seq")
     exp = df.select("user_id", "s", "seq", "v", "ts",
                     F.lag("v").over(w).alias("prev_v"), F.lag("seq").over(w).alias("prev_seq"),
@@ -103,8 +99,7 @@ def test_with_neighbors_null_keys(spark):
     df = spark.createDataFrame([(None, 1, 10), (None, 2, 20), (5, 3, 30), (None, 90000, 40)],
                                "user_id long, s long, v long").withColumn("ts", F.timestamp_seconds("s")) \
         .withColumn("seq", F.col("s"))
-    got = with_neighbors(df, ["user_id"], ["ts", "seq"], time_bucket("ts", 60), lag=["v"],
-                         max_key_rows=None)
+    got = with_neighbors(df, ["user_id"], ["ts", "seq"], time_bucket("ts", 60), lag=["v"])
     rows = sorted((r.s, r.prev_v) for r in got.collect())
     assert rows == [(1, None), (2, 10), (3, None), (90000, 20)]
 
@@ -112,7 +107,7 @@ def test_with_neighbors_null_keys(spark):
 def test_with_neighbors_bfill_and_count(spark):
     df = _random_history(spark)
     got = with_neighbors(df, ["user_id"], ["ts", "seq"], time_bucket("ts", 600), bfill=["v"],
-                         prior_count="rank", max_key_rows=None)
+                         prior_count="rank")
     w = Window.partitionBy("user_id").orderBy("ts", "seq")
     exp = df.select("user_id", "seq",
                     F.first("v", True).over(w.rowsBetween(0, Window.unboundedFollowing)).alias("bfill_v"),
@@ -120,18 +115,21 @@ def test_with_neighbors_bfill_and_count(spark):
     assert _rows(got.select("user_id", "seq", "bfill_v", "rank")) == _rows(exp)
 
 
-def test_hot_key_is_spread(spark):
-    """One user with 40% of the rows is spread over many partitions (a
-    per-user window would hold all of them in one task)."""
+@pytest.mark.parametrize("hot", [0, None])
+def test_hot_key_is_spread(spark, hot):
+    """One user (or the rows without one) with 40% of the rows is spread over many partitions, with
+    the neighbour column kept in the plan; a per-user window would hold all of them in one task."""
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
         df = _random_history(spark, n=6000)
-        assert (0,) in hot_keys(df, ["user_id"], max_key_rows=1500)
-        got = with_neighbors(df, ["user_id"], ["ts", "seq"], time_bucket("ts", 60), lag=["v"],
-                             max_key_rows=1500)
-        hot = got.filter("user_id = 0").groupBy(F.spark_partition_id().alias("p")).count().collect()
-        total = sum(r["count"] for r in hot)
-        assert len(hot) >= 6 and max(r["count"] for r in hot) < 0.3 * total
+        df = df.withColumn("user_id", F.when(F.col("user_id") != 0, F.col("user_id")).otherwise(F.lit(hot).cast("long")))
+        got = with_neighbors(df, ["user_id"], ["ts", "seq"], time_bucket("ts", 60), lag=["v", "seq"])
+        rows = got.where(F.col("user_id").eqNullSafe(F.lit(hot).cast("long")))
+        parts = (rows.groupBy(F.spark_partition_id().alias("p"))
+                 .agg(F.count("*").alias("n"), F.count("prev_seq").alias("with_prev")).collect())
+        total = sum(r["n"] for r in parts)
+        assert len(parts) >= 6 and max(r["n"] for r in parts) < 0.3 * total
+        assert sum(r["with_prev"] for r in parts) == total - 1
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
 
@@ -149,8 +147,7 @@ def test_sliding_hot_key_is_spread(spark):
 
 def test_with_neighbors_two_keys_split(spark):
     df = _random_history(spark).withColumn("g", (F.col("seq") % 2).cast("int"))
-    got = with_neighbors(df, ["user_id", "g"], ["ts", "seq"], time_bucket("ts", 600), lag=["v"],
-                         max_key_rows=500)
+    got = with_neighbors(df, ["user_id", "g"], ["ts", "seq"], time_bucket("ts", 600), lag=["v"])
     w = Window.partitionBy("user_id", "g").orderBy("ts", "seq")
     exp = df.select("seq", F.lag("v").over(w).alias("prev_v"))
     assert _rows(got.select("seq", "prev_v")) == _rows(exp)

@@ -1,26 +1,22 @@
-"""A third of all rows on one key: the detectors split it and stay exact."""
+"""A third of all rows on one key, or on no key at all: the detectors stay exact."""
 
+import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from conftest import SF_MID
-from tidemark.operators import detect, ordered
+from tidemark.operators import detect
 from tidemark.sources import tables
 
 
-def _skewed_logins(spark):
+def _skewed_logins(spark, hot=7):
     lg = tables.logins(tables.events(spark, SF_MID))
-    return lg.withColumn("user_id", F.when(F.col("seq") % 3 == 0, F.lit(7)).otherwise(F.col("user_id")))
+    return lg.withColumn("user_id", F.when(F.col("seq") % 3 == 0, F.lit(hot).cast("long")).otherwise(F.col("user_id")))
 
 
-def test_hot_user_detected(spark):
-    hot = ordered.hot_keys(_skewed_logins(spark), ["user_id"], max_key_rows=1000)
-    assert hot and hot[0] == (7,)
-
-
-def test_pairs_exact_under_skew(spark, monkeypatch):
-    lg = _skewed_logins(spark)
-    monkeypatch.setattr(ordered, "HOT_KEY_ROWS", 1000)
+@pytest.mark.parametrize("hot", [7, None])
+def test_pairs_exact_under_skew(spark, hot):
+    lg = _skewed_logins(spark, hot)
     got = detect.fail_pairs(lg, 6 * 3600).select("user_id", "first_fail_ts", "last_fail_ts")
     w = Window.partitionBy("user_id").orderBy("ts", "seq")
     plain = (lg.select("user_id", "state", "ts", F.lag("state").over(w).alias("ps"),
@@ -28,23 +24,25 @@ def test_pairs_exact_under_skew(spark, monkeypatch):
              .filter((F.col("state") == "fail") & (F.col("ps") == "fail")
                      & (F.unix_micros("ts") - F.unix_micros("pt") <= 6 * 3600 * 10**6))
              .select("user_id", F.col("pt").alias("first_fail_ts"), F.col("ts").alias("last_fail_ts")))
-    a = sorted(tuple(r) for r in got.collect())
-    b = sorted(tuple(r) for r in plain.collect())
-    assert a == b and any(r[0] == 7 for r in a)
+    a = sorted((tuple(r) for r in got.collect()), key=repr)
+    b = sorted((tuple(r) for r in plain.collect()), key=repr)
+    assert a == b and any(r[0] == hot for r in a)
 
 
-def test_bursts_exact_under_skew(spark, monkeypatch):
+def test_bursts_exact_under_skew(spark):
     lg = _skewed_logins(spark)
     base = sorted(tuple(r) for r in detect.fail_bursts(lg, 1200).collect())
-    monkeypatch.setattr(ordered, "HOT_KEY_ROWS", 1000)
     split = sorted(tuple(r) for r in detect.fail_bursts(lg, 1200, long_run_rows=8).collect())
     assert base == split and any(r[0] == 7 for r in base)
 
 
-def test_detectors_all_paths_agree(spark):
+def test_no_job_runs_while_a_detector_is_built(spark):
     lg = _skewed_logins(spark)
-    for fn in (lambda m: detect.fail_pairs(lg, 6 * 3600, max_key_rows=m),
-               lambda m: detect.fail_sequences(lg, 6 * 3600, max_key_rows=m),
-               lambda m: detect.fail_bursts(lg, 1200, max_key_rows=m)):
-        plain, split, bucketed = (sorted(tuple(r) for r in fn(m).collect()) for m in ("auto", 1000, None))
-        assert plain == split == bucketed
+    spark.sparkContext.setJobGroup("built", "built")
+    try:
+        detect.fail_pairs(lg, 6 * 3600)
+        detect.fail_sequences(lg, 6 * 3600)
+        detect.fail_sequences(lg, 6 * 3600, keyed=False)
+        assert not spark.sparkContext.statusTracker().getJobIdsForGroup("built")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)

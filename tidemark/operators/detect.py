@@ -8,9 +8,8 @@
 * ``fail_bursts``    - failure groups anchored at their first failure.
 * ``click_cap``      - per-day click cap with a single warning.
 
-Consecutive rows are found with ``with_neighbors``: a plain per-user
-window for ordinary users, (user, time bucket) partitions for users a
-sample shows to be heavy - so no key is ever forced into one task.
+Consecutive rows are found with ``with_neighbors``, in (user, time bucket)
+partitions - so no key is ever forced into one task.
 """
 
 from __future__ import annotations
@@ -25,7 +24,7 @@ from ..functions.text import (BURST_MESSAGE, CLICK_CAP_MESSAGE, PAIR_MESSAGE, SE
 from ..functions.time import MICROS_PER_SECOND, day_index, epoch_micros
 from .ordered import number_bucket, time_bucket, with_neighbors
 
-# A heavy key is windowed per bucket of this many seconds: its share of one
+# A key is windowed per bucket of this many seconds: its share of one
 # task is its rate times the bucket; its summary holds one row per touched
 # bucket. Pass a smaller bucket for very dense keys.
 DEFAULT_BUCKET_SECONDS = 60
@@ -45,8 +44,7 @@ def match_sequence(df: DataFrame, keys: Sequence[str], predicates: Sequence[Colu
                    within_s: float, inclusive: bool = False, order: str = "event",
                    bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
                    bucket_rows: int = DEFAULT_BUCKET_ROWS,
-                   arrival: Sequence[str] = ("seq",),
-                   max_key_rows: int | str | None = "auto") -> DataFrame:
+                   arrival: Sequence[str] = ("seq",)) -> DataFrame:
     """Rows ending a strict-contiguity match of ``predicates`` (p0 on the
     row k-1 places back, ..., p_{k-1} on this row) whose span from the
     first row is below ``within_s`` (or equal, with ``inclusive``).
@@ -66,7 +64,7 @@ def match_sequence(df: DataFrame, keys: Sequence[str], predicates: Sequence[Colu
     for i, p in enumerate(predicates[1:]):
         if i:  # later links read the previous link's output twice: materialise it
             x = x.checkpoint(eager=True)
-        x = with_neighbors(x, keys, order_cols, bucket, lag=carried, max_key_rows=max_key_rows)
+        x = with_neighbors(x, keys, order_cols, bucket, lag=carried)
         base = [c for c in x.columns if c not in carried and not c.startswith("prev_")]
         x = x.select(*base, (p & F.coalesce(F.col("prev__ok"), F.lit(False))).alias("_ok"),
                      *[F.col(f"prev_{c}").alias(c) for c in carried[1:]])
@@ -80,8 +78,7 @@ def match_sequence(df: DataFrame, keys: Sequence[str], predicates: Sequence[Colu
 def fail_pairs(logins: DataFrame, within_s: float = 2, max_fails: int = 2, order: str = "event",
                keys: Sequence[str] = ("user_id",), bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
                bucket_rows: int = DEFAULT_BUCKET_ROWS,
-               arrival: Sequence[str] = ("seq",),
-               max_key_rows: int | str | None = "auto") -> DataFrame:
+               arrival: Sequence[str] = ("seq",)) -> DataFrame:
     """Two consecutive failures of a user with last - first <= within.
 
     ``order='arrival'`` follows input order (``arrival`` columns, default
@@ -91,16 +88,14 @@ def fail_pairs(logins: DataFrame, within_s: float = 2, max_fails: int = 2, order
     """
     is_fail = F.col("state") == "fail"
     m = match_sequence(logins, keys, [is_fail, is_fail], within_s, inclusive=True, order=order,
-                       bucket_seconds=bucket_seconds, bucket_rows=bucket_rows, arrival=arrival,
-                       max_key_rows=max_key_rows)
+                       bucket_seconds=bucket_seconds, bucket_rows=bucket_rows, arrival=arrival)
     msg = PAIR_MESSAGE.format(max=max_fails, s=window_seconds_text(within_s))
     return m.select("user_id", F.col("first_ts").alias("first_fail_ts"),
                     F.col("ts").alias("last_fail_ts"), F.lit(msg).alias("warning_msg"))
 
 
 def fail_sequences(logins: DataFrame, within_s: float = 2, keyed: bool = True,
-                   bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
-                   max_key_rows: int | str | None = "auto") -> DataFrame:
+                   bucket_seconds: int = DEFAULT_BUCKET_SECONDS) -> DataFrame:
     """Pattern: a failure, then immediately a failure, span < within.
 
     ``keyed=False`` matches over the whole stream in event-time order, so
@@ -109,7 +104,7 @@ def fail_sequences(logins: DataFrame, within_s: float = 2, keyed: bool = True,
     is_fail = F.col("state") == "fail"
     keys = ["user_id"] if keyed else []
     m = match_sequence(logins, keys, [is_fail, is_fail], within_s, inclusive=False,
-                       bucket_seconds=bucket_seconds, max_key_rows=max_key_rows)
+                       bucket_seconds=bucket_seconds)
     msg = SEQUENCE_MESSAGE.format(s=window_seconds_text(within_s))
     return m.select(F.col("first_user").alias("user_id"), F.col("first_ts").alias("first_fail_ts"),
                     F.col("ts").alias("last_fail_ts"), F.lit(msg).alias("warning_msg"))
@@ -153,8 +148,7 @@ LONG_RUN_ROWS = 1 << 16
 
 def fail_bursts(logins: DataFrame, within_s: float = 2, min_fails: int = 2,
                 bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
-                long_run_rows: int = LONG_RUN_ROWS,
-                max_key_rows: int | str | None = "auto") -> DataFrame:
+                long_run_rows: int = LONG_RUN_ROWS) -> DataFrame:
     """Failure bursts per user in (ts, seq) order.
 
     The first failure at t0 opens a group; failures with ts <= t0 + within
@@ -176,7 +170,7 @@ def fail_bursts(logins: DataFrame, within_s: float = 2, min_fails: int = 2,
     within_us = int(round(within_s * MICROS_PER_SECOND))
     bucket = time_bucket("ts", bucket_seconds)
     x = with_neighbors(logins.select("user_id", "state", "ts", "seq"), ["user_id"], ["ts", "seq"],
-                       bucket, lag=["state", "ts"], lead=["state", "ts"], max_key_rows=max_key_rows)
+                       bucket, lag=["state", "ts"], lead=["state", "ts"])
     us = epoch_micros("ts")
     fails = x.filter(F.col("state") == "fail")
     starts = (F.col("prev_state").isNull() | (F.col("prev_state") != "fail")
@@ -187,8 +181,7 @@ def fail_bursts(logins: DataFrame, within_s: float = 2, min_fails: int = 2,
     # their input more than once and must not recompute the earlier ones.
     fails = (fails.select("user_id", "ts", "seq", F.when(starts, F.col("seq")).alias("_start"),
                           end_success.alias("_end_success_us")).checkpoint(eager=True))
-    runs = with_neighbors(fails, ["user_id"], ["ts", "seq"], bucket, ffill=["_start"],
-                          max_key_rows=max_key_rows)
+    runs = with_neighbors(fails, ["user_id"], ["ts", "seq"], bucket, ffill=["_start"])
     runs = runs.select("user_id", "seq", "ts", us.alias("_us"), F.col("ffill__start").alias("_run"),
                        "_end_success_us")
 
@@ -214,7 +207,7 @@ def fail_bursts(logins: DataFrame, within_s: float = 2, min_fails: int = 2,
     if longest is not None:
         long_rows = runs.join(long_keys.select("user_id", "_run"), ["user_id", "_run"], "left_semi")
         groups = groups.unionByName(_long_run_groups(long_rows, within_us, min_fails, bucket_seconds,
-                                                     int(longest), max_key_rows))
+                                                     int(longest)))
     msg = F.format_string(BURST_MESSAGE.format(n="%d", s=window_seconds_text(within_s)),
                           F.col("fail_count"))
     return groups.select("user_id", F.timestamp_micros("first_us").alias("first_fail_ts"),
@@ -223,7 +216,7 @@ def fail_bursts(logins: DataFrame, within_s: float = 2, min_fails: int = 2,
 
 
 def _long_run_groups(runs: DataFrame, within_us: int, min_fails: int, bucket_seconds: int,
-                     longest: int, max_key_rows: int | str | None = "auto") -> DataFrame:
+                     longest: int) -> DataFrame:
     """Greedy anchoring of long runs without gathering a run anywhere.
 
     1. One neighbour pass: each failure's rank among its user's (long-run)
@@ -242,7 +235,7 @@ def _long_run_groups(runs: DataFrame, within_us: int, min_fails: int, bucket_sec
     """
     bucket = time_bucket("ts", bucket_seconds)
     x = with_neighbors(runs, ["user_id"], ["ts", "seq"], bucket, lag=["_us"], lead=["_run"],
-                       prior_count="_rank", max_key_rows=max_key_rows)
+                       prior_count="_rank")
     node_t = "struct<seq:bigint,run:bigint,rank:bigint,prev_us:bigint>"
     last_t = "struct<rank:bigint,us:bigint,cancel_us:bigint>"
     is_end = F.col("next__run").isNull() | (F.col("next__run") != F.col("_run"))
@@ -258,8 +251,7 @@ def _long_run_groups(runs: DataFrame, within_us: int, min_fails: int, bucket_sec
                       F.lit(None).cast("bigint").alias("_run"), F.lit(None).cast("bigint").alias("_rank"),
                       F.lit(None).cast(node_t).alias("_node"), F.lit(None).cast(last_t).alias("_runlast"))
     y = with_neighbors(actual.unionByName(probes), ["user_id"], ["ts", "_kind", "seq"],
-                       time_bucket("ts", bucket_seconds), bfill=["_node", "_runlast"],
-                       max_key_rows=max_key_rows)
+                       time_bucket("ts", bucket_seconds), bfill=["_node", "_runlast"])
     act = y.filter(F.col("_kind") == 0).select("user_id", "seq", "_us", "_run", "_rank",
                                                F.col("bfill__runlast").alias("_end"))
     prb = y.filter(F.col("_kind") == 1).select("user_id", "seq", F.col("bfill__node").alias("_nx"))

@@ -2,11 +2,8 @@
 
 A plain ``lag(x) over (partition by user order by ts)`` sends every row of
 a user to one task: a user holding a third of all rows stalls the job.
-``with_neighbors`` finds such heavy keys from a row sample (a short,
-bounded list) and only those take the split path; every other key keeps
-the single-shuffle plain window.
-
-The split path partitions by (keys, bucket), where ``bucket`` is a
+``with_neighbors`` partitions by (keys, bucket), for every key alike and
+null keys included, where ``bucket`` is a
 coarse, non-decreasing function of the order (a time bucket, or an
 arrival-number bucket). Inside a bucket the window functions run as
 usual; the rows at bucket edges are completed from a per-bucket summary
@@ -63,75 +60,12 @@ def _filler(dtype: T.DataType) -> Column:
     raise TypeError(f"with_neighbors keys must be atomic, got {dtype.simpleString()}")
 
 
-# A key estimated to hold more rows than this is split into buckets; other
-# keys take one plain window (a single shuffle, no summary).
-HOT_KEY_ROWS = 1 << 21
-SAMPLE_FRACTION = 0.01
-MAX_HOT_KEYS = 4096
-
-
-def hot_keys(df: DataFrame, keys: Sequence[str], max_key_rows: int = HOT_KEY_ROWS,
-             fraction: float = SAMPLE_FRACTION, limit: int = MAX_HOT_KEYS) -> list[tuple]:
-    """Keys estimated, from a row sample, to hold more than ``max_key_rows``
-    rows - the heaviest ``limit`` of them, so the list stays small enough
-    to ship as a literal. Keys not listed are still exact, only unsplit."""
-    need = max(1, int(max_key_rows * fraction))
-    sample = df.select(*keys).sample(fraction=fraction, seed=17) if fraction < 1 else df.select(*keys)
-    rows = (sample.groupBy(*keys).count().filter(F.col("count") >= need)
-            .orderBy(F.col("count").desc()).limit(limit).collect())
-    return [tuple(r[k] for k in keys) for r in rows]
-
-
 def with_neighbors(df: DataFrame, keys: Sequence[str], order: Sequence[str], bucket: Column,
                    lag: Sequence[str] = (), lead: Sequence[str] = (), ffill: Sequence[str] = (),
                    prior_max: Sequence[str] = (), bfill: Sequence[str] = (),
-                   prior_count: str | None = None,
-                   max_key_rows: int | str | None = "auto") -> DataFrame:
-    """Dispatch: keys estimated to be hot (see ``hot_keys``) take the
-    bucketed path, all other keys one plain window per key.
-    ``max_key_rows="auto"`` uses ``HOT_KEY_ROWS`` (read at call time),
-    ``None`` buckets every key; no keys (one global order) always buckets."""
-    keys = list(keys)
-    if max_key_rows == "auto":
-        max_key_rows = HOT_KEY_ROWS
-    spec = dict(lag=lag, lead=lead, ffill=ffill, prior_max=prior_max, bfill=bfill,
-                prior_count=prior_count)
-    if not keys or max_key_rows is None:
-        return _bucketed(df, keys, order, bucket, **spec)
-    hot = hot_keys(df, keys, max_key_rows)
-    if not hot:
-        return _plain(df, keys, order, **spec)
-    if len(keys) == 1:
-        is_hot = F.col(keys[0]).isin([h[0] for h in hot])
-    else:
-        types = [df.schema[k].dataType for k in keys]
-        is_hot = F.struct(*keys).isin([F.struct(*[F.lit(v).cast(t).alias(k)
-                                                  for k, t, v in zip(keys, types, h)])
-                                       for h in hot])
-    is_hot = F.coalesce(is_hot, F.lit(False))
-    return _plain(df.filter(~is_hot), keys, order, **spec).unionByName(
-        _bucketed(df.filter(is_hot), keys, order, bucket, **spec))
-
-
-def _plain(df: DataFrame, keys: Sequence[str], order: Sequence[str], lag=(), lead=(), ffill=(),
-           prior_max=(), bfill=(), prior_count=None) -> DataFrame:
-    w = Window.partitionBy(*keys).orderBy(*order)
-    cols = [F.lag(c).over(w).alias(f"prev_{c}") for c in lag]
-    cols += [F.lead(c).over(w).alias(f"next_{c}") for c in lead]
-    cols += [F.last(c, ignorenulls=True).over(w.rowsBetween(_UNB, 0)).alias(f"ffill_{c}")
-             for c in ffill]
-    cols += [F.max(c).over(w.rowsBetween(_UNB, -1)).alias(f"pmax_{c}") for c in prior_max]
-    cols += [F.first(c, ignorenulls=True).over(w.rowsBetween(0, _UNF)).alias(f"bfill_{c}")
-             for c in bfill]
-    if prior_count:
-        cols.append((F.row_number().over(w) - 1).cast("long").alias(prior_count))
-    return df.select("*", *cols)
-
-
-def _bucketed(df: DataFrame, keys: Sequence[str], order: Sequence[str], bucket: Column,
-              lag: Sequence[str] = (), lead: Sequence[str] = (), ffill: Sequence[str] = (),
-              prior_max: Sequence[str] = (), bfill: Sequence[str] = (),
-              prior_count: str | None = None) -> DataFrame:
+                   prior_count: str | None = None) -> DataFrame:
+    """``df`` with the neighbour columns asked for; no keys: one global order.
+    One plan for all keys; nothing runs while it is built."""
     keys, order = list(keys), list(order)
     # Null-free key columns (is-null flag + filled value): the windows and
     # the edge join then use the very same plain columns, so the join reuses

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -24,21 +24,30 @@ def read_delimited(spark: SparkSession, path: str, schema: T.StructType, sep: st
     named ones (e.g. the numbers of the behaviour log, keeping blanks in
     its text field): those are read as text, trimmed and cast, and a
     value that does not convert fails the job. ``seq`` is the line order of
-    the input (increasing across the partitions of an ordered file list),
+    the input (files by path; see ``with_line_order``),
     used as the arrival order and the tie-breaker of equal event times.
     """
-    if isinstance(trim, (list, tuple)):
-        text_schema = T.StructType([T.StructField(f.name, T.StringType()) if f.name in trim else f
-                                    for f in schema.fields])
-        raw = (spark.read.schema(text_schema).option("sep", sep).option("mode", "FAILFAST")
-               .csv(path))
-        df = raw.select(*[_strict_cast(F.trim(F.col(f.name)), f) if f.name in trim else F.col(f.name)
-                          for f in schema.fields])
-    else:
-        df = (spark.read.schema(schema).option("sep", sep).option("mode", "FAILFAST")
-              .option("ignoreLeadingWhiteSpace", trim).option("ignoreTrailingWhiteSpace", trim)
-              .csv(path))
-    return _typed(df, time_col, time_unit, with_seq)
+    raw = (spark.read.schema(_as_text(schema)).option("sep", sep).option("mode", "FAILFAST").option("columnPruning", False)
+           .option("ignoreLeadingWhiteSpace", trim is True).option("ignoreTrailingWhiteSpace", trim is True).csv(path))
+    return _typed(_checked(raw, schema, trim), time_col, time_unit, with_seq)
+
+
+def _as_text(schema: T.StructType) -> T.StructType:
+    return T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
+
+
+def _checked(raw: DataFrame, schema: T.StructType, trim: bool | list[str]) -> DataFrame:
+    """Text fields -> typed columns. A value that does not convert fails the job whatever columns
+    are read later: the check is a filter over all fields, and a filter is not pruned."""
+    named = trim if isinstance(trim, (list, tuple)) else []
+    text = {f.name: F.trim(F.col(f.name)) if f.name in named else F.col(f.name) for f in schema.fields}
+    good = F.lit(True)
+    for f in schema.fields:
+        if not isinstance(f.dataType, T.StringType):
+            good = good & (text[f.name].isNull() | text[f.name].try_cast(f.dataType).isNotNull())
+    line = F.concat_ws(" | ", *text.values())
+    kept = raw.filter(F.when(good, F.lit(True)).otherwise(F.raise_error(F.concat(F.lit("bad line: "), line)).cast("boolean")))
+    return kept.select(*[_strict_cast(text[f.name], f) for f in schema.fields])
 
 
 def _strict_cast(c, field: T.StructField):
@@ -73,20 +82,32 @@ def read_delimited_stream(spark: SparkSession, path: str, schema: T.StructType,
                           trim: bool = True, time_col: str | None = "ts_s", time_unit: str = "s",
                           max_files_per_trigger: int | None = None) -> DataFrame:
     """Streaming form of ``read_delimited`` over a folder of files."""
-    r = (spark.readStream.schema(schema).option("sep", sep).option("mode", "FAILFAST")
+    r = (spark.readStream.schema(_as_text(schema)).option("sep", sep).option("mode", "FAILFAST").option("columnPruning", False)
          .option("ignoreLeadingWhiteSpace", trim).option("ignoreTrailingWhiteSpace", trim))
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
-    return _typed(r.csv(path), time_col, time_unit, with_seq=False)
+    return _typed(_checked(r.csv(path), schema, trim), time_col, time_unit, with_seq=False)
 
 
 def _typed(df: DataFrame, time_col: str | None, unit: str, with_seq: bool) -> DataFrame:
     if time_col:
         conv = seconds_to_ts if unit == "s" else millis_to_ts
         df = df.withColumn("ts", conv(time_col))
-    if with_seq:
-        df = df.withColumn("seq", F.monotonically_increasing_id())
-    return df
+    return with_line_order(df, "seq") if with_seq else df
+
+
+def with_line_order(df: DataFrame, name: str) -> DataFrame:
+    """``df``, as read from text files, with the position of each line: files by path, then blocks
+    of a file by offset, then lines of a block. Spark's own row numbers follow the order of splits
+    (largest file first), so they only count within a block; the blocks - one row a split - are
+    numbered apart and joined back (a table that the planner broadcasts by its size)."""
+    mask = (1 << 33) - 1  # row number within a partition
+    keyed = df.select("*", F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at")).alias("_split"),
+                      F.monotonically_increasing_id().alias("_row"))
+    splits = df.select(F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at")).alias("_of")).distinct()
+    splits = splits.select("_of", (F.row_number().over(Window.orderBy("_of")) - 1).cast("long").alias("_place"))
+    return (keyed.join(splits, F.col("_split") == F.col("_of"))
+            .select(*df.columns, F.shiftleft("_place", 33).bitwiseOR(F.col("_row").bitwiseAND(F.lit(mask))).alias(name)))
 
 
 def parse_access_log(lines: DataFrame, tz: str = "+08:00", value: str = "value",
@@ -110,7 +131,7 @@ def parse_access_log(lines: DataFrame, tz: str = "+08:00", value: str = "value",
 
 def read_access_log(spark: SparkSession, path: str, tz: str = "+08:00") -> DataFrame:
     """Access-log text file(s); ``arrival`` is the line order."""
-    lines = spark.read.text(path).withColumn("arrival", F.monotonically_increasing_id())
+    lines = with_line_order(spark.read.text(path), "arrival")
     return parse_access_log(lines, tz)
 
 

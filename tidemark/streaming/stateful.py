@@ -215,55 +215,47 @@ CAP_SCHEMA = "user_id long, ad_id long, province string, us long, seq long, kind
 
 
 class ClickCapProcessor(StatefulProcessor):
-    """Per (user, ad): count clicks of the current event-time day; pass the
-    first max+1, warn once on the next, drop the rest. Rows of one batch
-    are taken in (ts, seq) order; state resets on a new day and is cleared
-    by a timer at the end of the day."""
+    """Per (user, ad, event-time day): pass the first max+1 clicks, warn once on the next, drop the
+    rest. Each day has a count of its own, so clicks of an earlier day that arrive late neither
+    reset nor use up another day's cap. Rows of one batch are taken in (ts, seq) order. The count is
+    kept for ``keep_s`` seconds of processing time after the day's last click."""
 
-    def __init__(self, max_clicks: int = 100):
+    def __init__(self, max_clicks: int = 100, keep_s: int = 2 * 86400):
         self.max_clicks = max_clicks
+        self.keep_ms = keep_s * 1000
         self.msg = CLICK_CAP_MESSAGE.format(max=max_clicks)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.day = handle.getValueState("day", "day long, n long")
+        self.count = handle.getValueState("count", "n long, until_ms long")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         pdf = pd.concat(list(rows), ignore_index=True).sort_values(["us", "seq"], kind="mergesort")
-        st = self.day.get() if self.day.exists() else None
-        out = []
-        for r in pdf.itertuples():
-            d = int(r.us) // US_PER_DAY
-            if st is None or st[0] != d:
-                st = (d, 0)
-                self.handle.registerTimer((d + 1) * US_PER_DAY // US_PER_MS)
-            n = st[1] + 1
-            st = (d, n)
-            if n <= self.max_clicks + 1:
-                out.append((int(key[0]), int(key[1]), r.province, int(r.us), int(r.seq), "pass", None))
-            elif n == self.max_clicks + 2:
-                out.append((int(key[0]), int(key[1]), r.province, int(r.us), int(r.seq), "warn",
-                            self.msg))
-        self.day.update(st)
-        if out:
-            yield pd.DataFrame(out, columns=["user_id", "ad_id", "province", "us", "seq", "kind", "msg"])
+        before = self.count.get()[0] if self.count.exists() else 0
+        n = before + 1 + pd.Series(range(len(pdf)), index=pdf.index)
+        until = timerValues.getCurrentProcessingTimeInMs() + self.keep_ms
+        self.count.update((before + len(pdf), until))
+        self.handle.registerTimer(until)
+        out = pdf.assign(kind="pass", msg=None)[n <= self.max_clicks + 2]
+        if len(out):
+            last = n[out.index] == self.max_clicks + 2
+            out.loc[last, "kind"], out.loc[last, "msg"] = "warn", self.msg
+            yield out.assign(user_id=key[0], ad_id=key[1])[["user_id", "ad_id", "province", "us", "seq", "kind", "msg"]]
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        if self.day.exists():
-            d, _ = self.day.get()
-            if (d + 1) * US_PER_DAY // US_PER_MS <= expiredTimerInfo.getExpiryTimeInMs():
-                self.day.clear()
+        if self.count.exists() and self.count.get()[1] <= expiredTimerInfo.getExpiryTimeInMs():
+            self.count.clear()
         return iter([])
 
     def close(self) -> None:
         pass
 
 
-def click_cap_stream(clicks: DataFrame, max_clicks: int = 100, delay: str = "0 seconds") -> DataFrame:
+def click_cap_stream(clicks: DataFrame, max_clicks: int = 100, keep_s: int = 2 * 86400) -> DataFrame:
     """Streaming D4: tagged rows (kind 'pass' / 'warn'); split them with
-    ``tidemark.streaming.sinks.split_by_kind``."""
-    src = (clicks.select("user_id", "ad_id", F.col("province").cast("string").alias("province"),
-                         "ts", F.unix_micros("ts").alias("us"), "seq")
-           .withWatermark("ts", delay))
-    return src.groupBy("user_id", "ad_id").transformWithStateInPandas(
-        ClickCapProcessor(max_clicks), CAP_SCHEMA, "append", "EventTime")
+    ``tidemark.streaming.sinks.split_by_kind``. No click is dropped as late."""
+    src = clicks.select("user_id", "ad_id", F.col("province").cast("string").alias("province"),
+                        F.unix_micros("ts").alias("us"), "seq",
+                        F.floor(F.unix_micros("ts") / US_PER_DAY).alias("day"))
+    return src.groupBy("user_id", "ad_id", "day").transformWithStateInPandas(
+        ClickCapProcessor(max_clicks, keep_s), CAP_SCHEMA, "append", "ProcessingTime")
