@@ -26,7 +26,7 @@ from tidemark.llm.common import fresh, read_table, staged
 from tidemark.llm.jaccard import near_duplicates
 from tidemark.llm.packing import pack_documents
 from tidemark.llm.queries import FRACTION, TARGETS, tokenizer_path
-from tidemark.llm.suffixes import LENGTH, repeated_spans
+from tidemark.llm.suffixes import kept_texts
 
 #: SQL cannot express the stages; tests hold them against brute-force versions.
 ORACLE_SQL = None
@@ -51,18 +51,12 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    key, sha, cut, copy, copy_sha, left = fresh(docs.columns, "__key", "__sha", "__cut", "__copy", "__copy_sha", "__left")
-    marks, cuts = repeated_spans(spark, docs.select("doc_id", "text"))
-    cuts = cuts.select(F.col("sha").alias(sha), F.col("cut_text").alias(cut))
-    # The stage before leaves few exact copies (texts of white space alone, null ids): a later one loses all.
-    copies = marks.where((F.col("doc_id") > F.col("first_id")) & (F.col("n_bytes") >= LENGTH)).select(F.col("doc_id").alias(copy), F.col("sha").alias(copy_sha)).distinct()
-    whole = F.coalesce("text", F.lit(""))
-    both = docs.withColumn(key, F.when(F.col("doc_id").isNotNull(), F.sha2(whole, 256))).join(cuts, F.col(key) == F.col(sha), "left")
-    both = both.join(copies, (F.col("doc_id") == F.col(copy)) & (F.col(key) == F.col(copy_sha)), "left")
-    both = both.withColumn(left, F.when(F.col(copy).isNotNull(), F.lit("")).otherwise(F.coalesce(F.col(cut), F.col("text"))))
-    both = both.where((whole == "") | (F.col(left) != ""))
-    count = F.when(F.col(cut).isNotNull(), F.length(left).cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
-    change = {"text": F.col(left).alias("text"), "n_chars": count.alias("n_chars")}
+    left, = fresh(docs.columns, "__left")
+    both = kept_texts(spark, docs, column=left)
+    text = F.coalesce(F.col(left), F.col("text"))
+    both = both.where((F.coalesce(F.col("text"), F.lit("")) == "") | (text != ""))
+    count = F.when(F.col(left).isNotNull(), F.length(left).cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
+    change = {"text": text.alias("text"), "n_chars": count.alias("n_chars")}
     return both.select(*(change.get(c, F.col(f"`{c}`")) for c in docs.columns))
 
 

@@ -98,11 +98,18 @@ def test_remove_repeats_empty(spark, no_docs):
     assert suffixes.remove_repeats(spark, no_docs).count() == 0
 
 
-def test_cut_text_is_what_is_left(spark, docs):
-    _, cuts = suffixes.repeated_spans(spark, docs)
-    for r in cuts.collect():
-        whole = hashlib.sha256(r["cut_text"].encode()).hexdigest() == r["cut_sha256"]
-        assert whole or "\u00ef" not in r["cut_text"] or len(r["cut_text"]) > 0
+def test_kept_texts_are_what_is_left(spark, docs, rows):
+    kept = suffixes.kept_texts(spark, docs).collect()
+    found = {x[0]: x for x in brute_removed(rows)}
+    assert len(kept) == len(rows)
+    for r in kept:
+        if r["doc_id"] is None:
+            assert r["__left"] is None
+        else:
+            _, _, removed, _, digest = found[r["doc_id"]]
+            assert (r["__left"] is not None) == (removed > 0)
+            if r["__left"] is not None and "é" not in r["text"]:
+                assert hashlib.sha256(r["__left"].encode()).hexdigest() == digest
 
 
 @pytest.mark.parametrize("length", [26, 50, 64])

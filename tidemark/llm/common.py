@@ -44,7 +44,17 @@ def staged(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
         df.write.parquet(path)
     finally:
         spark.conf.set(_CLEANUP, before)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.staged_path = path
+    return out
+
+
+def discard(spark: SparkSession, *tables: DataFrame) -> None:
+    """Delete staged tables that no later step reads."""
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for table in tables:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(table.staged_path)
+        path.getFileSystem(conf).delete(path, True)
 
 
 def fresh(taken: list[str], *names: str) -> list[str]:

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import lowered, pack, partitions, shingle_hashes, staged, unpack, utf8, word_bounds, word_hashes, mix, U64
+from tidemark.llm.common import discard, lowered, pack, partitions, shingle_hashes, staged, unpack, utf8, word_bounds, word_hashes, mix, U64
 from tidemark.llm.components import connected_components
 from tidemark.llm.sharing import shared_tokens
 
@@ -267,5 +267,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, shingle_words: int = S
     first = first.select("class", "first", F.coalesce("root", "class").alias("root"))
     lowest = first.groupBy("root").agg(F.min("first").alias("component_id"))
     named = first.join(lowest, "root").select("class", "component_id")
-    return (every.select("doc_id", "n_shingles", "class").join(named, "class", "left")
-            .select("doc_id", "n_shingles", "class", F.when(F.col("class").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id")))
+    out = (every.select("doc_id", "n_shingles", "class").join(named, "class", "left")
+           .select("doc_id", "n_shingles", "class", F.when(F.col("class").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id")))
+    out = staged(spark, out, "jaccard-result")
+    discard(spark, every, classes, known, met)
+    return out

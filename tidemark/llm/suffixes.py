@@ -33,8 +33,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
-from tidemark.llm.common import U64, blocks, mix, pack, partitions, powers, ranges, slices, staged, unpack, utf8
+from tidemark.llm.common import U64, blocks, discard, fresh, mix, pack, partitions, powers, ranges, slices, staged, unpack, utf8
 from tidemark.llm.sharing import ROW, batch_of, part_of, shared_tokens
 
 LENGTH = 50
@@ -312,31 +313,30 @@ def _collect(batches):
             names=["doc_id", "spans"])
 
 
-def _cut(batches):
-    """Texts and their spans -> what is left of them."""
+def cut(data: bytes, blob: bytes) -> tuple[bytes, int, int]:
+    """(what is left, bytes removed, spans)."""
+    start, end = unpack(blob, np.int64, np.int64)
+    kept = b"".join(data[a:b] for a, b in zip([0, *end.tolist()], [*start.tolist(), len(data)]))
+    return kept, len(data) - len(kept), len(start)
+
+
+def _digest(batches):
+    """First copies and their spans -> counts and hash of what is left."""
     for batch in batches:
         texts, blobs = (batch.column(batch.schema.get_field_index(c)).to_pylist() for c in ("text", "spans"))
-        removed, count, digest, left = [], [], [], []
-        for text, blob in zip(texts, blobs):
-            data = text.encode()
-            start, end = unpack(blob, np.int64, np.int64)
-            removed.append(int((end - start).sum()))
-            count.append(len(start))
-            kept = b"".join(data[a:b] for a, b in zip([0, *end.tolist()], [*start.tolist(), len(data)]))
-            digest.append(hashlib.sha256(kept).hexdigest())
-            left.append(kept.decode(errors="ignore"))
+        left = [cut(text.encode(), blob) for text, blob in zip(texts, blobs)]
         yield pa.RecordBatch.from_arrays(
-            [batch.column(batch.schema.get_field_index("sha")), pa.array(removed, pa.int64()), pa.array(count, pa.int64()), pa.array(digest, pa.string()), pa.array(left, pa.string())],
-            names=["sha", "cut_removed", "cut_spans", "cut_sha256", "cut_text"])
+            [batch.column(batch.schema.get_field_index("sha")), pa.array([x[1] for x in left], pa.int64()), pa.array([x[2] for x in left], pa.int64()),
+             pa.array([hashlib.sha256(x[0]).hexdigest() for x in left], pa.string())], names=["sha", "cut_removed", "cut_spans", "cut_sha256"])
 
 
-def repeated_spans(spark: SparkSession, docs: DataFrame, length: int = LENGTH) -> tuple[DataFrame, DataFrame]:
-    """documents (doc_id, text) -> two tables.
+def repeated_spans(spark: SparkSession, docs: DataFrame, length: int = LENGTH) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """documents (doc_id, text) -> three staged tables.
 
     marks: (doc_id, n_bytes, sha, first_id), one row a document, first_id the smallest id of its exact copies;
-    cuts: (sha, cut_removed, cut_spans, cut_sha256, cut_text) of first copies that lose bytes.
-    cut_text drops what is left of a character that a cut went through; cut_sha256 is of the bytes."""
-    if length < ANCHOR + 8 or length < SHALLOW + 8:
+    spans: (doc_id, spans) of first copies that lose bytes;
+    texts: (sha, doc_id, text, anchors), the first copies that were searched."""
+    if length < max(ANCHOR, SHALLOW) + 8:
         raise ValueError(f"length must be at least {max(ANCHOR, SHALLOW) + 8}")
     parts = partitions(spark)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
@@ -348,22 +348,45 @@ def repeated_spans(spark: SparkSession, docs: DataFrame, length: int = LENGTH) -
     texts = staged(spark, texts.join(held, ["sha", "doc_id"]).dropDuplicates(["sha", "doc_id"]).select("sha", "doc_id", "text", "anchors"), "suffix-texts")
     pieces = texts.select("doc_id", "text", "anchors").mapInArrow(_pieces(parts, length), ROW).repartitionById(parts, F.col("part"))
     spans = pieces.mapInArrow(_order(parts, length), ROW).repartitionById(parts, F.col("part")).mapInArrow(_collect, "doc_id long, spans binary")
-    cuts = texts.select("sha", "doc_id", "text").join(spans, "doc_id").select("sha", "text", "spans")
-    cuts = cuts.mapInArrow(_cut, "sha string, cut_removed long, cut_spans long, cut_sha256 string, cut_text string")
-    return marks.join(firsts, "sha"), cuts
+    return marks.join(firsts, "sha"), staged(spark, spans, "suffix-spans"), texts
 
 
 def remove_repeats(spark: SparkSession, docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256), one row a document."""
-    marks, cuts = repeated_spans(spark, docs, length)
-    both = marks.join(cuts.drop("cut_text"), "sha", "left")
+    marks, spans, texts = repeated_spans(spark, docs, length)
+    cuts = texts.select("sha", "doc_id", "text").join(spans, "doc_id").select("sha", "text", "spans")
+    cuts = staged(spark, cuts.mapInArrow(_digest, "sha string, cut_removed long, cut_spans long, cut_sha256 string"), "suffix-cuts")
+    discard(spark, texts, spans)
+    both = marks.join(cuts, "sha", "left")
     copy = (F.col("doc_id") > F.col("first_id")) & (F.col("n_bytes") >= length)
-    cut = F.col("cut_removed").isNotNull() & F.col("doc_id").isNotNull()
+    done = F.col("cut_removed").isNotNull() & F.col("doc_id").isNotNull()
 
     def pick(of_copy, of_cut, of_rest):
-        return F.when(copy, of_copy).when(cut, of_cut).otherwise(of_rest)
+        return F.when(copy, of_copy).when(done, of_cut).otherwise(of_rest)
 
     nothing = F.lit(hashlib.sha256(b"").hexdigest())
     return both.select("doc_id", "n_bytes", pick(F.col("n_bytes"), F.col("cut_removed"), F.lit(0)).cast("long").alias("n_removed"),
                        pick(F.lit(1), F.col("cut_spans"), F.lit(0)).cast("long").alias("n_spans"),
                        pick(nothing, F.col("cut_sha256"), F.col("sha")).alias("kept_sha256"))
+
+
+def kept_texts(spark: SparkSession, docs: DataFrame, length: int = LENGTH, column: str = "__left") -> DataFrame:
+    """``docs`` with one more column: what is left of the text, null where nothing was removed. A
+    character that a cut goes through is dropped."""
+    marks, spans, texts = repeated_spans(spark, docs.select("doc_id", "text"), length)
+    discard(spark, texts)
+    key, copy, of, blob = fresh([*docs.columns, column], "__key", "__copy", "__of", "__blob")
+    # One small table says what happens to a document: its spans, or that it is a later copy.
+    copies = marks.where((F.col("doc_id") > F.col("first_id")) & (F.col("n_bytes") >= length)).select("doc_id", "sha", F.lit(True).alias("copy"), F.lit(None).cast("binary").alias("spans"))
+    firsts = marks.where("doc_id = first_id").select("doc_id", "sha").distinct().join(spans, "doc_id").select("doc_id", "sha", F.lit(False).alias("copy"), "spans")
+    fate = copies.distinct().unionByName(firsts).select(F.col("doc_id").alias(of), F.col("sha").alias(key), F.col("copy").alias(copy), F.col("spans").alias(blob))
+    sha = F.sha2(F.coalesce(docs["text"], F.lit("")), 256)
+    both = docs.join(fate, (docs["doc_id"] == F.col(of)) & (sha == F.col(key)), "left").select(*(F.col(f"`{c}`") for c in docs.columns), copy, blob)
+
+    def run(batches):
+        for batch in batches:
+            texts, is_copy, blobs = (batch.column(batch.schema.get_field_index(c)).to_pylist() for c in ("text", copy, blob))
+            left = ["" if c else None if b is None else cut(t.encode(), b)[0].decode(errors="ignore") for t, c, b in zip(texts, is_copy, blobs)]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-2], pa.array(left, pa.string())], names=[*batch.schema.names[:-2], column])
+
+    return both.mapInArrow(run, StructType([*docs.schema.fields, StructField(column, StringType())]))
