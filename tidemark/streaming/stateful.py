@@ -217,45 +217,47 @@ CAP_SCHEMA = "user_id long, ad_id long, province string, us long, seq long, kind
 class ClickCapProcessor(StatefulProcessor):
     """Per (user, ad, event-time day): pass the first max+1 clicks, warn once on the next, drop the
     rest. Each day has a count of its own, so clicks of an earlier day that arrive late neither
-    reset nor use up another day's cap. Rows of one batch are taken in (ts, seq) order. The count is
-    kept for ``keep_s`` seconds of processing time after the day's last click."""
+    reset nor use up another day's cap. Rows of one batch are taken in (ts, seq) order. A timer
+    clears the count when the watermark passes the end of the day."""
 
-    def __init__(self, max_clicks: int = 100, keep_s: int = 2 * 86400):
+    def __init__(self, max_clicks: int = 100):
         self.max_clicks = max_clicks
-        self.keep_ms = keep_s * 1000
         self.msg = CLICK_CAP_MESSAGE.format(max=max_clicks)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.count = handle.getValueState("count", "n long, until_ms long")
+        self.count = handle.getValueState("count", "n long")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        pdf = pd.concat(list(rows), ignore_index=True).sort_values(["us", "seq"], kind="mergesort")
-        before = self.count.get()[0] if self.count.exists() else 0
-        n = before + 1 + pd.Series(range(len(pdf)), index=pdf.index)
-        until = timerValues.getCurrentProcessingTimeInMs() + self.keep_ms
-        self.count.update((before + len(pdf), until))
-        self.handle.registerTimer(until)
-        out = pdf.assign(kind="pass", msg=None)[n <= self.max_clicks + 2]
+        pdf = pd.concat(list(rows), ignore_index=True).sort_values(["us", "seq"], kind="mergesort", ignore_index=True)
+        if self.count.exists():
+            before = self.count.get()[0]
+        else:
+            before = 0
+            self.handle.registerTimer((int(key[2]) + 1) * US_PER_DAY // US_PER_MS)
+        self.count.update((before + len(pdf),))
+        n = before + 1 + pdf.index
+        out = pdf[n <= self.max_clicks + 2].assign(user_id=key[0], ad_id=key[1], kind="pass", msg=None)
         if len(out):
-            last = n[out.index] == self.max_clicks + 2
+            last = n[:len(out)] == self.max_clicks + 2
             out.loc[last, "kind"], out.loc[last, "msg"] = "warn", self.msg
-            yield out.assign(user_id=key[0], ad_id=key[1])[["user_id", "ad_id", "province", "us", "seq", "kind", "msg"]]
+            yield out[["user_id", "ad_id", "province", "us", "seq", "kind", "msg"]]
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        if self.count.exists() and self.count.get()[1] <= expiredTimerInfo.getExpiryTimeInMs():
-            self.count.clear()
+        self.count.clear()
         return iter([])
 
     def close(self) -> None:
         pass
 
 
-def click_cap_stream(clicks: DataFrame, max_clicks: int = 100, keep_s: int = 2 * 86400) -> DataFrame:
+def click_cap_stream(clicks: DataFrame, max_clicks: int = 100, delay: str = "1 day") -> DataFrame:
     """Streaming D4: tagged rows (kind 'pass' / 'warn'); split them with
-    ``tidemark.streaming.sinks.split_by_kind``. No click is dropped as late."""
-    src = clicks.select("user_id", "ad_id", F.col("province").cast("string").alias("province"),
-                        F.unix_micros("ts").alias("us"), "seq",
-                        F.floor(F.unix_micros("ts") / US_PER_DAY).alias("day"))
+    ``tidemark.streaming.sinks.split_by_kind``. Output does not wait for the watermark; ``delay``
+    only says how late a click may come before its day's count is gone."""
+    src = (clicks.select("user_id", "ad_id", F.col("province").cast("string").alias("province"),
+                         "ts", F.unix_micros("ts").alias("us"), "seq",
+                         F.floor(F.unix_micros("ts") / US_PER_DAY).alias("day"))
+           .withWatermark("ts", delay))
     return src.groupBy("user_id", "ad_id", "day").transformWithStateInPandas(
-        ClickCapProcessor(max_clicks, keep_s), CAP_SCHEMA, "append", "ProcessingTime")
+        ClickCapProcessor(max_clicks), CAP_SCHEMA, "append", "EventTime")
