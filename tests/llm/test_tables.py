@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tidemark.llm import mixing, neighbours, reputation
-from tidemark.llm.queries import QUERIES, SQL
+from tidemark.llm.queries import FRACTION, QUERIES, SQL, TARGETS
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -130,6 +130,19 @@ def test_mix_comes_near_its_targets(spark):
     assert abs(sum(r["count"] for r in got if r["source"] == "s0") / total - 0.2) < 0.03
 
 
+def test_unnamed_languages_keep_their_share(spark):
+    langs = ["en", "de", "fr", "es", None, "it"]
+    rows = [(i, f"some words of text {i % 10}", langs[i % 6], f"src{i // 6 % 4}") for i in range(6000)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    got = mixing.mix(spark, table, {"lang": TARGETS["lang"]}).groupBy("lang").count().collect()
+    kept = {r["lang"]: r["count"] for r in got}
+    total = sum(kept.values())
+    for lang, share in {None: 1 / 6, "it": 1 / 6, **{k: v * 4 / 6 for k, v in TARGETS["lang"].items()}}.items():
+        assert abs(kept.get(lang, 0) / total - share) < 0.03
+    registered = mixing.mix(spark, table, TARGETS, FRACTION).groupBy("lang").count().collect()
+    assert {r["lang"] for r in registered} == set(langs)
+
+
 def test_queries_equal_their_sql(spark):
     con = duckdb.connect()
     for name in ("documents", "pages", "labels"):

@@ -14,8 +14,9 @@ and a lost executor costs one sweep. Documents meet their cell's rate by a plain
 size, split where skewed).
 
 Defined cases: a null source or language is a category of its own ('' names it in targets). A
-category without a target keeps its natural share of what the named ones leave; a target without
-documents is left out and the others scaled up. Null or empty text has weight 0 and is kept by the
+category without a target keeps its natural share of what the named ones leave; where their targets
+add up to one or more they leave nothing to share, and then it keeps its natural share of the whole and
+the named ones mix the rest. A target without documents is left out and the others scaled up. Null or empty text has weight 0 and is kept by the
 rate of its cell; a cell of weight 0 has rate 1. A null doc_id draws by its text. Rows that repeat
 draw alike. Empty table: empty result. All columns pass through.
 """
@@ -30,6 +31,8 @@ from tidemark.llm.common import fresh, staged
 KEYS = ("source", "lang", "topic")
 SWEEPS = 25
 TOLERANCE = 1e-6
+#: Targets whose sum is short of one by no more leave nothing.
+ROUNDING = 1e-9
 SEED = 17
 
 
@@ -48,14 +51,21 @@ def tokens_of(text: Column) -> Column:
 def target_table(cells: DataFrame, key: str, wanted: dict[str, float]) -> DataFrame:
     """(key, goal): shares of the categories that occur, adding up to one.
 
-    Named categories get their share; the rest of the whole goes to the others by their natural weight."""
+    Named categories get their share; the rest of the whole goes to the others by their natural weight.
+    Where no rest is left, the others keep their natural share and the named ones mix what remains."""
     named = F.lit(None).cast("double")
     for name, share in wanted.items():
         named = F.when(F.col(key) == name, F.lit(float(share))).otherwise(named)
     sums = cells.groupBy(key).agg(F.sum("held").alias("held")).where("held > 0").withColumn("named", named)
     every = Window.partitionBy()  # of the categories of one key
     sums = sums.withColumn("free", F.sum(F.when(F.col("named").isNull(), F.col("held"))).over(every))
-    goal = F.coalesce(F.col("named"), F.col("held") / F.col("free") * max(0.0, 1.0 - sum(wanted.values())))
+    rest = 1.0 - sum(wanted.values())
+    if rest > ROUNDING:
+        goal = F.coalesce(F.col("named"), F.col("held") / F.col("free") * rest)
+    else:
+        whole, shares = F.sum("held").over(every), F.sum("named").over(every)
+        mixed = F.when(shares > 0, F.col("named") / shares * (1 - F.coalesce("free", F.lit(0.0)) / whole)).otherwise(0.0)
+        goal = F.when(F.col("named").isNotNull(), mixed).otherwise(F.col("held") / whole)
     sums = sums.withColumn("goal", goal)
     return sums.select(key, (F.col("goal") / F.sum("goal").over(every)).alias(f"goal_{key}"))
 
