@@ -143,6 +143,30 @@ def test_unnamed_languages_keep_their_share(spark):
     assert {r["lang"] for r in registered} == set(langs)
 
 
+def test_registered_mix_meets_its_targets_where_there_are_tokens(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    keyed = docs.select("source", "lang", mixing.topic_of(F.col("text")).alias("topic"), mixing.tokens_of(F.col("text")).alias("tokens"))
+    cells = [r.asDict() for r in mixing.sampling_rates(spark, keyed.fillna("", ["source", "lang"]), TARGETS, FRACTION).collect()]
+    held = sum(c["held"] for c in cells)
+    kept = sum(c["held"] * c["rate"] for c in cells)
+    assert kept / held == pytest.approx(FRACTION, abs=1e-3)
+    for key, wanted in TARGETS.items():
+        share = {x: sum(c["held"] * c["rate"] for c in cells if c[key] == x) / kept for x in wanted}
+        most = {x: sum(c["held"] for c in cells if c[key] == x) / held / FRACTION for x in wanted}
+        for x in wanted:  # the target, or all that the category holds
+            assert share[x] >= min(wanted[x], most[x]) - 2e-3
+    every = [c["rate"] for c in cells if c["source"] == "src0"]
+    assert every and min(every) == pytest.approx(1.0, abs=1e-3)  # holds less than its target
+
+
+def test_fill_stops_at_caps(spark):
+    rows = [("a", i, float(f), float(c)) for i, (f, c) in enumerate([(1, 1), (5, 2), (2, 9), (0, 3)])] + [("b", i, 1.0, 0.1) for i in range(3)]
+    table = spark.createDataFrame(rows, "g string, i int, v double, cap double")
+    got = mixing.fill(table, "v", F.lit(6.0), ["g"], ["i"]).orderBy("g", "i").collect()
+    assert [min(r["v"], r["cap"]) for r in got if r["g"] == "a"] == pytest.approx([1.0, 2.0, 3.0, 0.0])
+    assert [min(r["v"], r["cap"]) for r in got if r["g"] == "b"] == pytest.approx([0.1] * 3)
+
+
 def test_queries_equal_their_sql(spark):
     con = duckdb.connect()
     for name in ("documents", "pages", "labels"):

@@ -5,8 +5,11 @@ with a third of all rows is one row a task and cell. Raking then scales the cell
 until the sums by source, by language and by topic meet their targets. What a cell is to
 hold over what it holds is its calibrated sampling rate; a document stays if a hash of its id, as a
 number in [0, 1), is below its cell's rate. By default the rates are scaled so that the highest is
-one: the largest sample with exactly the mix. With ``fraction`` of the tokens asked for, a cell that
-would have to repeat documents gives all it has.
+one: the largest sample with exactly the mix. With ``fraction`` of the tokens asked for, no cell may
+give more than it has: that bound is part of the raking, so a cell that is used up stays at rate one
+and the others of its source, language and topic make up for it. A category that holds less than its
+target asks for gives all it has, and the others of its key take over the rest in the proportion of
+their targets. The fraction is kept; where the targets cannot all be met together, the topics are met.
 
 DataFrame operations only. The cells - one row for each combination that occurs - are raked by window
 sums over their three keys; each sweep is written to the shared folder, so that the plan stays short
@@ -48,11 +51,25 @@ def tokens_of(text: Column) -> Column:
     return F.ceil(F.coalesce(F.length(text), F.lit(0)) / 4).cast("double")
 
 
-def target_table(cells: DataFrame, key: str, wanted: dict[str, float]) -> DataFrame:
+def fill(table: DataFrame, free: str, goal: Column, keys: list[str], ties: list[str]) -> DataFrame:
+    """``free`` times the one factor of its group by which least(free, cap) adds up to ``goal``, or all caps if they are less.
+
+    The sum grows with the factor along straight lines, a new one whenever a row reaches its cap, and lies on
+    the lowest of them; so the factor is the largest at which one of the lines meets the goal."""
+    group, pull = Window.partitionBy(*keys), F.col(free) / F.col("cap")
+    before = group.orderBy(pull.desc(), *map(F.desc, ties)).rowsBetween(Window.unboundedPreceding, -1)
+    behind = group.orderBy(pull.asc(), *map(F.asc, ties)).rowsBetween(Window.unboundedPreceding, 0)
+    used_up, still = F.coalesce(F.sum("cap").over(before), F.lit(0.0)), F.sum(free).over(behind)
+    table = table.withColumn("__line", F.when(still > 0, (goal - used_up) / still))
+    return table.withColumn(free, F.col(free) * F.coalesce(F.max("__line").over(group), F.lit(0.0))).drop("__line")
+
+
+def target_table(cells: DataFrame, key: str, wanted: dict[str, float], fraction: float | None = None) -> DataFrame:
     """(key, goal): shares of the categories that occur, adding up to one.
 
     Named categories get their share; the rest of the whole goes to the others by their natural weight.
-    Where no rest is left, the others keep their natural share and the named ones mix what remains."""
+    Where no rest is left, the others keep their natural share and the named ones mix what remains.
+    With ``fraction`` a share is at most what the category holds."""
     named = F.lit(None).cast("double")
     for name, share in wanted.items():
         named = F.when(F.col(key) == name, F.lit(float(share))).otherwise(named)
@@ -67,27 +84,39 @@ def target_table(cells: DataFrame, key: str, wanted: dict[str, float]) -> DataFr
         mixed = F.when(shares > 0, F.col("named") / shares * (1 - F.coalesce("free", F.lit(0.0)) / whole)).otherwise(0.0)
         goal = F.when(F.col("named").isNotNull(), mixed).otherwise(F.col("held") / whole)
     sums = sums.withColumn("goal", goal)
-    return sums.select(key, (F.col("goal") / F.sum("goal").over(every)).alias(f"goal_{key}"))
+    goals = sums.select(key, (F.col("goal") / F.sum("goal").over(every)).alias(f"goal_{key}"), (F.col("held") / F.sum("held").over(every)).alias("held"))
+    if fraction is None:
+        return goals.drop("held")
+    goals = fill(goals.withColumn("cap", F.col("held") / fraction), f"goal_{key}", F.lit(1.0), [], [key])
+    return goals.select(key, F.least(f"goal_{key}", "cap").alias(f"goal_{key}"))
+
 
+def rake(spark: SparkSession, cells: DataFrame, targets: dict[str, dict[str, float]], sweeps: int = SWEEPS, tolerance: float = TOLERANCE, fraction: float | None = None) -> DataFrame:
+    """cells (source, lang, topic, held) -> with ``weight``, raked to the targets, total one.
 
-def rake(spark: SparkSession, cells: DataFrame, targets: dict[str, dict[str, float]], sweeps: int = SWEEPS, tolerance: float = TOLERANCE) -> DataFrame:
-    """cells (source, lang, topic, held) -> with ``weight``, raked to the targets, total one."""
+    With ``fraction`` a cell's weight is at most its part of the whole over ``fraction``."""
     now = cells.where("held > 0")
     for key in KEYS:
-        now = now.join(target_table(cells, key, targets.get(key, {})), key)
+        now = now.join(target_table(cells, key, targets.get(key, {}), fraction), key)
     now = now.withColumn("weight", F.col("held") / F.sum("held").over(Window.partitionBy()))
+    weight = F.col("weight")
+    if fraction is not None:
+        now, weight = now.withColumn("cap", F.col("weight") / fraction), F.least("weight", "cap")
     now = staged(spark, now.coalesce(1), "mixing-cells")
     for _ in range(sweeps):
         fitted = now
         for key in KEYS:
+            if fraction is not None:
+                fitted = fill(fitted, "weight", F.col(f"goal_{key}"), [key], list(KEYS))
+                continue
             share = F.sum("weight").over(Window.partitionBy(key))
             fitted = fitted.withColumn("weight", F.when(share > 0, F.col("weight") * F.col(f"goal_{key}") / share).otherwise(0.0))
         now = staged(spark, fitted.coalesce(1), "mixing-cells")
-        off = [now.groupBy(key).agg(F.abs(F.sum("weight") - F.first(f"goal_{key}")).alias("off")) for key in KEYS]
+        off = [now.groupBy(key).agg(F.abs(F.sum(weight) - F.first(f"goal_{key}")).alias("off")) for key in KEYS]
         worst = off[0].select("off").unionByName(off[1].select("off")).unionByName(off[2].select("off")).agg(F.max("off")).first()[0]
         if worst is None or worst <= tolerance:
             break
-    return now
+    return now.withColumn("weight", weight).drop("cap")
 
 
 def sampling_rates(spark: SparkSession, docs: DataFrame, targets: dict[str, dict[str, float]], fraction: float | None = None) -> DataFrame:
@@ -95,7 +124,7 @@ def sampling_rates(spark: SparkSession, docs: DataFrame, targets: dict[str, dict
 
     ``fraction``: share of all tokens to keep; by default as many as the exact mix allows."""
     cells = docs.groupBy(*KEYS).agg(F.sum("tokens").alias("held"))
-    raked = rake(spark, cells, targets)
+    raked = rake(spark, cells, targets, fraction=None if fraction is None else float(fraction))
     every = Window.partitionBy()
     ratio = F.col("weight") / (F.col("held") / F.sum("held").over(every))
     raked = raked.withColumn("ratio", ratio)
