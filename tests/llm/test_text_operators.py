@@ -227,6 +227,27 @@ def test_quality_verdicts(spark, no_docs):
     assert divergence.judge(spark, no_docs).count() == 0
 
 
+def test_common_words_are_counted_over_all_documents(spark):
+    rng = random.Random(4)
+    rows = [(i, " ".join(rng.choice("ABCDEFGH") + str(min(rng.randrange(30), rng.randrange(30))) for _ in range(20)), ["en", None][i % 2]) for i in range(2400)]
+    rows += [(i, "copy of one text " * 4, "en") for i in range(5000, 5900)] + [(None, "null\tId", "en"), (1, None, "de"), (2, "", "fr")]
+    table = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(5)
+    expected = {}
+    for _, text, lang in rows:
+        expected.setdefault(lang or "", Counter()).update((text or "").lower().split())
+    got = {r["lang"]: r["words"] for r in divergence.common_words(table).collect()}
+    assert got == {x: [w for w, _ in sorted(c.items(), key=lambda y: (-y[1], y[0]))[:divergence.COMMON]] for x, c in expected.items() if c}
+
+
+def test_every_language_has_a_word_histogram(spark):
+    rows = [(2 * i + j, " ".join([f"word{i}"] * (30 + 40 * j) + [f"other{i}"] * (70 - 40 * j)), f"lang{i:03d}") for i in range(80) for j in (0, 1)]
+    got = divergence.judge(spark, spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()
+    p, m = [.3, .7], [.5, .5]  # each language: 30 and 70 of two words, the other way round in its second text
+    mid = [(a + b) / 2 for a, b in zip(p, m)]
+    apart = math.sqrt(sum(a * math.log2(a / c) + b * math.log2(b / c) for a, b, c in zip(p, m, mid)) / 2)
+    assert len(got) == 160 and [r["word_distance"] for r in got] == pytest.approx([apart] * 160)
+
+
 def test_js_distance(spark):
     from pyspark.sql import functions as F
     one = spark.createDataFrame([([4, 0], [0, 4]), ([1, 1], [3, 3]), ([0, 0], [1, 2]), ([1, 3], [3, 1])], "a array<long>, b array<long>")

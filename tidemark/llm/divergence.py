@@ -6,11 +6,11 @@ words among the language's common words. The measure is the Jensen-Shannon dista
 Short texts have noisy histograms, so each distance counts only from a least length on
 (``LEAST_CHARS``, ``LEAST_WORDS``), and a text below both is judged by the base rules alone.
 
-The language references are sums over all documents of a language. Only the choice of the common words
-is fitted on a sample: the ``COMMON`` most frequent of ``SAMPLE_DOCS`` documents a language, first by hash of
-their id, for at most ``MAX_LANGUAGES`` languages (a document of another language has no common words
-and is compared by characters). Histograms are made in numpy passes over slices of documents and
-written once; sums, joins and distances are DataFrame expressions.
+The language references are sums over all documents of a language, and so is the choice of the common
+words: the ``COMMON`` most frequent of each language. Words are counted in a numpy pass that gives one
+row for each word of a slice, then by partial aggregation; a document meets its language's words by a
+plain join, so there may be any number of languages. Histograms are made in numpy passes over slices of
+documents and written once; sums, joins and distances are DataFrame expressions.
 
 Base rules: fewer than 50 words, or more than half of the words in repeated 3-word windows.
 
@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import blocks, lowered, mix, slices, staged, utf8, word_bounds, word_hashes, U64
 
-SAMPLE_DOCS, MAX_LANGUAGES, COMMON = 500, 64, 32
+COMMON = 32
 LEAST_CHARS, LEAST_WORDS = 200, 100
 MOST_CHAR_DISTANCE, MOST_WORD_DISTANCE = 0.25, 0.35
 LEAST_BASE_WORDS, MOST_REPEATED = 50, 50
@@ -48,21 +48,43 @@ _FEATURES = ("doc_id long, lang string, n_words long, word_chars long, n_symbols
              "chars array<long>, common array<long>")
 
 
-def common_words(docs: DataFrame) -> dict[str, list[str]]:
-    """The most frequent lower-cased words of a sample of each language."""
-    key = F.coalesce("lang", F.lit(""))
-    rows = docs.where("text is not null and doc_id is not null").select(key.alias("lang"), F.xxhash64("doc_id").alias("h"), F.col("doc_id").cast("long").alias("id"))
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy("h", "id"))
-    chosen = rows.withColumn("rank", rank).where(F.col("rank") <= SAMPLE_DOCS).orderBy("rank", "lang").limit(SAMPLE_DOCS * MAX_LANGUAGES).select("id").distinct()
-    sample = docs.join(F.broadcast(chosen), F.col("doc_id") == F.col("id"))  # at most SAMPLE_DOCS * MAX_LANGUAGES ids
-    words = sample.select(key.alias("lang"), F.explode(F.split(F.lower("text"), r"[\x20\x09-\x0D]+")).alias("w")).where("w <> ''")
-    counts = words.groupBy("lang", "w").count()
-    top = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("count"), "w"))
-    out: dict[str, list[str]] = {}
-    for r in counts.withColumn("top", top).where(F.col("top") <= COMMON).orderBy("top", "lang").limit(COMMON * MAX_LANGUAGES).collect():
-        if r["lang"] in out or len(out) < MAX_LANGUAGES:
-            out.setdefault(r["lang"], []).append(r["w"])
-    return out
+def languages_of(batch: pa.RecordBatch, column: str) -> tuple[np.ndarray, list[str], np.ndarray]:
+    """(language number of each row, languages, first row of each)."""
+    names = batch.column(batch.schema.get_field_index(column)).to_pylist()
+    first: dict[str, int] = {}
+    for i, x in enumerate(names):
+        first.setdefault(x, i)
+    number = {x: i for i, x in enumerate(first)}
+    return np.array([number[x] for x in names], np.int64), list(first), np.array(list(first.values()), np.int64)
+
+
+def _salts(n: int) -> np.ndarray:
+    """One 64-bit value a language of a slice, to tell its words from those of the others."""
+    return mix(np.arange(1, n + 1).astype(np.uint64))
+
+
+def _count_words(batches):
+    """(text, lang) -> (lang, w, n), one row for each language and lower-cased word of a slice."""
+    for batch in slices(batches, "text"):
+        data, offsets = utf8(batch.column(0))
+        data = lowered(data)
+        starts, ends, doc = word_bounds(data, offsets)
+        if not len(starts):
+            continue
+        lang, names, _ = languages_of(batch, "lang")
+        _, at, count = np.unique(word_hashes(data, starts, ends) ^ _salts(len(names))[lang[doc]], return_index=True, return_counts=True)
+        raw = data.tobytes()
+        words = [raw[a:b].decode() for a, b in zip(starts[at].tolist(), ends[at].tolist())]
+        yield pa.RecordBatch.from_arrays([pa.array([names[i] for i in lang[doc[at]].tolist()], pa.string()), pa.array(words, pa.string()), pa.array(count.astype(np.int64))], names=["lang", "w", "n"])
+
+
+def common_words(docs: DataFrame) -> DataFrame:
+    """documents (text, lang) -> (lang, words): the most frequent lower-cased words of each language, most frequent first."""
+    texts = docs.where("text is not null").select("text", F.coalesce("lang", F.lit("")).alias("lang"))
+    counts = texts.mapInArrow(_count_words, "lang string, w string, n long").groupBy("lang", "w").agg(F.sum("n").alias("n"))
+    top = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "w"))
+    best = counts.withColumn("top", top).where(F.col("top") <= COMMON)
+    return best.groupBy("lang").agg(F.sort_array(F.collect_list(F.struct("top", "w"))).alias("words")).select("lang", F.col("words.w").alias("words"))
 
 
 def dup_lines(text: str | None) -> int:
@@ -93,19 +115,20 @@ def repeat_words(words: np.ndarray, doc: np.ndarray, n_docs: int) -> np.ndarray:
     return np.bincount(doc[inside], minlength=n_docs)
 
 
-def _features(vocabulary: dict[str, list[str]]):
-    every = sorted({w for words in vocabulary.values() for w in words})
-    raw = [w.encode() for w in every]
-    ends = np.cumsum([len(w) for w in raw]) if raw else np.zeros(0, np.int64)
-    hashes = word_hashes(np.frombuffer(b"".join(raw), np.uint8), ends - np.array([len(w) for w in raw], np.int64), ends) if raw else np.zeros(0, np.uint64)
-    order = np.argsort(hashes)
-    known = hashes[order]
-    langs = {x: i for i, x in enumerate(vocabulary)}
-    place = np.full((len(langs) + 1, max(len(every), 1)), -1)  # language, word -> its place among the language's words
-    for lang, words in vocabulary.items():
-        for j, w in enumerate(words):
-            place[langs[lang], int(np.flatnonzero(order == every.index(w))[0])] = j
+def _known(names: list[str], words: list[list[str] | None]) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted salted hashes of the common words of a slice's languages, and each one's place among its language's words."""
+    raw = [w.encode() for x in words for w in x or ()]
+    if not raw:
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    lens = np.array([len(w) for w in raw], np.int64)
+    ends = np.cumsum(lens)
+    sizes = np.array([len(x or ()) for x in words], np.int64)
+    keys = word_hashes(np.frombuffer(b"".join(raw), np.uint8), ends - lens, ends) ^ np.repeat(_salts(len(names)), sizes)
+    order = np.argsort(keys)
+    return keys[order], (np.arange(len(raw)) - np.repeat(np.cumsum(sizes) - sizes, sizes))[order]
+
 
+def _features():
     def part(batch):
         data, offsets = utf8(batch.column(1))
         n = batch.num_rows
@@ -120,14 +143,13 @@ def _features(vocabulary: dict[str, list[str]]):
         word_chars = np.bincount(doc, points[ends] - points[starts], minlength=n).astype(np.int64)
         symbols = np.bincount(owner[_SYMBOL[data]], minlength=n)
         common = np.zeros((n, COMMON + 1), np.int64)
-        lang = np.array([langs.get(x or "", len(langs)) for x in batch.column(2).to_pylist()], np.int64)
+        lang, names, first = languages_of(batch, "lang")
+        known, place = _known(names, batch.column(3).take(pa.array(first)).to_pylist())
         if len(known) and len(words):
-            low = word_hashes(lowered(data), starts, ends)
+            low = word_hashes(lowered(data), starts, ends) ^ _salts(len(names))[lang[doc]]
             at = np.minimum(np.searchsorted(known, low), len(known) - 1)
             hit = np.flatnonzero(known[at] == low)
-            spot = place[lang[doc[hit]], at[hit]]
-            hit, spot = hit[spot >= 0], spot[spot >= 0]
-            np.add.at(common, (doc[hit], spot), 1)
+            np.add.at(common, (doc[hit], place[at[hit]]), 1)
         common[:, COMMON] = count - common.sum(1)
         lines = [dup_lines(x) for x in batch.column(1).to_pylist()]
         return count, word_chars, symbols, np.array(lines), repeat_words(words, doc, n), chars, common
@@ -158,9 +180,10 @@ def js_distance(a: Column, b: Column) -> Column:
 
 def judge(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """documents (doc_id, text, lang) -> base counts, distances and verdict, one row a document."""
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "lang")
-    features = staged(spark, docs.mapInArrow(_features(common_words(docs)), _FEATURES), "quality-features")
-    features = features.withColumn("lang", F.coalesce("lang", F.lit("")))
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.coalesce("lang", F.lit("")).alias("lang"))
+    vocabulary = staged(spark, common_words(docs), "quality-words")
+    met = docs.join(vocabulary, "lang", "left").select("doc_id", "text", "lang", "words")
+    features = staged(spark, met.mapInArrow(_features(), _FEATURES), "quality-features")
     summed = features.groupBy("lang").agg(F.array(*(F.sum(F.col("chars")[i]) for i in range(CLASSES))).alias("ref_chars"),
                                           F.array(*(F.sum(F.col("common")[i]) for i in range(COMMON + 1))).alias("ref_common"))
     both = features.join(summed, "lang")
