@@ -54,6 +54,28 @@ def test_neighbours_with_awkward_rows(spark):
     assert neighbours.nearest(spark, table.where("vec_id >= 200")).count() == 0
 
 
+@pytest.mark.parametrize("sigma", [0.3, 1.0])
+def test_recall_on_unequal_norms(spark, sigma):
+    rng = np.random.default_rng(12)
+    matrix = rng.normal(size=(2000, 64))
+    matrix *= (np.exp(sigma * rng.normal(size=2000)) / np.linalg.norm(matrix, axis=1))[:, None]
+    table = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(matrix)], "vec_id long, embedding array<double>")
+    got = {}
+    for r in neighbours.nearest(spark, table).collect():
+        got.setdefault(r["query_id"], set()).add(r["vec_id"])
+    expected = brute_nearest(np.arange(2000), matrix, 20, 20)
+    recall = np.mean([len(got[q] & {x for x, _ in v}) / 20 for q, v in expected.items()])
+    print("recall", sigma, recall)
+    assert recall >= 0.9
+
+
+def test_tied_scores_go_to_the_smallest_ids(spark):
+    rows = [(0, [1.0, 0.0, 0.0])] + [(i, [1.0, float(i), 0.0]) for i in range(1, 100) if i % 20] + [(i, [1.0, 0.0, float(i)]) for i in range(101, 120)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = [r["vec_id"] for r in neighbours.nearest(spark, table, k=5).where("query_id = 0").orderBy("rank").collect()]
+    assert got == [1, 2, 3, 4, 5]
+
+
 def test_closeness_is_the_footrule():
     rng = np.random.default_rng(0)
     q, d = (np.array([rng.permutation(30)[:6] for _ in range(n)], np.int16) for n in (5, 7))
