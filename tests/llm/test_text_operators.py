@@ -97,6 +97,41 @@ def test_parse_equals_brute_force():
     assert counts.tolist() == [[brute(t, trained[k] + " ") for k in model.languages] for t in texts]
 
 
+def test_alphabets_of_thousands_of_letters():
+    rng = random.Random(5)
+    samples = {x: "".join(chr(at + min(rng.randrange(900), rng.randrange(900))) for _ in range(6000)) for x, at in (("a", 0x4E00), ("b", 0x5200))}
+    model = langid.fit({k: [v] for k, v in samples.items()})
+    assert all(len(a.keys) for a in model.automata)
+    text = samples["a"][1000:1000 + langid.LANE] + samples["a"][50:60] + samples["b"][7:19]
+    counts, _ = model.phrases([text])
+
+    def brute(train):
+        n = 0
+        for at in range(0, len(text), langid.LANE):
+            lane, i = text[at:at + langid.LANE], 0
+            while i < len(lane):
+                k = 0
+                while i + k < len(lane) and lane[i:i + k + 1] in train:
+                    k += 1
+                i, n = i + max(k, 1), n + 1
+        return n
+
+    assert counts.tolist() == [[brute(samples[k] + " ") for k in "ab"]]
+
+
+def test_every_label_is_learnt(spark, monkeypatch):
+    rng = random.Random(6)
+    own = {f"l{i:02d}": ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(6)) for _ in range(30)] for i in range(70)}
+    rows = [(i, " ".join(rng.choice(w) for _ in range(60)), lang) for i, (lang, w) in enumerate(list(own.items()) * 2)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    learnt = langid.learn(spark, docs.where("doc_id < 70"))
+    assert learnt.languages == sorted(own)
+    got = sorted(map(tuple, langid.identify(docs, learnt).collect()))
+    assert [(x, lang) for x, lang, _ in got] == [(x, lang) for x, _, lang in rows]
+    monkeypatch.setattr(langid, "BLOCK_LANGUAGES", 100)
+    assert sorted(map(tuple, langid.identify(docs, learnt).collect())) == got  # blocks change nothing
+
+
 def test_identify_cases(spark, no_docs):
     rows = [(1, "der hund und die katze liegen in dem garten", "de"), (2, "the dog and the cat lie in the garden", "en"), (3, None, None), (4, "", "en"), (5, "123 !?", "en"),
             (6, "THE GARDEN AND THE DOG", None), (6, "THE GARDEN AND THE DOG", None), (None, "die katze und der garten", None)]
