@@ -7,7 +7,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as se
-from conftest import SF_SMALL
+from helpers import SF_SMALL
 from tidemark.sources.tables import TABLES
 
 

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from conftest import fixture
+from helpers import fixture
 from tidemark import schemas
 from tidemark.functions.time import format_local
 from tidemark.operators import detect, late, windows

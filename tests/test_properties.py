@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL, fixture
+from helpers import SF_SMALL, fixture
 from tidemark import schemas
 from tidemark.operators import aggregates, detect, windows
 from tidemark.operators.ordered import number_bucket, time_bucket, with_neighbors

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from conftest import SF_MID
+from helpers import SF_MID
 from tidemark.operators import detect
 from tidemark.sources import tables
 

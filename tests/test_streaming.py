@@ -6,7 +6,7 @@ import os
 
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL, fixture
+from helpers import SF_SMALL, fixture
 from tidemark.operators import aggregates, detect, windows
 from tidemark.operators import late as late_ops
 from tidemark.sources import tables
