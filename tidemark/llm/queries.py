@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import read_table
 from tidemark.llm.jaccard import near_duplicates
 from tidemark.llm.packing import pack_documents
-from tidemark.llm import divergence, langid, licences, mixing, neighbours, reputation, toxicity
+from tidemark.llm import divergence, importance, kernel, langid, licences, mixing, neighbours, reputation, runs, toxicity
 from tidemark.llm.suffixes import remove_repeats
 
 
@@ -87,7 +87,55 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(spark, read_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_packing, op2_language, op3_neighbours, op4_toxicity, op5_licences, op6_urls, op7_mixing, op8_jaccard, op9_quality, op10_suffix_dedup)}
+def recurring(doc_id, text):
+    """The text of op11: of the tenth of the ids whose CRC-32 h is divisible by ten, the words from word
+    g % n on repeat with period p, where g = h / 10; all others as they are."""
+    h = F.crc32(doc_id.cast("string").cast("binary"))
+    words = F.filter(F.split(text, r"[\x20\x09-\x0D]+"), lambda w: w != "")
+
+    def turned(w):
+        n, g = F.size(w), F.floor(h / 10)
+        a = (g % n).cast("int")
+        p = (1 + F.floor((n - a) / (3 + g % 8))).cast("int")
+        return F.array_join(F.concat(F.slice(w, F.lit(1), a), F.transform(F.sequence(F.lit(0), n - a - 1), lambda i: F.get(w, a + i % p))), " ")
+
+    # One element or none: the words are computed once.
+    changed = F.transform(F.filter(F.array(words), lambda w: F.size(w) > 0), turned)
+    return F.when(h % 10 == 0, F.coalesce(F.get(changed, F.lit(0)), F.lit(""))).otherwise(text)
+
+
+def op11_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of words of every whole text of `documents`, with the digests of all runs and of the text without them."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", recurring(F.col("doc_id"), F.col("text")).alias("text"))
+    found = runs.collapse_runs(docs)
+    ranked = F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("before"), (-r["period"]).alias("finer")))
+    best = F.array_max(ranked)
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    listed = F.concat(F.array_join(lines, "\n"), F.when(F.size("runs") > 0, F.lit("\n")).otherwise(""))
+    found = found.select("doc_id", F.size("runs").cast("long").alias("n_runs"), best.alias("best"), F.sha2(listed.cast("binary"), 256).alias("runs_sha256"),
+                         F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))
+    length, period = F.col("best.length"), -F.col("best.finer")
+    return found.select("doc_id", "n_runs", (-F.col("best.before")).alias("start"), length.alias("length"), period.alias("period"),
+                        F.floor(1000 * length / period).cast("long").alias("exponent_milli"), "runs_sha256", "collapsed_sha256")
+
+
+def op12_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every whole text of `documents`, learnt from labelled rows outside the held-out fold."""
+    docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
+    model = kernel.learn(spark, docs, labels.where(~toxicity.held_out()))
+    scored = kernel.score(docs.select("doc_id", "text"), model)
+    return scored.select("doc_id", toxicity.held_out().alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+def op13_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A tenth of `documents` of 20 words or more, drawn by how like `benchmark` they are; every document with its weight and rank."""
+    docs, target = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark")
+    drawn = importance.resample(spark, docs.select("doc_id", "text"), target.select("text"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+QUERIES = {f.__name__: f for f in (op1_packing, op2_language, op3_neighbours, op4_toxicity, op5_licences, op6_urls, op7_mixing, op8_jaccard, op9_quality, op10_suffix_dedup,
+                                  op11_runs, op12_classifier, op13_resampling)}
 _PAGES = """SELECT page_id, translate(regexp_extract(coalesce(url, ''), '://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
     regexp_extract(coalesce(url, ''), '://[^/?#]*([^?#]*)', 1) AS path FROM pages"""
 
