@@ -1,5 +1,6 @@
 """Neighbours, url reputation, mixing and the pipeline."""
 
+import hashlib
 import os
 from collections import Counter
 
@@ -9,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tidemark.llm import mixing, neighbours, reputation
+from tidemark.llm import mixing, neighbours, reputation, suffixes
 from tidemark.llm.queries import FRACTION, QUERIES, SQL, TARGETS
 
 SMALL = "/root/testdata/sf0.001"
@@ -191,7 +192,7 @@ def test_fill_stops_at_caps(spark):
 
 def test_queries_equal_their_sql(spark):
     con = duckdb.connect()
-    for name in ("documents", "pages", "labels"):
+    for name in ("documents", "pages", "labels", "benchmark"):
         con.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{os.path.join(SMALL, name)}.parquet')")
     for name, sql in SQL.items():
         rel = con.sql(sql)
@@ -225,6 +226,36 @@ def test_pipeline_stages(spark, docs, rows):
     assert corpus_pipeline.pack(spark, unique, SMALL).count() >= unique.count()
 
 
+def clashing_rows():
+    """Rows that share an id: different texts, a null, empty ones, near copies under one id, repeated rows."""
+    line = "a passage that several documents hold word for word, well over fifty bytes long"
+    near = " ".join(f"n{i}" for i in range(60))
+    rows = [(10, "first text of the id with words of its own one two three"), (10, "second text under the same id and nothing like the first"), (10, None), (10, ""), (10, ""),
+            (11, near), (11, near + " tail"), (12, near + " other"), (13, "only here " * 3 + line), (14, "x1 x2 " + line + " y1"), (14, "z1 " + line + " z2 z3 z4"),
+            (15, "alone on this id"), (15, "alone on this id"), (None, near), (None, line)]
+    return [(x, t, "en", f"s{i}", len(t or "")) for i, (x, t) in enumerate(rows)]
+
+
+def test_texts_under_one_id_are_documents_of_their_own(spark):
+    from test_duplicates import brute_removed
+    rows = clashing_rows()
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    unique = corpus_pipeline.drop_near_duplicates(spark, docs, SMALL).cache()
+    kept = Counter((r["doc_id"], r["text"]) for r in unique.collect())
+    assert unique.columns == docs.columns
+    assert kept == Counter({(10, rows[0][1]): 1, (10, rows[1][1]): 1, (10, None): 1, (10, ""): 2, (13, rows[8][1]): 1, (14, rows[9][1]): 1, (14, rows[10][1]): 1, (15, rows[11][1]): 1,
+                            (None, rows[13][1]): 1, (None, rows[14][1]): 1, **{(11, t): 1 for x, t in kept if x == 11}})
+    assert sum(n for (x, _), n in kept.items() if x == 11) == 1
+    got = suffixes.remove_repeats(spark, docs).collect()
+    assert sorted(map(tuple, got), key=repr) == brute_removed(rows)
+    cut = {(r["doc_id"], r["text"]): r["__left"] for r in suffixes.kept_texts(spark, docs).collect()}
+    for y, t, *_ in rows:
+        (x, n, removed, _, digest), = {r for r in brute_removed(rows) if r[0] == y and r[1] == len((t or "").encode()) and (r[2] or r[4] == hashlib.sha256((t or "").encode()).hexdigest())}
+        assert (cut[y, t] is not None) == (removed > 0) and (removed == 0 or hashlib.sha256(cut[y, t].encode()).hexdigest() == digest)
+    repeats = corpus_pipeline.cut_repeats(spark, docs, SMALL)
+    assert repeats.columns == docs.columns and sorted(len(r["text"] or "") for r in repeats.collect()) == sorted(n - g for _, n, g, _, _ in brute_removed(rows) if not n or g < n)
+
+
 def test_pipeline_runs(spark):
     got = corpus_pipeline.run(spark, SMALL).collect()
     room = Counter()

@@ -173,6 +173,31 @@ def noise(doc_id: Column, seed: int = SEED) -> Column:
     return F.floor(-1000 * F.log(-F.log((h + 0.5) / 4294967296.0)))
 
 
+def resample_sql(buckets: int = BUCKETS, least_words: int = LEAST_WORDS, percent: int = PERCENT, seed: int = SEED) -> str:
+    """The resampling by single words in DuckDB SQL, over tables documents and benchmark; CRCs byte by byte."""
+    letters = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+    words = f"regexp_extract_all(translate(coalesce(text, ''), {letters}), '[0-9a-z\\x{{80}}-\\x{{10FFFF}}]+')"
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {words} AS w FROM documents),
+one AS (SELECT r, unnest(w) AS word FROM d),
+goal AS (SELECT unnest({words}) AS word FROM benchmark),
+steps AS (SELECT list_transform(range(256), lambda n: list_reduce([n::BIGINT, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, x: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS tab),
+bytes AS (SELECT word, hex(encode(word)) AS h FROM (SELECT word FROM one UNION SELECT word FROM goal)),
+crcs AS (SELECT word, xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(length(h) // 2), lambda i: ('0x' || substr(h, 2 * i + 1, 2))::BIGINT)),
+            lambda c, b: xor(c >> 8, tab[(xor(c, b) & 255) + 1])), 4294967295) % {buckets} AS bucket FROM bytes, steps),
+raw AS (SELECT bucket, count(*) AS n FROM one JOIN crcs USING (word) GROUP BY bucket),
+want AS (SELECT bucket, count(*) AS n FROM goal JOIN crcs USING (word) GROUP BY bucket),
+sizes AS (SELECT coalesce((SELECT sum(n) FROM raw), 0)::DOUBLE AS s, coalesce((SELECT sum(n) FROM want), 0)::DOUBLE AS t),
+gains AS (SELECT raw.bucket, floor(1000 * ln((coalesce(want.n, 0) + 1)::DOUBLE * (sizes.s + {buckets}) / ((raw.n + 1)::DOUBLE * (sizes.t + {buckets}))))::BIGINT AS gain
+          FROM raw LEFT JOIN want USING (bucket), sizes),
+means AS (SELECT r, floor(sum(gain) / count(*))::BIGINT AS weight FROM one JOIN crcs USING (word) JOIN gains USING (bucket) GROUP BY r),
+scored AS (SELECT r, doc_id, len(w)::BIGINT AS n_features, coalesce(weight, 0) AS weight,
+             coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('{seed}:' || doc_id), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296::DOUBLE)))::BIGINT AS score
+           FROM d LEFT JOIN means USING (r)),
+ranked AS (SELECT r, row_number() OVER (ORDER BY score DESC, doc_id, n_features, weight) AS rank, count(*) OVER () AS n FROM scored WHERE n_features >= {least_words} AND score IS NOT NULL)
+SELECT doc_id, n_features, weight, score, CASE WHEN rank <= {percent} * n // 100 THEN rank END AS rank FROM scored LEFT JOIN ranked USING (r)"""
+
+
 def draw(spark: SparkSession, scored: DataFrame, may: Column, percent: int, id_column: str = "doc_id", score: str = "score", rank: str = "rank") -> DataFrame:
     """``scored`` with the rank of those drawn: of the n rows that ``may``, the floor(percent * n / 100) of
     highest score, ties to the smaller id. ``scored`` is read several times, so it should be a written table."""

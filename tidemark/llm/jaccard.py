@@ -44,7 +44,7 @@ BLOCK = 128
 ROUNDS = 3
 _SIGNS = [U64(0x9E3779B97F4A7C15), U64(0xC2B2AE3D27D4EB4F), U64(0x165667B19E3779F9)]
 
-_DOCS = ("doc_id long, n_shingles long, class long, "
+_DOCS = ("doc_id long, text_key long, n_shingles long, class long, "
          "sign0 long, sign1 long, sign2 long, tokens binary")
 
 
@@ -78,7 +78,7 @@ def _extract(size: int):
                 tokens.append(own)
                 owners.append(np.full(len(own), i))
         ids = batch.column(0)
-        meta = pack(ids.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64), ids.is_valid().to_numpy(zero_copy_only=False), n, name)
+        meta = pack(ids.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64), ids.is_valid().to_numpy(zero_copy_only=False), batch.column(2).to_numpy(), n, name)
         if not tokens:
             return np.zeros(0, np.uint64), np.zeros(0, np.int64), meta
         return np.concatenate(tokens), np.concatenate(owners), meta
@@ -87,7 +87,7 @@ def _extract(size: int):
 
 def _finish(percent: int):
     def run(meta, token, row, held):
-        ids, valid, n, name = unpack(meta, np.int64, np.bool_, np.int64, np.int64)
+        ids, valid, keys, n, name = unpack(meta, np.int64, np.bool_, np.int64, np.int64, np.int64)
         count = np.bincount(row, minlength=len(n))
         live = np.flatnonzero((count > 0) & (count >= least_overlap(n, percent)))
         signs, blobs = [np.zeros(len(n), np.int64) for _ in _SIGNS], [None] * len(n)
@@ -104,9 +104,9 @@ def _finish(percent: int):
             for sign, factor in zip(signs, _SIGNS):
                 sign[i] = mix(own * factor).min().astype(np.int64)
         yield pa.RecordBatch.from_arrays(
-            [pa.array(ids, pa.int64(), mask=~valid), pa.array(n), pa.array(name, pa.int64(), mask=n == 0),
+            [pa.array(ids, pa.int64(), mask=~valid), pa.array(keys), pa.array(n), pa.array(name, pa.int64(), mask=n == 0),
              *(pa.array(s) for s in signs), pa.array(blobs, pa.binary())],
-            names=["doc_id", "n_shingles", "class", "sign0", "sign1", "sign2", "tokens"])
+            names=["doc_id", "text_key", "n_shingles", "class", "sign0", "sign1", "sign2", "tokens"])
     return run
 
 
@@ -222,9 +222,12 @@ def _open(percent: int):
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, shingle_words: int = SHINGLE_WORDS, percent: int = PERCENT) -> DataFrame:
-    """documents (doc_id, text) -> (doc_id, n_shingles, class, component_id), one row a document."""
+    """documents (doc_id, text) -> (doc_id, text_key, n_shingles, class, root, component_id), one row a document.
+
+    text_key is xxhash64 of the text, which tells rows of one id apart; root names the component even
+    where several have the same smallest id or none."""
     parts = partitions(spark)
-    every = staged(spark, shared_tokens(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), _extract(shingle_words), _finish(percent), _DOCS, parts), "jaccard-docs")
+    every = staged(spark, shared_tokens(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("text_key")), _extract(shingle_words), _finish(percent), _DOCS, parts), "jaccard-docs")
     classes = staged(spark, every.where("tokens is not null").select("class", F.col("n_shingles").alias("n"), "sign0", "sign1", "sign2", "tokens")
                      .dropDuplicates(["class"]), "jaccard-classes")
     led = None
@@ -266,9 +269,9 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, shingle_words: int = S
     first = every.where("class is not null").groupBy("class").agg(F.min("doc_id").alias("first")).join(label, "class", "left")
     first = first.select("class", "first", F.coalesce("root", "class").alias("root"))
     lowest = first.groupBy("root").agg(F.min("first").alias("component_id"))
-    named = first.join(lowest, "root").select("class", "component_id")
-    out = (every.select("doc_id", "n_shingles", "class").join(named, "class", "left")
-           .select("doc_id", "n_shingles", "class", F.when(F.col("class").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id")))
+    named = first.join(lowest, "root").select("class", "root", "component_id")
+    out = (every.select("doc_id", "text_key", "n_shingles", "class").join(named, "class", "left")
+           .select("doc_id", "text_key", "n_shingles", "class", "root", F.when(F.col("class").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id")))
     out = staged(spark, out, "jaccard-result")
     discard(spark, every, classes, known, met)
     return out

@@ -17,7 +17,7 @@ gathers has that bound or the model's size. Scoring is one map over whole texts.
 Defined cases: null and empty texts have all statistics 0 and are scored like any text. No labelled
 rows: every score is 0.5; one class only: its share. Repeated labels of a document: the highest
 counts; of several texts under a labelled id the smallest teaches. Null labels or ids teach nothing.
-Empty table: empty result.
+Empty table: empty result. Other columns pass through; an added name that clashes gets underscores.
 """
 
 from __future__ import annotations
@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from tidemark.llm.common import blocks, mix, pack, slices, staged, unpack, utf8, word_bounds, word_hashes, U64
+from tidemark.llm.common import blocks, fresh, mix, pack, slices, staged, unpack, utf8, word_bounds, word_hashes, U64
 
 #: Labelled documents that teach at most, and random features.
 SAMPLE, FEATURES = 20_000, 256
@@ -231,6 +231,7 @@ def score(docs: DataFrame, model: Model, column: str = "score", text: str = "tex
     """``docs`` without its text, with ``column``: the calibrated share of label 1 among such documents."""
     from pyspark.sql.pandas.types import to_arrow_schema
 
+    column, = fresh([c for c in docs.columns if c != text], column)
     out = StructType([f for f in docs.schema.fields if f.name != text] + [StructField(column, DoubleType())])
     schema = to_arrow_schema(out)
 

@@ -142,6 +142,7 @@ _PAGES = """SELECT page_id, translate(regexp_extract(coalesce(url, ''), '://([^/
 #: DuckDB SQL of the queries that SQL can express.
 SQL: dict[str, str] = {
     "op5_licences": licences.scan_sql(),
+    "op13_resampling": importance.resample_sql(),
     "op6_urls": f"""
 WITH p AS ({_PAGES}),
 marks AS (SELECT doc_id, min(CASE WHEN quality = 1 AND toxic = 0 THEN 1.0 WHEN quality IS NOT NULL AND toxic IS NOT NULL THEN 0.0 END) AS good FROM labels GROUP BY doc_id),

@@ -20,7 +20,7 @@ documents of half a megabyte (a longer document stands alone).
 
 Defined cases: a null text, an empty one or one of white space has no words, no runs and an empty
 collapsed text. A null doc_id and repeated rows are kept as they are. Empty table: empty result. Other
-columns pass through, also those named like the result's unless other names are asked for.
+columns pass through; added names that clash with them get underscores.
 """
 
 from __future__ import annotations
@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql.types import StructType
 
-from tidemark.llm.common import U64, mix, powers, slices, utf8
+from tidemark.llm.common import U64, fresh, mix, powers, slices, utf8
 
 LEAST = 12
 SLICE = 1 << 19
@@ -223,6 +223,7 @@ def collapse_runs(docs: DataFrame, column: str = "text", least: int = LEAST, nam
     after its first period is dropped, those kept are joined by one space."""
     from pyspark.sql.pandas.types import to_arrow_schema
 
+    names = fresh([c for c in docs.columns if c != column], *names)
     added = f"`{names[0]}` long, `{names[1]}` array<struct<start: long, length: long, period: long>>, `{names[2]}` string"
     schema = StructType([f for f in docs.schema.fields if f.name != column] + StructType.fromDDL(added).fields)
     return docs.mapInArrow(_find(to_arrow_schema(schema), column, least), schema)

@@ -146,7 +146,7 @@ def _pieces(parts: int, length: int):
         for number, batch in enumerate(slices(batches, "text")):
             ids = batch.column(batch.schema.get_field_index("doc_id")).to_numpy(zero_copy_only=False)
             batch = batch.take(pa.array(np.argsort(ids, kind="stable")))
-            ids = np.sort(ids, kind="stable")
+            ids, which = (batch.column(batch.schema.get_field_index(c)).to_numpy(zero_copy_only=False) for c in ("doc_id", "which"))
             data, offsets = utf8(batch.column(batch.schema.get_field_index("text")))
             doc, value, first, last = anchors(data, offsets, length)
             cuts = np.searchsorted(doc, np.arange(len(ids) + 1))
@@ -157,7 +157,7 @@ def _pieces(parts: int, length: int):
                     shared[cuts[i]:cuts[i + 1]] = known[np.minimum(np.searchsorted(known, own), len(known) - 1)] == own
             doc, value, first, last = doc[shared], value[shared], first[shared], last[shared]
             flat = data.tobytes()
-            owner, seen = ids[doc], {}
+            owner, which, seen = ids[doc], which[doc], {}
             send, done = np.ones(len(doc), bool), np.zeros(len(doc), bool)
             for i, (x, a, b) in enumerate(zip(owner.tolist(), first.tolist(), (last + length).tolist())):
                 had = seen.setdefault(flat[a:b], x)
@@ -172,9 +172,9 @@ def _pieces(parts: int, length: int):
             for p in range(parts):
                 pick = order[cuts[p]:cuts[p + 1]]
                 if len(pick):
-                    rows.append((p, _PIECES, 0, pack(value[pick], owner[pick], start[pick], lens[pick].astype(np.int32), data[ranges(first[pick], lens[pick])])))
+                    rows.append((p, _PIECES, 0, pack(value[pick], owner[pick], which[pick], start[pick], lens[pick].astype(np.int32), data[ranges(first[pick], lens[pick])])))
             if done.any():
-                rows += _spans(owner[done], start[done], start[done] + lens[done], parts)
+                rows += _spans(owner[done], which[done], start[done], start[done] + lens[done], parts)
             yield batch_of(rows)
     return run
 
@@ -183,13 +183,13 @@ def _home(ids: np.ndarray, parts: int) -> np.ndarray:
     return part_of(mix(ids.astype(np.uint64)), parts)
 
 
-def _spans(doc, start, end, parts):
+def _spans(doc, which, start, end, parts):
     """Spans as rows by the reducer of their document."""
     home = _home(doc, parts)
     order = np.argsort(home, kind="stable")
-    doc, start, end, home = doc[order], start[order], end[order], home[order]
+    doc, which, start, end, home = doc[order], which[order], start[order], end[order], home[order]
     cuts = np.append(np.flatnonzero(np.append(True, home[1:] != home[:-1])), len(home))
-    return [(int(home[a]), _DONE, 0, pack(doc[a:b], start[a:b], end[a:b])) for a, b in zip(cuts[:-1], cuts[1:])]
+    return [(int(home[a]), _DONE, 0, pack(doc[a:b], which[a:b], start[a:b], end[a:b])) for a, b in zip(cuts[:-1], cuts[1:])]
 
 
 def equal_groups(flat: np.ndarray, at: np.ndarray, length: int = LENGTH) -> np.ndarray:
@@ -252,10 +252,10 @@ def _order(parts: int, length: int):
                 if kind == _DONE:
                     yield batch_of([(part, kind, 0, blob)])
                 else:
-                    held.append(unpack(blob, np.uint64, np.int64, np.int64, np.int32, np.uint8))
+                    held.append(unpack(blob, np.uint64, np.int64, np.int64, np.int64, np.int32, np.uint8))
         if not held:
             return
-        value, doc, start, lens, flat = (np.concatenate(x) for x in zip(*held))
+        value, doc, which, start, lens, flat = (np.concatenate(x) for x in zip(*held))
         held.clear()
         lens = lens.astype(np.int64)
         at = np.cumsum(lens) - lens
@@ -284,7 +284,7 @@ def _order(parts: int, length: int):
             first = np.flatnonzero(new)
             last = np.append(first[1:], len(new)) - 1
             own = piece[first]
-            yield batch_of(_spans(doc[own], start[own] + inside[first], start[own] + inside[last] + length, parts))
+            yield batch_of(_spans(doc[own], which[own], start[own] + inside[first], start[own] + inside[last] + length, parts))
     return run
 
 
@@ -298,19 +298,19 @@ def merged(start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _collect(batches):
-    """Spans of a reducer's documents -> (doc_id, spans blob), one row a document."""
-    held = [unpack(blob, np.int64, np.int64, np.int64) for batch in batches for blob in batch.column(3).to_pylist()]
+    """Spans of a reducer's documents -> (doc_id, which, spans blob), one row a text."""
+    held = [unpack(blob, np.int64, np.int64, np.int64, np.int64) for batch in batches for blob in batch.column(3).to_pylist()]
     if not held:
         return
-    doc, start, end = (np.concatenate(x) for x in zip(*held))
-    order = np.argsort(doc, kind="stable")
-    doc, start, end = doc[order], start[order], end[order]
-    cuts = np.append(np.flatnonzero(np.append(True, doc[1:] != doc[:-1])), len(doc))
+    doc, which, start, end = (np.concatenate(x) for x in zip(*held))
+    order = np.lexsort((which, doc))
+    doc, which, start, end = doc[order], which[order], start[order], end[order]
+    cuts = np.append(np.flatnonzero(np.append(True, (doc[1:] != doc[:-1]) | (which[1:] != which[:-1]))), len(doc))
     for a in range(0, len(cuts) - 1, 1000):
         some = cuts[a:a + 1001]
         yield pa.RecordBatch.from_arrays(
-            [pa.array(doc[some[:-1]]), pa.array([pack(*merged(start[x:y], end[x:y])) for x, y in zip(some[:-1], some[1:])], pa.binary())],
-            names=["doc_id", "spans"])
+            [pa.array(doc[some[:-1]]), pa.array(which[some[:-1]]), pa.array([pack(*merged(start[x:y], end[x:y])) for x, y in zip(some[:-1], some[1:])], pa.binary())],
+            names=["doc_id", "which", "spans"])
 
 
 def cut(data: bytes, blob: bytes) -> tuple[bytes, int, int]:
@@ -334,8 +334,9 @@ def repeated_spans(spark: SparkSession, docs: DataFrame, length: int = LENGTH) -
     """documents (doc_id, text) -> three staged tables.
 
     marks: (doc_id, n_bytes, sha, first_id), one row a document, first_id the smallest id of its exact copies;
-    spans: (doc_id, spans) of first copies that lose bytes;
-    texts: (sha, doc_id, text, anchors), the first copies that were searched."""
+    spans: (doc_id, sha, spans) of first copies that lose bytes;
+    texts: (sha, doc_id, which, text, anchors), the first copies that were searched. ``which`` tells the texts
+    of an id that has several apart (64 bits of the hash); it is 0 where an id has one."""
     if length < max(ANCHOR, SHALLOW) + 8:
         raise ValueError(f"length must be at least {max(ANCHOR, SHALLOW) + 8}")
     parts = partitions(spark)
@@ -344,17 +345,21 @@ def repeated_spans(spark: SparkSession, docs: DataFrame, length: int = LENGTH) -
     firsts = marks.groupBy("sha").agg(F.min("doc_id").alias("first_id"))
     held = shared_tokens(docs, _extract(length), _finish, "doc_id long, sha string, anchors binary", parts)
     held = held.join(firsts.withColumnRenamed("first_id", "doc_id"), ["sha", "doc_id"], "left_semi")
+    several = marks.groupBy("doc_id").agg(F.min("sha").alias("a"), F.max("sha").alias("b")).where("a <> b").select("doc_id", F.lit(True).alias("several"))
+    bits = F.conv(F.substring("sha", 1, 15), 16, 10).cast("long")
+    held = held.join(several, "doc_id", "left").select("sha", "doc_id", F.when(F.col("several"), bits).otherwise(0).cast("long").alias("which"), "anchors")
     texts = docs.withColumn("sha", F.sha2(F.col("text"), 256))
-    texts = staged(spark, texts.join(held, ["sha", "doc_id"]).dropDuplicates(["sha", "doc_id"]).select("sha", "doc_id", "text", "anchors"), "suffix-texts")
-    pieces = texts.select("doc_id", "text", "anchors").mapInArrow(_pieces(parts, length), ROW).repartitionById(parts, F.col("part"))
-    spans = pieces.mapInArrow(_order(parts, length), ROW).repartitionById(parts, F.col("part")).mapInArrow(_collect, "doc_id long, spans binary")
+    texts = staged(spark, texts.join(held, ["sha", "doc_id"]).dropDuplicates(["sha", "doc_id"]).select("sha", "doc_id", "which", "text", "anchors"), "suffix-texts")
+    pieces = texts.select("doc_id", "which", "text", "anchors").mapInArrow(_pieces(parts, length), ROW).repartitionById(parts, F.col("part"))
+    spans = pieces.mapInArrow(_order(parts, length), ROW).repartitionById(parts, F.col("part")).mapInArrow(_collect, "doc_id long, which long, spans binary")
+    spans = spans.join(texts.select("doc_id", "which", "sha"), ["doc_id", "which"]).select("doc_id", "sha", "spans")
     return marks.join(firsts, "sha"), staged(spark, spans, "suffix-spans"), texts
 
 
 def remove_repeats(spark: SparkSession, docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256), one row a document."""
     marks, spans, texts = repeated_spans(spark, docs, length)
-    cuts = texts.select("sha", "doc_id", "text").join(spans, "doc_id").select("sha", "text", "spans")
+    cuts = texts.select("sha", "doc_id", "text").join(spans, ["sha", "doc_id"]).select("sha", "text", "spans")
     cuts = staged(spark, cuts.mapInArrow(_digest, "sha string, cut_removed long, cut_spans long, cut_sha256 string"), "suffix-cuts")
     discard(spark, texts, spans)
     both = marks.join(cuts, "sha", "left")
@@ -378,7 +383,7 @@ def kept_texts(spark: SparkSession, docs: DataFrame, length: int = LENGTH, colum
     key, copy, of, blob = fresh([*docs.columns, column], "__key", "__copy", "__of", "__blob")
     # One small table says what happens to a document: its spans, or that it is a later copy.
     copies = marks.where((F.col("doc_id") > F.col("first_id")) & (F.col("n_bytes") >= length)).select("doc_id", "sha", F.lit(True).alias("copy"), F.lit(None).cast("binary").alias("spans"))
-    firsts = marks.where("doc_id = first_id").select("doc_id", "sha").distinct().join(spans, "doc_id").select("doc_id", "sha", F.lit(False).alias("copy"), "spans")
+    firsts = marks.where("doc_id = first_id").select("doc_id", "sha").distinct().join(spans, ["doc_id", "sha"]).select("doc_id", "sha", F.lit(False).alias("copy"), "spans")
     fate = copies.distinct().unionByName(firsts).select(F.col("doc_id").alias(of), F.col("sha").alias(key), F.col("copy").alias(copy), F.col("spans").alias(blob))
     sha = F.sha2(F.coalesce(docs["text"], F.lit("")), 256)
     both = docs.join(fate, (docs["doc_id"] == F.col(of)) & (sha == F.col(key)), "left").select(*(F.col(f"`{c}`") for c in docs.columns), copy, blob)
