@@ -4,7 +4,8 @@ Five stages, each a whole pass over what its predecessor kept:
 
 1. ``toxicity``: documents scored 0.5 or more go. Labels teach as in op4 (the held-out fold does not).
 2. ``near_duplicates``: of each component of the 5-word-shingle Jaccard join (0.75 or more) the document of
-   smallest id stays; documents without shingles are all kept.
+   smallest id stays; documents without shingles are all kept. Rows that repeat an id with another text
+   are documents of their own: of those in one component one stays, those in others stay too.
 3. ``repeats``: bytes of 50-byte strings that a document of smaller id also holds are cut out (a
    character that a cut goes through is dropped); n_chars is counted anew; a document that loses all
    of its text goes.
@@ -40,14 +41,22 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    stay, rank = fresh(docs.columns, "__stay", "__rank")
+    stay, key, times, rank = fresh(docs.columns, "__stay", "__key", "__times", "__rank")
     found = near_duplicates(spark, docs.select("doc_id", "text"))
-    ids = found.where("doc_id = component_id").select(F.col("doc_id").alias(stay)).distinct()
-    kept = docs.join(ids, F.col("doc_id") == F.col(stay)).drop(stay)
-    # Rows that repeat an id are one document of its group: the smallest text stays.
-    first = Window.partitionBy("doc_id").orderBy(F.col("text").asc_nulls_last())
-    kept = kept.withColumn(rank, F.row_number().over(first)).where(F.col(rank) == 1).drop(rank)
-    return kept.unionByName(docs.where("doc_id is null"))
+    named = found.where("class is not null and doc_id = component_id").groupBy("root", "doc_id", "text_key").agg(F.count("*").alias("times"))
+    kept = named.groupBy("root").agg(F.min(F.struct("doc_id", "text_key", "times")).alias("one")).select("one.*")
+    kept = staged(spark, kept.toDF(stay, key, times), "pipeline-kept")
+    alone = staged(spark, found.where("class is null and doc_id is not null").select("doc_id", "text_key").distinct().toDF(stay, key), "pipeline-alone")
+    same = (F.col("doc_id") == F.col(stay)) & (F.xxhash64("text") == F.col(key))
+
+    def of(table):
+        return docs.join(table, same, "left_semi")
+
+    # Rows that repeat an id and its text are one document.
+    first = Window.partitionBy("doc_id", F.xxhash64("text")).orderBy(F.xxhash64(*(f"`{c}`" for c in docs.columns)))
+    repeated = of(kept.where(F.col(times) > 1)).withColumn(rank, F.row_number().over(first)).where(F.col(rank) == 1).drop(rank)
+    once = of(kept.where(F.col(times) == 1).select(stay, key).unionByName(alone))
+    return once.unionByName(repeated).unionByName(docs.where("doc_id is null"))
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
