@@ -167,13 +167,44 @@ def test_report_field_order(spark):
     [(1, "fail", t * 0.7) for t in range(40)] + [(1, "success", 28.5), (2, "fail", 3), (2, "fail", 4)],
     [(1, "fail", t * 0.6) for t in range(30)] + [(1, "fail", 40 + t) for t in range(9)],
 ])
-def test_burst_long_run_path_equals_fold(spark, rows):
+def test_burst_bucket_widths_agree(spark, rows):
     df = logins(spark, rows)
-    fold = detect.fail_bursts(df, 2, 2)
-    doubling = detect.fail_bursts(df, 2, 2, long_run_rows=1)
     cols = ["user_id", "first_fail_ts", "last_fail_ts", "fail_count"]
-    assert sorted(tuple(r) for r in fold.select(*cols).collect()) == \
-        sorted(tuple(r) for r in doubling.select(*cols).collect())
+    forms = [sorted(tuple(r) for r in detect.fail_bursts(df, 2, 2, span=span).select(*cols).collect()) for span in (1, 2, 64)]
+    assert forms[0] == forms[1] == forms[2]
+
+
+def fold_bursts(rows, within, least):
+    """The fold, row by row: rows of one user as (time, order, fails)."""
+    out, group = [], None
+    for t, _, fails in sorted(rows):
+        if group and t > group[0] + within:
+            out.append(group)
+            group = None
+        group = ((group[0], t, group[2] + 1) if group else (t, t, 1)) if fails else None
+    if group:
+        out.append(group)
+    return [g for g in out if g[2] >= least]
+
+
+@pytest.mark.parametrize("span, dense", [(1, 1), (2, 1), (64, 1), (1, 30), (3, 10)])
+def test_bursts_equal_the_fold(spark, span, dense):
+    import random
+    rng = random.Random(span * 100 + dense)
+    rows = []
+    for user in [None, *range(1, 9)]:
+        chance, at = rng.choice([0.5, 0.9, 0.98, 1.0]), -50
+        for _ in range(rng.choice([5, 60, 700])):
+            at += rng.choice([0, 1, 1, 2, 5, 30]) if dense == 1 else rng.choice([0, 0, 0, 0, 0, 1, 1, 7])
+            rows.append((user, "fail" if rng.random() < chance else "success", at, len(rows)))
+    rng.shuffle(rows)
+    df = spark.createDataFrame(rows, "user_id long, state string, s long, seq long").withColumn("ts", F.timestamp_seconds("s")).repartition(5)
+    for within in (3, 10):
+        got = sorted((tuple(r) for r in detect.fail_bursts(df, within, 2, span=span)
+                      .select("user_id", F.unix_seconds("first_fail_ts"), F.unix_seconds("last_fail_ts"), "fail_count").collect()), key=repr)
+        users = {r[0] for r in rows}
+        expected = sorted(((u, *g) for u in users for g in fold_bursts([(t, q, s == "fail") for v, s, t, q in rows if v == u], within, 2)), key=repr)
+        assert got == expected and got
 
 
 def test_partial_trim(spark, scratch):

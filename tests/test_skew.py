@@ -29,11 +29,20 @@ def test_pairs_exact_under_skew(spark, hot):
     assert a == b and any(r[0] == hot for r in a)
 
 
-def test_bursts_exact_under_skew(spark):
-    lg = _skewed_logins(spark)
-    base = sorted(tuple(r) for r in detect.fail_bursts(lg, 1200).collect())
-    split = sorted(tuple(r) for r in detect.fail_bursts(lg, 1200, long_run_rows=8).collect())
-    assert base == split and any(r[0] == 7 for r in base)
+@pytest.mark.parametrize("hot", [7, None])
+def test_bursts_exact_under_skew(spark, hot):
+    lg = _skewed_logins(spark, hot)
+    wide = sorted((tuple(r) for r in detect.fail_bursts(lg, 1200).collect()), key=repr)
+    narrow = sorted((tuple(r) for r in detect.fail_bursts(lg, 1200, span=1).collect()), key=repr)
+    assert wide == narrow and any(r[0] == hot for r in wide)
+
+
+def test_a_run_without_end_is_spread(spark):
+    """One user (or none) fails once a second without pause: no task holds more than its buckets."""
+    n = 200_000
+    df = spark.range(n).select(F.lit(None).cast("long").alias("user_id"), F.lit("fail").alias("state"), F.timestamp_seconds("id").alias("ts"), F.col("id").alias("seq"))
+    got = detect.fail_bursts(df, 2).agg(F.count("*"), F.sum("fail_count"), F.max("fail_count")).first()
+    assert tuple(got) == (n // 3 + 1, n, 3) or tuple(got) == (n // 3, n - n % 3, 3)
 
 
 def test_no_job_runs_while_a_detector_is_built(spark):
@@ -43,6 +52,7 @@ def test_no_job_runs_while_a_detector_is_built(spark):
         detect.fail_pairs(lg, 6 * 3600)
         detect.fail_sequences(lg, 6 * 3600)
         detect.fail_sequences(lg, 6 * 3600, keyed=False)
+        detect.fail_bursts(lg, 6 * 3600)
         assert not spark.sparkContext.statusTracker().getJobIdsForGroup("built")
     finally:
         spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)

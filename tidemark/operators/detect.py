@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from ..functions.text import (BURST_MESSAGE, CLICK_CAP_MESSAGE, PAIR_MESSAGE, SEQUENCE_MESSAGE,
                               window_seconds_text)
 from ..functions.time import MICROS_PER_SECOND, day_index, epoch_micros
+from .bursts import SPAN, burst_groups
 from .ordered import number_bucket, time_bucket, with_neighbors
 
 # A key is windowed per bucket of this many seconds: its share of one
@@ -110,104 +111,19 @@ def fail_sequences(logins: DataFrame, within_s: float = 2, keyed: bool = True,
                     F.col("ts").alias("last_fail_ts"), F.lit(msg).alias("warning_msg"))
 
 
-def _greedy_groups(rows: str, cancel_us: str, within_us: int, min_fails: int) -> Column:
-    """Greedy anchoring over one run's failures sorted by (us, seq), as a
-    JVM-side fold: a row later than anchor + within closes the group and
-    anchors the next one. The last group is dropped when the success that
-    ended the run came within ``within`` of its anchor."""
-    w = F.lit(within_us)
-    group_t = "array<struct<first_us:bigint,last_us:bigint,n:bigint>>"
-    init = F.struct(F.lit(None).cast("bigint").alias("t0"), F.lit(0).cast("bigint").alias("n"),
-                    F.lit(None).cast("bigint").alias("last"), F.array().cast(group_t).alias("out"))
-
-    def step(acc, x):
-        closes = acc["t0"].isNotNull() & (x["_us"] > acc["t0"] + w)
-        fresh = acc["t0"].isNull() | closes
-        done = F.struct(acc["t0"].alias("first_us"), acc["last"].alias("last_us"),
-                        acc["n"].alias("n"))
-        out = F.when(closes & (acc["n"] >= min_fails),
-                     F.concat(acc["out"], F.array(done))).otherwise(acc["out"])
-        return F.struct(F.when(fresh, x["_us"]).otherwise(acc["t0"]).alias("t0"),
-                        F.when(fresh, F.lit(1).cast("bigint")).otherwise(acc["n"] + 1).alias("n"),
-                        x["_us"].alias("last"), out.alias("out"))
-
-    def finish(acc):
-        cancelled = F.col(cancel_us).isNotNull() & (F.col(cancel_us) <= acc["t0"] + w)
-        last = F.struct(acc["t0"].alias("first_us"), acc["last"].alias("last_us"),
-                        acc["n"].alias("n"))
-        return F.when((acc["n"] >= min_fails) & ~cancelled,
-                      F.concat(acc["out"], F.array(last))).otherwise(acc["out"])
-
-    return F.aggregate(F.col(rows), init, step, finish)
-
-
-# Runs longer than this many failures are anchored by pointer doubling
-# instead of one in-task fold (see ``fail_bursts``).
-LONG_RUN_ROWS = 1 << 16
-
-
 def fail_bursts(logins: DataFrame, within_s: float = 2, min_fails: int = 2,
-                bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
-                long_run_rows: int = LONG_RUN_ROWS) -> DataFrame:
+                span: int = SPAN) -> DataFrame:
     """Failure bursts per user in (ts, seq) order.
 
     The first failure at t0 opens a group; failures with ts <= t0 + within
     join it; a success after t0 and at or before t0 + within cancels it;
     otherwise the group is emitted (if it holds >= ``min_fails``) and the
-    next failure opens a new group.
+    next failure opens a new group. ``(user_id, seq)`` must identify a row.
 
-    Plan: every success and every gap > within resets the state, so the
-    history splits into *runs* - consecutive failures, each within
-    ``within`` of the previous one. Runs are found with neighbour passes
-    (bucketed, skew-safe). Inside a run the groups follow a greedy chain of
-    anchors (next anchor = first failure later than anchor + within):
-    runs of up to ``long_run_rows`` failures are folded JVM-side with
-    ``aggregate`` over the run's rows; longer runs - a key failing without
-    pause - are anchored by pointer doubling over joins on the row key
-    (``_long_run_groups``), so no task ever holds a whole long run.
-    ``(user_id, seq)`` must identify a row.
+    Plan: transfer tables over buckets of ``span`` times the bound, see
+    ``bursts``; runs of any length take the same way.
     """
-    within_us = int(round(within_s * MICROS_PER_SECOND))
-    bucket = time_bucket("ts", bucket_seconds)
-    x = with_neighbors(logins.select("user_id", "state", "ts", "seq"), ["user_id"], ["ts", "seq"],
-                       bucket, lag=["state", "ts"], lead=["state", "ts"])
-    us = epoch_micros("ts")
-    fails = x.filter(F.col("state") == "fail")
-    starts = (F.col("prev_state").isNull() | (F.col("prev_state") != "fail")
-              | ((us - epoch_micros("prev_ts")) > within_us))
-    end_success = F.when(F.col("next_state").isNotNull() & (F.col("next_state") != "fail"),
-                         epoch_micros("next_ts"))
-    # Materialised (to the shared checkpoint folder): later passes read
-    # their input more than once and must not recompute the earlier ones.
-    fails = (fails.select("user_id", "ts", "seq", F.when(starts, F.col("seq")).alias("_start"),
-                          end_success.alias("_end_success_us")).checkpoint(eager=True))
-    runs = with_neighbors(fails, ["user_id"], ["ts", "seq"], bucket, ffill=["_start"])
-    runs = runs.select("user_id", "seq", "ts", us.alias("_us"), F.col("ffill__start").alias("_run"),
-                       "_end_success_us")
-
-    # A user's failure count bounds each of its runs: when no user has more
-    # than long_run_rows failures (one small aggregate), every run is short.
-    most = fails.groupBy("user_id").count().agg(F.max("count")).first()[0]
-    longest = None
-    short = runs
-    if most is not None and most > long_run_rows:
-        runs = runs.checkpoint(eager=True)
-        sizes = runs.groupBy("user_id", "_run").agg(F.count(F.lit(1)).alias("_len"))
-        long_keys = sizes.filter(F.col("_len") > long_run_rows)
-        longest = long_keys.agg(F.max("_len")).first()[0]
-        if longest is not None:
-            short = runs.join(long_keys.select("user_id", "_run"), ["user_id", "_run"], "left_anti")
-    groups = (short.groupBy("user_id", "_run")
-              .agg(F.array_sort(F.collect_list(F.struct("_us", "seq"))).alias("_rows"),
-                   F.max("_end_success_us").alias("_cancel_us"))
-              .select("user_id", F.explode(_greedy_groups("_rows", "_cancel_us", within_us,
-                                                          min_fails)).alias("g"))
-              .select("user_id", F.col("g.first_us").alias("first_us"),
-                      F.col("g.last_us").alias("last_us"), F.col("g.n").alias("fail_count")))
-    if longest is not None:
-        long_rows = runs.join(long_keys.select("user_id", "_run"), ["user_id", "_run"], "left_semi")
-        groups = groups.unionByName(_long_run_groups(long_rows, within_us, min_fails, bucket_seconds,
-                                                     int(longest)))
+    groups = burst_groups(logins, int(round(within_s * MICROS_PER_SECOND)), min_fails, span)
     msg = F.format_string(BURST_MESSAGE.format(n="%d", s=window_seconds_text(within_s)),
                           F.col("fail_count"))
     return groups.select("user_id", F.timestamp_micros("first_us").alias("first_fail_ts"),
@@ -215,74 +131,6 @@ def fail_bursts(logins: DataFrame, within_s: float = 2, min_fails: int = 2,
                          msg.alias("warning_msg"))
 
 
-def _long_run_groups(runs: DataFrame, within_us: int, min_fails: int, bucket_seconds: int,
-                     longest: int) -> DataFrame:
-    """Greedy anchoring of long runs without gathering a run anywhere.
-
-    1. One neighbour pass: each failure's rank among its user's (long-run)
-       failures, the previous failure's time, whether it ends its run.
-    2. One neighbour pass over failures plus one *probe* per failure at
-       ``us + within`` (sorted after failures of equal time): the first
-       failure at or after a probe is the row's successor anchor
-       ``nxt``; the first run-end at or after a failure is its run's end.
-    3. Pointer doubling: jump_r = nxt applied 2**r times, r < ceil(log2 L),
-       each a join on the row key (user_id, seq), checkpointed.
-    4. The anchors of a run are its start's orbit under nxt, built from the
-       highest jump down: S <- S + jump_r(S).
-    5. A group spans [anchor, nxt(anchor)) - counted by rank differences -
-       or, for the last one, to the run end, where a success within the
-       bound cancels it.
-    """
-    bucket = time_bucket("ts", bucket_seconds)
-    x = with_neighbors(runs, ["user_id"], ["ts", "seq"], bucket, lag=["_us"], lead=["_run"],
-                       prior_count="_rank")
-    node_t = "struct<seq:bigint,run:bigint,rank:bigint,prev_us:bigint>"
-    last_t = "struct<rank:bigint,us:bigint,cancel_us:bigint>"
-    is_end = F.col("next__run").isNull() | (F.col("next__run") != F.col("_run"))
-    actual = x.select("user_id", "ts", F.lit(0).alias("_kind"), "seq", "_us", "_run", "_rank",
-                      F.struct(F.col("seq").alias("seq"), F.col("_run").alias("run"),
-                               F.col("_rank").alias("rank"), F.col("prev__us").alias("prev_us"))
-                      .alias("_node"),
-                      F.when(is_end, F.struct(F.col("_rank").alias("rank"), F.col("_us").alias("us"),
-                                              F.col("_end_success_us").alias("cancel_us")))
-                      .alias("_runlast"))
-    probes = x.select("user_id", F.timestamp_micros(F.col("_us") + within_us).alias("ts"),
-                      F.lit(1).alias("_kind"), "seq", F.lit(None).cast("bigint").alias("_us"),
-                      F.lit(None).cast("bigint").alias("_run"), F.lit(None).cast("bigint").alias("_rank"),
-                      F.lit(None).cast(node_t).alias("_node"), F.lit(None).cast(last_t).alias("_runlast"))
-    y = with_neighbors(actual.unionByName(probes), ["user_id"], ["ts", "_kind", "seq"],
-                       time_bucket("ts", bucket_seconds), bfill=["_node", "_runlast"])
-    act = y.filter(F.col("_kind") == 0).select("user_id", "seq", "_us", "_run", "_rank",
-                                               F.col("bfill__runlast").alias("_end"))
-    prb = y.filter(F.col("_kind") == 1).select("user_id", "seq", F.col("bfill__node").alias("_nx"))
-    nodes = (act.join(prb, ["user_id", "seq"])
-             .withColumn("_nx", F.when(F.col("_nx.run") == F.col("_run"), F.col("_nx")))
-             .checkpoint(eager=True))
-
-    rounds = max(1, int(longest).bit_length())
-    jumps = [nodes.select("user_id", "seq", F.col("_nx.seq").alias("j")).checkpoint(eager=True)]
-    for _ in range(1, rounds):
-        prev = jumps[-1]
-        hop = prev.select("user_id", F.col("seq").alias("j"), F.col("j").alias("jj"))
-        jumps.append(prev.join(hop, ["user_id", "j"], "left")
-                     .select("user_id", "seq", F.col("jj").alias("j")).checkpoint(eager=True))
-    orbit = nodes.filter(F.col("seq") == F.col("_run")).select("user_id", "seq")
-    for jump in reversed(jumps):
-        step = (orbit.join(jump, ["user_id", "seq"]).filter(F.col("j").isNotNull())
-                .select("user_id", F.col("j").alias("seq")))
-        orbit = orbit.unionByName(step).checkpoint(eager=True)
-
-    a = orbit.join(nodes, ["user_id", "seq"])
-    inside = F.col("_nx").isNotNull()
-    n = F.when(inside, F.col("_nx.rank") - F.col("_rank")).otherwise(F.col("_end.rank") - F.col("_rank") + 1)
-    last = F.when(inside, F.col("_nx.prev_us")).otherwise(F.col("_end.us"))
-    cancelled = (~inside & F.col("_end.cancel_us").isNotNull()
-                 & (F.col("_end.cancel_us") <= F.col("_us") + within_us))
-    return (a.select("user_id", F.col("_us").alias("first_us"), last.alias("last_us"),
-                     n.cast("long").alias("fail_count"), cancelled.alias("_x"))
-            .filter((F.col("fail_count") >= min_fails) & ~F.col("_x")).drop("_x"))
-
-
 def click_cap(clicks: DataFrame, max_clicks: int = 100, keys: Sequence[str] = ("user_id", "ad_id"),
               day_tz: str = "UTC") -> tuple[DataFrame, DataFrame]:
     """Per (keys, calendar day): the first ``max_clicks + 1`` clicks pass,

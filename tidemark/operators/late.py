@@ -27,12 +27,17 @@ FIRE_DELAY_US = 1000  # windows fire at end - 1 ms (millisecond event-time clock
 
 
 def route_late(df: DataFrame, size_s: int, slide_s: int, bound_s: float, lateness_s: float,
-               arrival: Sequence[str] = ("arrival",), bucket_rows: int = 1 << 20) -> DataFrame:
-    """Adds ``watermark_us`` (null for the first arrival) and ``is_late``."""
+               arrival: Sequence[str] = ("arrival",), bucket_rows: int = 1 << 20,
+               carry_us: int | None = None) -> DataFrame:
+    """Adds ``watermark_us`` (null for the first arrival) and ``is_late``.
+
+    ``carry_us`` is the greatest event time before the first row of ``df`` (earlier
+    micro-batches of a stream); None if there is none."""
     arrival = list(arrival)
     x = df.withColumn("_us", epoch_micros("ts"))
     x = with_neighbors(x, [], arrival, number_bucket(arrival[0], bucket_rows), prior_max=["_us"])
-    wm = F.col("pmax__us") - F.lit(int(bound_s * MICROS_PER_SECOND))
+    seen = F.greatest(F.col("pmax__us"), F.lit(carry_us).cast("long"))  # skips nulls
+    wm = seen - F.lit(int(bound_s * MICROS_PER_SECOND))
     last_end = last_window_end_micros("ts", size_s, slide_s)
     late = (last_end - FIRE_DELAY_US + int(lateness_s * MICROS_PER_SECOND)) <= wm
     return (x.withColumn("watermark_us", wm)

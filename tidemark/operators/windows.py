@@ -65,16 +65,23 @@ def sliding_count(df: DataFrame, ts: str, keys: Sequence[str], size_s: int, slid
     Returns ``window_start, window_end, *keys, count`` for every window
     holding at least one counted row.
     """
-    width, k = _grid(size_s, slide_s)
+    _, k = _grid(size_s, slide_s)
+    panes = pane_ranges(df, ts, keys, size_s, slide_s, first_window_index)
+    return _fan_out(panes, keys, k, slide_s, size_s, count_name)
+
+
+def pane_ranges(df: DataFrame, ts: str, keys: Sequence[str], size_s: int, slide_s: int,
+                first_window_index: Column | None = None) -> DataFrame:
+    """Rows counted by (keys, first window, last window), one row per pane by partial
+    aggregation: (keys, _f, _l, _n)."""
+    width, _ = _grid(size_s, slide_s)
     start = pane_index(ts, width) * width
     first, last = _window_range(start, size_s, slide_s)
     if first_window_index is not None:
         first = F.greatest(first, first_window_index)
-    # Partial aggregation to one row per (keys, pane, first counted end).
-    panes = (df.select(*keys, first.alias("_f"), last.alias("_l"))
-             .filter(F.col("_f") <= F.col("_l"))
-             .groupBy(*keys, "_f", "_l").agg(F.count(F.lit(1)).alias("_n")))
-    return _fan_out(panes, keys, k, slide_s, size_s, count_name)
+    return (df.select(*keys, first.alias("_f"), last.alias("_l"))
+            .filter(F.col("_f") <= F.col("_l"))
+            .groupBy(*keys, "_f", "_l").agg(F.count(F.lit(1)).alias("_n")))
 
 
 def sliding_from_panes(panes: DataFrame, keys: Sequence[str], pane_start: str, pane_count: str,
@@ -102,18 +109,33 @@ def _fan_out(panes: DataFrame, keys: Sequence[str], k: int, slide_s: int, size_s
     is one row per pane plus one row per non-empty window - never k rows
     per pane - and a hot key is spread over its blocks.
     """
-    last = F.col("_l")
-    blocks = F.array_distinct(F.array(floor_div(F.col("_f"), k), floor_div(last, k)))
-    staged = panes.withColumn("_b", F.explode(blocks)).repartition(*keys, "_b")
+    staged = into_blocks(panes, k).repartition(*keys, "_b")
+    return counts_of_deltas(block_deltas(staged, keys, k), keys, slide_s, size_s, count_name)
+
+
+def into_blocks(panes: DataFrame, k: int) -> DataFrame:
+    """One row per block of k windows that a pane feeds (column ``_b``)."""
+    blocks = F.array_distinct(F.array(floor_div(F.col("_f"), k), floor_div(F.col("_l"), k)))
+    return panes.withColumn("_b", F.explode(blocks))
+
+
+def block_deltas(staged: DataFrame, keys: Sequence[str], k: int) -> DataFrame:
+    """Panes in blocks -> difference array (keys, _b, pos, d): the count of window j of a block is
+    the sum of d over the block's positions up to j."""
     lo = F.greatest(F.col("_f"), F.col("_b") * k)
-    hi = F.least(last, F.col("_b") * k + (k - 1))
+    hi = F.least(F.col("_l"), F.col("_b") * k + (k - 1))
     steps = F.array(F.struct(lo.alias("pos"), F.col("_n").alias("d")),
                     F.struct((hi + 1).alias("pos"), (-F.col("_n")).alias("d")))
-    deltas = (staged.filter(lo <= hi)
-              .select(*keys, "_b", F.explode(steps).alias("x"))
-              .groupBy(*keys, "_b", F.col("x.pos").alias("pos")).agg(F.sum("x.d").alias("d")))
+    return (staged.filter(lo <= hi)
+            .select(*keys, "_b", F.explode(steps).alias("x"))
+            .groupBy(*keys, "_b", F.col("x.pos").alias("pos")).agg(F.sum("x.d").alias("d")))
+
+
+def counts_of_deltas(deltas: DataFrame, keys: Sequence[str], slide_s: int, size_s: int,
+                     count_name: str) -> DataFrame:
+    """Difference arrays -> one row per non-empty window and key."""
     w = Window.partitionBy(*keys, "_b").orderBy("pos")
-    runs = deltas.select(*keys, "pos", F.sum("d").over(w.rowsBetween(Window.unboundedPreceding, 0))
+    runs = deltas.select(*keys, "_b", "pos", F.sum("d").over(w.rowsBetween(Window.unboundedPreceding, 0))
                          .alias("_c"), F.lead("pos").over(w).alias("_next"))
     # every +n is matched by a later -n inside the block: a positive run has a next step
     ends = (runs.filter(F.col("_c") > 0)

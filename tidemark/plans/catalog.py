@@ -20,6 +20,8 @@ from ..functions.time import epoch_micros, format_java_timestamp, format_local,
 from ..operators import detect, late, topn, windows
 from ..sources import tables
 from ..sources.text import parse_access_log
+from ..streaming import jobs as sjobs
+from ..streaming.replay import NOW, replay
 from . import jobs
 
 # Shared with oracle.py.
@@ -229,6 +231,96 @@ def asset_filter(spark, sf_dir):
     return ev.filter(is_page_url("url"))
 
 
+# --- streams, replayed from the table -----------------------------------------------------------
+
+FAR_S = 4_000_000_000        # closing rows: past every window of the table
+STREAM_SIZE, STREAM_SLIDE = 600, 10
+CUTS = 3
+DAY = 86_400                 # a cut spans days of event time, and so do the folders of its windows
+
+
+def _closing(df, *far_s):
+    """One row per time: the schema of ``df``, nulls but for ts and what the streams filter out."""
+    spark = df.sparkSession
+    out = []
+    for i, s in enumerate(far_s):
+        row = spark.range(1).select(*[
+            (F.timestamp_seconds(F.lit(s)) if f.name == "ts" else
+             F.lit("/closing.css") if f.name == "url" else
+             F.lit("closing") if f.name in ("behavior", "event_type", "state") else
+             F.lit((1 << 60) + i) if f.name in ("arrival", "event_id", "seq") else
+             F.lit(None)).cast(f.dataType).alias(f.name) for f in df.schema.fields])
+        out.append(row)
+    return out
+
+
+def _page_log(spark, sf_dir):
+    return _arrivals(spark, sf_dir).select("event_id", "arrival", "ts", _url().alias("url"))
+
+
+def _page_view_stream(spark, sf_dir):
+    log = _page_log(spark, sf_dir)
+
+    def start(stream, root, name):
+        return sjobs.page_view_query(stream, root, TOP_URLS, STREAM_SIZE, STREAM_SLIDE, LATE_BOUND_S,
+                                     LATE_LATENESS_S, name, arrival=["arrival", "event_id"], trigger=NOW, folder_s=DAY)
+
+    return replay(log, F.col("arrival"), start, CUTS, _closing(log, FAR_S), near=("event_id", 101))
+
+
+def stream_url_top3(spark, sf_dir):
+    """The page-view job as one stream over the table: 10 min / 10 s windows, lateness, refinements."""
+    root = _page_view_stream(spark, sf_dir)
+    return (spark.read.parquet(f"{root}/out")
+            .select("window_start", "window_end", F.col("rank").cast("long").alias("rank"), "url", "pv_count"))
+
+
+def stream_url_report(spark, sf_dir):
+    """Text report of the windows that the page-view stream has published."""
+    return sjobs.page_view_report(spark.read.parquet(f"{_page_view_stream(spark, sf_dir)}/out"))
+
+
+def stream_late_rows(spark, sf_dir):
+    """The late side output of the page-view stream: pages late for all their windows."""
+    root = _page_view_stream(spark, sf_dir)
+    return spark.read.parquet(f"{root}/late").select("event_id", _us("ts").alias("ts_us"), "watermark_us")
+
+
+def stream_type_count_fine(spark, sf_dir):
+    """Counts by event type over 1 h / 5 s windows, published by the stream itself."""
+    ev = _ev(spark, sf_dir).select("event_id", "ts", "event_type")
+
+    def start(stream, root, name):
+        return sjobs.window_count_query(stream, root, ["event_type"], HOUR, FINE_SLIDE,
+                                        keep=F.col("event_type") != "closing", count_name="event_count",
+                                        arrival=["event_id"], name=name, trigger=NOW, folder_s=DAY)
+
+    root = replay(ev, F.col("event_id"), start, CUTS, _closing(ev, FAR_S), near=("event_id", 0))
+    return spark.read.parquet(f"{root}/out").select("window_start", "window_end", "event_type", "event_count")
+
+
+def stream_uv_hourly(spark, sf_dir):
+    """Exact visitors per hour by the chained aggregation of the stream, ascending watermark."""
+    beh = tables.behaviors(_ev(spark, sf_dir)).select("seq", "ts", "user_id", "behavior")
+
+    def start(stream, root, name):
+        return sjobs.unique_visitor_query(stream, root, HOUR, "view", name=name, trigger=NOW)
+
+    root = replay(beh, F.col("seq"), start, CUTS, _closing(beh, FAR_S, FAR_S + 2 * HOUR))
+    return spark.read.parquet(root).select("window_start", "window_end", "uv_count")
+
+
+def stream_uv_bitmap(spark, sf_dir):
+    """Visitors per hour so far, refreshed by every micro-batch, from the upserted bitmap chunks."""
+    beh = tables.behaviors(_ev(spark, sf_dir)).select("seq", "ts", "user_id", "behavior")
+
+    def start(stream, root, name):
+        return sjobs.unique_visitor_bitmap_query(stream, root, HOUR, "view", name=name, trigger=NOW)
+
+    root = replay(beh, F.col("seq"), start, CUTS)
+    return spark.read.parquet(root).groupBy(F.col("window_end").cast("long").alias("window_end")).agg(F.sum("bits").cast("long").alias("uv_count"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pv_hourly": pv_hourly,
     "uv_hourly_exact": uv_hourly_exact,
@@ -252,4 +344,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "url_top3_report": url_top3_report,
     "log_parse": log_parse,
     "asset_filter": asset_filter,
+    "stream_url_top3": stream_url_top3,
+    "stream_url_report": stream_url_report,
+    "stream_late_rows": stream_late_rows,
+    "stream_type_count_fine": stream_type_count_fine,
+    "stream_uv_hourly": stream_uv_hourly,
+    "stream_uv_bitmap": stream_uv_bitmap,
 }

@@ -7,7 +7,8 @@ window functions, a recursive fold), not from the Spark plans.
 from __future__ import annotations
 
 from .catalog import (BURST_MIN_FAILS, CAP_MAX, DETECT_WITHIN_S, FINE_SLIDE, HOUR, LATE_BOUND_S,
-                      LATE_LATENESS_S, METHODS, SLIDE, TOP_ITEMS, TOP_URLS, URL_SUFFIXES)
+                      LATE_LATENESS_S, METHODS, SLIDE, STREAM_SIZE, STREAM_SLIDE, TOP_ITEMS, TOP_URLS,
+                      URL_SUFFIXES)
 
 US = 1_000_000
 K = "CAST(json_extract_string(props, '$.k') AS BIGINT)"
@@ -154,6 +155,32 @@ SELECT window_start, window_end,
 FROM c QUALIFY rank <= {TOP_URLS}"""
 
 
+def _url_top(size: int, slide: int) -> str:
+    """Top URLs of sliding windows, each row in the windows still open at its arrival."""
+    us, wide = slide * US, size * US
+    late = f"us // {us} * {us} + {wide} - 1000 + {LATE_LATENESS_S * US} <= wm"
+    first = f"greatest(us // {us} - {size // slide - 1}, coalesce((wm - {LATE_LATENESS_S * US} + 1000 - {wide}) // {us} + 1, us // {us} - {size // slide - 1}))"
+    return f"""
+WITH a AS (SELECT {URL} AS url, us, wm FROM events JOIN (SELECT event_id, us, wm FROM ({ARRIVALS}) q) USING (event_id)),
+c AS (SELECT j * {slide} AS window_start, j * {slide} + {size} AS window_end, url, count(*) AS pv_count
+      FROM (SELECT url, unnest(range({first}, us // {us} + 1)) AS j FROM a
+            WHERE NOT regexp_matches(url, '\\.(css|js)$') AND NOT coalesce({late}, false)) x
+      GROUP BY ALL)
+SELECT window_start, window_end, row_number() OVER (PARTITION BY window_end ORDER BY pv_count DESC, url) AS rank, url, pv_count
+FROM c QUALIFY rank <= {TOP_URLS}"""
+
+
+def _url_report(top: str) -> str:
+    return f"""
+SELECT window_end,
+       'window end: ' || strftime(make_timestamp(window_end * {US}), '%Y-%m-%d %H:%M:%S') || '.0' || chr(10)
+       || string_agg(format('Top{{}}: {{}} {{}}', rank, pv_count, url), chr(10) ORDER BY rank)
+       || chr(10) || '{"-" * 32}' AS report
+FROM ({top}) t GROUP BY window_end"""
+
+
+STREAM_US, STREAM_WIDE = STREAM_SLIDE * US, STREAM_SIZE * US
+
 SQL: dict[str, str] = {
     "pv_hourly": _tumbling("event_type = 'view'", "count(*)", "pv_count"),
     "uv_hourly_exact": _tumbling("event_type = 'view'", "count(DISTINCT user_id)", "uv_count"),
@@ -203,4 +230,13 @@ FROM ({URL_TOP}) t GROUP BY window_end""",
     "log_parse": _log_fields(),
     "asset_filter": f"SELECT event_id, url FROM (SELECT event_id, {URL} AS url FROM events) u "
                     "WHERE NOT regexp_matches(url, '\\.(css|js)$')",
+    "stream_url_top3": _url_top(STREAM_SIZE, STREAM_SLIDE),
+    "stream_url_report": _url_report(_url_top(STREAM_SIZE, STREAM_SLIDE)),
+    "stream_late_rows": f"""
+SELECT event_id, us AS ts_us, wm AS watermark_us FROM ({ARRIVALS}) a JOIN (SELECT event_id, {URL} AS url FROM events) u USING (event_id)
+WHERE us // {STREAM_US} * {STREAM_US} + {STREAM_WIDE} - 1000 + {LATE_LATENESS_S * US} <= wm AND NOT regexp_matches(url, '\\.(css|js)$')""",
+    "stream_type_count_fine": _sliding("SELECT event_type, epoch_us(ts) AS us FROM events", "event_type",
+                                       "event_count", slide=FINE_SLIDE),
+    "stream_uv_hourly": _tumbling("event_type = 'view'", "count(DISTINCT user_id)", "uv_count"),
+    "stream_uv_bitmap": f"SELECT window_end, uv_count FROM ({_tumbling("event_type = 'view'", f'count(DISTINCT {HASH})', 'uv_count')}) t",
 }

@@ -8,23 +8,26 @@ idempotent per micro-batch.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.text import is_page_url
 from ..operators.topn import top_n_per_window
+from ..plans.jobs import page_view_top_n_report
 from ..session import checkpoint_path
 from . import sinks, stateful
 from . import windows as swin
+from .window_store import window_writer
 
 
 def _views(behaviors: DataFrame, pv_behavior: str, delay: str) -> DataFrame:
     """Page views of a stream whose watermark is set on all rows first (every
     behaviour advances event time, as in the reference)."""
-    return behaviors.withWatermark("ts", delay).filter(F.col("behavior") == pv_behavior)
+    return (behaviors.withWatermark("ts", delay)
+            .filter(swin.after_watermark(F.col("behavior") == pv_behavior)))
 
 
 def start(df: DataFrame, write: Callable[[DataFrame, int], None], name: str,
@@ -46,43 +49,38 @@ def item_top_n_query(behaviors: DataFrame, out_root: str, n: int = 5, size_s: in
                  name, "append", trigger)
 
 
-def rerank_upsert(store_root: str, top_root: str, n: int, key: str,
-                  count: str = "pv_count") -> Callable[[DataFrame, int], None]:
-    """Upsert refined (window, key) counts, then re-rank only the windows
-    the batch touched and replace their top-n (late refinements do not
-    duplicate entries)."""
-    upsert_counts = sinks.upsert_partitions(store_root, [key], "window_end")
-
-    def run(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        batch = batch.persist()
-        try:
-            upsert_counts(batch, batch_id)
-            touched = sinks.touched_values(batch, "window_end")
-            stored = spark.read.parquet(store_root).filter(F.col("window_end").isin(touched))
-            top = top_n_per_window(stored, n, key=key, count=count)
-            spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-            top.write.mode("overwrite").partitionBy("window_end").parquet(top_root)
-        finally:
-            batch.unpersist()
-    return run
+def page_view_query(log: DataFrame, root: str, n: int = 3, size_s: int = 600, slide_s: int = 10,
+                    bound_s: int = 1, lateness_s: int = 60, name: str = "page_views",
+                    arrival: Sequence[str] | None = None, early: bool = False,
+                    extensions: list[str] | None = None, trigger: dict | None = None,
+                    **outputs) -> StreamingQuery:
+    """The page-view job as one stream: every log line is routed once; requests for pages are counted
+    in the windows still open for them, and the top ``n`` URLs of a window are published (``root/out``)
+    when the watermark passes its end, and again when a late but accepted row refines it. Rows late for
+    all their windows go to ``root/late``. Static assets advance the watermark and nothing else.
+    ``arrival`` orders the lines of a micro-batch; ``early`` also publishes windows not yet ended."""
+    def top(counts: DataFrame) -> DataFrame:
+        return (top_n_per_window(counts, n, key="url", count="pv_count")
+                .select("window_start", "window_end", "rank", "url", "pv_count"))
+
+    writer = window_writer(root, ["url"], size_s, slide_s, bound_s, lateness_s, "pv_count",
+                           keep=is_page_url("url", extensions), arrival=arrival, early=early,
+                           publish=top, **outputs)
+    return start(log, writer, name, "append", trigger)
+
+
+def page_view_report(top: DataFrame, tz: str = "UTC") -> DataFrame:
+    """Text block per published window of ``page_view_query`` (a read of its ``root/out``)."""
+    return page_view_top_n_report(top.drop("part"), tz)
 
 
 def page_view_top_n_query(log: DataFrame, store_root: str, top_root: str, n: int = 3,
                           size_s: int = 600, slide_s: int = 10, bound_s: int = 1,
                           lateness_s: int = 60, name: str = "page_view_top_n",
                           trigger: dict | None = None) -> StreamingQuery:
-    """Top-n URLs per sliding window with allowed lateness: update-mode
-    counts kept ``bound + lateness`` behind the newest event (early
-    results, then one refinement per late row), upserted and re-ranked.
-    Route the late side output with ``streaming.late.route_late_batches``."""
-    # the watermark advances on every line; static assets are dropped after it
-    src = log.withWatermark("ts", f"{bound_s + lateness_s} seconds").filter(is_page_url("url"))
-    counts = (src.groupBy(F.window("ts", f"{size_s} seconds", f"{slide_s} seconds"), "url")
-              .agg(F.count(F.lit(1)).alias("pv_count"))
-              .select(F.unix_seconds("window.start").alias("window_start"),
-                      F.unix_seconds("window.end").alias("window_end"), "url", "pv_count"))
-    return start(counts, rerank_upsert(store_root, top_root, n, "url"), name, "update", trigger)
+    """``page_view_query`` with early results: the store under ``store_root``, the top-n in ``top_root``."""
+    return page_view_query(log, store_root, n, size_s, slide_s, bound_s, lateness_s, name,
+                           early=True, trigger=trigger, out=top_root)
 
 
 def ad_click_query(clicks: DataFrame, pass_root: str, warn_root: str, max_clicks: int = 100,
@@ -101,7 +99,7 @@ def channel_pane_query(events: DataFrame, pane_root: str, slide_s: int = 5,
                        name: str = "channel_panes", trigger: dict | None = None) -> StreamingQuery:
     """Very fine sliding windows (1 h / 5 s) on a stream: stream pane counts
     to a table; roll them up with ``operators.windows.sliding_from_panes``."""
-    kept = events.withWatermark("ts", delay).filter(F.col("behavior") != exclude)
+    kept = events.withWatermark("ts", delay).filter(swin.after_watermark(F.col("behavior") != exclude))
     panes = swin.pane_counts(kept, "ts", ["channel", "behavior"], slide_s, None)
     return start(panes, sinks.write_batch(pane_root), name, "append", trigger)
 
@@ -157,15 +155,19 @@ def page_view_top_n_queries(log: DataFrame, store_root: str, top_root: str, acce
                             late_root: str, n: int = 3, size_s: int = 600, slide_s: int = 10,
                             bound_s: int = 1, lateness_s: int = 60, name: str = "page_views",
                             trigger: dict | None = None) -> list[StreamingQuery]:
-    """The full page-view job on one log stream: refined top-n per window
-    (update mode, upsert + re-rank) and, as a second query on the same
-    source, the late side output and accepted rows (``route_late_batches``)."""
-    from .late import route_late_batches
-    top = page_view_top_n_query(log, store_root, top_root, n, size_s, slide_s, bound_s,
-                                lateness_s, name=f"{name}_top", trigger=trigger)
-    router = route_late_batches(checkpoint_path(log.sparkSession, f"streams/{name}_late_state"),
-                                size_s, slide_s, bound_s, lateness_s,
-                                sinks.write_batch(accepted_root), sinks.write_batch(late_root),
-                                keep=is_page_url("url"))
-    side = start(log, router, f"{name}_late", "append", trigger)
-    return [top, side]
+    """``page_view_top_n_query`` that also writes accepted rows and late rows; one query, in a list."""
+    return [page_view_query(log, store_root, n, size_s, slide_s, bound_s, lateness_s, name, early=True,
+                            trigger=trigger, out=top_root, accepted=sinks.write_batch(accepted_root),
+                            late=sinks.write_batch(late_root))]
+
+
+def window_count_query(events: DataFrame, root: str, keys: Sequence[str], size_s: int = 3600,
+                       slide_s: int = 5, keep: Column | None = None, bound_s: float = 0,
+                       lateness_s: float = 0, count_name: str = "count",
+                       arrival: Sequence[str] | None = None, name: str = "window_counts",
+                       trigger: dict | None = None, **outputs) -> StreamingQuery:
+    """Sliding counts by ``keys`` (e.g. channel and behaviour, 1 h / 5 s), published to ``root/out``
+    as the watermark passes the windows; no roll-up is left to do."""
+    writer = window_writer(root, keys, size_s, slide_s, bound_s, lateness_s, count_name, keep=keep,
+                           arrival=arrival, **outputs)
+    return start(events, writer, name, "append", trigger)
