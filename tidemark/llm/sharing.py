@@ -73,6 +73,7 @@ def _scatter(extract, parts: int, column: str):
                     per = np.bincount(cell[a:b] - edges[p], minlength=edges[p + 1] - edges[p]).astype(np.uint32)
                     rows.append((p, ENTRIES, me, pack(per, low[a:b], mid[a:b], who[a:b])))
             yield batch_of(rows)
+        pa.default_memory_pool().release_unused()  # the worker stays for later tasks
     return run
 
 
@@ -93,8 +94,12 @@ def _count(parts: int):
                 asked.append(np.full(len(who), me))
         if not tokens:
             return
-        token, owner, me = np.concatenate(tokens), np.concatenate(owners), np.concatenate(asked)
-        del tokens, owners, asked
+        token = np.concatenate(tokens)
+        tokens.clear()
+        owner = np.concatenate(owners)
+        owners.clear()
+        me = np.concatenate(asked)
+        asked.clear()
         order = np.argsort(token)
         token = token[order]
         new = np.ones(len(token), bool)
@@ -110,6 +115,7 @@ def _count(parts: int):
         cuts = np.append(np.flatnonzero(np.append(True, me[1:] != me[:-1])), len(me)) if len(me) else [0]
         for a, b in zip(cuts[:-1], cuts[1:]):
             yield batch_of([(0, ANSWERS, int(me[a]), pack(token[a:b], owner[a:b], held[a:b]))])
+        pa.default_memory_pool().release_unused()
     return run
 
 
