@@ -19,6 +19,8 @@ empty table gives empty results.
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -28,6 +30,7 @@ from tidemark.llm.jaccard import near_duplicates
 from tidemark.llm.packing import pack_documents
 from tidemark.llm.queries import FRACTION, TARGETS, tokenizer_path
 from tidemark.llm.suffixes import kept_texts
+from tidemark.session import settle
 
 #: SQL cannot express the stages; tests hold them against brute-force versions.
 ORACLE_SQL = None
@@ -53,7 +56,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
         return docs.join(table, same, "left_semi")
 
     # Rows that repeat an id and its text are one document.
-    first = Window.partitionBy("doc_id", F.xxhash64("text")).orderBy(F.xxhash64(*(f"`{c}`" for c in docs.columns)))
+    first = Window.partitionBy("doc_id", F.xxhash64("text")).orderBy(F.xxhash64(*(f"`{f.name}`" for f in docs.schema.fields if "map<" not in f.dataType.simpleString())))
     repeated = of(kept.where(F.col(times) > 1)).withColumn(rank, F.row_number().over(first)).where(F.col(rank) == 1).drop(rank)
     once = of(kept.where(F.col(times) == 1).select(stay, key).unionByName(alone))
     return once.unionByName(repeated).unionByName(docs.where("doc_id is null"))
@@ -78,7 +81,17 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return pack_documents(spark, docs, tokenizer_path())
 
 
-STAGES = [("toxicity", drop_toxic), ("near_duplicates", drop_near_duplicates), ("repeats", cut_repeats), ("mixing", mix_sources), ("packing", pack)]
+def settled(stage):
+    """A stage that first gives the session the settings the library relies on."""
+    @functools.wraps(stage)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        settle(spark)
+        return stage(spark, docs, sf_dir)
+    return run_stage
+
+
+STAGES = [("toxicity", settled(drop_toxic)), ("near_duplicates", settled(drop_near_duplicates)), ("repeats", settled(cut_repeats)),
+          ("mixing", settled(mix_sources)), ("packing", settled(pack))]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -21,9 +21,20 @@ REQUIRED_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Rows reach Python in batches of a few megabytes: by default a batch of long texts is tens of
+    # megabytes, held several times over (JVM, pipe, Python) by every running task.
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(4 << 20),
 }
 
 
+def settle(spark: SparkSession) -> None:
+    """Give a caller's session the settings above and make sure of a checkpoint folder."""
+    for k, v in REQUIRED_CONF.items():
+        spark.conf.set(k, v)
+    ensure_checkpoint_dir(spark)
+
+
 def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
                   app_name: str = "tidemark", extra: dict | None = None) -> SparkSession:
     builder = (SparkSession.builder.master(master).appName(app_name)
