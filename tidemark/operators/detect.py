@@ -8,8 +8,9 @@
 * ``fail_bursts``    - failure groups anchored at their first failure.
 * ``click_cap``      - per-day click cap with a single warning.
 
-Consecutive rows are found with ``with_neighbors``, in (user, time bucket)
-partitions - so no key is ever forced into one task.
+Consecutive rows of a key are found with ``with_neighbors``, in (user, time bucket)
+partitions, those of the whole stream in range partitions - so no key is ever
+forced into one task, and a crowded minute is not either.
 """
 
 from __future__ import annotations
@@ -23,6 +24,7 @@ from ..functions.text import (BURST_MESSAGE, CLICK_CAP_MESSAGE, PAIR_MESSAGE, SE
                               window_seconds_text)
 from ..functions.time import MICROS_PER_SECOND, day_index, epoch_micros
 from .bursts import SPAN, burst_groups
+from .global_order import match_in_order
 from .ordered import number_bucket, time_bucket, with_neighbors
 
 # A key is windowed per bucket of this many seconds: its share of one
@@ -52,10 +54,13 @@ def match_sequence(df: DataFrame, keys: Sequence[str], predicates: Sequence[Colu
 
     Adds ``first_ts``, ``first_user`` (id column of the first row, for
     matches across keys) and ``first_seq`` to the last row of each match.
-    One neighbour pass per link of the chain.
+    One neighbour pass per link of the chain; without keys one pass over range
+    partitions (``global_order``).
     """
     if len(predicates) < 2:
         raise ValueError("a sequence needs at least two predicates")
+    if not keys and order == "event":
+        return match_in_order(df, predicates, int(round(within_s * MICROS_PER_SECOND)), inclusive)
     order_cols, bucket = _order(order, bucket_seconds, bucket_rows, arrival)
     id_col = "user_id" if "user_id" in df.columns else None
     x = df.select("*", predicates[0].alias("_ok"), F.col("ts").alias("_first_ts"),

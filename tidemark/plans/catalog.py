@@ -321,6 +321,17 @@ def stream_uv_bitmap(spark, sf_dir):
     return spark.read.parquet(root).groupBy(F.col("window_end").cast("long").alias("window_end")).agg(F.sum("bits").cast("long").alias("uv_count"))
 
 
+def stream_fail_seq_global(spark, sf_dir):
+    """The pattern across users as a stream, rows in jittered arrival order, none late by more than the delay."""
+    lg = tables.logins(_ev(spark, sf_dir)).select("user_id", "state", "ts", "seq")
+
+    def start(stream, root, name):
+        return sjobs.login_pattern_query(stream, root, DETECT_WITHIN_S, 10 * DAY, name, trigger=NOW)
+
+    root = replay(lg, F.col("seq") + (F.col("seq") * 37) % 101, start, CUTS, _closing(lg, FAR_S), near=("seq", 101))
+    return spark.read.parquet(f"{root}/out").drop("batch_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pv_hourly": pv_hourly,
     "uv_hourly_exact": uv_hourly_exact,
@@ -350,4 +361,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_type_count_fine": stream_type_count_fine,
     "stream_uv_hourly": stream_uv_hourly,
     "stream_uv_bitmap": stream_uv_bitmap,
+    "stream_fail_seq_global": stream_fail_seq_global,
 }

@@ -237,6 +237,7 @@ SELECT event_id, us AS ts_us, wm AS watermark_us FROM ({ARRIVALS}) a JOIN (SELEC
 WHERE us // {STREAM_US} * {STREAM_US} + {STREAM_WIDE} - 1000 + {LATE_LATENESS_S * US} <= wm AND NOT regexp_matches(url, '\\.(css|js)$')""",
     "stream_type_count_fine": _sliding("SELECT event_type, epoch_us(ts) AS us FROM events", "event_type",
                                        "event_count", slide=FINE_SLIDE),
+    "stream_fail_seq_global": _lag_pairs("", False, f"fail 2 times in {DETECT_WITHIN_S} seconds", "p_user"),
     "stream_uv_hourly": _tumbling("event_type = 'view'", "count(DISTINCT user_id)", "uv_count"),
     "stream_uv_bitmap": f"SELECT window_end, uv_count FROM ({_tumbling("event_type = 'view'", f'count(DISTINCT {HASH})', 'uv_count')}) t",
 }

@@ -14,12 +14,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..functions.text import is_page_url
+from ..functions.text import SEQUENCE_MESSAGE, is_page_url, window_seconds_text
+from ..functions.time import epoch_micros
 from ..operators.topn import top_n_per_window
 from ..plans.jobs import page_view_top_n_report
 from ..session import checkpoint_path
 from . import sinks, stateful
 from . import windows as swin
+from .global_pattern import pattern_writer
 from .window_store import window_writer
 
 
@@ -151,6 +153,20 @@ def login_warning_query(logins: DataFrame, out_root: str, kind: str = "pair", wi
     return start(out, sinks.write_batch(out_root), name or f"login_{kind}", "append", trigger)
 
 
+def login_pattern_query(logins: DataFrame, root: str, within_s: float = 2, delay_s: float = 3,
+                        name: str = "login_pattern", trigger: dict | None = None) -> StreamingQuery:
+    """Failure then failure over the whole stream, across users; the warning carries the first one's id."""
+    msg = SEQUENCE_MESSAGE.format(s=window_seconds_text(within_s))
+
+    def warnings(found: DataFrame) -> DataFrame:
+        return found.select(F.col("first_user").alias("user_id"), epoch_micros("first_ts").alias("first_fail_us"),
+                            epoch_micros("ts").alias("last_fail_us"), F.lit(msg).alias("warning_msg"))
+
+    is_fail = F.col("state") == "fail"
+    writer = pattern_writer(root, [is_fail, is_fail], within_s, delay_s, publish=warnings)
+    return start(logins, writer, name, "append", trigger)
+
+
 def page_view_top_n_queries(log: DataFrame, store_root: str, top_root: str, accepted_root: str,
                             late_root: str, n: int = 3, size_s: int = 600, slide_s: int = 10,
                             bound_s: int = 1, lateness_s: int = 60, name: str = "page_views",
