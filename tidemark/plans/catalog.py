@@ -17,10 +17,12 @@ from pyspark.sql import functions as F
 
 from ..functions.text import is_page_url
 from ..functions.time import epoch_micros, format_java_timestamp, format_local, next_midnight
-from ..operators import detect, late, topn, windows
+from ..operators import detect, late, reconcile, topn, windows
 from ..sources import tables
 from ..sources.text import parse_access_log
 from ..streaming import jobs as sjobs
+from ..streaming import reconcile as streams
+from ..streaming import sinks
 from ..streaming.replay import NOW, replay
 from . import jobs
 
@@ -34,6 +36,7 @@ BURST_MIN_FAILS = 2
 CAP_MAX = 1                  # click cap: 2 pass, the 3rd warns
 LATE_BOUND_S = 600
 LATE_LATENESS_S = 1800
+DAY = 24 * HOUR
 DISPLAY_TZ = "+08:00"
 URL_SUFFIXES = ["", ".css", ".js", ".ico", ".css?v=1", ".js/x", ".html"]
 METHODS = ["GET", "POST", "PUT", "HEAD"]
@@ -231,12 +234,35 @@ def asset_filter(spark, sf_dir):
     return ev.filter(is_page_url("url"))
 
 
+# --- orders, payments, receipts ------------------------------------------------------------------
+
+def _orders(spark, sf_dir):
+    """Clicks create an order, purchases pay it; a user's item is the order."""
+    kind = F.when(F.col("event_type") == "click", "create").when(F.col("event_type") == "purchase", "pay")
+    return _ev(spark, sf_dir).select((F.col("user_id") * 100 + tables.prop_k()).alias("order_id"), kind.alias("event"), "ts")
+
+
+def _payments(spark, sf_dir, event_type):
+    """Purchases are payments, signups receipts; user and item name the transaction."""
+    tx = F.concat_ws("-", F.lit("tx"), F.col("user_id").cast("string"), (tables.prop_k() % 10).cast("string"))
+    return _ev(spark, sf_dir).filter(F.col("event_type") == event_type).select("event_id", tx.alias("tx_id"), "ts")
+
+
+def pay_timeout(spark, sf_dir):
+    """Orders paid within a day, not paid in time, or paid without having been created."""
+    return reconcile.payment_timeouts(_orders(spark, sf_dir), DAY)
+
+
+def reconcile_payments(spark, sf_dir):
+    """Payments and receipts of one transaction at most a day apart, and those without partner."""
+    return reconcile.reconcile(_payments(spark, sf_dir, "purchase"), _payments(spark, sf_dir, "signup"), DAY)
+
+
 # --- streams, replayed from the table -----------------------------------------------------------
 
 FAR_S = 4_000_000_000        # closing rows: past every window of the table
 STREAM_SIZE, STREAM_SLIDE = 600, 10
 CUTS = 3
-DAY = 86_400                 # a cut spans days of event time, and so do the folders of its windows
 
 
 def _closing(df, *far_s):
@@ -332,6 +358,20 @@ def stream_fail_seq_global(spark, sf_dir):
     return spark.read.parquet(f"{root}/out").drop("batch_id")
 
 
+def stream_reconcile(spark, sf_dir):
+    """``reconcile_payments`` as a stream-stream full outer join; both sides come from one source."""
+    both = _payments(spark, sf_dir, "purchase").withColumn("kind", F.lit("pay")).unionByName(
+        _payments(spark, sf_dir, "signup").withColumn("kind", F.lit("receipt")))
+
+    def start(stream, root, name):
+        closing = F.col("kind").isNull()
+        sides = [stream.filter((F.col("kind") == kind) | closing) for kind in ("pay", "receipt")]
+        return sjobs.start(streams.reconcile_stream(*sides, DAY, "0 seconds"), sinks.write_batch(root), name, "append", NOW)
+
+    root = replay(both, F.col("event_id"), start, CUTS, _closing(both, FAR_S, FAR_S + 10 * DAY), near=("event_id", 0))
+    return spark.read.parquet(root).drop("batch_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pv_hourly": pv_hourly,
     "uv_hourly_exact": uv_hourly_exact,
@@ -362,4 +402,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_uv_hourly": stream_uv_hourly,
     "stream_uv_bitmap": stream_uv_bitmap,
     "stream_fail_seq_global": stream_fail_seq_global,
+    "pay_timeout": pay_timeout,
+    "reconcile_payments": reconcile_payments,
+    "stream_reconcile": stream_reconcile,
 }

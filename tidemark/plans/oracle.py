@@ -6,7 +6,7 @@ window functions, a recursive fold), not from the Spark plans.
 
 from __future__ import annotations
 
-from .catalog import (BURST_MIN_FAILS, CAP_MAX, DETECT_WITHIN_S, FINE_SLIDE, HOUR, LATE_BOUND_S,
+from .catalog import (BURST_MIN_FAILS, CAP_MAX, DAY, DETECT_WITHIN_S, FINE_SLIDE, HOUR, LATE_BOUND_S,
                       LATE_LATENESS_S, METHODS, SLIDE, STREAM_SIZE, STREAM_SLIDE, TOP_ITEMS, TOP_URLS,
                       URL_SUFFIXES)
 
@@ -179,6 +179,14 @@ SELECT window_end,
 FROM ({top}) t GROUP BY window_end"""
 
 
+RECONCILE = f"""
+WITH x AS (SELECT event_type, 'tx-' || CAST(user_id AS VARCHAR) || '-' || CAST({K} % 10 AS VARCHAR) AS tx_id, epoch_us(ts) AS us FROM events),
+p AS (SELECT tx_id, us FROM x WHERE event_type = 'purchase'),
+r AS (SELECT tx_id, us FROM x WHERE event_type = 'signup')
+SELECT coalesce(p.tx_id, r.tx_id) AS tx_id, p.us AS pay_us, r.us AS receipt_us,
+       CASE WHEN p.us IS NULL THEN 'receipt_only' WHEN r.us IS NULL THEN 'payment_only' ELSE 'matched' END AS status
+FROM p FULL JOIN r ON p.tx_id = r.tx_id AND abs(p.us - r.us) <= {DAY * US}"""
+
 STREAM_US, STREAM_WIDE = STREAM_SLIDE * US, STREAM_SIZE * US
 
 SQL: dict[str, str] = {
@@ -238,6 +246,14 @@ WHERE us // {STREAM_US} * {STREAM_US} + {STREAM_WIDE} - 1000 + {LATE_LATENESS_S
     "stream_type_count_fine": _sliding("SELECT event_type, epoch_us(ts) AS us FROM events", "event_type",
                                        "event_count", slide=FINE_SLIDE),
     "stream_fail_seq_global": _lag_pairs("", False, f"fail 2 times in {DETECT_WITHIN_S} seconds", "p_user"),
+    "pay_timeout": f"""
+SELECT order_id, created_us, paid_us,
+       CASE WHEN created_us IS NULL THEN 'no_create' WHEN abs(paid_us - created_us) <= {DAY * US} THEN 'paid' ELSE 'timeout' END AS status
+FROM (SELECT user_id * 100 + {K} AS order_id, min(CASE WHEN event_type = 'click' THEN epoch_us(ts) END) AS created_us,
+             min(CASE WHEN event_type = 'purchase' THEN epoch_us(ts) END) AS paid_us
+      FROM events WHERE event_type IN ('click', 'purchase') GROUP BY 1) o""",
+    "reconcile_payments": RECONCILE,
+    "stream_reconcile": RECONCILE,
     "stream_uv_hourly": _tumbling("event_type = 'view'", "count(DISTINCT user_id)", "uv_count"),
     "stream_uv_bitmap": f"SELECT window_end, uv_count FROM ({_tumbling("event_type = 'view'", f'count(DISTINCT {HASH})', 'uv_count')}) t",
 }
