@@ -103,7 +103,88 @@ def test_bad_hosts_are_blocked_and_small_ones_follow_their_domain(spark):
     rows = [(i, f"http://good{i % 5}.fine.net/x", 1) for i in range(100)] + [(200 + i, "http://bad.spam.net/x", 0) for i in range(60)] + [(300, "http://new.spam.net/x", 0), (301, "http://new.fine.net/x", 0), (302, "http://none.spam.net/x", None)]
     got = {r["page_id"]: r for r in reputation.judge(spark.createDataFrame(rows, "page_id long, url string, good int")).collect()}
     assert got[200]["verdict"] == "block" and got[0]["verdict"] == "allow" and got[301]["verdict"] == "allow"
-    assert got[300]["reputation"] < got[301]["reputation"] and got[300]["verdict"] == "block" and got[302]["verdict"] == "allow"
+    assert got[300]["reputation"] < got[301]["reputation"] and got[300]["verdict"] == "block" and got[302]["verdict"] == "block"
+
+
+def brute_reputation(rows):
+    """{host: (rate, upper)} by the same estimates, in plain Python."""
+    def split(host):
+        labels = host.split(".")
+        size = 2 if ".".join(labels[-2:]) in reputation.SUFFIXES else 1
+        return ".".join(labels[-size - 1:]), ".".join(labels[-size:])
+
+    def strength(children, parent):
+        num = den = 0.0
+        for p in set(parent.values()):
+            own = [children[c] for c in children if parent[c] == p and children[c][0]]
+            n, k = sum(x for x, _ in own), sum(y for _, y in own)
+            if n:
+                q = k / n * (1 - k / n)
+                num += sum(x * (y / x - k / n) ** 2 for x, y in own) - q * (len(own) - 1)
+                den += q * (n - sum(x * x for x, _ in own) / n - (len(own) - 1))
+        return reputation.STRENGTH if den <= 1e-12 else reputation.STRONGEST if num / den <= 0 else min(max(den / num - 1, reputation.WEAKEST), reputation.STRONGEST)
+
+    hosts = {}
+    for host, good in rows:
+        n, k = hosts.get(host, (0, 0))
+        hosts[host] = (n + (good is not None), k + (good or 0))
+
+    def up(children, parent):
+        out = {}
+        for c, (n, k) in children.items():
+            a, b = out.get(parent[c], (0, 0))
+            out[parent[c]] = (a + n, b + k)
+        return out
+
+    of_host = {h: split(h) for h in hosts}
+    domains = up(hosts, of_host)
+    of_domain = {d: d[1] for d in domains}
+    tops = up(domains, of_domain)
+    of_top = dict.fromkeys(tops, "all")
+    n, k = up(tops, of_top)["all"]
+    rate = {"all": (k + 1) / (n + 2)}
+    for children, parent in ((tops, of_top), (domains, of_domain), (hosts, of_host)):
+        s = strength(children, parent)
+        rate = {c: (k + s * rate[parent[c]]) / (n + s) for c, (n, k) in children.items()}
+    return {h: (r, r + reputation.Z * (r * (1 - r) / (hosts[h][0] + s + 1)) ** 0.5) for h, r in rate.items()}
+
+
+def test_strengths_and_bounds_equal_brute_force(spark):
+    rng = np.random.default_rng(8)
+    rows = []
+    for d in range(30):
+        name = f"d{d}." + ["net", "com", "co.uk", "org"][d % 4]
+        good = rng.beta(0.5, 0.5)
+        for h in range(int(rng.integers(1, 8))):
+            share = rng.beta(8 * good + 0.01, 8 * (1 - good) + 0.01)
+            n = int(rng.choice([0, 1, 3, 20, 60]))
+            rows += [(f"h{h}.{name}", int(rng.random() < share)) for _ in range(n)] + [(f"h{h}.{name}", None)]
+    rows += [("", None), ("com", 1), ("co.uk", 0)]
+    expected = brute_reputation(rows)
+    got = {r["host"]: r for r in reputation.reputations(spark.createDataFrame(rows, "host string, good int").repartition(4)).collect()}
+    assert got.keys() == expected.keys()
+    for host, (rate, upper) in expected.items():
+        assert got[host]["rate"] == pytest.approx(rate, rel=1e-9, abs=1e-12) and got[host]["upper"] == pytest.approx(upper, rel=1e-9, abs=1e-12)
+    assert any(r["bad"] and r["labelled"] == 0 for r in got.values()) and any(not r["bad"] and r["labelled"] == 0 for r in got.values())
+
+
+def test_verdicts_equal_their_sql_where_the_method_blocks(spark):
+    rng = np.random.default_rng(5)
+    rows, page = [], 0
+    for d in range(12):
+        for h in range(4):
+            for i in range(int(rng.choice([1, 5, 40]))):
+                rows.append((page, f"http://h{h}.site{d}.{['net', 'co.uk'][d % 2]}/p", None if h == 3 else int(d % 3 > 0)))
+                page += 1
+    table = spark.createDataFrame(rows, "page_id long, url string, good int")
+    got = {r["page_id"]: tuple(r)[:5] for r in reputation.judge(table).collect()}
+    con = duckdb.connect()
+    con.execute("CREATE TABLE t (page_id BIGINT, url VARCHAR, good DOUBLE)")
+    con.executemany("INSERT INTO t VALUES (?, ?, ?)", rows)
+    sql = reputation.verdict_sql("SELECT page_id, regexp_extract(url, '://([^/?#]*)', 1) AS host, regexp_extract(url, '://[^/?#]*([^?#]*)', 1) AS path, good FROM t")
+    assert got == {r[0]: r for r in con.execute(sql).fetchall()}
+    blocked = {r[1].split(".", 1)[1] for r in got.values() if r[4] == "block"}
+    assert blocked == {f"site{d}.{['net', 'co.uk'][d % 2]}" for d in range(0, 12, 3)} and any(r[1].startswith("h3.") and r[4] == "block" for r in got.values())
 
 
 def brute_rake(cells, goals, sweeps=200):

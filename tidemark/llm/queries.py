@@ -143,21 +143,7 @@ _PAGES = """SELECT page_id, translate(regexp_extract(coalesce(url, ''), '://([^/
 SQL: dict[str, str] = {
     "op5_licences": licences.scan_sql(),
     "op13_resampling": importance.resample_sql(),
-    "op6_urls": f"""
-WITH p AS ({_PAGES}),
-marks AS (SELECT doc_id, min(CASE WHEN quality = 1 AND toxic = 0 THEN 1.0 WHEN quality IS NOT NULL AND toxic IS NOT NULL THEN 0.0 END) AS good FROM labels GROUP BY doc_id),
-o AS (SELECT p.*, marks.good FROM p LEFT JOIN marks ON marks.doc_id = try_cast(regexp_extract(path, '/([0-9]{{1,18}})([^0-9]|$)', 1) AS BIGINT)),
-h AS (SELECT host, list_aggregate(list_slice(string_split(host, '.'), -2, -1), 'string_agg', '.') AS domain, string_split(host, '.')[-1] AS suffix,
-        count(good) AS n, coalesce(sum(good), 0.0) AS k FROM o GROUP BY host),
-t AS (SELECT (sum(k) + 1) / (sum(n) + 2) AS base FROM h),
-s AS (SELECT suffix, (sum(k) + 10.0 * any_value(base)) / (sum(n) + 10.0) AS rate1 FROM h, t GROUP BY suffix),
-d AS (SELECT h.domain, h.suffix, (sum(k) + 10.0 * any_value(rate1)) / (sum(n) + 10.0) AS rate2 FROM h JOIN s USING (suffix) GROUP BY h.domain, h.suffix),
-r AS (SELECT host, n, (k + 10.0 * rate2) / (n + 10.0) AS rate, base FROM h JOIN d USING (domain, suffix), t),
-v AS (SELECT host, n > 0 AND rate + 1.645 * sqrt(rate * (1 - rate) / (n + 11.0)) < 0.5 * base AS bad FROM r),
-rules(verdict, rule) AS (VALUES ('allow', 'org/'), ('block', 'example.org/es/'), ('block', 'example.org/en/1'), ('allow', 'com/fr/'), ('block', 'com/de/')),
-f AS (SELECT DISTINCT host, path, arg_max(struct_pack(rule := rule, verdict := verdict), length(rule)) OVER (PARTITION BY host, path) AS best
-        FROM (SELECT DISTINCT host, path FROM p) x, rules
-        WHERE (host = string_split(rule, '/')[1] OR ends_with(host, '.' || string_split(rule, '/')[1])) AND starts_with(path, substr(rule, strpos(rule, '/'))))
-SELECT p.page_id, p.host, p.path, best.rule AS rule, coalesce(best.verdict, CASE WHEN bad THEN 'block' ELSE 'allow' END) AS verdict
-FROM p JOIN v USING (host) LEFT JOIN f ON f.host = p.host AND f.path = p.path""",
+    "op6_urls": reputation.verdict_sql(f"""SELECT p.page_id, p.host, p.path, marks.good FROM ({_PAGES}) p
+    LEFT JOIN (SELECT doc_id, min(CASE WHEN quality = 1 AND toxic = 0 THEN 1.0 WHEN quality IS NOT NULL AND toxic IS NOT NULL THEN 0.0 END) AS good FROM labels GROUP BY doc_id) marks
+    ON marks.doc_id = try_cast(regexp_extract(p.path, '/([0-9]{{1,18}})([^0-9]|$)', 1) AS BIGINT)"""),
 }
