@@ -119,6 +119,30 @@ def test_alphabets_of_thousands_of_letters():
     assert counts.tolist() == [[brute(samples[k] + " ") for k in "ab"]]
 
 
+def test_letters_above_the_first_plane(spark):
+    deseret, gothic = range(0x10400, 0x10428), range(0x10330, 0x1034B)
+    assert langid.folded("a\U00010400😀\U00010428").tolist() == [97, 0xD801, 0xDC28, 32, 0xD801, 0xDC28]  # upper and lower case are one
+    rng = random.Random(8)
+
+    def words(letters, n=60):
+        known = ["".join(chr(rng.choice(letters)) for _ in range(4)) for _ in range(12)]
+        return lambda: " ".join(rng.choice(known) for _ in range(n))
+
+    makers = {"aa": words([ord(c) for c in "abcdefgh"]), "ds": words(deseret), "gt": words(gothic), "cj": words(range(0x20000, 0x20400))}
+    rows = [(i, makers[x](), x) for i, x in enumerate(list(makers) * 6)] + [(90, "😀😀 \U0001F600", None), (91, "\U00010330" * 3, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.learn(spark, docs.where("doc_id < 12"))
+    assert model.languages == sorted(makers)
+    got = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in langid.identify(docs, model).collect()}
+    assert all(got[i][0] == x for i, _, x in rows if x) and got[90] == ("und", 0.0) and got[91][0] == "gt"
+
+
+def test_ties_go_to_the_first_in_the_alphabet():
+    model = langid.fit({"b": ["one two"], "a": ["one two"]})
+    counts, _ = model.phrases(["two one", "zzz"])
+    assert model.languages == ["a", "b"] and (counts[:, 0] == counts[:, 1]).all()
+
+
 def test_every_label_is_learnt(spark, monkeypatch):
     rng = random.Random(6)
     own = {f"l{i:02d}": ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(6)) for _ in range(30)] for i in range(70)}

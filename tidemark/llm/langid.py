@@ -11,7 +11,8 @@ automaton has at most 32,767 states. Each language has its own alphabet. The tra
 most frequent letters are a table of 16-bit numbers, small enough for a CPU's cache; in it the step from
 a state that cannot go on is already the step from the start, marked as the beginning of a phrase, so
 parsing is one look-up a character. Transitions by its other letters (Chinese has thousands) are a
-sorted list of (state, letter), searched for those letters only.
+sorted list of (state, letter), searched for those letters only. A letter above U+FFFF counts as the two
+16-bit units of its UTF-16 form.
 
 Texts are cut into lanes of ``LANE`` characters, a phrase ending with its lane, and all lanes of a slice
 step through a table together in numpy, whole texts. The score is the margin between the best and the
@@ -56,13 +57,30 @@ def fold_table() -> np.ndarray:
 _FOLD: list[np.ndarray] = []
 
 
+def _with_pairs(points: np.ndarray, out: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """Letters above U+FFFF as two 16-bit units each, as in UTF-16; other characters there are no letters."""
+    known, which = np.unique(points[high], return_inverse=True)
+    low = [c.lower() if len(c.lower()) == 1 else c for c in map(chr, known.tolist())]
+    folded_to = np.array([ord(c) if c.isalpha() else 32 for c in low], np.uint32)[which]
+    pair = folded_to > 65535
+    out[high] = np.where(pair, 0xD800 + ((folded_to - 0x10000) >> np.uint32(10)), folded_to)
+    count = np.ones(len(out), np.int64)
+    count[high[pair]] = 2
+    second = np.cumsum(count)[high[pair]] - 1
+    out = np.repeat(out, count)
+    out[second] = 0xDC00 + ((folded_to[pair] - 0x10000) & np.uint32(0x3FF))
+    return out
+
+
 def folded(text: str) -> np.ndarray:
     """Letters in lower case, each run of other characters one space."""
     if not _FOLD:
         _FOLD.append(fold_table())
     points = np.frombuffer(text.encode("utf-32-le", "replace"), np.uint32)
     out = _FOLD[0][np.minimum(points, 65535)]
-    out[points > 65535] = 32
+    high = np.flatnonzero(points > 65535)
+    if len(high):
+        out = _with_pairs(points, out, high)
     blank = out == 32
     keep = ~blank
     keep[1:] |= ~blank[:-1]
