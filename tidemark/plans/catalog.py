@@ -358,6 +358,29 @@ def stream_fail_seq_global(spark, sf_dir):
     return spark.read.parquet(f"{root}/out").drop("batch_id")
 
 
+def _ad_stream(spark, sf_dir):
+    ev = _ev(spark, sf_dir)
+    clicks = ev.select("user_id", F.col("event_type").alias("ad_id"), (tables.prop_k() % 5).alias("province"),
+                       "ts", F.col("event_id").alias("seq"))
+
+    def start(stream, root, name):
+        return sjobs.ad_click_windows_query(stream, root, CAP_MAX, HOUR, SLIDE, name, NOW, folder_s=DAY)
+
+    return replay(clicks, F.col("seq"), start, CUTS, _closing(clicks, FAR_S), near=("seq", 0))
+
+
+def stream_cap_then_sliding(spark, sf_dir):
+    """The ad job as one stream: clicks under the cap per province and window."""
+    return (spark.read.parquet(f"{_ad_stream(spark, sf_dir)}/out").filter("window_start < 3000000000")
+            .select("window_start", "window_end", "province", F.col("count").alias("event_count")))
+
+
+def stream_click_cap_warn(spark, sf_dir):
+    """The warnings of the same stream."""
+    warn = spark.read.parquet(f"{_ad_stream(spark, sf_dir)}/warn")
+    return warn.select("user_id", F.col("ad_id").alias("event_type"), _us("ts").alias("ts_us"), "msg")
+
+
 def stream_reconcile(spark, sf_dir):
     """``reconcile_payments`` as a stream-stream full outer join; both sides come from one source."""
     both = _payments(spark, sf_dir, "purchase").withColumn("kind", F.lit("pay")).unionByName(
@@ -402,6 +425,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_uv_hourly": stream_uv_hourly,
     "stream_uv_bitmap": stream_uv_bitmap,
     "stream_fail_seq_global": stream_fail_seq_global,
+    "stream_cap_then_sliding": stream_cap_then_sliding,
+    "stream_click_cap_warn": stream_click_cap_warn,
     "pay_timeout": pay_timeout,
     "reconcile_payments": reconcile_payments,
     "stream_reconcile": stream_reconcile,

@@ -257,3 +257,5 @@ FROM (SELECT user_id * 100 + {K} AS order_id, min(CASE WHEN event_type = 'click'
     "stream_uv_hourly": _tumbling("event_type = 'view'", "count(DISTINCT user_id)", "uv_count"),
     "stream_uv_bitmap": f"SELECT window_end, uv_count FROM ({_tumbling("event_type = 'view'", f'count(DISTINCT {HASH})', 'uv_count')}) t",
 }
+SQL["stream_cap_then_sliding"] = SQL["cap_then_sliding"]
+SQL["stream_click_cap_warn"] = SQL["click_cap_warn"]

@@ -21,6 +21,7 @@ from ..plans.jobs import page_view_top_n_report
 from ..session import checkpoint_path
 from . import sinks, stateful
 from . import windows as swin
+from .click_cap import click_cap_writer
 from .global_pattern import pattern_writer
 from .window_store import window_writer
 
@@ -88,14 +89,23 @@ def page_view_top_n_query(log: DataFrame, store_root: str, top_root: str, n: int
 def ad_click_query(clicks: DataFrame, pass_root: str, warn_root: str, max_clicks: int = 100,
                    name: str = "ad_click_cap", trigger: dict | None = None) -> StreamingQuery:
     """Click cap on a stream: passing clicks and warnings to two outputs.
-    Province windows are a second query over ``pass_root``
-    (``windows.window_counts``) or a batch roll-up."""
+    By keyed state, row by row as they come; ``ad_click_windows_query`` caps by micro-batch and
+    counts the province windows in the same query."""
     tagged = stateful.click_cap_stream(clicks, max_clicks)
     return start(tagged, sinks.split_by_kind({"pass": sinks.write_batch(pass_root),
                                                "warn": sinks.write_batch(warn_root)}),
                  name, "append", trigger)
 
 
+def ad_click_windows_query(clicks: DataFrame, root: str, max_clicks: int = 100, size_s: int = 3600,
+                           slide_s: int = 5, name: str = "ad_clicks", trigger: dict | None = None,
+                           **options) -> StreamingQuery:
+    """The whole ad job as one stream (``click_cap``): ``root/pass``, ``root/warn``, ``root/late`` and the province
+    windows of the clicks that pass in ``root/out``."""
+    return start(clicks, click_cap_writer(root, max_clicks, size_s=size_s, slide_s=slide_s, **options), name,
+                 "append", trigger)
+
+
 def channel_pane_query(events: DataFrame, pane_root: str, slide_s: int = 5,
                        exclude: str = "UNINSTALL", delay: str = "0 seconds",
                        name: str = "channel_panes", trigger: dict | None = None) -> StreamingQuery:
