@@ -214,6 +214,26 @@ def test_automaton_equals_edit_distance():
         assert toxicity.hits_of([w], automaton)[3].tolist() == ([best] if best is not None else []), w
 
 
+def test_automaton_of_a_thousand_letters():
+    rng = random.Random(7)
+    letters = [chr(0x4E00 + i) for i in range(900)] + [chr(0x20000 + i) for i in range(200)]
+    entries = [("".join(rng.sample(letters, rng.choice([3, 4, 6]))), rng.random() < 0.3) for _ in range(150)]
+    automaton = toxicity.build_automaton(entries)
+    assert automaton.table.shape[1] > 300
+    for _ in range(150):
+        w = list(rng.choice(entries)[0])
+        if rng.random() < 0.6:
+            w[rng.randrange(len(w))] = rng.choice(letters)
+        w = "".join(w)
+        found = []
+        for j, (e, stem) in enumerate(entries):
+            d = min(distances(w[:k], e)[-1] for k in range(1, len(w) + 1)) if stem else distances(w, e)[-1]
+            if d <= toxicity.edits_for(len(e)):
+                found.append(d * 1000 + j)
+        text, a, b, code = (x.tolist() for x in toxicity.hits_of(["x " + w + " 😀y"], automaton))
+        assert (code, a, b) == (([min(found)], [2], [2 + len(w)]) if found else ([], [], []))
+
+
 def test_context_tells_quotation_from_abuse():
     model = toxicity.Model([("idiot", False)], toxicity.build_automaton([("idiot", False)]), {0: 5.0, 1000: 4.0, 2000: 0.0}, (1.0, -3.0))
     plain, quoted, called, told = model.scores(["such an idiot here", 'the note had "idiot" on it', "they said idiot again", "you idiot"])

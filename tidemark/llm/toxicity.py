@@ -64,6 +64,7 @@ def edits_for(length: int) -> int:
 class Automaton:
     """table[state, class] -> state (0 is dead, 1 the start); codes are errors * 1000 + entry."""
     classes: np.ndarray  # of the first 65,536 code points; 0 ends a word
+    high: dict[str, int]  # of lower-cased letters above them
     table: np.ndarray
     at_end: np.ndarray   # best entry if the word ends here
     inside: np.ndarray   # best stem met by what was read so far
@@ -75,7 +76,7 @@ def build_automaton(entries: list[tuple[str, bool]]) -> Automaton:
     letters = sorted({c for text, _ in entries for c in text})
     number = {c: i + 1 for i, c in enumerate(letters)}
     other = len(letters) + 1
-    classes = np.zeros(65536, np.uint8)
+    classes = np.zeros(65536, np.uint16 if other < 65536 else np.uint32)
     for point in range(65536):
         c = chr(point)
         if c.isalnum():
@@ -126,20 +127,25 @@ def build_automaton(entries: list[tuple[str, bool]]) -> Automaton:
         return min((e * 1000 + table[node] for node, e in states if node in table and e <= most_of[table[node]]), default=_NONE)
 
     start = closure({0: 0})
-    ids, queue, rows = {(): 0, start: 1}, [start], [[0] * (other + 1)]
+    ids, queue, rows = {(): 0, start: 1}, [start], [np.zeros(other + 1, np.int32)]
     at_end, inside = [_NONE], [_NONE]
+
+    def number_of(states: tuple) -> int:
+        if states not in ids:
+            ids[states] = len(ids)
+            queue.append(states)
+        return ids[states]
+
     for states in queue:
-        row = [0] * (other + 1)
-        for c in range(1, other + 1):
-            nxt = step(states, c)
-            if nxt not in ids:
-                ids[nxt] = len(ids)
-                queue.append(nxt)
-            row[c] = ids[nxt]
+        # Letters that no branch here asks for lead where any unknown letter leads.
+        row = np.full(other + 1, number_of(step(states, other)), np.int32)
+        row[0] = 0
+        for c in sorted({letter for node, _ in states for letter in children[node]}):
+            row[c] = number_of(step(states, c))
         rows.append(row)
         at_end.append(best(states, word_at))
         inside.append(best(states, stem_at))
-    return Automaton(classes, np.array(rows, np.int32), np.array(at_end), np.array(inside), len(entries))
+    return Automaton(classes, {c: i for c, i in number.items() if ord(c) > 65535}, np.array(rows, np.int32), np.array(at_end), np.array(inside), len(entries))
 
 
 def hits_of(texts: list[str], a: Automaton) -> tuple[np.ndarray, ...]:
@@ -150,7 +156,11 @@ def hits_of(texts: list[str], a: Automaton) -> tuple[np.ndarray, ...]:
     if not len(points):
         return (np.zeros(0, np.int64),) * 4
     kind = a.classes[np.minimum(points, 65535)]
-    kind[points > 65535] = 0
+    high = np.flatnonzero(points > 65535)
+    if len(high):
+        known, which = np.unique(points[high], return_inverse=True)
+        other = a.table.shape[1] - 1
+        kind[high] = np.array([a.high.get(c.lower(), other) if c.isalnum() else 0 for c in map(chr, known.tolist())], kind.dtype)[which]
     inside = kind != 0
     edge = np.flatnonzero(inside[1:] != inside[:-1]) + 1
     if inside[0]:
