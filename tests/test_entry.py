@@ -40,8 +40,8 @@ def _norm(v):
 def test_query_matches_oracle(spark, duck, name):
     df = se.queries()[name](spark, SF_SMALL)
     cols = sorted(df.columns)
-    got = sorted(tuple(_norm(r[c]) for c in cols) for r in df.collect())
+    got = sorted((tuple(_norm(r[c]) for c in cols) for r in df.collect()), key=repr)
     rel = duck.sql(se.oracle_sql()[name])
     assert sorted(rel.columns) == cols
-    exp = sorted(tuple(_norm(v) for v in r) for r in rel.select(*[f'"{c}"' for c in cols]).fetchall())
+    exp = sorted((tuple(_norm(v) for v in r) for r in rel.select(*[f'"{c}"' for c in cols]).fetchall()), key=repr)
     assert got == exp
