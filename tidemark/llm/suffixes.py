@@ -333,8 +333,8 @@ def _digest(batches):
 def repeated_spans(spark: SparkSession, docs: DataFrame, length: int = LENGTH) -> tuple[DataFrame, DataFrame, DataFrame]:
     """documents (doc_id, text) -> three staged tables.
 
-    marks: (doc_id, n_bytes, sha, first_id), one row a document, first_id the smallest id of its exact copies;
-    spans: (doc_id, sha, spans) of first copies that lose bytes;
+    marks: (doc_id, n_bytes, sha, first_id, which), one row a document, first_id the smallest id of its exact copies;
+    spans: (doc_id, which, spans) of first copies that lose bytes;
     texts: (sha, doc_id, which, text, anchors), the first copies that were searched. ``which`` tells the texts
     of an id that has several apart (64 bits of the hash); it is 0 where an id has one."""
     if length < max(ANCHOR, SHALLOW) + 8:
@@ -342,24 +342,24 @@ def repeated_spans(spark: SparkSession, docs: DataFrame, length: int = LENGTH) -
     parts = partitions(spark)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     marks = staged(spark, docs.select("doc_id", F.octet_length("text").cast("long").alias("n_bytes"), F.sha2(F.col("text"), 256).alias("sha")), "suffix-marks")
-    firsts = marks.groupBy("sha").agg(F.min("doc_id").alias("first_id"))
-    held = shared_tokens(docs, _extract(length), _finish, "doc_id long, sha string, anchors binary", parts)
-    held = held.join(firsts.withColumnRenamed("first_id", "doc_id"), ["sha", "doc_id"], "left_semi")
-    several = marks.groupBy("doc_id").agg(F.min("sha").alias("a"), F.max("sha").alias("b")).where("a <> b").select("doc_id", F.lit(True).alias("several"))
+    key = F.xxhash64("sha")
+    several = marks.groupBy("doc_id").agg(F.min(key).alias("a"), F.max(key).alias("b")).where("a <> b").select(F.col("doc_id").alias("first_id"), F.lit(True).alias("several"))
+    firsts = marks.groupBy("sha").agg(F.min("doc_id").alias("first_id")).join(several, "first_id", "left")
     bits = F.conv(F.substring("sha", 1, 15), 16, 10).cast("long")
-    held = held.join(several, "doc_id", "left").select("sha", "doc_id", F.when(F.col("several"), bits).otherwise(0).cast("long").alias("which"), "anchors")
+    firsts = staged(spark, firsts.select("sha", "first_id", F.when(F.col("several"), bits).otherwise(0).cast("long").alias("which")), "suffix-firsts")
+    held = shared_tokens(docs, _extract(length), _finish, "doc_id long, sha string, anchors binary", parts)
+    held = held.join(firsts.withColumnRenamed("first_id", "doc_id"), ["sha", "doc_id"])
     texts = docs.withColumn("sha", F.sha2(F.col("text"), 256))
     texts = staged(spark, texts.join(held, ["sha", "doc_id"]).dropDuplicates(["sha", "doc_id"]).select("sha", "doc_id", "which", "text", "anchors"), "suffix-texts")
     pieces = texts.select("doc_id", "which", "text", "anchors").mapInArrow(_pieces(parts, length), ROW).repartitionById(parts, F.col("part"))
     spans = pieces.mapInArrow(_order(parts, length), ROW).repartitionById(parts, F.col("part")).mapInArrow(_collect, "doc_id long, which long, spans binary")
-    spans = spans.join(texts.select("doc_id", "which", "sha"), ["doc_id", "which"]).select("doc_id", "sha", "spans")
     return marks.join(firsts, "sha"), staged(spark, spans, "suffix-spans"), texts
 
 
 def remove_repeats(spark: SparkSession, docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256), one row a document."""
     marks, spans, texts = repeated_spans(spark, docs, length)
-    cuts = texts.select("sha", "doc_id", "text").join(spans, ["sha", "doc_id"]).select("sha", "text", "spans")
+    cuts = texts.select("sha", "doc_id", "which", "text").join(spans, ["doc_id", "which"]).select("sha", "text", "spans")
     cuts = staged(spark, cuts.mapInArrow(_digest, "sha string, cut_removed long, cut_spans long, cut_sha256 string"), "suffix-cuts")
     discard(spark, texts, spans)
     both = marks.join(cuts, "sha", "left")
@@ -383,7 +383,7 @@ def kept_texts(spark: SparkSession, docs: DataFrame, length: int = LENGTH, colum
     key, copy, of, blob = fresh([*docs.columns, column], "__key", "__copy", "__of", "__blob")
     # One small table says what happens to a document: its spans, or that it is a later copy.
     copies = marks.where((F.col("doc_id") > F.col("first_id")) & (F.col("n_bytes") >= length)).select("doc_id", "sha", F.lit(True).alias("copy"), F.lit(None).cast("binary").alias("spans"))
-    firsts = marks.where("doc_id = first_id").select("doc_id", "sha").distinct().join(spans, ["doc_id", "sha"]).select("doc_id", "sha", F.lit(False).alias("copy"), "spans")
+    firsts = marks.where("doc_id = first_id").select("doc_id", "sha", "which").distinct().join(spans, ["doc_id", "which"]).select("doc_id", "sha", F.lit(False).alias("copy"), "spans")
     fate = copies.distinct().unionByName(firsts).select(F.col("doc_id").alias(of), F.col("sha").alias(key), F.col("copy").alias(copy), F.col("spans").alias(blob))
     sha = F.sha2(F.coalesce(docs["text"], F.lit("")), 256)
     both = docs.join(fate, (docs["doc_id"] == F.col(of)) & (sha == F.col(key)), "left").select(*(F.col(f"`{c}`") for c in docs.columns), copy, blob)
