@@ -85,6 +85,20 @@ def test_fail_bursts_stream_equals_batch(spark, scratch):
     assert (1, 0, 2, 3) in got and (1, 5, 5, 1) in got and (3, 0, 2, 2) in got
 
 
+def test_logins_without_a_user_are_one_user(spark, scratch):
+    base = 1_558_430_000
+    rows = [f",x,fail,{base}", f"1,x,fail,{base}", f",x,fail,{base + 1}", f"1,x,success,{base + 1}", f",x,fail,{base + 9}"]
+    rows = [f"{r},{i}" for i, r in enumerate(rows)]
+    chunks = [rows[:2], rows[2:]] + [[f"0,0,success,{FAR},100"], [f"0,0,success,{FAR + 100},101"]]
+    for kind, stream_of in (("pair", stateful.fail_pairs_stream), ("burst", stateful.fail_bursts_stream)):
+        where = os.path.join(scratch, kind)
+        stream = _login_stream(spark, where, chunks)
+        out = os.path.join(where, "out")
+        _run(stream_of(stream, 2), where, kind, sinks.write_batch(out))
+        got = [(r.user_id, r.first_fail_us // 10**6 - base, r.last_fail_us // 10**6 - base) for r in spark.read.parquet(out).collect()]
+        assert got == [(None, 0, 1)]
+
+
 def test_click_cap_stream_gold(spark, scratch):
     with open(fixture("ad_clicks.csv")) as f:
         lines = [ln.strip() for ln in f if ln.strip()]

@@ -77,7 +77,6 @@ def upsert_partitions(root: str, keys: Sequence[str], partition_col: str,
 
     def run(df: DataFrame, batch_id: int) -> None:
         spark = df.sparkSession
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
         new = df.persist()
         try:
             touched = touched_values(new, partition_col)
@@ -87,7 +86,8 @@ def upsert_partitions(root: str, keys: Sequence[str], partition_col: str,
                 merged = kept.unionByName(new).checkpoint(eager=True)
             else:
                 merged = new
-            merged.write.mode("overwrite").partitionBy(partition_col).parquet(root)
+            (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+             .partitionBy(partition_col).parquet(root))
         finally:
             new.unpersist()
     return run

@@ -41,6 +41,11 @@ def _prepare_logins(df: DataFrame) -> DataFrame:
                      (F.col("state") == "fail").alias("is_fail"))
 
 
+def _user(key) -> int | None:
+    """The key's user; rows without one are a user of their own, as in the batch operators."""
+    return None if pd.isna(key[0]) else int(key[0])
+
+
 class _OrderedBuffer(StatefulProcessor):
     """Buffers rows; feeds those behind the watermark to ``step`` in order."""
 
@@ -130,7 +135,7 @@ class FailPairProcessor(_OrderedBuffer):
             if r.is_fail and prev is not None and prev[1]:
                 span = r.us - prev[0]
                 if span < self.within_us or (span == self.within_us and not self.strict):
-                    out.append((int(key[0]), int(prev[0]), int(r.us), 2, self.msg))
+                    out.append((_user(key), int(prev[0]), int(r.us), 2, self.msg))
             prev = (int(r.us), bool(r.is_fail))
         self.last.update(prev)
         return out
@@ -151,7 +156,7 @@ class FailBurstProcessor(_OrderedBuffer):
 
     def _emit(self, key, g, out):
         if g is not None and g[1] >= self.min_fails:
-            out.append((int(key[0]), int(g[0]), int(g[2]), int(g[1]),
+            out.append((_user(key), int(g[0]), int(g[2]), int(g[1]),
                         BURST_MESSAGE.format(n=int(g[1]), s=self.within_text)))
 
     def step(self, key, rows, wm_us):
