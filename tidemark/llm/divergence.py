@@ -14,7 +14,7 @@ documents and written once; sums, joins and distances are DataFrame expressions.
 
 Base rules: fewer than 50 words, or more than half of the words in repeated 3-word windows.
 
-Defined cases: a null text has no words and fails the base. A null lang is a language of its own. A text
+Defined cases: a null text has no words and fails the base. A null lang counts as ''. A text
 that holds none of the common words has an all-"other" histogram. Repeated rows count each in the
 references. Empty table: empty result. Other columns are not read.
 """
