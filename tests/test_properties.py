@@ -42,6 +42,24 @@ def test_bitmap_equals_exact_for_short_ids(spark):
     assert _rows(a) == _rows(b) == _rows(c)
 
 
+def test_bitmap_of_colliding_ids_equals_a_set_of_offsets(spark):
+    rnd = random.Random(3)
+    rows = [(rnd.randrange(3) * 3600, rnd.randrange(10 ** 11, 10 ** 12)) for _ in range(4000)] + [(9 * 3600, None), (0, None)]
+    df = spark.createDataFrame(rows, "s long, user_id long").withColumn("ts", F.timestamp_seconds("s"))
+    bits = 10  # 1,024 offsets: all windows dense, many ids on one offset
+    expected = {}
+    for s, user in rows:
+        held = expected.setdefault(s, set())
+        if user is not None:
+            h = 0
+            for ch in str(user):
+                h = h * 61 + ord(ch)
+            held.add(h % (1 << bits))
+    got = {r.window_start: r.uv_count for r in aggregates.bitmap_distinct_count(df, "ts", "user_id", 3600, seed=61, bits=bits).collect()}
+    assert got == {s: len(held) for s, held in expected.items()}
+    assert got[9 * 3600] == 0 and got[0] > 500
+
+
 def _random_history(spark, n=3000, seed=7):
     rnd = random.Random(seed)
     data = []

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import BITMAP_BITS, BITMAP_HASH_SEED, poly_hash
+from ..functions.text import BITMAP_BITS, BITMAP_HASH_SEED, bitmap_mask, bitmap_word, poly_hash
 from ..functions.time import col_, epoch_seconds
 
 
@@ -53,16 +53,17 @@ def bitmap_distinct_count(df: DataFrame, ts: str, value: str, size_s: int,
 
     offset = poly_hash(str(value)) mod 2**bits, one hash function, so two
     values with the same offset count once (as in a one-hash Bloom bitmap).
-    The bitmap is split into fixed 32,768-bit chunks (``bitmap_*``
-    functions): a window's state is one small chunk per touched bucket,
-    built with partial aggregation and OR-merged, never one giant array.
+    The bitmap is kept as the 64-bit words that hold a set bit, one row
+    (window, word, bits) OR-merged with map-side partial aggregation: a
+    sparse window moves one row per visitor, as the exact count does, a
+    dense one a row per 64 offsets, and no buffer is ever larger than a row.
     """
     off = bitmap_offset(value, seed, bits)
-    per_bucket = (df.select(_tumbling(ts, size_s), *keys, off.alias("_o"))
-                  .groupBy("w", *keys, F.bitmap_bucket_number("_o").alias("_bk"))
-                  .agg(F.bitmap_construct_agg(F.bitmap_bit_position("_o")).alias("_bm")))
-    return (per_bucket.groupBy("w", *keys)
-            .agg(F.sum(F.bitmap_count("_bm")).cast("long").alias(name))
+    words = (df.select(_tumbling(ts, size_s), *keys, off.alias("_o"))
+             .groupBy("w", *keys, bitmap_word("_o").alias("_word"))
+             .agg(F.bit_or(bitmap_mask("_o")).alias("_bits")))
+    return (words.groupBy("w", *keys)
+            .agg(F.coalesce(F.sum(F.bit_count("_bits")), F.lit(0)).cast("long").alias(name))
             .select(*_bounds(), *keys, name))
 
 

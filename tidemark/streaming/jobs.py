@@ -139,7 +139,7 @@ def unique_visitor_bitmap_query(behaviors: DataFrame, store_root: str, size_s: i
                                 name: str = "unique_visitors_bitmap",
                                 trigger: dict | None = None) -> StreamingQuery:
     """Hashed-bitmap visitors, refreshed on every micro-batch (update mode):
-    the chunks touched by a batch are upserted into ``store_root``, keyed by
+    the bitmap words touched by a batch are upserted into ``store_root``, keyed by
     (window_end, bucket); visitors so far = ``sum(bits)`` per window_end."""
     views = _views(behaviors, pv_behavior, delay)
     chunks = swin.bitmap_buckets(views, "ts", "user_id", size_s, None)

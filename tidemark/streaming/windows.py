@@ -20,7 +20,7 @@ from math import gcd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import BITMAP_BITS, BITMAP_HASH_SEED, poly_hash
+from ..functions.text import BITMAP_BITS, BITMAP_HASH_SEED, bitmap_mask, bitmap_word, poly_hash
 from ..operators.topn import top_n_per_window
 
 
@@ -86,15 +86,15 @@ def distinct_counts(stream: DataFrame, ts: str, value: str, size_s: int,
 def bitmap_buckets(stream: DataFrame, ts: str, value: str, size_s: int,
                    delay: str | None = "0 seconds", seed: int = BITMAP_HASH_SEED,
                    bits: int = BITMAP_BITS) -> DataFrame:
-    """Per (window, bitmap bucket): the set-bit count of the hashed-bitmap
-    chunk. Run in ``update`` mode, each micro-batch re-emits only the
-    chunks it touched (early results on every batch); upsert them with
+    """Per (window, bucket): the set-bit count of one 64-bit word of the hashed
+    bitmap (state: that word, never a larger chunk, so sparse ids stay cheap).
+    Run in ``update`` mode, each micro-batch re-emits only the words it touched (early results on every batch); upsert them with
     ``sinks.upsert_partitions`` and sum ``bits`` per window to read the
     visitors so far."""
     off = poly_hash(value, seed, bits)
     src = _watermarked(stream, ts, delay).select(ts, off.alias("_o"))
-    return (src.groupBy(F.window(ts, f"{size_s} seconds"), F.bitmap_bucket_number("_o").alias("bucket"))
-            .agg(F.bitmap_count(F.bitmap_construct_agg(F.bitmap_bit_position("_o"))).alias("bits"))
+    return (src.groupBy(F.window(ts, f"{size_s} seconds"), bitmap_word("_o").alias("bucket"))
+            .agg(F.bit_count(F.bit_or(bitmap_mask("_o"))).cast("long").alias("bits"))
             .select(*_bounds(), "bucket", "bits"))
 
 
