@@ -24,6 +24,7 @@ from ..streaming import jobs as sjobs
 from ..streaming import reconcile as streams
 from ..streaming import sinks
 from ..streaming.replay import NOW, replay
+from ..streaming.stateful import WARNING_SCHEMA
 from . import jobs
 
 # Shared with oracle.py.
@@ -358,6 +359,32 @@ def stream_fail_seq_global(spark, sf_dir):
     return spark.read.parquet(f"{root}/out").drop("batch_id")
 
 
+def _login_stream(spark, sf_dir, kind, threshold=2):
+    """Warnings of the per-user detector ``kind`` as a stream, rows in jittered arrival order."""
+    lg = tables.logins(_ev(spark, sf_dir)).select("user_id", "state", "ts", "seq")
+
+    def start(stream, root, name):
+        return sjobs.login_warning_query(stream, root, kind, DETECT_WITHIN_S, threshold, "10 days", name, NOW)
+
+    root = replay(lg, F.col("seq") + (F.col("seq") * 37) % 101, start, CUTS, _closing(lg, FAR_S), near=("seq", 101))
+    return spark.read.schema(WARNING_SCHEMA).parquet(root).drop("batch_id")
+
+
+def stream_fail_pair(spark, sf_dir):
+    """``fail_pair`` as a stream."""
+    return _login_stream(spark, sf_dir, "pair").drop("fail_count")
+
+
+def stream_fail_seq_keyed(spark, sf_dir):
+    """``fail_seq_keyed`` as a stream."""
+    return _login_stream(spark, sf_dir, "sequence").drop("fail_count")
+
+
+def stream_fail_burst(spark, sf_dir):
+    """``fail_burst`` as a stream."""
+    return _login_stream(spark, sf_dir, "burst", BURST_MIN_FAILS)
+
+
 def _ad_stream(spark, sf_dir):
     ev = _ev(spark, sf_dir)
     clicks = ev.select("user_id", F.col("event_type").alias("ad_id"), (tables.prop_k() % 5).alias("province"),
@@ -425,6 +452,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_uv_hourly": stream_uv_hourly,
     "stream_uv_bitmap": stream_uv_bitmap,
     "stream_fail_seq_global": stream_fail_seq_global,
+    "stream_fail_pair": stream_fail_pair,
+    "stream_fail_seq_keyed": stream_fail_seq_keyed,
+    "stream_fail_burst": stream_fail_burst,
     "stream_cap_then_sliding": stream_cap_then_sliding,
     "stream_click_cap_warn": stream_click_cap_warn,
     "pay_timeout": pay_timeout,

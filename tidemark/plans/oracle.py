@@ -259,3 +259,5 @@ FROM (SELECT user_id * 100 + {K} AS order_id, min(CASE WHEN event_type = 'click'
 }
 SQL["stream_cap_then_sliding"] = SQL["cap_then_sliding"]
 SQL["stream_click_cap_warn"] = SQL["click_cap_warn"]
+for _name in ("fail_pair", "fail_seq_keyed", "fail_burst"):
+    SQL[f"stream_{_name}"] = SQL[_name]

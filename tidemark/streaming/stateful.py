@@ -1,12 +1,17 @@
 """Keyed stateful detectors on streams (``transformWithStateInPandas``).
 
 Rows of a key reach the processor in micro-batches, not in event-time
-order. The order-sensitive detectors therefore buffer rows in list state
-and process a row only once the watermark has passed it (no earlier row
-can still arrive: Spark drops rows behind the watermark), in (ts, seq)
-order. An event-time timer one millisecond after the oldest pending row
-wakes the key up. This makes the stream result equal the batch result of
-``tidemark.operators.detect`` whenever no row is dropped as late.
+order. The login detectors therefore keep rows in a map of time slots (one
+blob of rows a slot) and take them up once the watermark has passed them (no
+earlier row can still arrive: Spark drops rows behind the watermark), in
+(ts, seq) order. A micro-batch rewrites the slots of its own rows only, and a
+timer one millisecond after a row wakes the key up. This makes the stream
+result equal the batch result of ``tidemark.operators.detect`` whenever no
+row is dropped as late.
+
+State ends with the watermark: a slot goes when its rows are taken up, and
+what a detector carries (a last failure, an open group) when the watermark
+has passed its time bound. A user who is not seen again leaves nothing.
 
 The click cap processes rows as they arrive (sorted within a batch), as a
 fraud filter should not wait for the watermark; its per-day state is
@@ -19,6 +24,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -30,7 +36,8 @@ from ..functions.text import (BURST_MESSAGE, CLICK_CAP_MESSAGE, PAIR_MESSAGE, SE
 US_PER_MS = 1000
 US_PER_DAY = 86_400_000_000
 
-_ROW_STATE = "us long, seq long, is_fail boolean"
+# One row of a slot's blob.
+_ROW = np.dtype([("us", "<i8"), ("seq", "<i8"), ("is_fail", "?")])
 
 WARNING_SCHEMA = ("user_id long, first_fail_us long, last_fail_us long, fail_count long, "
                   "warning_msg string")
@@ -38,7 +45,7 @@ WARNING_SCHEMA = ("user_id long, first_fail_us long, last_fail_us long, fail_cou
 
 def _prepare_logins(df: DataFrame) -> DataFrame:
     return df.select("user_id", "ts", F.unix_micros("ts").alias("us"), "seq",
-                     (F.col("state") == "fail").alias("is_fail"))
+                     F.coalesce(F.col("state") == "fail", F.lit(False)).alias("is_fail"))
 
 
 def _user(key) -> int | None:
@@ -47,66 +54,74 @@ def _user(key) -> int | None:
 
 
 class _OrderedBuffer(StatefulProcessor):
-    """Buffers rows; feeds those behind the watermark to ``step`` in order."""
+    """Keeps rows by time slot; feeds those behind the watermark to ``step`` in order."""
+
+    columns = ["user_id", "first_fail_us", "last_fail_us", "fail_count", "warning_msg"]
+
+    def __init__(self, within_s: float):
+        self.within_us = int(round(within_s * 1_000_000))
+        self.slot_us = max(self.within_us, 1_000_000)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.pending = handle.getListState("pending", _ROW_STATE)
-        self.pending_min = handle.getValueState("pending_min", "us long")
+        self.slots = handle.getMapState("slots", "slot long", "rows binary")
         self.setup(handle)
 
     def setup(self, handle) -> None:  # state of the detector
         pass
 
-    def step(self, key, rows: pd.DataFrame, wm_us: int) -> list[tuple]:
+    def step(self, us: np.ndarray, is_fail: np.ndarray, wm_us: int) -> list[tuple]:
+        """Warnings (first us, last us, failures, text) of the next rows in order, maybe none;
+        every row before ``wm_us`` has then been fed."""
         raise NotImplementedError
 
-    def on_watermark(self, key, wm_us: int) -> list[tuple]:
-        return []
-
-    def _drain(self, key, new: pd.DataFrame | None, wm_ms: int) -> Iterator[pd.DataFrame]:
-        wm_us = wm_ms * US_PER_MS
-        nothing_ready = wm_ms <= 0 or (new is not None and len(new) and new["us"].min() >= wm_us
-                                        and self._pending_min() >= wm_us)
-        if nothing_ready and new is not None and len(new):
-            # nothing is behind the watermark yet: append, do not rewrite
-            self.pending.appendList([(int(r.us), int(r.seq), bool(r.is_fail)) for r in new.itertuples()])
-            low = int(min(new["us"].min(), self._pending_min()))
-            self.pending_min.update((low,))
-            self.handle.registerTimer(low // US_PER_MS + 1)
-            out = self.on_watermark(key, wm_us) if wm_ms > 0 else []
-            if out:
-                yield pd.DataFrame(out, columns=self.columns)
-            return
-        old = pd.DataFrame(list(self.pending.get()), columns=["us", "seq", "is_fail"]) \
-            if self.pending.exists() else None
-        parts = [p for p in (old, new) if p is not None and len(p)]
-        buf = pd.concat(parts, ignore_index=True) if parts else \
-            pd.DataFrame({"us": [], "seq": [], "is_fail": []})
-        ready_mask = buf["us"] < wm_us if wm_ms > 0 else pd.Series(False, index=buf.index)
-        ready = buf[ready_mask].sort_values(["us", "seq"], kind="mergesort")
-        rest = buf[~ready_mask]
-        out = self.step(key, ready, wm_us) if len(ready) else []
-        out += self.on_watermark(key, wm_us) if wm_ms > 0 else []
-        self.pending.clear()
-        self.pending_min.clear()
-        if len(rest):
-            self.pending.put([(int(r.us), int(r.seq), bool(r.is_fail)) for r in rest.itertuples()])
-            low = int(rest["us"].min())
-            self.pending_min.update((low,))
-            self.handle.registerTimer(low // US_PER_MS + 1)
-        if out:
-            yield pd.DataFrame(out, columns=self.columns)
-
-    def _pending_min(self) -> float:
-        return self.pending_min.get()[0] if self.pending_min.exists() else float("inf")
+    def _wake_after(self, us: int) -> None:
+        self.handle.registerTimer(us // US_PER_MS + 1)
+
+    def _rows(self, slot: int) -> np.ndarray:
+        return np.frombuffer(bytes(self.slots.getValue((slot,))[0]), _ROW)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        new = pd.concat(list(rows), ignore_index=True)[["us", "seq", "is_fail"]]
-        yield from self._drain(key, new, timerValues.getCurrentWatermarkInMs())
+        new = np.concatenate([np.rec.fromarrays([x["us"], x["seq"], x["is_fail"]], dtype=_ROW) for x in rows])
+        place = new["us"] // self.slot_us
+        order = np.argsort(place, kind="stable")
+        new, place = new[order], place[order]
+        for part in np.split(new, np.flatnonzero(np.diff(place)) + 1):
+            slot = int(part["us"][0]) // self.slot_us
+            held = bytes(self.slots.getValue((slot,))[0]) if self.slots.containsKey((slot,)) else b""
+            self.slots.updateValue((slot,), (held + part.tobytes(),))
+        self._wake_after(int(new["us"].min()))
+        return iter([])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        yield from self._drain(key, None, timerValues.getCurrentWatermarkInMs())
+        wm_us = timerValues.getCurrentWatermarkInMs() * US_PER_MS
+        found = self.step(*self._take(wm_us), wm_us)
+        if found:
+            user = _user(key)
+            yield pd.DataFrame([(user, *x) for x in found], columns=self.columns)
+
+    def _take(self, wm_us: int) -> tuple[np.ndarray, np.ndarray]:
+        """The rows behind the watermark in order, taken out; a timer for the first that stays."""
+        slots = sorted(int(k[0]) for k in self.slots.keys())
+        edge = wm_us // self.slot_us
+        ready = [np.empty(0, _ROW)]
+        for slot in slots:
+            if slot > edge:
+                self._wake_after(int(self._rows(slot)["us"].min()))
+                break
+            rows = self._rows(slot)
+            behind = rows["us"] < wm_us
+            ready.append(rows[behind])
+            if behind.all():
+                self.slots.removeKey((slot,))
+            else:
+                if behind.any():
+                    self.slots.updateValue((slot,), (rows[~behind].tobytes(),))
+                self._wake_after(int(rows["us"][~behind].min()))
+                break
+        rows = np.concatenate(ready)
+        rows = rows[np.lexsort((rows["seq"], rows["us"]))]
+        return rows["us"], rows["is_fail"]
 
     def close(self) -> None:
         pass
@@ -117,77 +132,84 @@ class FailPairProcessor(_OrderedBuffer):
     with ``strict=True`` the span must stay below the bound (the keyed
     sequence pattern)."""
 
-    columns = ["user_id", "first_fail_us", "last_fail_us", "fail_count", "warning_msg"]
-
     def __init__(self, within_s: float = 2, max_fails: int = 2, strict: bool = False):
-        self.within_us = int(round(within_s * 1_000_000))
-        self.strict = strict
+        super().__init__(within_s)
+        self.reach_us = self.within_us - 1 if strict else self.within_us
         self.msg = (SEQUENCE_MESSAGE.format(s=window_seconds_text(within_s)) if strict
                     else PAIR_MESSAGE.format(max=max_fails, s=window_seconds_text(within_s)))
 
     def setup(self, handle) -> None:
-        self.last = handle.getValueState("last", "us long, is_fail boolean")
-
-    def step(self, key, rows, wm_us):
-        prev = self.last.get() if self.last.exists() else None
-        out = []
-        for r in rows.itertuples():
-            if r.is_fail and prev is not None and prev[1]:
-                span = r.us - prev[0]
-                if span < self.within_us or (span == self.within_us and not self.strict):
-                    out.append((_user(key), int(prev[0]), int(r.us), 2, self.msg))
-            prev = (int(r.us), bool(r.is_fail))
-        self.last.update(prev)
+        self.last = handle.getValueState("last", "us long")  # the last row, if a failure still in reach
+
+    def step(self, us, is_fail, wm_us):
+        held = self.last.exists()
+        if held:
+            us = np.append(np.int64(self.last.get()[0]), us)
+            is_fail = np.append(True, is_fail)
+        if not len(us):
+            return []
+        hit = is_fail[1:] & is_fail[:-1] & (np.diff(us) <= self.reach_us)
+        out = [(a, b, 2, self.msg) for a, b in zip(us[:-1][hit].tolist(), us[1:][hit].tolist())]
+        end = int(us[-1])
+        if is_fail[-1] and end + self.within_us >= wm_us:
+            if not held or len(us) > 1:
+                self.last.update((end,))
+            self._wake_after(end + self.within_us)
+        elif held:
+            self.last.clear()
         return out
 
 
 class FailBurstProcessor(_OrderedBuffer):
     """Failure groups anchored at their first failure (see ``fail_bursts``)."""
 
-    columns = ["user_id", "first_fail_us", "last_fail_us", "fail_count", "warning_msg"]
-
     def __init__(self, within_s: float = 2, min_fails: int = 2):
-        self.within_us = int(round(within_s * 1_000_000))
+        super().__init__(within_s)
         self.min_fails = min_fails
         self.within_text = window_seconds_text(within_s)
 
     def setup(self, handle) -> None:
         self.group = handle.getValueState("group", "t0 long, n long, last long")
 
-    def _emit(self, key, g, out):
-        if g is not None and g[1] >= self.min_fails:
-            out.append((_user(key), int(g[0]), int(g[2]), int(g[1]),
-                        BURST_MESSAGE.format(n=int(g[1]), s=self.within_text)))
-
-    def step(self, key, rows, wm_us):
-        g = self.group.get() if self.group.exists() else None
-        out = []
-        for r in rows.itertuples():
-            if g is not None and r.us > g[0] + self.within_us:
-                self._emit(key, g, out)
-                g = None
-            if r.is_fail:
-                g = (int(r.us), 1, int(r.us)) if g is None else (g[0], g[1] + 1, int(r.us))
+    def step(self, us, is_fail, wm_us):
+        """A group ends at the first row past its bound, or is cancelled by a success before that;
+        both places are looked up for all rows at once, then groups follow one another."""
+        held = self.group.get() if self.group.exists() else None
+        total = len(us)
+        spots = np.arange(total)
+        # from each row on: the next success and the next failure (the row count: none)
+        success = np.minimum.accumulate(np.where(is_fail, total, spots)[::-1])[::-1].tolist() + [total]
+        fail = np.minimum.accumulate(np.where(is_fail, spots, total)[::-1])[::-1].tolist() + [total]
+        past = np.searchsorted(us, us + self.within_us, side="right").tolist()
+        out, open_group, at = [], None, 0
+
+        def close(t0, n, last, start, end):
+            """-> where the next group may start."""
+            nonlocal open_group
+            if success[start] < end:
+                return success[start] + 1
+            if end > start:
+                n, last = n + end - start, int(us[end - 1])
+            if end < total or t0 + self.within_us < wm_us:
+                if n >= self.min_fails:
+                    out.append((t0, last, n, BURST_MESSAGE.format(n=n, s=self.within_text)))
             else:
-                g = None  # a success cancels an open group
-        self._store(g)
-        return out
-
-    def on_watermark(self, key, wm_us):
-        g = self.group.get() if self.group.exists() else None
-        out = []
-        if g is not None and g[0] + self.within_us < wm_us:
-            # every row up to t0 + within has been processed: the group is final
-            self._emit(key, g, out)
-            self._store(None)
-        return out
-
-    def _store(self, g):
-        if g is None:
+                open_group = (t0, n, last)
+            return end
+
+        if held is not None:
+            t0, n, last = (int(x) for x in held)
+            at = close(t0, n, last, 0, int(np.searchsorted(us, t0 + self.within_us, side="right")))
+        while fail[at] < total:
+            i = fail[at]
+            at = close(int(us[i]), 0, 0, i, past[i])
+        if open_group is not None:
+            if open_group != held:
+                self.group.update(open_group)
+            self._wake_after(open_group[0] + self.within_us)
+        elif held is not None:
             self.group.clear()
-        else:
-            self.group.update(g)
-            self.handle.registerTimer((g[0] + self.within_us) // US_PER_MS + 1)
+        return out
 
 
 def fail_pairs_stream(logins: DataFrame, within_s: float = 2, max_fails: int = 2,
