@@ -48,6 +48,35 @@ def test_blocks_smaller_than_a_family(spark, docs, rows, monkeypatch):
     assert sorted(map(tuple, got), key=repr) == brute_components(rows)
 
 
+def test_long_common_passages_without_links(spark):
+    """Texts with one long passage in common and ends of their own, of many lengths: some link, most do not."""
+    rng = np.random.default_rng(9)
+    passage = " ".join(f"p{i}" for i in range(80))
+    rows = []
+    for i in range(90):
+        own = " ".join(f"w{i}x{j}" for j in range(int(rng.choice([0, 3, 9, 12, 20, 24, 40, 70]))))
+        rows.append((i, passage + " " + own))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = jaccard.near_duplicates(spark, docs).select("doc_id", "n_shingles", "component_id").collect()
+    assert sorted(map(tuple, got), key=repr) == brute_components(rows)
+
+
+def test_sets_too_long_for_their_overlap_do_not_meet(spark):
+    """3,000 sets of 100 shingles, all with the same 76: nine million pairs if they met at a common shingle."""
+    met = spark.range(3000).selectExpr("7L AS token", "76L AS rest", "id AS class", "id AS comp", "100L AS n", "1L AS size", "0L AS block")
+    short = spark.range(3000, 3002).selectExpr("7L AS token", "76L AS rest", "id AS class", "id AS comp", "76L AS n", "1L AS size", "0L AS block")
+    assert jaccard.askers(met, 75).join(jaccard.answerers(met), ["token", "band"]).count() == 0
+    both = met.unionByName(short)
+    assert {(r.g_comp, r.g_block) for r in jaccard.candidates(both, 75).where("class < 3000").collect()} == {(3000, 0), (3001, 0)}
+    assert jaccard.candidates(both, 75).where("class < 3000").count() == 6000
+
+
+@pytest.mark.parametrize("edges", [(1, 400)])
+def test_size_bands_rise(spark, edges):
+    bands = [r[0] for r in spark.range(*edges).select(jaccard.size_band(jaccard.F.col("id"))).collect()]
+    assert bands == sorted(bands) and len(set(bands)) < 60
+
+
 def test_near_duplicates_empty(spark, no_docs):
     assert jaccard.near_duplicates(spark, no_docs).count() == 0
 

@@ -13,7 +13,8 @@ gives each document its class, its component and the smallest doc_id reachable b
    A component, cut into parts of about ``BLOCK`` classes, is a group set of the matrix.
 3. Matrix: each group stores the union of its members' shingles. A class only queries groups of
    *other* components that share one of its prefix shingles (rarest first; a linked pair must
-   share one, with enough of both left behind it). The group is opened only if ``|query n union| >= threshold * |query|`` and some
+   share one, with enough of both left behind it; the sizes that leaves a partner are part of the
+   join's key, so documents that share a long passage without linking do not meet). The group is opened only if ``|query n union| >= threshold * |query|`` and some
    member's size fits; opened, the members are verified exactly.
 4. Components over the links found.
 
@@ -26,6 +27,7 @@ empty result. Other columns of the input are not read.
 from __future__ import annotations
 
 import hashlib
+import math
 
 import numpy as np
 import pyarrow as pa
@@ -221,6 +223,36 @@ def _open(percent: int):
     return run
 
 
+def size_band(n):
+    """Number of a band of set sizes; rises with ``n``, each band is a tenth wide."""
+    n = n.cast("double")
+    return F.when(n < 20, n).otherwise(20 + F.floor(F.log(n / 20) / math.log(1.1))).cast("long")
+
+
+def askers(met: DataFrame, percent: int) -> DataFrame:
+    """Prefix rows, once a band of sizes that a partner first met at this shingle can have. Beside the size
+    bound, no more than what is left of the row's own set can be common: long sets with a common passage at
+    the end of their prefix ask for short partners only, not for one another."""
+    least = F.floor((F.col("n") * percent + 99) / 100)
+    most = F.least(F.floor(F.col("n") * 100 / percent), F.floor(F.col("rest") * (100 + percent) / percent) - F.col("n"))
+    return (met.select("token", "rest", "class", "comp", "size", "n", least.alias("least"), most.alias("most")).where("least <= most")
+            .withColumn("band", F.explode(F.sequence(size_band(F.col("least")), size_band(F.col("most"))))))
+
+
+def answerers(met: DataFrame) -> DataFrame:
+    """Groups at each shingle of a prefix, by band of their members' sizes."""
+    return (met.groupBy("token", size_band(F.col("n")).alias("band"), F.col("comp").alias("g_comp"), F.col("block").alias("g_block"))
+            .agg(F.first("size").alias("g_size"), F.max("rest").alias("g_rest"), F.min("n").alias("g_least"), F.max("n").alias("g_most")))
+
+
+def candidates(met: DataFrame, percent: int) -> DataFrame:
+    """(class, g_comp, g_block): which class has to ask which group."""
+    fits = ((F.least("rest", "g_rest") * (100 + percent) >= percent * (F.col("n") + F.col("g_least")))
+            & (F.col("least") <= F.col("g_most")) & (F.col("g_least") <= F.col("most")))
+    return (askers(met, percent).join(answerers(met), ["token", "band"])
+            .where("struct(size, comp) < struct(g_size, g_comp)").where(fits).select("class", "g_comp", "g_block").distinct())
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, shingle_words: int = SHINGLE_WORDS, percent: int = PERCENT) -> DataFrame:
     """documents (doc_id, text) -> (doc_id, text_key, n_shingles, class, root, component_id), one row a document.
 
@@ -248,12 +280,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, shingle_words: int = S
     place = known.select("class", "size", "block")
     met = prefix.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("token")
     met = staged(spark, prefix.join(met, "token").join(place, "class"), "jaccard-prefix")
-    group = (met.groupBy("token", F.col("comp").alias("g_comp"), F.col("block").alias("g_block"))
-             .agg(F.first("size").alias("g_size"), F.max("rest").alias("g_rest"), F.min("n").alias("g_least"), F.max("n").alias("g_most")))
-    # At the first shingle that a pair shares, no more than what is left on either side can be common.
-    fits = (F.least("rest", "g_rest") * (100 + percent) >= percent * (F.col("n") + F.col("g_least"))) & (100 * F.col("g_most") >= percent * F.col("n")) & (100 * F.col("n") >= percent * F.col("g_least"))
-    asked = (met.select("token", "rest", "class", "comp", "size", "n").join(group, "token")
-             .where("struct(size, comp) < struct(g_size, g_comp)").where(fits).select("class", "g_comp", "g_block").distinct())
+    asked = candidates(met, percent)
     wanted = asked.select(F.col("g_comp").alias("comp"), F.col("g_block").alias("block")).distinct()
     matrix = (known.select("comp", "block", "class", "n", "tokens").join(wanted, ["comp", "block"], "left_semi")
               .groupBy("comp", "block").applyInArrow(_matrix_row, "comp long, block long, token_union binary, members binary"))
