@@ -10,6 +10,8 @@ At scale: tokenizing is a map over the documents; only (doc_id, start, length, c
 (the ids only if asked for).
 Pieces are dealt by hash to packers of about ``PACKER_ROWS`` documents, and each packs on its own:
 thousands of pieces leave hardly more room than one packer for all would, which would be one task.
+The second and later pieces of equal rows are dealt by their number and task as well, so a hot row is
+spread over all packers; as they are equal, a task run again deals the same pieces whatever the order.
 
 The tokenizer splits at white space, so the ids of a text are those of its words: a worker keeps
 the ids of words it has met (up to ``WORD_CACHE`` words, then it starts anew) and calls the
@@ -28,6 +30,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -117,6 +120,8 @@ def _pieces(path: str, size: int, end_id: int, packers: int, with_ids: bool):
 
     def run(batches):
         tokens = _tokenizer(path)
+        place = np.uint64(TaskContext.get().partitionId() + 1) << np.uint64(40)
+        copies: dict[int, int] = {}  # pieces met so far, by key: a piece met again goes to a packer of its own
         for batch in slices(batches, "text", 1 << 20):
             out = []
             for doc, ids in zip(batch.column(0).to_pylist(), tokens.encode(["" if x is None else x for x in batch.column(1).to_pylist()])):
@@ -127,6 +132,11 @@ def _pieces(path: str, size: int, end_id: int, packers: int, with_ids: bool):
                     out.append((doc, start, len(piece) // 4, zlib.crc32(piece), n, piece if with_ids else None))
             doc, start, length, crc, n, held = zip(*out)
             key = mix(np.array([x or 0 for x in doc], np.int64).view(np.uint64) * np.uint64(31) + np.array(start, np.uint64) + (np.array(crc, np.uint64) << np.uint64(24)))
+            again = np.zeros(len(key), np.uint64)
+            for i, k in enumerate(key.tolist()):
+                again[i] = copies.get(k, 0)
+                copies[k] = int(again[i]) + 1
+            key = np.where(again > 0, mix(key + again * np.uint64(0x9E3779B97F4A7C15) + place), key)
             cols = [pa.array(doc, pa.int64()), *(pa.array(x, pa.int64()) for x in (start, length, crc, n)), pa.array((key % np.uint64(packers)).astype(np.int64))]
             names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "packer"]
             if with_ids:
