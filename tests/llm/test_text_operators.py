@@ -52,9 +52,9 @@ def test_word_cache_starts_anew(rows, monkeypatch):
 
 def test_equal_rows_are_dealt_to_all_packers(spark):
     n = 40_000
-    docs = spark.range(n).selectExpr("if(id % 2 = 0, 5L, id) AS doc_id", "if(id % 4 = 0, cast(null AS string), 'same words again') AS text")
+    docs = spark.range(n).selectExpr("if(id % 2 = 0, -5L, id) AS doc_id", "if(id % 4 = 0, cast(null AS string), 'same words again') AS text")
     packed = packing.pack_documents(spark, docs, tokenizer_path())
-    sizes = {r[0]: r[1] for r in packed.where("doc_id = 5").selectExpr("sequence_id >> 32 AS packer").groupBy("packer").count().collect()}
+    sizes = {r[0]: r[1] for r in packed.where("doc_id = -5").selectExpr("sequence_id >> 32 AS packer").groupBy("packer").count().collect()}
     assert sum(sizes.values()) == n // 2
     assert len(sizes) == -(-n // packing.PACKER_ROWS) and max(sizes.values()) < 2 * (n // 2) / len(sizes)
     assert packed.count() == n
