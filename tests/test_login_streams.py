@@ -72,3 +72,11 @@ def test_users_who_stay_away_leave_no_state(spark, scratch, kind):
     _, left = run_stream(spark, scratch, DETECTORS[kind][0],
                          [rows, [(1, "fail", BASE, 900), (1, "fail", BASE + 1, 901), (0, "success", FAR, 1000)], [(0, "success", FAR + 100, 1001)]])
     assert left <= 3
+
+
+@pytest.mark.parametrize("kind", sorted(DETECTORS))
+def test_state_rows_follow_groups_of_users_not_users(spark, scratch, kind):
+    """3,000 users of one micro-batch share the state of at most 256 groups: a slot, its timer and its index entry each."""
+    rows = [(u, "fail", BASE + u % 2, u) for u in range(3000)]
+    _, held = run_stream(spark, scratch, DETECTORS[kind][0], [rows])
+    assert held <= 4 * 256

@@ -1,6 +1,6 @@
 """Keyed stateful detectors on streams (``transformWithStateInPandas``).
 
-Rows of a key reach the processor in micro-batches, not in event-time
+Rows of a user reach the processor in micro-batches, not in event-time
 order. The login detectors therefore keep rows in a map of time slots (one
 blob of rows a slot) and take them up once the watermark has passed them (no
 earlier row can still arrive: Spark drops rows behind the watermark), in
@@ -9,8 +9,14 @@ timer one millisecond after a row wakes the key up. This makes the stream
 result equal the batch result of ``tidemark.operators.detect`` whenever no
 row is dropped as late.
 
+A key of the state is a group of users (``groups`` of them, by hash), not one
+user: each state call and each result frame costs about a millisecond whatever
+it holds, so with a key a user they, not the rows, set the time. A group's rows
+are worked on as arrays sorted by user. ``groups`` belongs to a checkpoint as
+the shuffle partitions do, and a group's rows behind the watermark must fit a task.
+
 State ends with the watermark: a slot goes when its rows are taken up, and
-what a detector carries (a last failure, an open group) when the watermark
+what a detector carries (last failures, open groups) when the watermark
 has passed its time bound. A user who is not seen again leaves nothing.
 
 The click cap processes rows as they arrive (sorted within a batch), as a
@@ -36,27 +42,26 @@ from ..functions.text import (BURST_MESSAGE, CLICK_CAP_MESSAGE, PAIR_MESSAGE, SE
 US_PER_MS = 1000
 US_PER_DAY = 86_400_000_000
 
-# One row of a slot's blob.
-_ROW = np.dtype([("us", "<i8"), ("seq", "<i8"), ("is_fail", "?")])
+USER_GROUPS = 256
+
+# One row of a slot's blob; ``nobody`` marks rows without a user, who are a user of their own.
+_ROW = np.dtype([("nobody", "?"), ("user", "<i8"), ("us", "<i8"), ("seq", "<i8"), ("is_fail", "?")])
+# A failure that is carried on: the last one, or the first of an open group with the group's size and last time.
+_CARRY = np.dtype([("nobody", "?"), ("user", "<i8"), ("us", "<i8"), ("n", "<i8"), ("last", "<i8")])
 
 WARNING_SCHEMA = ("user_id long, first_fail_us long, last_fail_us long, fail_count long, "
                   "warning_msg string")
 
 
-def _prepare_logins(df: DataFrame) -> DataFrame:
-    return df.select("user_id", "ts", F.unix_micros("ts").alias("us"), "seq",
+def _prepare_logins(df: DataFrame, groups: int) -> DataFrame:
+    user = F.col("user_id").cast("long")
+    return df.select(F.pmod(F.xxhash64(user), F.lit(groups)).alias("user_group"), user.isNull().alias("nobody"),
+                     F.coalesce(user, F.lit(0)).alias("user"), "ts", F.unix_micros("ts").alias("us"), "seq",
                      F.coalesce(F.col("state") == "fail", F.lit(False)).alias("is_fail"))
 
 
-def _user(key) -> int | None:
-    """The key's user; rows without one are a user of their own, as in the batch operators."""
-    return None if pd.isna(key[0]) else int(key[0])
-
-
 class _OrderedBuffer(StatefulProcessor):
-    """Keeps rows by time slot; feeds those behind the watermark to ``step`` in order."""
-
-    columns = ["user_id", "first_fail_us", "last_fail_us", "fail_count", "warning_msg"]
+    """Keeps rows by time slot; feeds those behind the watermark to ``step`` by user, in order."""
 
     def __init__(self, within_s: float):
         self.within_us = int(round(within_s * 1_000_000))
@@ -65,14 +70,12 @@ class _OrderedBuffer(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.slots = handle.getMapState("slots", "slot long", "rows binary")
-        self.setup(handle)
-
-    def setup(self, handle) -> None:  # state of the detector
-        pass
+        self.carried = handle.getValueState("carried", "failures binary")
 
-    def step(self, us: np.ndarray, is_fail: np.ndarray, wm_us: int) -> list[tuple]:
-        """Warnings (first us, last us, failures, text) of the next rows in order, maybe none;
-        every row before ``wm_us`` has then been fed."""
+    def step(self, rows: np.ndarray, n: np.ndarray, last: np.ndarray, wm_us: int):
+        """``rows`` by user, in order, those carried on first; ``n`` and ``last`` are a row's failures and
+        last time (more than its own for a group carried on). Every row before ``wm_us`` has then been fed.
+        Returns what to carry on and the warnings: rows that begin them, last us, failures, texts."""
         raise NotImplementedError
 
     def _wake_after(self, us: int) -> None:
@@ -82,34 +85,56 @@ class _OrderedBuffer(StatefulProcessor):
         return np.frombuffer(bytes(self.slots.getValue((slot,))[0]), _ROW)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        new = np.concatenate([np.rec.fromarrays([x["us"], x["seq"], x["is_fail"]], dtype=_ROW) for x in rows])
+        new = np.concatenate([np.rec.fromarrays([x[c] for c in _ROW.names], dtype=_ROW) for x in rows])
         place = new["us"] // self.slot_us
         order = np.argsort(place, kind="stable")
         new, place = new[order], place[order]
         for part in np.split(new, np.flatnonzero(np.diff(place)) + 1):
             slot = int(part["us"][0]) // self.slot_us
-            held = bytes(self.slots.getValue((slot,))[0]) if self.slots.containsKey((slot,)) else b""
-            self.slots.updateValue((slot,), (held + part.tobytes(),))
+            held = self.slots.getValue((slot,))
+            self.slots.updateValue((slot,), ((b"" if held is None else bytes(held[0])) + part.tobytes(),))
         self._wake_after(int(new["us"].min()))
         return iter([])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         wm_us = timerValues.getCurrentWatermarkInMs() * US_PER_MS
-        found = self.step(*self._take(wm_us), wm_us)
-        if found:
-            user = _user(key)
-            yield pd.DataFrame([(user, *x) for x in found], columns=self.columns)
-
-    def _take(self, wm_us: int) -> tuple[np.ndarray, np.ndarray]:
-        """The rows behind the watermark in order, taken out; a timer for the first that stays."""
+        rows = self._take(wm_us)
+        had = self.carried.get() if self.carried.exists() else None
+        held = np.frombuffer(b"" if had is None else bytes(had[0]), _CARRY)
+        # Failures carried on are before all rows of their user: these were behind no earlier watermark.
+        first = np.empty(len(held), _ROW)
+        for c in ("nobody", "user", "us"):
+            first[c] = held[c]
+        first["seq"], first["is_fail"] = np.iinfo(np.int64).min, True
+        rows = np.concatenate([first, rows])
+        if not len(rows):
+            return
+        n, last = np.ones(len(rows), np.int64), rows["us"].copy()
+        n[:len(held)], last[:len(held)] = held["n"], held["last"]
+        order = np.lexsort((rows["seq"], rows["us"], rows["user"], rows["nobody"]))
+        rows = rows[order]
+        carry, begin, end_us, fails, texts = self.step(rows, n[order], last[order], wm_us)
+        if len(carry):
+            self.carried.update((carry.tobytes(),))
+            self._wake_after(int(carry["us"].min()) + self.within_us)
+        elif had is not None:
+            self.carried.clear()
+        if len(begin):
+            user = pd.array(rows["user"][begin], dtype="Int64")
+            user[rows["nobody"][begin]] = pd.NA
+            yield pd.DataFrame({"user_id": user, "first_fail_us": rows["us"][begin], "last_fail_us": end_us,
+                                "fail_count": fails, "warning_msg": texts})
+
+    def _take(self, wm_us: int) -> np.ndarray:
+        """The rows behind the watermark, taken out; a timer for the first that stays."""
         slots = sorted(int(k[0]) for k in self.slots.keys())
         edge = wm_us // self.slot_us
         ready = [np.empty(0, _ROW)]
         for slot in slots:
+            rows = self._rows(slot)
             if slot > edge:
-                self._wake_after(int(self._rows(slot)["us"].min()))
+                self._wake_after(int(rows["us"].min()))
                 break
-            rows = self._rows(slot)
             behind = rows["us"] < wm_us
             ready.append(rows[behind])
             if behind.all():
@@ -119,16 +144,27 @@ class _OrderedBuffer(StatefulProcessor):
                     self.slots.updateValue((slot,), (rows[~behind].tobytes(),))
                 self._wake_after(int(rows["us"][~behind].min()))
                 break
-        rows = np.concatenate(ready)
-        rows = rows[np.lexsort((rows["seq"], rows["us"]))]
-        return rows["us"], rows["is_fail"]
+        return np.concatenate(ready)
 
     def close(self) -> None:
         pass
 
 
+def _same_user(rows: np.ndarray) -> np.ndarray:
+    """Whether each row but the first is of the user of the row before."""
+    return (rows["user"][1:] == rows["user"][:-1]) & (rows["nobody"][1:] == rows["nobody"][:-1])
+
+
+def _carry(rows: np.ndarray, at: np.ndarray, n: np.ndarray, last: np.ndarray) -> np.ndarray:
+    out = np.empty(len(at), _CARRY)
+    for c in ("nobody", "user", "us"):
+        out[c] = rows[c][at]
+    out["n"], out["last"] = n, last
+    return out
+
+
 class FailPairProcessor(_OrderedBuffer):
-    """Two consecutive failures of a key within ``within_s`` (inclusive);
+    """Two consecutive failures of a user within ``within_s`` (inclusive);
     with ``strict=True`` the span must stay below the bound (the keyed
     sequence pattern)."""
 
@@ -138,26 +174,12 @@ class FailPairProcessor(_OrderedBuffer):
         self.msg = (SEQUENCE_MESSAGE.format(s=window_seconds_text(within_s)) if strict
                     else PAIR_MESSAGE.format(max=max_fails, s=window_seconds_text(within_s)))
 
-    def setup(self, handle) -> None:
-        self.last = handle.getValueState("last", "us long")  # the last row, if a failure still in reach
-
-    def step(self, us, is_fail, wm_us):
-        held = self.last.exists()
-        if held:
-            us = np.append(np.int64(self.last.get()[0]), us)
-            is_fail = np.append(True, is_fail)
-        if not len(us):
-            return []
-        hit = is_fail[1:] & is_fail[:-1] & (np.diff(us) <= self.reach_us)
-        out = [(a, b, 2, self.msg) for a, b in zip(us[:-1][hit].tolist(), us[1:][hit].tolist())]
-        end = int(us[-1])
-        if is_fail[-1] and end + self.within_us >= wm_us:
-            if not held or len(us) > 1:
-                self.last.update((end,))
-            self._wake_after(end + self.within_us)
-        elif held:
-            self.last.clear()
-        return out
+    def step(self, rows, n, last, wm_us):
+        us, fail, same = rows["us"], rows["is_fail"], _same_user(rows)
+        hit = np.flatnonzero(same & fail[1:] & fail[:-1] & (np.diff(us) <= self.reach_us))
+        # a user's last row stays if it is a failure still in reach
+        end = np.flatnonzero(np.append(~same, True) & fail & (us + self.within_us >= wm_us))
+        return _carry(rows, end, n[end], last[end]), hit, us[hit + 1], np.full(len(hit), 2), self.msg
 
 
 class FailBurstProcessor(_OrderedBuffer):
@@ -168,73 +190,63 @@ class FailBurstProcessor(_OrderedBuffer):
         self.min_fails = min_fails
         self.within_text = window_seconds_text(within_s)
 
-    def setup(self, handle) -> None:
-        self.group = handle.getValueState("group", "t0 long, n long, last long")
-
-    def step(self, us, is_fail, wm_us):
-        """A group ends at the first row past its bound, or is cancelled by a success before that;
-        both places are looked up for all rows at once, then groups follow one another."""
-        held = self.group.get() if self.group.exists() else None
-        total = len(us)
+    def step(self, rows, n, last, wm_us):
+        """A group ends at the first row past its bound, or is cancelled by a success before that; where
+        the next group begins is looked up for all rows at once, then groups follow one another."""
+        us, fail, same = rows["us"], rows["is_fail"], _same_user(rows)
+        total = len(rows)
         spots = np.arange(total)
         # from each row on: the next success and the next failure (the row count: none)
-        success = np.minimum.accumulate(np.where(is_fail, total, spots)[::-1])[::-1].tolist() + [total]
-        fail = np.minimum.accumulate(np.where(is_fail, spots, total)[::-1])[::-1].tolist() + [total]
-        past = np.searchsorted(us, us + self.within_us, side="right").tolist()
-        out, open_group, at = [], None, 0
-
-        def close(t0, n, last, start, end):
-            """-> where the next group may start."""
-            nonlocal open_group
-            if success[start] < end:
-                return success[start] + 1
-            if end > start:
-                n, last = n + end - start, int(us[end - 1])
-            if end < total or t0 + self.within_us < wm_us:
-                if n >= self.min_fails:
-                    out.append((t0, last, n, BURST_MESSAGE.format(n=n, s=self.within_text)))
-            else:
-                open_group = (t0, n, last)
-            return end
-
-        if held is not None:
-            t0, n, last = (int(x) for x in held)
-            at = close(t0, n, last, 0, int(np.searchsorted(us, t0 + self.within_us, side="right")))
-        while fail[at] < total:
-            i = fail[at]
-            at = close(int(us[i]), 0, 0, i, past[i])
-        if open_group is not None:
-            if open_group != held:
-                self.group.update(open_group)
-            self._wake_after(open_group[0] + self.within_us)
-        elif held is not None:
-            self.group.clear()
-        return out
+        success = np.append(np.minimum.accumulate(np.where(fail, total, spots)[::-1])[::-1], total)
+        failure = np.append(np.minimum.accumulate(np.where(fail, spots, total)[::-1])[::-1], total)
+        run = np.cumsum(np.append(0, ~same))
+        run_end = np.append(np.flatnonzero(~same) + 1, total)[run]
+        # the first row of the user past each row's bound: rows merged with their bounds, bounds after equal rows
+        order = np.lexsort((np.repeat([0, 1], total), np.append(us, us + self.within_us), np.append(run, run)))
+        bound = order >= total
+        past = np.empty(total, np.int64)
+        past[order[bound] - total] = np.cumsum(~bound)[bound]
+        cancelled = success[:-1] < past
+        follow = failure[np.where(cancelled, success[:-1] + 1, past)].tolist()
+        at, begins = int(failure[0]), []
+        while at < total:
+            begins.append(at)
+            at = follow[at]
+        begin = np.array(begins, np.int64)
+        begin = begin[~cancelled[begin]]
+        end = past[begin]
+        fails = n[begin] + end - begin - 1
+        end_us = np.where(end - begin > 1, us[end - 1], last[begin])
+        closed = (end < run_end[begin]) | (us[begin] + self.within_us < wm_us)
+        found = closed & (fails >= self.min_fails)
+        texts = [BURST_MESSAGE.format(n=x, s=self.within_text) for x in fails[found].tolist()]
+        carry = _carry(rows, begin[~closed], fails[~closed], end_us[~closed])
+        return carry, begin[found], end_us[found], fails[found], texts
 
 
 def fail_pairs_stream(logins: DataFrame, within_s: float = 2, max_fails: int = 2,
-                      delay: str = "3 seconds") -> DataFrame:
+                      delay: str = "3 seconds", groups: int = USER_GROUPS) -> DataFrame:
     """Streaming D2. ``logins``: user_id, state, ts, seq (a stream)."""
-    src = _prepare_logins(logins).withWatermark("ts", delay)
-    return src.groupBy("user_id").transformWithStateInPandas(
+    src = _prepare_logins(logins, groups).withWatermark("ts", delay)
+    return src.groupBy("user_group").transformWithStateInPandas(
         FailPairProcessor(within_s, max_fails), WARNING_SCHEMA, "append", "EventTime")
 
 
 def fail_sequences_stream(logins: DataFrame, within_s: float = 2,
-                          delay: str = "3 seconds") -> DataFrame:
+                          delay: str = "3 seconds", groups: int = USER_GROUPS) -> DataFrame:
     """Streaming D3, keyed by user (fail then fail, span < within). The
     unkeyed form would put the whole stream in one task; use the batch
     ``detect.fail_sequences(keyed=False)`` over stored rows instead."""
-    src = _prepare_logins(logins).withWatermark("ts", delay)
-    return src.groupBy("user_id").transformWithStateInPandas(
+    src = _prepare_logins(logins, groups).withWatermark("ts", delay)
+    return src.groupBy("user_group").transformWithStateInPandas(
         FailPairProcessor(within_s, strict=True), WARNING_SCHEMA, "append", "EventTime")
 
 
 def fail_bursts_stream(logins: DataFrame, within_s: float = 2, min_fails: int = 2,
-                       delay: str = "3 seconds") -> DataFrame:
+                       delay: str = "3 seconds", groups: int = USER_GROUPS) -> DataFrame:
     """Streaming D1."""
-    src = _prepare_logins(logins).withWatermark("ts", delay)
-    return src.groupBy("user_id").transformWithStateInPandas(
+    src = _prepare_logins(logins, groups).withWatermark("ts", delay)
+    return src.groupBy("user_group").transformWithStateInPandas(
         FailBurstProcessor(within_s, min_fails), WARNING_SCHEMA, "append", "EventTime")
 
 
