@@ -357,3 +357,17 @@ def test_bitmap_and_login_job_queries(spark, scratch):
     q2.awaitTermination()
     assert [(r.user_id, r.first_fail_us // 10**6) for r in spark.read.parquet(out).collect()] == \
         [(1035, 1558430842)]
+
+
+def test_upsert_writes_a_file_a_partition(spark, scratch):
+    """A batch of many tasks leaves each partition in one file, at the first write and at the merge."""
+    write = sinks.upsert_partitions(os.path.join(scratch, "store"), ["bucket"], "window_end")
+    plain = spark.newSession()
+    plain.conf.set("spark.sql.adaptive.enabled", "false")  # as in the batches of a stateful query
+    for batch_id, low in enumerate((0, 500)):
+        rows = plain.range(low, low + 1000).select((F.col("id") % 3).alias("window_end"), F.col("id").alias("bucket"), F.lit(batch_id).alias("bits"))
+        write(rows.repartition(8), batch_id)
+        files = [f for _, _, names in os.walk(os.path.join(scratch, "store", "window_end=1")) for f in names if f.endswith(".parquet")]
+        assert len(files) == 1
+    got = spark.read.parquet(os.path.join(scratch, "store")).agg(F.count("*"), F.count_distinct("bucket"), F.sum("bits")).first()
+    assert tuple(got) == (1500, 1500, 1000)

@@ -72,7 +72,11 @@ def upsert_partitions(root: str, keys: Sequence[str], partition_col: str,
     (e.g. ``window_end``): only partitions touched by the batch are
     rewritten (dynamic partition overwrite). The merge of stored and new
     rows is checkpointed (to the shared ``spark.checkpoint.dir``) before
-    the rewrite, since the same partitions are read and written."""
+    the rewrite, since the same partitions are read and written. Rows are
+    dealt by partition first, so a batch writes a file a partition and not
+    one for each of its tasks (not by a rebalance hint: without adaptive
+    execution, as in a stateful query's batches, that does nothing). One
+    partition's rows are one task's."""
     keys = list(keys)
 
     def run(df: DataFrame, batch_id: int) -> None:
@@ -83,9 +87,9 @@ def upsert_partitions(root: str, keys: Sequence[str], partition_col: str,
             if path_exists(spark, root):
                 old = spark.read.parquet(root).filter(F.col(partition_col).isin(touched))
                 kept = old.join(new.select(*keys, partition_col), keys + [partition_col], "left_anti")
-                merged = kept.unionByName(new).checkpoint(eager=True)
+                merged = kept.unionByName(new).repartition(F.col(partition_col)).checkpoint(eager=True)
             else:
-                merged = new
+                merged = new.repartition(F.col(partition_col))
             (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
              .partitionBy(partition_col).parquet(root))
         finally:
