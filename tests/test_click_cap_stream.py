@@ -77,3 +77,17 @@ def test_any_cut_gives_the_batch_result(spark, scratch, seed):
     if seed == 1:
         from tidemark.operators.windows import sliding_count
         assert late_windows == 0 and rows_of(windows, "window_end", "province", "count") == rows_of(sliding_count(passed, "ts", ["province"], 60, 20), "window_end", "province", "count")
+
+
+def test_counts_of_a_day_are_a_few_files(spark, scratch):
+    """A batch dealt over many tasks writes its counts by day, not a file for each task and day."""
+    plain = spark.newSession()
+    plain.conf.set("spark.sql.adaptive.enabled", "false")
+    plain.conf.set("spark.sql.shuffle.partitions", "16")
+    clicks = plain.range(2000).select((F.col("id") % 500).alias("user_id"), F.lit(1).alias("ad_id"), F.lit("a").alias("province"),
+                                      F.timestamp_seconds(F.col("id") % 3 * DAY).alias("ts"), F.col("id").alias("seq"))
+    click_cap_writer(scratch, 5, size_s=60, slide_s=20, folder_s=DAY)(clicks, 0)
+    days = os.path.join(scratch, "cap", "counts")
+    files = [f for f in os.listdir(os.path.join(days, "day=1", "batch_id=0")) if f.endswith(".parquet")]
+    assert len(files) <= 4
+    assert spark.read.parquet(days).agg(F.sum("n")).first()[0] == 2000

@@ -28,6 +28,7 @@ from .sinks import path_exists, write_batch
 from .window_store import drop_below, overwrite_partitions, window_writer
 
 DAY_S = 86_400
+COUNT_FILES = 4  # of a day and batch
 
 
 def click_cap_writer(root: str, max_clicks: int = 100, keys: Sequence[str] = ("user_id", "ad_id"),
@@ -76,7 +77,7 @@ def click_cap_writer(root: str, max_clicks: int = 100, keys: Sequence[str] = ("u
             now = spark.createDataFrame([(newest,)], "us long").filter("us is not null")
             clock = now.select(F.timestamp_micros("us").alias("ts"), F.lit("clock").alias("kind"))
             count_windows(passed.withColumn("kind", F.lit("pass")).unionByName(clock, allowMissingColumns=True), batch_id)
-            overwrite_partitions(counts, folder["cap/counts"], "day", "batch_id")
+            overwrite_partitions(counts.repartition("day", F.pmod(F.xxhash64(*keys), F.lit(COUNT_FILES))), folder["cap/counts"], "day", "batch_id")
             routing.carry(spark, folder["cap/state"], batch_id, before, newest)
             if closed is not None:
                 drop_below(spark, folder["cap/counts"], "day", closed)

@@ -92,7 +92,7 @@ def window_writer(root: str, keys: Sequence[str], size_s: int, slide_s: int, bou
             late(kept.filter(F.col("is_late")).drop("is_late"), batch_id)
             if accepted:
                 accepted(on_time.drop("is_late"), batch_id)
-            panes = pane_ranges(on_time, "ts", keys, size_s, slide_s, first_open_window(size_s, slide_s, lateness_s))
+            panes = pane_ranges(on_time, "ts", keys, size_s, slide_s, first_open_window(size_s, slide_s, lateness_s)).persist()
             deltas = block_deltas(into_blocks(panes, k), keys, k)
             stored = deltas.select(*keys, "pos", "d", F.col("_b").alias("block"), floor_div(F.col("_b"), per).alias("part"), F.lit(batch_id).alias("batch_id"))
             overwrite_partitions(stored.hint("rebalance", F.col("part")), deltas_root, "part", "batch_id")
@@ -105,6 +105,7 @@ def window_writer(root: str, keys: Sequence[str], size_s: int, slide_s: int, bou
                 _publish(held, min(low) if low else None, max(high), past(now))
             if past(before, lateness_us) is not None:
                 drop_below(spark, deltas_root, "part", (past(before, lateness_us) + 1) // (k * per))
+            panes.unpersist()
         finally:
             kept.unpersist()
             df.unpersist()
