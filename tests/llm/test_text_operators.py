@@ -50,6 +50,30 @@ def test_word_cache_starts_anew(rows, monkeypatch):
     assert [tokens.encode([t])[0] for t in texts] == expected
 
 
+def test_a_known_word_is_looked_up_once():
+    class Counting(dict):
+        asked = 0
+
+        def get(self, k):
+            self.asked += 1
+            return super().get(k)
+
+        def __contains__(self, k):
+            self.asked += 1
+            return super().__contains__(k)
+
+        def __getitem__(self, k):
+            self.asked += 1
+            return super().__getitem__(k)
+
+    tokens = packing.WordTokens(tokenizer_path())
+    tokens.known = Counting()
+    text = "one two three, two one"
+    first = tokens.encode([text])
+    tokens.known.asked = 0
+    assert tokens.encode([text]) == first and tokens.known.asked == 5
+
+
 def test_equal_rows_are_dealt_to_all_packers(spark):
     n = 40_000
     docs = spark.range(n).selectExpr("if(id % 2 = 0, -5L, id) AS doc_id", "if(id % 4 = 0, cast(null AS string), 'same words again') AS text")

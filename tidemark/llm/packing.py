@@ -27,6 +27,8 @@ from __future__ import annotations
 
 import unicodedata
 import zlib
+from itertools import compress
+from operator import not_
 
 import numpy as np
 import pyarrow as pa
@@ -87,25 +89,32 @@ class WordTokens:
             known[w] = known[core] + known[rest]
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        out, rows = [], []
+        rows, found, new = [], [], set()
+        find = self.known.get
         for text in texts:
             data = text.encode()
             if any(s in data for s in self.special):
-                rows.append(None)
-            else:
-                rows.append(data.lower().split())
-        known = self.known
-        new = {w for words in rows if words for w in words if w not in known}
-        if len(known) + len(new) > WORD_CACHE:  # start anew, with the words of this batch
-            known.clear()
-            new = {w for words in rows if words for w in words}
+                rows.append((None, None))
+                found.append(None)
+                continue
+            words = data.lower().split()
+            ids = list(map(find, words))  # one look-up a word that is known
+            gaps = list(compress(range(len(ids)), map(not_, ids)))
+            new.update([words[i] for i in gaps])
+            rows.append((words, gaps))
+            found.append(ids)
+        if len(self.known) + len(new) > WORD_CACHE:  # start anew, with the new words of this batch
+            self.known.clear()
         if new:
             self._learn(new)
-        for text, words in zip(texts, rows):
+        out = []
+        for text, (words, gaps), ids in zip(texts, rows, found):
             if words is None:
                 out.append(self._ids([text])[0])
-            else:
-                out.append(b"".join([known[w] for w in words]))
+                continue
+            for i in gaps:
+                ids[i] = self.known[words[i]]
+            out.append(b"".join(ids))
         return out
 
 
