@@ -344,3 +344,17 @@ def test_pipeline_runs(spark):
         room[r["sequence_id"]] += r["length"]
     assert got and max(room.values()) <= 2048
     assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "near_duplicates", "repeats", "mixing", "packing"]
+
+
+def test_a_query_gathers_no_entries_of_its_files():
+    """Scratch of one query on a whole block: small numbers row by row, not indices and places of 150,000 entries."""
+    import tracemalloc
+
+    rng = np.random.default_rng(3)
+    order = np.argsort(rng.random((neighbours.BLOCK, neighbours.PIVOTS)), axis=1)[:, :neighbours.LENGTH].astype(np.int16)
+    files = neighbours.Files(order[1:], neighbours.PIVOTS)
+    tracemalloc.start()
+    files.closeness(order[0])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 2_500_000

@@ -4,11 +4,11 @@ Vectors may have any norms: each is indexed with one more component, sqrt(M^2 -
 norm, and a query with 0 there, so that the order by angle is the order by inner product.
 
 Pivots are vectors drawn from the rows, PIVOTS at most. A vector is represented by its LENGTH nearest
-pivots in order and posted in their inverted files, with its place. Vectors are cut into blocks of about
+pivots in order, with its place in the files of these pivots. Vectors are cut into blocks of about
 BLOCK by a hash, each block with files of its own. A query opens the files of its own pivots: two
 orders are the nearer by Spearman's footrule (a pivot missing on one side counts as position LENGTH)
 the larger the sum of LENGTH - max(place, place) over the pivots they share, so adding that up over the
-files ranks the block. The nearest SHARE of it (LEAST at the least) is reranked by the exact inner product
+files ranks the block (a file is a row of the block, read whole). The nearest SHARE of it (LEAST at the least) is reranked by the exact inner product
 in double precision, and a (query, block) pair gives back at most k + 1 rows (ties: the smaller smallest vec_id).
 
 The stated query set meets all rows in blocks: a task holds one block and one chunk of at most about
@@ -58,21 +58,17 @@ def orders(matrix: np.ndarray, pivots: np.ndarray, length: int) -> np.ndarray:
 
 
 class Files:
-    """Inverted files of a block: for each pivot the vectors that hold it in their order, and where."""
+    """Files of a block, a row a pivot: how far before the end each vector's order holds it (0: not at all)."""
 
     def __init__(self, order: np.ndarray, n_pivots: int):
         self.n, self.length = order.shape
-        flat = order.ravel().astype(np.int64)
-        by = np.argsort(flat, kind="stable")
-        self.row, self.place = by // self.length, by % self.length
-        self.at = np.searchsorted(flat[by], np.arange(n_pivots + 1)).tolist()
+        self.held = np.zeros((n_pivots, self.n), np.int16)
+        self.held[order.T, np.arange(self.n)] = np.arange(self.length, 0, -1)[:, None]
 
     def closeness(self, order: np.ndarray) -> np.ndarray:
         """Largest footrule distance less the distance, halved, of one query's order to every vector's."""
-        spans = [(self.at[p], self.at[p + 1]) for p in order.tolist()]
-        row = np.concatenate([self.row[a:b] for a, b in spans])
-        place = np.concatenate([np.maximum(self.place[a:b], i) for i, (a, b) in enumerate(spans)])
-        return np.bincount(row, self.length - place, minlength=self.n)
+        own = np.arange(self.length, self.length - len(order), -1, np.int16)[:, None]
+        return np.minimum(self.held[order], own).sum(0, dtype=np.int32).astype(np.float64)
 
 
 def _arrays(column) -> np.ndarray:
