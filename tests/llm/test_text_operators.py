@@ -74,6 +74,35 @@ def test_a_known_word_is_looked_up_once():
     assert tokens.encode([text]) == first and tokens.known.asked == 5
 
 
+def test_latin_words_need_only_the_model(monkeypatch):
+    tokens = packing.WordTokens(tokenizer_path())
+    texts = ["Straße élève, (übungen)*** 12:30 naïve-été x2y", "Ça «va»? mañana... a_b#c", "²³ ¼ ŒUVRE \x85x"]
+    expected = tokens._ids(texts)
+    monkeypatch.setattr(tokens, "_ids", lambda words: pytest.fail(f"whole tokenizer for {words}") if words != ["\x85x"] else [expected[2][-4:]])
+    assert tokens.encode(texts) == expected
+
+
+def test_letters_composed_in_lower_case_only():
+    tokens = packing.WordTokens(tokenizer_path())
+    texts = ["T\u0308 aT\u0308b", "J\u030c J\u030c", "t\u0308 e\u0301 E\u0301"]
+    assert tokens.encode(texts) == tokens._ids(texts)
+
+
+def test_a_worker_keeps_few_words_after_a_task(monkeypatch):
+    class Task:
+        get = staticmethod(lambda: Task)
+        partitionId = staticmethod(lambda: 0)
+
+    monkeypatch.setattr(packing, "TaskContext", Task)
+    monkeypatch.setattr(packing, "WORDS_KEPT", 20, raising=False)
+    monkeypatch.setattr(packing, "_LOADED", {})
+    texts = [f"common word{chr(97 + i % 26)}{chr(97 + i // 26)}, and" for i in range(300)]
+    batch = packing.pa.RecordBatch.from_pydict({"doc_id": list(range(300)), "text": texts})
+    run = packing._pieces(tokenizer_path(), packing.SIZE, packing.END_ID, 1, True)
+    first, second = [[b.to_pydict() for b in run([batch])] for _ in range(2)]
+    assert first == second and len(packing._LOADED[tokenizer_path()].known) <= 20
+
+
 def test_equal_rows_are_dealt_to_all_packers(spark):
     n = 40_000
     docs = spark.range(n).selectExpr("if(id % 2 = 0, -5L, id) AS doc_id", "if(id % 4 = 0, cast(null AS string), 'same words again') AS text")

@@ -14,9 +14,10 @@ The second and later pieces of equal rows are dealt by their number and task as
 spread over all packers; as they are equal, a task run again deals the same pieces whatever the order.
 
 The tokenizer splits at white space, so the ids of a text are those of its words: a worker keeps
-the ids of words it has met (up to ``WORD_CACHE`` words, then it starts anew) and calls the
-tokenizer for new words only, whole batches at a time. Texts that hold a special token's string go
-through the tokenizer whole.
+the ids of words it has met (up to ``WORD_CACHE`` words) and works out new words only; past that, and
+after a task, it keeps the first ``WORDS_KEPT`` and gives the others' memory back. Words of Latin
+letters, digits and signs are cut into the tokenizer's runs here, and only the tokenizer's model
+works on them; other words, and texts that hold a special token's string, go through the tokenizer whole.
 
 Defined cases: null text is empty; an empty text is the end id alone (one piece of length 1). A
 null doc_id is packed like any other. Rows that repeat a doc_id are packed each on its own. Empty
@@ -25,9 +26,11 @@ table: empty result. Other columns are not read.
 
 from __future__ import annotations
 
+import json
+import re
 import unicodedata
 import zlib
-from itertools import compress
+from itertools import compress, islice
 from operator import not_
 
 import numpy as np
@@ -41,59 +44,102 @@ from tidemark.llm.common import mix, slices
 SIZE = 2048
 END_ID = 1
 PACKER_ROWS = 4096
-WORD_CACHE = 1_000_000
+WORD_CACHE = 1 << 20
+WORDS_KEPT = 1 << 17
 PIECE = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, packer long"
 
 _LOADED: dict[str, "WordTokens"] = {}
 
+# A tokenizer of this kind cuts words into runs of letters, single numbers and runs of what is neither; each run
+# goes to its model alone, as the characters that stand for its bytes. Here the runs are found without it where
+# characters have one class in every Unicode version and lower-case to one of their kind: Latin up to U+017F,
+# without apostrophes (contractions), white space and what some count as such.
+_KNOWN_SPLIT = (
+    {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]},
+    {"type": "Sequence", "pretokenizers": [
+        {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}, "behavior": "Removed", "invert": True},
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]})
+_LATIN = [c for c in map(chr, range(0x180)) if c not in "'\u0130" and not c.isspace()]
+_LETTER, _NUMBER = (re.escape("".join(c for c in _LATIN if unicodedata.category(c)[0] == kind)) for kind in "LN")
+_PLAIN = re.compile(f"[{re.escape(''.join(_LATIN))}]+")
+_RUNS = re.compile(f"[{_LETTER}]+|[{_NUMBER}]|[^{_LETTER}{_NUMBER}]+")
+_SHOWN = [*range(33, 127), *range(161, 173), *range(174, 256)]  # bytes that stand for themselves
+_BYTES = {b: chr(b) for b in _SHOWN} | {b: chr(256 + i) for i, b in enumerate(sorted(set(range(256)) - set(_SHOWN)))}
+_SIGNS = bytes(b for b in range(33, 127) if not chr(b).isalnum() and b != ord("'"))
+#: Letters with a composed small form only: lower-cased ahead of the tokenizer they would be composed.
+_LATE = re.compile(rb"[A-Z]\xcc")
+
 
 class WordTokens:
     """Ids of a text as little-endian unsigned 32-bit bytes, word by word."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import WhitespaceSplit
 
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [x.content.encode() for x in self.tokenizer.get_added_tokens_decoder().values()]
         self.known: dict[bytes, bytes] = {}
+        self.first: dict[bytes, bytes] = {}
+        spec = json.loads(self.tokenizer.to_str())
+        self.runs = None  # the model alone, if runs can be cut here
+        if (spec["normalizer"], spec["pre_tokenizer"]) == _KNOWN_SPLIT and spec["model"].get("end_of_word_suffix"):
+            self.runs = Tokenizer(self.tokenizer.model)
+            self.runs.pre_tokenizer = WhitespaceSplit()
+            vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
+            self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+            self.ends[[i for t, i in vocabulary.items() if t.endswith(spec["model"]["end_of_word_suffix"])]] = True
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(x.ids, "<u4").tobytes() for x in found]
 
-    def _word_ids(self, words: list[str]) -> list[bytes]:
-        """Ids of each word. Words of letters are one token run each, so many go into one call."""
-        out: dict[str, bytes] = {}
-        plain = [w for w in words if w.isalpha() and (w.isascii() or unicodedata.is_normalized("NFC", w))]
-        for at in range(0, len(plain), 256):
-            some = plain[at:at + 256]
-            found = self.tokenizer.encode(" ".join(some), add_special_tokens=False)
-            runs = np.array(found.word_ids, np.int64)
-            if len(runs) and runs[-1] + 1 == len(some):
-                ids, cuts = np.array(found.ids, "<u4").tobytes(), (4 * np.searchsorted(runs, np.arange(len(some) + 1))).tolist()
-                out.update((w, ids[a:b]) for w, a, b in zip(some, cuts, cuts[1:]))
-        rest = [w for w in words if w not in out]
-        out.update(zip(rest, self._ids(rest)))
-        return [out[w] for w in words]
+    def _run_ids(self, runs: list[bytes], shown: list[str]) -> None:
+        """Learn runs, many in one call; a run's last token is one that ends words."""
+        for at in range(0, len(runs), 256):
+            some = runs[at:at + 256]
+            ids = np.array(self.runs.encode_batch_fast([" ".join(shown[at:at + 256])], add_special_tokens=False)[0].ids, "<u4")
+            ends = np.flatnonzero(self.ends[ids]) + 1
+            if len(ends) == len(some):
+                ids, ends = ids.tobytes(), (4 * ends).tolist()
+                self.known.update(zip(some, [ids[a:b] for a, b in zip([0, *ends], ends)]))
+            else:
+                self.known.update(zip(some, self._ids([x.decode() for x in some])))
 
     def _learn(self, words: set[bytes]) -> None:
-        known, split = self.known, {}
-        for w in words:  # a letter before closing punctuation ends a token: both sides are learnt alone
-            core = w.rstrip(b".,;:!?")
-            if core and core != w and core[-1:].isalpha():
-                split[w] = (core, w[len(core):])
-        need = list({x for p in split.values() for x in p if x not in known} | {w for w in words if w not in split})
-        for w, ids in zip(need, self._word_ids([w.decode() for w in need])):
-            known[w] = ids
-        for w, (core, rest) in split.items():
-            known[w] = known[core] + known[rest]
+        known, letters, cut, rest = self.known, [], [], []
+        for w in words if self.runs else ():
+            core = w.rstrip(_SIGNS)
+            if core.isalpha():  # letters of ASCII, in lower case
+                if len(core) == len(w):
+                    letters.append(w)
+                else:
+                    cut.append((w, core, w[len(core):]))
+            elif _PLAIN.fullmatch(text := w.decode()):
+                cut.append((w, *map(str.encode, _RUNS.findall(text.lower()))))
+            else:
+                rest.append(w)
+        self._run_ids(letters, [x.decode() for x in letters])
+        need = list({x for _, *runs in cut for x in runs if x not in known})
+        self._run_ids(need, [x.decode() if x.isalnum() else "".join([_BYTES[b] for b in x]) for x in need])
+        for w, *runs in cut:
+            known[w] = b"".join([known[x] for x in runs])
+        rest = rest if self.runs else list(words)
+        if rest:
+            known.update(zip(rest, self._ids([w.decode() for w in rest])))
+
+    def forget(self) -> None:
+        """Start anew with the words learnt first, the most frequent ones among them; the rest is given back."""
+        if len(self.first) < WORDS_KEPT:  # copies, so that no block of memory is held for a few of its words
+            self.first = {bytes(bytearray(w)): bytes(bytearray(ids)) for w, ids in islice(self.known.items(), WORDS_KEPT)}
+        self.known = self.first.copy()
 
     def encode(self, texts: list[str]) -> list[bytes]:
         rows, found, new = [], [], set()
         find = self.known.get
         for text in texts:
             data = text.encode()
-            if any(s in data for s in self.special):
+            if any(s in data for s in self.special) or b"\xcc" in data and _LATE.search(data):
                 rows.append((None, None))
                 found.append(None)
                 continue
@@ -103,8 +149,8 @@ class WordTokens:
             new.update([words[i] for i in gaps])
             rows.append((words, gaps))
             found.append(ids)
-        if len(self.known) + len(new) > WORD_CACHE:  # start anew, with the new words of this batch
-            self.known.clear()
+        if len(self.known) + len(new) > WORD_CACHE:
+            self.forget()
         if new:
             self._learn(new)
         out = []
@@ -151,6 +197,7 @@ def _pieces(path: str, size: int, end_id: int, packers: int, with_ids: bool):
             if with_ids:
                 cols, names = [*cols, pa.array(held, pa.binary())], [*names, "ids"]
             yield pa.RecordBatch.from_arrays(cols, names=names)
+        tokens.forget()  # the worker stays for other tasks
     return run
 
 
